@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardrisk.functions.calendar import add_calendar_flags
+from cardrisk.operators.filters import filter_min_day
 from cardrisk.operators.group_stats import terminal_means
 from cardrisk.operators.rolling import BLOCK, block_us_for, customer_spending, terminal_risk, with_us
 from cardrisk.operators.sequence import add_customer_sequence
@@ -29,20 +30,12 @@ from cardrisk.schema import (
     TX_AMOUNT,
     TX_AMOUNT_DEVIATION,
     TX_FRAUD,
-    TX_TIME_DAYS,
     WINDOWS_DAYS,
     D,
     customer_avg_col,
 )
 
 
-def filter_min_day(df: DataFrame, min_day: int | None) -> DataFrame:
-    """Keep ``TX_TIME_DAYS >= min_day`` when the column exists."""
-    if min_day is None or TX_TIME_DAYS not in df.columns:
-        return df
-    return df.filter(F.col(TX_TIME_DAYS) >= min_day)
-
-
 def build_features(
     df: DataFrame,
     stage2: bool = True,
