@@ -37,7 +37,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = load(spark, sf_dir, "events")
+    return tx_from_events(load(spark, sf_dir, "events"))
+
+
+def tx_from_events(ev: DataFrame) -> DataFrame:
+    """Map event rows onto the transaction model (works on batch and streaming frames)."""
     ts = F.col("ts").cast("timestamp")
     since = f"(unix_micros(cast(ts as timestamp)) - {FIXTURE_START_US})"
     return ev.select(

@@ -1 +1,32 @@
-"""placeholder"""
+"""Model fit and batch scoring (2.K K6/K7/K12): rows-only checks (not SQL-expressible)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cardrisk import fixtures as fx
+from cardrisk.operators.group_stats import fit_terminal_ratio
+from cardrisk.plans import model as mdl
+from cardrisk.queries.registry import register
+from cardrisk.schema import TX_TIME_DAYS
+
+PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "validationTol": 0.0001}
+
+
+@register("model_fit_scores")
+def model_fit_scores(spark, sf):
+    """Test rows with their score and 0/1 prediction at the validation-chosen threshold."""
+    _, _, test_pred, _ = mdl.train_eval(fx.tx(spark, sf), **PARAMS)
+    return test_pred.select("TRANSACTION_ID", "TX_FRAUD", "SCORE", "PRED")
+
+
+@register("score_batch")
+def score_batch(spark, sf, cut_day: int = 23):
+    """Fit on days before ``cut_day``, then score the later days as new data with their history."""
+    tx = fx.tx(spark, sf)
+    past = tx.filter(F.col(TX_TIME_DAYS) < cut_day)
+    new = tx.filter(F.col(TX_TIME_DAYS) >= cut_day).drop("TX_FRAUD", "TX_FRAUD_SCENARIO")
+    model, thr, _, feats = mdl.train_eval(past, **PARAMS)
+    ratio = fit_terminal_ratio(past)
+    threshold = thr.first()["threshold"]
+    return mdl.score_new(model, threshold, new, past, feats, ratio)
