@@ -3,12 +3,16 @@
 A rolling ``N``-day window is the left-open frame ``(t - N d, t]``; it is a
 ``RANGE`` frame over the transaction time in microseconds, so membership is
 decided to the microsecond.  The delayed terminal window ``(t-(d+N), t-d]`` is
-one frame as well.  No self-join: Spark's window operator sweeps the sorted
-partition once per frame.
+one frame as well.  No self-join.  By default a frame is computed as the
+difference of two growing frames (rows up to ``t - upper`` minus rows up to
+``t - lower``), which Spark evaluates incrementally in one sweep of the sorted
+partition: linear cost, where a sliding frame costs rows x frame width.
 
 Hot keys.  A window partitions by its key; a single key holding a large share
-of all rows would be one task.  With ``block_days`` the time axis is cut into
-blocks and the window partitions by ``(key, block)``.  A row is copied, as a
+of all rows would be one task.  ``block_days='auto'`` probes the data for a
+key above ``HOT_KEY_ROWS`` rows; if there is one (or with a fixed
+``block_days``) the time axis is cut into blocks and the window partitions
+by ``(key, block)``.  A row is copied, as a
 read-only context row, into every later block whose frames can reach it (rows
 within the look-back of the block start), so every frame is complete and the
 result is exact; context rows are dropped after the window.  With a block of
@@ -73,11 +77,48 @@ def time_blocks(df: DataFrame, lookback_us: int, block_us: int) -> DataFrame:
     return out.withColumn(CONTEXT, F.col(BLOCK) != F.col("_home")).drop("_home")
 
 
-def block_us_for(lookback_us: int, block_days: int | None | str) -> int | None:
+# Rows of one key that a single window task handles comfortably; above this a
+# key is hot and its time axis is cut into blocks.
+HOT_KEY_ROWS = 5_000_000
+
+
+def probe_hot_key(df: DataFrame, key: str, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> int | None:
+    """Block length for ``key``, or None when no key exceeds ``max_rows`` rows.
+
+    One aggregate pass (partial counts per key before the shuffle) and one
+    row back to the driver.  The block aims at ``max_rows`` rows of the
+    hottest key, between one and ``BLOCK_FACTOR`` look-backs long (shorter
+    blocks would copy each row into many blocks).
+    """
+    top = (
+        with_us(df)
+        .filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"), F.min(US).alias("lo"), F.max(US).alias("hi"))
+        .orderBy(F.col("n").desc())
+        .limit(1)
+        .collect()
+    )
+    if not top or top[0]["n"] <= max_rows:
+        return None
+    n, lo, hi = top[0]["n"], top[0]["lo"], top[0]["hi"]
+    block = (max(hi - lo, 1) * max_rows) // n
+    block = min(max(block, lookback_us), BLOCK_FACTOR * lookback_us)
+    return max(D, (block // D) * D)
+
+
+def block_us_for(lookback_us: int, block_days: int | None | str, df: DataFrame | None = None,
+                 key: str | None = None) -> int | None:
+    """Resolve ``block_days``: None (key only), a number of days, 'auto' (probe
+    the data for a hot key) or 'always' (four look-backs)."""
     if block_days is None:
         return None
-    if block_days == "auto":
+    if block_days == "always":
         return max(BLOCK_FACTOR * lookback_us, D)
+    if block_days == "auto":
+        if df is None or df.isStreaming:
+            return None
+        return probe_hot_key(df, key, lookback_us)
     return int(block_days) * D
 
 
@@ -87,7 +128,7 @@ def _prepare(df: DataFrame, key: str, lookback_us: int, block_days) -> tuple[Dat
         df = df.drop(BLOCK)
     # pandas groupby drops rows with a null key; a frame needs a time.
     df = df.filter(F.col(key).isNotNull() & F.col(US).isNotNull())
-    block_us = block_us_for(lookback_us, block_days)
+    block_us = block_us_for(lookback_us, block_days, df, key)
     if block_us is None:
         return df, [key]
     return time_blocks(df, lookback_us, block_us), [key, BLOCK]
@@ -106,6 +147,27 @@ def money(col: str, amount_scale: int | None) -> Column:
     return c.cast(f"decimal(18,{amount_scale})") if amount_scale is not None else c
 
 
+def _prefix_frame(w, upper_us: int):
+    """Growing frame: every row with time <= t - upper_us (peers included when upper is 0)."""
+    return w.rangeBetween(Window.unboundedPreceding, -upper_us if upper_us else Window.currentRow)
+
+
+def frame_agg(agg, w, lower_us: int, upper_us: int, strategy: str, zero):
+    """Aggregate over the time frame ``(t - lower_us, t - upper_us]``.
+
+    ``strategy='prefix'`` takes the difference of two growing frames; Spark
+    evaluates a growing frame incrementally, so the cost is linear in the
+    partition whatever the frame width (exact for counts and decimal sums).
+    ``strategy='sliding'`` is the direct frame, re-aggregated as it slides
+    (cost rows x frame rows).
+    """
+    if strategy == "sliding":
+        return agg.over(w.rangeBetween(-lower_us + 1, -upper_us if upper_us else Window.currentRow))
+    hi = agg.over(_prefix_frame(w, upper_us))
+    lo = agg.over(_prefix_frame(w, lower_us))
+    return hi - F.coalesce(lo, zero)
+
+
 def customer_spending(
     df: DataFrame,
     windows: Sequence[int] = WINDOWS_DAYS,
@@ -115,6 +177,7 @@ def customer_spending(
     ties: str = "peer",
     block_days: int | str | None = "auto",
     keep_block: bool = False,
+    strategy: str = "prefix",
 ) -> DataFrame:
     """Rolling count of non-null amounts and mean amount per key over ``N``-day windows.
 
@@ -122,23 +185,24 @@ def customer_spending(
     time.  ``ties='row'`` ends it at the current row in (time, TRANSACTION_ID)
     order, the rule of a row-wise rolling window: the later peers' values are
     subtracted, which keeps one shuffle (a (key, time) window is satisfied by
-    the key's partitioning).
+    the key's partitioning).  With plain double sums (``amount_scale=None``)
+    use ``strategy='sliding'``: a difference of double prefix sums cancels.
     """
     if ties not in ("peer", "row"):
         raise ValueError("ties must be 'peer' or 'row'")
     lookback = max(windows) * D
     base, parts = _prepare(df, key, lookback, block_days)
     x = money(amount, amount_scale)
+    zero = F.lit(0).cast(tot_type(amount_scale))
     w = Window.partitionBy(*parts).orderBy(US)
     later = Window.partitionBy(*parts, US).orderBy(TRANSACTION_ID).rowsBetween(1, Window.unboundedFollowing)
     cols = {}
     for n in windows:
-        frame = w.rangeBetween(-n * D + 1, 0)
-        cnt = F.count(amount).over(frame)
-        tot = F.sum(x).over(frame)
+        cnt = frame_agg(F.count(amount), w, n * D, 0, strategy, F.lit(0))
+        tot = frame_agg(F.sum(x), w, n * D, 0, strategy, zero)
         if ties == "row":
             cnt = cnt - F.count(amount).over(later)
-            tot = tot - F.coalesce(F.sum(x).over(later), F.lit(0).cast(tot_type(amount_scale)))
+            tot = tot - F.coalesce(F.sum(x).over(later), zero)
         cols[customer_count_col(n)] = cnt
         cols[customer_avg_col(n)] = F.try_divide(tot.cast("double"), cnt)
     return _finish(base.withColumns(cols), parts, keep_block)
@@ -156,6 +220,7 @@ def terminal_risk(
     label: str = TX_FRAUD,
     block_days: int | str | None = "auto",
     keep_block: bool = False,
+    strategy: str = "prefix",
 ) -> DataFrame:
     """Delayed fraud count and share per key over ``(t-(delay+N) d, t-delay d]``.
 
@@ -167,9 +232,8 @@ def terminal_risk(
     w = Window.partitionBy(*parts).orderBy(US)
     cols = {}
     for n in windows:
-        frame = w.rangeBetween(-(delay + n) * D + 1, -delay * D)
-        cnt = F.count(label).over(frame)
-        frauds = F.sum(label).over(frame)
+        cnt = frame_agg(F.count(label), w, (delay + n) * D, delay * D, strategy, F.lit(0))
+        frauds = frame_agg(F.sum(label), w, (delay + n) * D, delay * D, strategy, F.lit(0).cast("bigint"))
         cols[terminal_count_col(n)] = cnt
         cols[terminal_risk_col(n)] = F.coalesce(F.try_divide(frauds.cast("double"), cnt), F.lit(0.0))
     return _finish(base.withColumns(cols), parts, keep_block)

@@ -26,6 +26,7 @@ from cardrisk.operators.sequence import add_customer_sequence
 from cardrisk.schema import (
     CUSTOMER_ID,
     NON_FEATURE_COLS,
+    TERMINAL_ID,
     RISK_DELAY_DAYS,
     TX_AMOUNT,
     TX_AMOUNT_DEVIATION,
@@ -51,17 +52,20 @@ def build_features(
     d = add_calendar_flags(with_us(df))
     d = filter_min_day(d, min_day)
 
+    # time blocks only for a hot key (probed on the input, before any window)
+    c_block = block_us_for(max(windows) * D, block_days, d, CUSTOMER_ID)
+    t_block = block_us_for((delay + max(windows)) * D, block_days, d, TERMINAL_ID)
+
     # customer-keyed work: one partitioning
-    c_block = block_us_for(max(windows) * D, block_days)
     d = customer_spending(
-        d, windows=windows, ties=ties, amount_scale=amount_scale, block_days=block_days, keep_block=stage2
+        d, windows=windows, ties=ties, amount_scale=amount_scale, block_days=_days(c_block), keep_block=stage2
     )
     if stage2:
         d = d.withColumn(TX_AMOUNT_DEVIATION, F.col(TX_AMOUNT) - F.col(customer_avg_col(min(windows))))
         d = add_customer_sequence(d, key=CUSTOMER_ID, drift_window=drift_window, block_us=c_block)
 
     # terminal-keyed work: a second partitioning
-    d = terminal_risk(d, delay=delay, windows=windows, block_days=block_days, keep_block=stage2)
+    d = terminal_risk(d, delay=delay, windows=windows, block_days=_days(t_block), keep_block=stage2)
     if stage2:
         co = [BLOCK] if BLOCK in d.columns else []
         d = terminal_means(d, amount_scale=amount_scale, co_keys=co)
@@ -72,6 +76,10 @@ def build_features(
     return d
 
 
+def _days(block_us: int | None) -> int | None:
+    return None if block_us is None else block_us // D
+
+
 def stage1_features(df: DataFrame, min_day: int | None = 30, fill_zero: bool = True, **kw) -> DataFrame:
     """Calendar flags, history filter, customer rolling and terminal risk features."""
     return build_features(df, stage2=False, min_day=min_day, fill_zero=fill_zero, **kw)
@@ -81,7 +89,7 @@ def stage2_features(feat: DataFrame, drift_window: int | None = None, amount_sca
                     block_days: int | str | None = "auto", windows: Sequence[int] = WINDOWS_DAYS) -> DataFrame:
     """Second-stage features over an existing stage-one table."""
     d = feat.withColumn(TX_AMOUNT_DEVIATION, F.col(TX_AMOUNT) - F.col(customer_avg_col(1)))
-    c_block = block_us_for(max(windows) * D, block_days)
+    c_block = block_us_for(max(windows) * D, block_days, d, CUSTOMER_ID)
     d = add_customer_sequence(d, drift_window=drift_window, block_us=c_block)
     return terminal_means(d, amount_scale=amount_scale)
 

@@ -89,7 +89,8 @@ def _row_exact_sql() -> str:
 
 @register("customer_rolling_row_exact", _row_exact_sql(), views=("tx_orders",))
 def customer_rolling_row_exact(spark, sf):
-    d = customer_spending(fx.tx_orders(spark, sf), ties="row")
+    # years of history with ties; 120-day time blocks exercise the hot-key path
+    d = customer_spending(fx.tx_orders(spark, sf), ties="row", block_days=120)
     return d.select(TRANSACTION_ID, CUSTOMER_ID, *CUST_COLS)
 
 
@@ -108,8 +109,8 @@ def terminal_risk_q(spark, sf):
     views=("tx_orders",),
 )
 def terminal_risk_orders(spark, sf):
-    """Delayed risk over years of history with same-day ties (several time blocks)."""
-    d = terminal_risk(fx.tx_orders(spark, sf))
+    """Delayed risk over years of history with same-day ties, on the hot-key path (time blocks)."""
+    d = terminal_risk(fx.tx_orders(spark, sf), block_days=148)
     return d.select(TRANSACTION_ID, TERMINAL_ID, *TERM_COLS)
 
 
@@ -148,7 +149,7 @@ LAG_W = "(PARTITION BY CUSTOMER_ID ORDER BY us, TRANSACTION_ID)"
     f"  coalesce(TX_TIME_SECONDS - lag(TX_TIME_SECONDS) OVER {LAG_W}, 999999) AS TIME_SINCE_LAST_TX FROM tx",
 )
 def time_since_last_tx(spark, sf):
-    d = add_customer_sequence(fx.tx(spark, sf), block_us=120 * D)
+    d = add_customer_sequence(fx.tx(spark, sf))
     return d.select(TRANSACTION_ID, CUSTOMER_ID, "TX_TIME_SECONDS_SHIFTED", "TIME_SINCE_LAST_TX")
 
 
@@ -159,7 +160,7 @@ def time_since_last_tx(spark, sf):
     + "\nFROM tx",
 )
 def amount_lags(spark, sf):
-    d = ordered_lags(fx.tx(spark, sf), {TX_AMOUNT: 3}, block_us=120 * D)
+    d = ordered_lags(fx.tx(spark, sf), {TX_AMOUNT: 3})
     return d.select(
         TRANSACTION_ID, CUSTOMER_ID, *[F.col(lag_name(TX_AMOUNT, k)).alias(TX_AMOUNT_SHIFTED[k - 1]) for k in (1, 2, 3)]
     )
@@ -173,7 +174,7 @@ def amount_lags(spark, sf):
     views=("tx_orders",),
 )
 def amount_lags_orders(spark, sf):
-    """Lags over years of history with ties: many time blocks, lags cross block starts."""
+    """Lags over years of history with ties on the hot-key path: many time blocks, lags cross block starts."""
     d = ordered_lags(fx.tx_orders(spark, sf), {TX_AMOUNT: 5}, block_us=120 * D)
     return d.select(
         TRANSACTION_ID, CUSTOMER_ID, *[F.col(lag_name(TX_AMOUNT, k)).alias(f"TX_AMOUNT_SHIFTED_{k}") for k in range(1, 6)]
@@ -194,7 +195,7 @@ def mean_present_sql(cols) -> str:
     f"SELECT TRANSACTION_ID, CUSTOMER_ID, coalesce({mean_present_sql(['a1', 'a2', 'a3'])}, 0) AS TX_AMOUNT_LAST3_MEAN FROM l",
 )
 def last3_mean(spark, sf):
-    d = add_customer_sequence(fx.tx(spark, sf), block_us=120 * D)
+    d = add_customer_sequence(fx.tx(spark, sf))
     return d.select(TRANSACTION_ID, CUSTOMER_ID, "TX_AMOUNT_LAST3_MEAN")
 
 
@@ -209,7 +210,7 @@ def last3_mean(spark, sf):
     "       ELSE coalesce(TX_AMOUNT / (AVG_LAST_TX_AMOUNT + 1e-5), 1.0) END AS SPENDING_DRIFT FROM m",
 )
 def spending_drift_q(spark, sf):
-    d = spending_drift(fx.tx(spark, sf), window=5, block_us=120 * D)
+    d = spending_drift(fx.tx(spark, sf), window=5)
     return d.select(TRANSACTION_ID, CUSTOMER_ID, "AVG_LAST_TX_AMOUNT", "SPENDING_DRIFT")
 
 

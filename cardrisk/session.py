@@ -27,6 +27,7 @@ RUNTIME_CONF = {
 # Static confs: only honoured when the session is created here.
 STATIC_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.driver.memory": "16g",
 }
