@@ -71,18 +71,23 @@ def with_scenario_label(df: DataFrame, code: str = TX_FRAUD_SCENARIO) -> DataFra
     return df.withColumn("SCENARIO_LABEL", scenario_label(code))
 
 
+def category_values(df: DataFrame, col: str, limit: int = 1000) -> list:
+    """Sorted distinct values of a low-cardinality column (at most ``limit``, else an error)."""
+    vals = [r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col).limit(limit + 1).collect()]
+    if len(vals) > limit:
+        raise ValueError(f"{col} has too many values for one-hot")
+    return vals
+
+
 def one_hot(df: DataFrame, columns: Sequence[str], values: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """0/1 indicator columns ``<col>_<value>`` per distinct value, values sorted.
 
     Without ``values`` the distinct values are read from the data (a bounded
-    list: one-hot only makes sense for low-cardinality columns).
+    list: one-hot only makes sense for low-cardinality columns); pass the
+    dimension table's values to get the same columns on every input.
     """
     out = df
     for c in columns:
-        vals = list(values[c]) if values and c in values else [
-            r[0] for r in df.select(c).distinct().filter(F.col(c).isNotNull()).orderBy(c).limit(1001).collect()
-        ]
-        if len(vals) > 1000:
-            raise ValueError(f"{c} has too many values for one-hot")
+        vals = list(values[c]) if values and c in values else category_values(df, c)
         out = out.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)) for v in vals}).drop(c)
     return out

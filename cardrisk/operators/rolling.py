@@ -82,29 +82,40 @@ def time_blocks(df: DataFrame, lookback_us: int, block_us: int) -> DataFrame:
 HOT_KEY_ROWS = 5_000_000
 
 
-def probe_hot_key(df: DataFrame, key: str, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> int | None:
-    """Block length for ``key``, or None when no key exceeds ``max_rows`` rows.
-
-    One aggregate pass (partial counts per key before the shuffle) and one
-    row back to the driver.  The block aims at ``max_rows`` rows of the
-    hottest key, between one and ``BLOCK_FACTOR`` look-backs long (shorter
-    blocks would copy each row into many blocks).
+def probe_hot_keys(df: DataFrame, lookbacks: dict[str, int], max_rows: int = HOT_KEY_ROWS) -> dict[str, int | None]:
+    """Block length per key column (None when no value of it exceeds ``max_rows`` rows).
+
+    One pass for all key columns: each row is expanded to (column, value)
+    pairs, counted with partial aggregation before the shuffle, and only the
+    top pair per column (at most one row per column) reaches the driver.  The
+    block aims at ``max_rows`` rows of the hottest value, between one and
+    ``BLOCK_FACTOR`` look-backs long (shorter blocks would copy each row into
+    many blocks).
     """
-    top = (
-        with_us(df)
-        .filter(F.col(key).isNotNull())
-        .groupBy(key)
+    d = with_us(df)
+    pairs = F.array(*[F.struct(F.lit(k).alias("col"), F.col(k).cast("string").alias("val")) for k in lookbacks])
+    counts = (
+        d.select(F.col(US), F.inline(pairs))
+        .filter(F.col("val").isNotNull())
+        .groupBy("col", "val")
         .agg(F.count(F.lit(1)).alias("n"), F.min(US).alias("lo"), F.max(US).alias("hi"))
-        .orderBy(F.col("n").desc())
-        .limit(1)
-        .collect()
     )
-    if not top or top[0]["n"] <= max_rows:
-        return None
-    n, lo, hi = top[0]["n"], top[0]["lo"], top[0]["hi"]
-    block = (max(hi - lo, 1) * max_rows) // n
-    block = min(max(block, lookback_us), BLOCK_FACTOR * lookback_us)
-    return max(D, (block // D) * D)
+    w = Window.partitionBy("col").orderBy(F.col("n").desc())
+    top = {r["col"]: r for r in counts.withColumn("_r", F.row_number().over(w)).filter("_r = 1").collect()}
+    out: dict[str, int | None] = {}
+    for k, lookback_us in lookbacks.items():
+        r = top.get(k)
+        if r is None or r["n"] <= max_rows:
+            out[k] = None
+            continue
+        block = (max(r["hi"] - r["lo"], 1) * max_rows) // r["n"]
+        block = min(max(block, lookback_us), BLOCK_FACTOR * lookback_us)
+        out[k] = max(D, (block // D) * D)
+    return out
+
+
+def probe_hot_key(df: DataFrame, key: str, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> int | None:
+    return probe_hot_keys(df, {key: lookback_us}, max_rows)[key]
 
 
 def block_us_for(lookback_us: int, block_days: int | None | str, df: DataFrame | None = None,

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from cardrisk.functions.calendar import add_calendar_flags
 from cardrisk.operators.filters import filter_min_day
 from cardrisk.operators.group_stats import terminal_means
-from cardrisk.operators.rolling import BLOCK, block_us_for, customer_spending, terminal_risk, with_us
+from cardrisk.operators.rolling import BLOCK, block_us_for, customer_spending, probe_hot_keys, terminal_risk, with_us
 from cardrisk.operators.sequence import add_customer_sequence
 from cardrisk.schema import (
     CUSTOMER_ID,
@@ -52,9 +52,13 @@ def build_features(
     d = add_calendar_flags(with_us(df))
     d = filter_min_day(d, min_day)
 
-    # time blocks only for a hot key (probed on the input, before any window)
-    c_block = block_us_for(max(windows) * D, block_days, d, CUSTOMER_ID)
-    t_block = block_us_for((delay + max(windows)) * D, block_days, d, TERMINAL_ID)
+    # time blocks only for a hot key (one probe of both keys, on the input)
+    c_look, t_look = max(windows) * D, (delay + max(windows)) * D
+    if block_days == "auto":
+        probe = probe_hot_keys(d, {CUSTOMER_ID: c_look, TERMINAL_ID: t_look})
+        c_block, t_block = probe[CUSTOMER_ID], probe[TERMINAL_ID]
+    else:
+        c_block, t_block = block_us_for(c_look, block_days), block_us_for(t_look, block_days)
 
     # customer-keyed work: one partitioning
     d = customer_spending(

@@ -175,6 +175,7 @@ def grid_search(
         estimatorParamMaps=builder.build(),
         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
         foldCol="fold",
+        numFolds=folds,
         parallelism=parallelism,
         seed=seed,
     )

@@ -25,11 +25,16 @@ def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType =
     NaN amounts become NULL (pandas treats NaN as missing).
     """
     ensure_conf(spark)
+    # the header decides the column order; known columns get the declared
+    # type, others (a stray index column) are read as text
+    header = spark.read.option("header", True).csv(path).columns
+    known = {f.name: f for f in schema.fields}
+    typed = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
     df = (
         spark.read.option("header", True)
         .option("timestampFormat", TS_FORMAT)
         .option("mode", "FAILFAST")
-        .schema(schema)
+        .schema(typed)
         .csv(path)
     )
     df = df.drop("Unnamed: 0", "_c0")
