@@ -97,3 +97,13 @@ def read_coords(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of {latitude, longitude} objects, one row per element."""
     ensure_conf(spark)
     return spark.read.schema(COORDS).option("multiLine", True).json(path)
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """Keep a loaded table for repeated dashboard queries (memory, spilling to disk).
+
+    Call ``df.unpersist()`` to force a fresh read.
+    """
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
