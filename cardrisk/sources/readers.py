@@ -107,3 +107,23 @@ def cached(df: DataFrame) -> DataFrame:
     from pyspark import StorageLevel
 
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def read_daily_partitions(spark: SparkSession, path: str, first=None, last=None, ts: str = "TX_DATETIME") -> DataFrame:
+    """Read a day-partitioned table; a day range prunes partitions (folders) before any file is opened.
+
+    Spark does not derive ``TX_DATE`` predicates from ``TX_DATETIME`` ones, so
+    both are written here.
+    """
+    import datetime as dt
+
+    ensure_conf(spark)
+    df = spark.read.parquet(path)
+    if first is not None:
+        f = dt.date.fromisoformat(first) if isinstance(first, str) else first
+        df = df.filter((F.col("TX_DATE") >= F.lit(f)) & (F.col(ts) >= F.lit(dt.datetime(f.year, f.month, f.day))))
+    if last is not None:
+        d = dt.date.fromisoformat(last) if isinstance(last, str) else last
+        nxt = dt.datetime(d.year, d.month, d.day) + dt.timedelta(days=1)
+        df = df.filter((F.col("TX_DATE") <= F.lit(d)) & (F.col(ts) < F.lit(nxt)))
+    return df

@@ -72,3 +72,13 @@ def test_daily_partitions(spark, tmp_dir):
 def test_strip_index(spark):
     d = spark.createDataFrame([(1, 2)], "`Unnamed: 0` int, a int")
     assert strip_index_column(d).columns == ["a"]
+
+
+def test_daily_partition_pruning(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "daily_prune")
+    sinks.write_daily_partitions(fx.tx(spark, SF_SMALL), p)
+    d = readers.read_daily_partitions(spark, p, "2024-01-10", "2024-01-12")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(TX_DATE" in plan
+    want = fx.tx(spark, SF_SMALL).filter(F.to_date("TX_DATETIME").between("2024-01-10", "2024-01-12")).count()
+    assert d.count() == want
