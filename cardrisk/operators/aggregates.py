@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,12 +56,15 @@ def daily_kpis(df: DataFrame, ts: str = TX_DATETIME, approx_customers: bool = Fa
         mean_money().alias("mean_amount"),
         customers.alias("n_customers"),
     )
-    prev = daily.select(F.date_add("TX_DATE", 1).alias("TX_DATE"), F.col("n_fraud").alias("_prev"))
-    return (
-        daily.join(prev, "TX_DATE", "left")
-        .withColumn("tx_per_customer", F.coalesce(F.try_divide(F.col("n_tx").cast("double"), F.col("n_customers")), F.lit(0.0)))
-        .withColumn("fraud_delta", F.col("n_fraud") - F.coalesce(F.col("_prev"), F.lit(0)))
-        .drop("_prev")
+    # one row per calendar day (bounded by the calendar, not the data): a lag
+    # over the ordered days finds the day before without a second scan
+    w = Window.orderBy("TX_DATE")
+    prev_is_yesterday = F.lag("TX_DATE").over(w) == F.date_sub("TX_DATE", 1)
+    prev = F.when(prev_is_yesterday, F.lag("n_fraud").over(w)).otherwise(F.lit(0))
+    return daily.select(
+        "TX_DATE", "n_tx", "n_fraud", "mean_amount", "n_customers",
+        F.coalesce(F.try_divide(F.col("n_tx").cast("double"), F.col("n_customers")), F.lit(0.0)).alias("tx_per_customer"),
+        (F.col("n_fraud") - prev).alias("fraud_delta"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cardrisk.queries.q_windows import cust_sql, term_sql
 from cardrisk.queries.registry import register
 from cardrisk.session import scratch_path
 from cardrisk.streaming import kpis, rolling_state
@@ -33,13 +34,21 @@ def _run_append(spark, stream, name: str):
     return spark.read.parquet(f"{base}/out")
 
 
-@register("stream_customer_rolling")
+# The events file arrives in time order and has no equal timestamps, so the
+# features known at arrival equal the batch window features.
+@register(
+    "stream_customer_rolling",
+    f"SELECT TRANSACTION_ID, CUSTOMER_ID,\n  {cust_sql()}\nFROM tx WHERE CUSTOMER_ID IS NOT NULL",
+)
 def stream_customer_rolling(spark, sf):
     """Per-customer rolling spend known at arrival (equals the row-exact batch form on in-order input)."""
     return _run_append(spark, rolling_state.customer_rolling_stream(kpis.tx_stream(spark, sf)), "stream_cust")
 
 
-@register("stream_terminal_risk")
+@register(
+    "stream_terminal_risk",
+    f"SELECT TRANSACTION_ID, TERMINAL_ID,\n  {term_sql()}\nFROM tx WHERE TERMINAL_ID IS NOT NULL",
+)
 def stream_terminal_risk(spark, sf):
     """Per-terminal delayed risk known at arrival (equals the batch form on in-order input)."""
     return _run_append(spark, rolling_state.terminal_risk_stream(kpis.tx_stream(spark, sf)), "stream_term")

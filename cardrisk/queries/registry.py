@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardrisk.fixtures import with_views
-from cardrisk.schema import TX_DATETIME
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -42,4 +41,4 @@ def out(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-__all__ = ["REGISTRY", "register", "queries", "oracle_sql", "out", "TX_DATETIME"]
+__all__ = ["REGISTRY", "register", "queries", "oracle_sql", "out"]

@@ -151,3 +151,11 @@ def test_properties(spark):
         | (F.col("CUSTOMER_ID_NB_TX_7DAY_WINDOW") > F.col("CUSTOMER_ID_NB_TX_30DAY_WINDOW"))
     )
     assert bad.count() == 0
+
+
+def test_daily_delta_uses_calendar_day(spark):
+    d = dt.datetime
+    f = frame(spark, [(d(2020, 1, 1), 1, 1, 1.0, 1), (d(2020, 1, 2), 1, 1, 1.0, 1), (d(2020, 1, 2, 5), 2, 1, 1.0, 1),
+                      (d(2020, 1, 4), 1, 1, 1.0, 1)])
+    r = {x["TX_DATE"].day: x["fraud_delta"] for x in agg.daily_kpis(f).collect()}
+    assert r == {1: 1, 2: 1, 4: 1}
