@@ -56,8 +56,8 @@ def daily_kpis(df: DataFrame, ts: str = TX_DATETIME, approx_customers: bool = Fa
         mean_money().alias("mean_amount"),
         customers.alias("n_customers"),
     )
-    # one row per calendar day (bounded by the calendar, not the data): a lag
-    # over the ordered days finds the day before without a second scan
+    # One row per calendar day (bounded by the calendar, not the data): a lag
+    # over the ordered days finds the day before without scanning twice.
     w = Window.orderBy("TX_DATE")
     prev_is_yesterday = F.lag("TX_DATE").over(w) == F.date_sub("TX_DATE", 1)
     prev = F.when(prev_is_yesterday, F.lag("n_fraud").over(w)).otherwise(F.lit(0))

@@ -82,7 +82,27 @@ def time_blocks(df: DataFrame, lookback_us: int, block_us: int) -> DataFrame:
 HOT_KEY_ROWS = 5_000_000
 
 
+# Probe results per input plan.  A probe only chooses between two exact
+# strategies, so a stale entry (data changed under the same plan) costs
+# speed, never correctness.
+_PROBES: dict[tuple, dict[str, int | None]] = {}
+_PROBE_CACHE_SIZE = 64
+
+
 def probe_hot_keys(df: DataFrame, lookbacks: dict[str, int], max_rows: int = HOT_KEY_ROWS) -> dict[str, int | None]:
+    """Block length per key column, memoized per input plan (see ``_probe``)."""
+    try:
+        ck = (df.semanticHash(), tuple(sorted(lookbacks.items())), max_rows)
+    except Exception:  # noqa: BLE001  (plans without a semantic hash)
+        return _probe(df, lookbacks, max_rows)
+    if ck not in _PROBES:
+        if len(_PROBES) >= _PROBE_CACHE_SIZE:
+            _PROBES.pop(next(iter(_PROBES)))
+        _PROBES[ck] = _probe(df, lookbacks, max_rows)
+    return dict(_PROBES[ck])
+
+
+def _probe(df: DataFrame, lookbacks: dict[str, int], max_rows: int) -> dict[str, int | None]:
     """Block length per key column (None when no value of it exceeds ``max_rows`` rows).
 
     One pass for all key columns: each row is expanded to (column, value)
