@@ -24,6 +24,7 @@ from cardrisk.operators import metrics as m
 from cardrisk.operators.group_stats import fit_terminal_ratio, fitted_ratio_lookup
 from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
+from cardrisk.session import cut_lineage
 from cardrisk.schema import (
     CUSTOMER_ID,
     NON_FEATURE_COLS,
@@ -102,7 +103,9 @@ def train_eval(tx: DataFrame, seed: int = 42, class_weight: bool = False, parity
     d = prepare(tx, seed=seed, parity=parity)
     mat = feature_matrix(d, exclude=EXCLUDE, keep=[TRANSACTION_ID, "split", TX_DATETIME, "TX_FRAUD_SCENARIO"])
     feats = feature_columns(d, EXCLUDE)
-    mat = mat.withColumn("is_valid", F.col("split") == "valid")
+    # the window pipeline runs once: fitting and the scoring passes read the
+    # matrix from the shared checkpoint folder (also survives executor loss)
+    mat = cut_lineage(mat.withColumn("is_valid", F.col("split") == "valid"))
     fit_rows = mat.filter(F.col("split") != "test")
     if class_weight:
         fit_rows = with_class_weight(fit_rows)

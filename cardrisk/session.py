@@ -43,7 +43,7 @@ def get_session(master: str | None = None, app: str = "cardrisk", **conf: str) -
     if master:
         builder = builder.master(master)
     settings = {**STATIC_CONF, **RUNTIME_CONF}
-    settings.update({k.replace("_", "."): v for k, v in conf.items()})
+    settings.update({(k if "." in k else k.replace("_", ".")): v for k, v in conf.items()})
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -52,6 +52,25 @@ def get_session(master: str | None = None, app: str = "cardrisk", **conf: str) -
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of input.
+
+    File splits and shuffle partitions aim at ``target_partition_bytes`` per
+    task, so a window partition or aggregation buffer fits in executor memory;
+    AQE then merges small shuffle partitions and splits skewed join partitions
+    from measured sizes.  Pass the result to ``get_session(**conf)`` (with
+    dots) or ``spark-submit --conf``.
+    """
+    parts = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024**2),
+    }
+
+
 def ensure_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators need to any session."""
     for k, v in RUNTIME_CONF.items():
