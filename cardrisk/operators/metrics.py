@@ -34,7 +34,8 @@ def score_counts(df: DataFrame, score: str = SCORE, label: str = TX_FRAUD) -> Da
 
 
 def running_totals_desc(g: DataFrame, order: str, cols: list[str], buckets: int = 64) -> DataFrame:
-    """Add ``cum_<c>``: the sum of ``c`` over all rows with ``order`` >= this row's (``order`` unique)."""
+    """Add ``cum_<c>`` (sum of ``c`` over rows with ``order`` >= this row's; ``order`` unique)
+    and ``total_<c>`` (sum over all rows)."""
     probs = [i / buckets for i in range(1, buckets)]
     bounds = g.select(F.percentile_approx(order, probs, 10000).alias("b")).scalar()
     # bucket = number of distinct boundaries below the value: monotone in the
@@ -44,25 +45,29 @@ def running_totals_desc(g: DataFrame, order: str, cols: list[str], buckets: int
     gb = g.withColumn("_bucket", k)
     tot = gb.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     w_off = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
+    w_all = Window.partitionBy()  # <= buckets rows
     off = tot.select(
-        "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in cols]
+        "_bucket",
+        *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in cols],
+        *[F.sum(f"_t_{c}").over(w_all).alias(f"total_{c}") for c in cols],
     )
     w = Window.partitionBy("_bucket").orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
     out = gb.join(F.broadcast(off), "_bucket", "left")
     return out.select(
-        *g.columns, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in cols]
+        *g.columns,
+        *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in cols],
+        *[f"total_{c}" for c in cols],
     )
 
 
 def pr_curve(df: DataFrame, score: str = SCORE, label: str = TX_FRAUD, buckets: int = 64) -> DataFrame:
     """Per distinct score s: tp, fp (rows with score >= s), precision, recall, F1."""
     g = score_counts(df, score, label)
-    totals = g.select(F.struct(F.sum("p").alias("P"), F.sum("n").alias("N"))).scalar()
     c = running_totals_desc(g, SCORE, ["p", "n"], buckets)
-    c = c.withColumnRenamed("cum_p", "tp").withColumnRenamed("cum_n", "fp")
+    c = c.withColumnsRenamed({"cum_p": "tp", "cum_n": "fp", "total_p": "P1", "total_n": "N1"})
     prec = F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp"))
-    rec = F.try_divide(F.col("tp").cast("double"), totals.getField("P"))
-    c = c.withColumns({"precision": prec, "recall": rec, "P1": totals.getField("P"), "N1": totals.getField("N")})
+    rec = F.try_divide(F.col("tp").cast("double"), F.col("P1"))
+    c = c.withColumns({"precision": prec, "recall": rec})
     return c.withColumn("f1", f1_expr(F.col("precision"), F.col("recall")))
 
 
