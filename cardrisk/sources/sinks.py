@@ -44,16 +44,19 @@ def write_preview(df: DataFrame, path: str, n: int = 50, fmt: str = "csv") -> st
 
 
 def write_daily_partitions(
-    df: DataFrame, path: str, start: dt.date | str = "2024-01-01", fmt: str = "parquet"
+    df: DataFrame, path: str, start: dt.date | str = "2024-01-01", fmt: str = "parquet", partitions: int | None = None
 ) -> str:
     """One folder per day ``TX_DATE = start + TX_TIME_DAYS``, rows sorted by time within.
 
-    Rows are clustered by day before the write, so each day is written by few
-    tasks into few files, sorted by ``TX_TIME_SECONDS``.
+    Rows are range-partitioned on (day, time) before the write: a normal day
+    is written by one or a few tasks, and a hot day is split over several
+    tasks (several files in its folder) instead of landing in one task.
+    ``partitions`` defaults to the session's shuffle partitions.
     """
     start_d = dt.date.fromisoformat(start) if isinstance(start, str) else start
     d = df.withColumn("TX_DATE", F.date_add(F.lit(start_d), F.col(TX_TIME_DAYS)))
-    d = d.repartition("TX_DATE").sortWithinPartitions("TX_DATE", TX_TIME_SECONDS)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = d.repartitionByRange(n, "TX_DATE", TX_TIME_SECONDS).sortWithinPartitions("TX_DATE", TX_TIME_SECONDS)
     d.write.mode("overwrite").partitionBy("TX_DATE").format(fmt).save(path)
     return path
 
