@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardrisk.operators.rolling import BLOCK, _floor_div, with_us
+from cardrisk.operators.rolling import BLOCK, D, _floor_div, probe_hot_keys, with_us
 from cardrisk.schema import (
     AVG_LAST_TX_AMOUNT,
     CUSTOMER_ID,
@@ -49,10 +49,17 @@ def ordered_lags(
     lags: Mapping[str, int],
     key: str = CUSTOMER_ID,
     order: Sequence[str] = (US, TRANSACTION_ID),
-    block_us: int | None = None,
+    block_us: int | str | None = "auto",
 ) -> DataFrame:
-    """Add ``lag_name(c, k)`` for ``k = 1..lags[c]``: the value ``k`` rows earlier in the key."""
+    """Add ``lag_name(c, k)`` for ``k = 1..lags[c]``: the value ``k`` rows earlier in the key.
+
+    ``block_us='auto'`` probes for a hot key (see ``rolling.probe_hot_keys``)
+    and uses time blocks only if one exists; a number forces blocks of that
+    length, None partitions by the key alone.
+    """
     df = with_us(df)
+    if block_us == "auto":
+        block_us = None if df.isStreaming else probe_hot_keys(df, {key: D})[key]
     names = {(c, k): lag_name(c, k) for c, n in lags.items() for k in range(1, n + 1)}
     if block_us is None:
         w = Window.partitionBy(key).orderBy(*order)
@@ -110,7 +117,7 @@ def add_customer_sequence(
     df: DataFrame,
     key: str = CUSTOMER_ID,
     drift_window: int | None = None,
-    block_us: int | None = None,
+    block_us: int | str | None = "auto",
 ) -> DataFrame:
     """Time since the previous transaction, last three amounts, their mean, and
     optionally the spending drift against the mean of the last ``drift_window``."""
@@ -142,7 +149,7 @@ def drift_expr(amount: Column, mean: Column) -> Column:
     )
 
 
-def spending_drift(df: DataFrame, window: int = 5, key: str = CUSTOMER_ID, block_us: int | None = None) -> DataFrame:
+def spending_drift(df: DataFrame, window: int = 5, key: str = CUSTOMER_ID, block_us: int | str | None = "auto") -> DataFrame:
     d = ordered_lags(df, {TX_AMOUNT: window}, key=key, block_us=block_us)
     amt = [F.col(lag_name(TX_AMOUNT, k)) for k in range(1, window + 1)]
     d = d.withColumn(AVG_LAST_TX_AMOUNT, mean_of_present(amt))
