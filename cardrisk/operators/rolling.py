@@ -22,6 +22,7 @@ four look-backs at most a quarter of the rows are copied once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,40 +58,72 @@ def with_us(df: DataFrame, ts: str = TX_DATETIME) -> DataFrame:
     return df.withColumn(US, F.unix_micros(F.col(ts).cast("timestamp")))
 
 
-def _floor_div(x: Column, n: int) -> Column:
-    """Exact floor division for longs below 2**53 (also before 1970)."""
-    return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("bigint")
+def _floor_div(x: Column, n) -> Column:
+    """Exact floor division for longs below 2**53 (also before 1970); ``n`` a number or a column."""
+    nc = n if isinstance(n, Column) else F.lit(n)
+    return ((x - F.pmod(x, nc)) / nc).cast("bigint")
 
 
-def time_blocks(df: DataFrame, lookback_us: int, block_us: int) -> DataFrame:
+BLEN = "_blen"  # block length of the row's key in microseconds (NULL: key not split)
+
+# Rows of one (key, block) that a single window task handles comfortably;
+# a key with more rows is hot and its time axis is cut into blocks.
+HOT_KEY_ROWS = 5_000_000
+# Blocks shorter than the look-back copy rows into several later blocks; at
+# most this many copies of a row are made (including the row itself).
+MAX_COPIES = 8
+# More hot values than this in one key column: split every key uniformly.
+HOT_LIST_MAX = 100_000
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """How the time axis of a key column is cut.
+
+    ``uniform_us`` cuts every key into blocks of that length; ``hot`` lists
+    (key value, block length) for the hot keys only, every other key stays
+    one block.  ``hot`` is bounded: at most rows / ``HOT_KEY_ROWS`` keys can
+    be hot, and at most ``HOT_LIST_MAX`` are listed.
+    """
+
+    uniform_us: int | None = None
+    hot: tuple[tuple[str, int], ...] = ()
+
+
+def with_block_length(df: DataFrame, key: str, blocks: Blocks) -> DataFrame:
+    """Add ``_blen``: a literal for uniform blocks, a broadcast lookup for hot keys."""
+    if blocks.uniform_us is not None:
+        return df.withColumn(BLEN, F.lit(blocks.uniform_us).cast("bigint"))
+    spark = df.sparkSession
+    table = spark.createDataFrame(list(blocks.hot), "_val string, _len bigint")
+    table = table.select(F.col("_val").cast(df.schema[key].dataType).alias(key), F.col("_len").alias(BLEN))
+    return df.join(F.broadcast(table), key, "left")  # bounded by HOT_LIST_MAX rows
+
+
+def time_blocks(df: DataFrame, lookback_us: int) -> DataFrame:
     """Assign each row its home block and copy it into the later blocks it can reach.
 
-    A row at ``u`` is needed by block ``b`` when some row of ``b`` has a frame
-    reaching back to ``u``, i.e. when ``u > b * block_us - lookback_us``.
+    A row at ``u`` is needed by block ``b`` (of length ``B``) when some row of
+    ``b`` has a frame reaching back to ``u``, i.e. when ``u > b * B - lookback_us``.
+    Rows of keys without a block length stay in block 0 and are not copied.
     """
-    if lookback_us <= 0:
-        return df.withColumns({BLOCK: F.lit(0).cast("bigint"), CONTEXT: F.lit(False)})
-    u = F.col(US)
-    home = _floor_div(u, block_us)
-    last = _floor_div(u + F.lit(lookback_us - 1), block_us)
+    u, blen = F.col(US), F.col(BLEN)
+    home = F.when(blen.isNull(), F.lit(0).cast("bigint")).otherwise(_floor_div(u, blen))
+    reach = u + F.lit(max(lookback_us, 1) - 1)
+    last = F.when(blen.isNull(), F.lit(0).cast("bigint")).otherwise(_floor_div(reach, blen))
     out = df.withColumn("_home", home).withColumn(BLOCK, F.explode(F.sequence(F.col("_home"), last)))
     return out.withColumn(CONTEXT, F.col(BLOCK) != F.col("_home")).drop("_home")
 
 
-# Rows of one key that a single window task handles comfortably; above this a
-# key is hot and its time axis is cut into blocks.
-HOT_KEY_ROWS = 5_000_000
-
-
-# Probe results per input plan.  A probe only chooses between two exact
+# Probe results per input plan.  A probe only chooses between exact
 # strategies, so a stale entry (data changed under the same plan) costs
 # speed, never correctness.
-_PROBES: dict[tuple, dict[str, int | None]] = {}
+_PROBES: dict[tuple, dict[str, Blocks | None]] = {}
 _PROBE_CACHE_SIZE = 64
 
 
-def probe_hot_keys(df: DataFrame, lookbacks: dict[str, int], max_rows: int = HOT_KEY_ROWS) -> dict[str, int | None]:
-    """Block length per key column, memoized per input plan (see ``_probe``)."""
+def probe_hot_keys(df: DataFrame, lookbacks: dict[str, int], max_rows: int = HOT_KEY_ROWS) -> dict[str, Blocks | None]:
+    """Blocks per key column (None: no hot key), memoized per input plan (see ``_probe``)."""
     try:
         ck = (df.semanticHash(), tuple(sorted(lookbacks.items())), max_rows)
     except Exception:  # noqa: BLE001  (plans without a semantic hash)
@@ -102,73 +135,83 @@ def probe_hot_keys(df: DataFrame, lookbacks: dict[str, int], max_rows: int = HOT
     return dict(_PROBES[ck])
 
 
-def _probe(df: DataFrame, lookbacks: dict[str, int], max_rows: int) -> dict[str, int | None]:
-    """Block length per key column (None when no value of it exceeds ``max_rows`` rows).
+def hot_block_length(n: int, span_us: int, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> int:
+    """Block length giving about ``max_rows`` rows of a key with ``n`` rows over ``span_us``.
+
+    At most ``BLOCK_FACTOR`` look-backs (longer blocks gain nothing) and at
+    least ``lookback / (MAX_COPIES - 1)`` (shorter ones copy rows too often).
+    """
+    want = (max(span_us, 1) * max_rows) // max(n, 1)
+    lo = -(-max(lookback_us, 1) // (MAX_COPIES - 1))
+    return int(max(min(want, BLOCK_FACTOR * max(lookback_us, D)), lo, 10**6))
+
+
+def _probe(df: DataFrame, lookbacks: dict[str, int], max_rows: int) -> dict[str, Blocks | None]:
+    """Hot values per key column with their block lengths.
 
     One pass for all key columns: each row is expanded to (column, value)
-    pairs, counted with partial aggregation before the shuffle, and only the
-    top pair per column (at most one row per column) reaches the driver.  The
-    block aims at ``max_rows`` rows of the hottest value, between one and
-    ``BLOCK_FACTOR`` look-backs long (shorter blocks would copy each row into
-    many blocks).
+    pairs, counted with partial aggregation before the shuffle; only values
+    above ``max_rows`` rows come back to the driver (at most rows/max_rows of
+    them exist, and at most ``HOT_LIST_MAX + 1`` per column are fetched).
     """
     d = with_us(df)
     pairs = F.array(*[F.struct(F.lit(k).alias("col"), F.col(k).cast("string").alias("val")) for k in lookbacks])
-    counts = (
+    hot = (
         d.select(F.col(US), F.inline(pairs))
         .filter(F.col("val").isNotNull())
         .groupBy("col", "val")
         .agg(F.count(F.lit(1)).alias("n"), F.min(US).alias("lo"), F.max(US).alias("hi"))
+        .filter(F.col("n") > max_rows)
     )
-    w = Window.partitionBy("col").orderBy(F.col("n").desc())
-    top = {r["col"]: r for r in counts.withColumn("_r", F.row_number().over(w)).filter("_r = 1").collect()}
-    out: dict[str, int | None] = {}
+    w = Window.partitionBy("col").orderBy(F.col("n").desc(), F.col("val"))
+    rows = hot.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= HOT_LIST_MAX + 1).collect()
+    out: dict[str, Blocks | None] = {}
     for k, lookback_us in lookbacks.items():
-        r = top.get(k)
-        if r is None or r["n"] <= max_rows:
+        mine = [r for r in rows if r["col"] == k]
+        if not mine:
             out[k] = None
-            continue
-        block = (max(r["hi"] - r["lo"], 1) * max_rows) // r["n"]
-        block = min(max(block, lookback_us), BLOCK_FACTOR * lookback_us)
-        out[k] = max(D, (block // D) * D)
+        elif len(mine) > HOT_LIST_MAX:
+            out[k] = Blocks(uniform_us=max(BLOCK_FACTOR * lookback_us, D))
+        else:
+            out[k] = Blocks(hot=tuple(
+                (r["val"], hot_block_length(r["n"], r["hi"] - r["lo"], lookback_us, max_rows)) for r in mine
+            ))
     return out
 
 
-def probe_hot_key(df: DataFrame, key: str, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> int | None:
+def probe_hot_key(df: DataFrame, key: str, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> Blocks | None:
     return probe_hot_keys(df, {key: lookback_us}, max_rows)[key]
 
 
-def block_us_for(lookback_us: int, block_days: int | None | str, df: DataFrame | None = None,
-                 key: str | None = None) -> int | None:
-    """Resolve ``block_days``: None (key only), a number of days, 'auto' (probe
-    the data for a hot key) or 'always' (four look-backs)."""
-    if block_days is None:
-        return None
+def resolve_blocks(lookback_us: int, block_days, df: DataFrame | None = None, key: str | None = None) -> Blocks | None:
+    """Resolve ``block_days``: None (key only), a number of days (uniform blocks),
+    'auto' (probe the data for hot keys), 'always' (four look-backs) or a ``Blocks``."""
+    if block_days is None or isinstance(block_days, Blocks):
+        return block_days
     if block_days == "always":
-        return max(BLOCK_FACTOR * lookback_us, D)
+        return Blocks(uniform_us=max(BLOCK_FACTOR * lookback_us, D))
     if block_days == "auto":
         if df is None or df.isStreaming:
             return None
         return probe_hot_key(df, key, lookback_us)
-    return int(block_days) * D
+    return Blocks(uniform_us=int(block_days) * D)
 
 
 def _prepare(df: DataFrame, key: str, lookback_us: int, block_days) -> tuple[DataFrame, list[str]]:
     df = with_us(df)
-    if BLOCK in df.columns:
-        df = df.drop(BLOCK)
+    df = df.drop(*[c for c in (BLOCK, BLEN) if c in df.columns])
     # pandas groupby drops rows with a null key; a frame needs a time.
     df = df.filter(F.col(key).isNotNull() & F.col(US).isNotNull())
-    block_us = block_us_for(lookback_us, block_days, df, key)
-    if block_us is None:
+    blocks = resolve_blocks(lookback_us, block_days, df, key)
+    if blocks is None:
         return df, [key]
-    return time_blocks(df, lookback_us, block_us), [key, BLOCK]
+    return time_blocks(with_block_length(df, key, blocks), lookback_us), [key, BLOCK]
 
 
 def _finish(df: DataFrame, parts: list[str], keep_block: bool = False) -> DataFrame:
     if BLOCK in parts:
         df = df.filter(~F.col(CONTEXT)).drop(CONTEXT)
-        return df if keep_block else df.drop(BLOCK)
+        return df if keep_block else df.drop(BLOCK, BLEN)
     return df
 
 

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardrisk.operators.rolling import BLOCK, D, _floor_div, probe_hot_keys, with_us
+from cardrisk.operators.rolling import BLEN, BLOCK, D, Blocks, _floor_div, probe_hot_keys, with_block_length, with_us
 from cardrisk.schema import (
     AVG_LAST_TX_AMOUNT,
     CUSTOMER_ID,
@@ -49,26 +49,34 @@ def ordered_lags(
     lags: Mapping[str, int],
     key: str = CUSTOMER_ID,
     order: Sequence[str] = (US, TRANSACTION_ID),
-    block_us: int | str | None = "auto",
+    block_us: Blocks | int | str | None = "auto",
 ) -> DataFrame:
     """Add ``lag_name(c, k)`` for ``k = 1..lags[c]``: the value ``k`` rows earlier in the key.
 
-    ``block_us='auto'`` probes for a hot key (see ``rolling.probe_hot_keys``)
-    and uses time blocks only if one exists; a number forces blocks of that
-    length, None partitions by the key alone.
+    ``block_us='auto'`` probes for hot keys (see ``rolling.probe_hot_keys``)
+    and cuts only those into time blocks; a number cuts every key into blocks
+    of that many microseconds, a ``Blocks`` is used as given, None partitions
+    by the key alone.  Rows that already carry a block (from the rolling
+    features) keep it, so the lags reuse that partitioning.
     """
     df = with_us(df)
-    if block_us == "auto":
-        block_us = None if df.isStreaming else probe_hot_keys(df, {key: D})[key]
     names = {(c, k): lag_name(c, k) for c, n in lags.items() for k in range(1, n + 1)}
-    if block_us is None:
-        w = Window.partitionBy(key).orderBy(*order)
-        out = df.withColumns({nm: F.lag(c, k).over(w) for (c, k), nm in names.items()})
-        return _blank_null_key(out, key, names.values())
+    own_block = not (BLOCK in df.columns and BLEN in df.columns)
+    if own_block:
+        if block_us == "auto":
+            block_us = None if df.isStreaming else probe_hot_keys(df, {key: D})[key]
+        elif isinstance(block_us, int):
+            block_us = Blocks(uniform_us=block_us)
+        if block_us is None:
+            w = Window.partitionBy(key).orderBy(*order)
+            out = df.withColumns({nm: F.lag(c, k).over(w) for (c, k), nm in names.items()})
+            return _blank_null_key(out, key, names.values())
+        d = with_block_length(df.drop(*[c for c in (BLOCK, BLEN) if c in df.columns]), key, block_us)
+        d = d.withColumn(BLOCK, F.when(F.col(BLEN).isNull(), F.lit(0).cast("bigint")).otherwise(_floor_div(F.col(US), F.col(BLEN))))
+    else:
+        d = df
 
     depth = max(lags.values())
-    own_block = BLOCK not in df.columns
-    d = df.withColumn(BLOCK, _floor_div(F.col(US), block_us)) if own_block else df
     w = Window.partitionBy(key, BLOCK).orderBy(*order)
     wd = Window.partitionBy(key, BLOCK).orderBy(*[F.col(o).desc() for o in order])
     d = d.withColumns(
@@ -78,8 +86,13 @@ def ordered_lags(
             **{"_in" + nm: F.lag(c, k).over(w) for (c, k), nm in names.items()},
         }
     )
+    # tails only of split keys: an unsplit key is one block holding all its rows
     rec = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in lags])
-    tails = d.filter(F.col("_rpos") <= depth).groupBy(key, BLOCK).agg(F.collect_list(rec).alias("_tail"))
+    tails = (
+        d.filter((F.col("_rpos") <= depth) & F.col(BLEN).isNotNull())
+        .groupBy(key, BLOCK)
+        .agg(F.collect_list(rec).alias("_tail"))
+    )
     wt = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(-depth, -1)
     prev = tails.select(key, BLOCK, F.sort_array(F.flatten(F.collect_list("_tail").over(wt))).alias("_p"))
     prev = prev.select(
@@ -92,7 +105,7 @@ def ordered_lags(
         cols[nm] = F.when(F.col("_pos") > k, F.col("_in" + nm)).otherwise(back.getField(c))
     out = out.withColumns(cols).drop("_pos", "_rpos", "_prev", *["_in" + nm for nm in names.values()])
     if own_block:
-        out = out.drop(BLOCK)
+        out = out.drop(BLOCK, BLEN)
     return _blank_null_key(out, key, names.values())
 
 
@@ -117,7 +130,7 @@ def add_customer_sequence(
     df: DataFrame,
     key: str = CUSTOMER_ID,
     drift_window: int | None = None,
-    block_us: int | str | None = "auto",
+    block_us: Blocks | int | str | None = "auto",
 ) -> DataFrame:
     """Time since the previous transaction, last three amounts, their mean, and
     optionally the spending drift against the mean of the last ``drift_window``."""
@@ -149,7 +162,8 @@ def drift_expr(amount: Column, mean: Column) -> Column:
     )
 
 
-def spending_drift(df: DataFrame, window: int = 5, key: str = CUSTOMER_ID, block_us: int | str | None = "auto") -> DataFrame:
+def spending_drift(df: DataFrame, window: int = 5, key: str = CUSTOMER_ID,
+                   block_us: Blocks | int | str | None = "auto") -> DataFrame:
     d = ordered_lags(df, {TX_AMOUNT: window}, key=key, block_us=block_us)
     amt = [F.col(lag_name(TX_AMOUNT, k)) for k in range(1, window + 1)]
     d = d.withColumn(AVG_LAST_TX_AMOUNT, mean_of_present(amt))

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from cardrisk.functions.calendar import add_calendar_flags
 from cardrisk.operators.filters import filter_min_day
 from cardrisk.operators.group_stats import terminal_means
-from cardrisk.operators.rolling import BLOCK, block_us_for, customer_spending, probe_hot_keys, terminal_risk, with_us
+from cardrisk.operators.rolling import BLEN, BLOCK, HOT_KEY_ROWS, customer_spending, probe_hot_keys, resolve_blocks, terminal_risk, with_us
 from cardrisk.operators.sequence import add_customer_sequence
 from cardrisk.schema import (
     CUSTOMER_ID,
@@ -48,6 +48,7 @@ def build_features(
     block_days: int | str | None = "auto",
     drift_window: int | None = None,
     fill_zero: bool = False,
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     d = add_calendar_flags(with_us(df))
     d = filter_min_day(d, min_day)
@@ -55,35 +56,31 @@ def build_features(
     # time blocks only for a hot key (one probe of both keys, on the input)
     c_look, t_look = max(windows) * D, (delay + max(windows)) * D
     if block_days == "auto":
-        probe = probe_hot_keys(d, {CUSTOMER_ID: c_look, TERMINAL_ID: t_look})
+        probe = probe_hot_keys(d, {CUSTOMER_ID: c_look, TERMINAL_ID: t_look}, hot_key_rows)
         c_block, t_block = probe[CUSTOMER_ID], probe[TERMINAL_ID]
     else:
-        c_block, t_block = block_us_for(c_look, block_days), block_us_for(t_look, block_days)
+        c_block, t_block = resolve_blocks(c_look, block_days), resolve_blocks(t_look, block_days)
 
     # customer-keyed work: one partitioning
     d = customer_spending(
-        d, windows=windows, ties=ties, amount_scale=amount_scale, block_days=_days(c_block), keep_block=stage2
+        d, windows=windows, ties=ties, amount_scale=amount_scale, block_days=c_block, keep_block=stage2
     )
     if stage2:
         d = d.withColumn(TX_AMOUNT_DEVIATION, F.col(TX_AMOUNT) - F.col(customer_avg_col(min(windows))))
         d = add_customer_sequence(d, key=CUSTOMER_ID, drift_window=drift_window, block_us=c_block)
 
     # terminal-keyed work: a second partitioning
-    d = terminal_risk(d, delay=delay, windows=windows, block_days=_days(t_block), keep_block=stage2)
+    d = terminal_risk(d, delay=delay, windows=windows, block_days=t_block, keep_block=stage2)
     if stage2:
         co = [BLOCK] if BLOCK in d.columns else []
         d = terminal_means(d, amount_scale=amount_scale, co_keys=co)
         if co:
-            d = d.drop(BLOCK)
+            d = d.drop(BLOCK, BLEN)
     if fill_zero:
         d = d.fillna(0)
     return d
 
 
-def _days(block_us: int | None) -> int | None:
-    return None if block_us is None else block_us // D
-
-
 def stage1_features(df: DataFrame, min_day: int | None = 30, fill_zero: bool = True, **kw) -> DataFrame:
     """Calendar flags, history filter, customer rolling and terminal risk features."""
     return build_features(df, stage2=False, min_day=min_day, fill_zero=fill_zero, **kw)
@@ -93,7 +90,7 @@ def stage2_features(feat: DataFrame, drift_window: int | None = None, amount_sca
                     block_days: int | str | None = "auto", windows: Sequence[int] = WINDOWS_DAYS) -> DataFrame:
     """Second-stage features over an existing stage-one table."""
     d = feat.withColumn(TX_AMOUNT_DEVIATION, F.col(TX_AMOUNT) - F.col(customer_avg_col(1)))
-    c_block = block_us_for(max(windows) * D, block_days, d, CUSTOMER_ID)
+    c_block = resolve_blocks(max(windows) * D, block_days, d, CUSTOMER_ID)
     d = add_customer_sequence(d, drift_window=drift_window, block_us=c_block)
     return terminal_means(d, amount_scale=amount_scale)
 

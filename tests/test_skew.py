@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardrisk import fixtures as fx
-from cardrisk.operators.rolling import D, customer_spending, probe_hot_keys, terminal_risk
+from cardrisk.operators.rolling import MAX_COPIES, D, customer_spending, probe_hot_keys, terminal_risk
 from cardrisk.operators.sequence import add_customer_sequence, ordered_lags
 from cardrisk.plans.features import build_features
 from conftest import SF_MID
@@ -36,8 +36,24 @@ def test_probe_finds_hot_keys(spark):
     t = fx.tx(spark, SF_MID)
     none = probe_hot_keys(t, {"CUSTOMER_ID": 30 * D, "TERMINAL_ID": 37 * D})
     assert none == {"CUSTOMER_ID": None, "TERMINAL_ID": None}
-    hot = probe_hot_keys(t, {"CUSTOMER_ID": 30 * D}, max_rows=10)
-    assert hot["CUSTOMER_ID"] is not None and hot["CUSTOMER_ID"] >= 30 * D
+    hot = probe_hot_keys(t, {"CUSTOMER_ID": 30 * D}, max_rows=50)["CUSTOMER_ID"]
+    n_hot = t.groupBy("CUSTOMER_ID").count().filter("count > 50").count()
+    assert hot is not None and hot.uniform_us is None and len(hot.hot) == n_hot
+    # blocks shorter than the look-back, but never below look-back / (MAX_COPIES - 1)
+    assert all(-(-30 * D // (MAX_COPIES - 1)) <= b <= 4 * 30 * D for _, b in hot.hot)
+
+
+@pytest.mark.parametrize("hot_rows", [20, 50])
+def test_per_key_hot_blocks_equal_plain(spark, hot_rows):
+    """Only hot keys are split (some into blocks shorter than the look-back, rows copied
+    into up to MAX_COPIES blocks); results equal the unsplit plan."""
+    t = fx.tx(spark, SF_MID)
+    assert same_rows(build_features(t, block_days=None), build_features(t, hot_key_rows=hot_rows))
+    o = fx.tx_orders(spark, SF_MID)
+    blocks = probe_hot_keys(o, {"CUSTOMER_ID": 30 * D}, max_rows=5)["CUSTOMER_ID"]
+    assert blocks is not None
+    assert same_rows(customer_spending(o, block_days=None, ties="row"), customer_spending(o, block_days=blocks, ties="row"))
+    assert same_rows(ordered_lags(o, {"TX_AMOUNT": 5}, block_us=None), ordered_lags(o, {"TX_AMOUNT": 5}, block_us=blocks))
 
 
 def test_sequence_hot_path(spark):
