@@ -39,14 +39,21 @@ from cardrisk.schema import (
 SCORE = m.SCORE
 EXCLUDE = (*NON_FEATURE_COLS, US, "split", "fold", "weight")
 
-# Parameter grid of the search (name -> candidate values).
+# The search grid (64 settings), as booster parameter -> values,
+# mapped to MLlib names: max_depth -> maxDepth, n_estimators -> maxIter,
+# learning_rate -> stepSize, subsample -> subsamplingRate, colsample_bytree ->
+# featureSubsetStrategy (per node in MLlib), gamma -> minInfoGain (another
+# scale), random_state -> seed.
 GRID = {
-    "maxDepth": (3, 5, 7, 10),
-    "maxIter": (100, 200),
-    "stepSize": (0.01, 0.1),
-    "subsamplingRate": (0.8, 1.0),
-    "featureSubsetStrategy": ("0.8", "all"),
+    "maxDepth": (4, 6),
+    "maxIter": (50, 100),
+    "stepSize": (0.1, 0.3),
+    "subsamplingRate": (0.9, 1.0),
+    "featureSubsetStrategy": ("0.9", "all"),
+    "minInfoGain": (0.0, 1.0),
+    "seed": (0,),
 }
+CV_FOLDS = 5
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -163,7 +170,7 @@ def grid_search(
     train: DataFrame,
     features: Sequence[str],
     grid: Mapping[str, Sequence] | None = None,
-    folds: int = 5,
+    folds: int = CV_FOLDS,
     parallelism: int = 4,
     label: str = TX_FRAUD,
     seed: int = 42,
