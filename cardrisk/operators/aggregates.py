@@ -27,7 +27,7 @@ from cardrisk.schema import (
 )
 
 # Labels of the two classes.
-CLASS_LABELS = {0: "normal", 1: "fraud"}
+CLASS_LABELS = {0: "Normal", 1: "Betrug"}
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 

@@ -45,7 +45,7 @@ def fraud_summary(spark, sf):
 
 @register(
     "class_counts",
-    "WITH dom(TX_FRAUD, label) AS (VALUES (0, 'normal'), (1, 'fraud')),\n"
+    "WITH dom(TX_FRAUD, label) AS (VALUES (0, 'Normal'), (1, 'Betrug')),\n"
     "c AS (SELECT TX_FRAUD, count(*) AS n FROM tx GROUP BY 1)\n"
     "SELECT dom.TX_FRAUD, dom.label, coalesce(c.n, 0) AS n FROM dom LEFT JOIN c ON dom.TX_FRAUD = c.TX_FRAUD",
 )
