@@ -5,7 +5,7 @@ from __future__ import annotations
 from cardrisk.queries.q_windows import cust_sql, term_sql
 from cardrisk.queries.registry import register
 from cardrisk.session import scratch_path
-from cardrisk.streaming import kpis, rolling_state
+from cardrisk.streaming import history_features, kpis, rolling_state
 
 
 @register(
@@ -52,3 +52,25 @@ def stream_customer_rolling(spark, sf):
 def stream_terminal_risk(spark, sf):
     """Per-terminal delayed risk known at arrival (equals the batch form on in-order input)."""
     return _run_append(spark, rolling_state.terminal_risk_stream(kpis.tx_stream(spark, sf)), "stream_term")
+
+
+@register(
+    "stream_customer_rolling_history",
+    f"SELECT TRANSACTION_ID, CUSTOMER_ID,\n  {cust_sql()}\nFROM tx WHERE CUSTOMER_ID IS NOT NULL",
+)
+def stream_customer_rolling_history(spark, sf):
+    """Customer features per micro-batch through the batch operators and a history table (hot-key form)."""
+    base = scratch_path(spark, "stream_cust_hist")
+    history_features.run_history_features(spark, kpis.tx_stream(spark, sf), "customer", base).awaitTermination()
+    return history_features.read_history_features(spark, base)
+
+
+@register(
+    "stream_terminal_risk_history",
+    f"SELECT TRANSACTION_ID, TERMINAL_ID,\n  {term_sql()}\nFROM tx WHERE TERMINAL_ID IS NOT NULL",
+)
+def stream_terminal_risk_history(spark, sf):
+    """Terminal risk per micro-batch through the batch operators and a history table (hot-key form)."""
+    base = scratch_path(spark, "stream_term_hist")
+    history_features.run_history_features(spark, kpis.tx_stream(spark, sf), "terminal", base).awaitTermination()
+    return history_features.read_history_features(spark, base)

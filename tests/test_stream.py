@@ -59,3 +59,18 @@ def test_stream_daily_kpis_equal_batch(spark, tmp_dir):
     got = kpis.daily_kpis_final(spark, f"{out}/out")
     want = daily_kpis(fx.tx(spark, SF_SMALL)).select(*got.columns)
     assert same_rows(got, want)
+
+
+def test_history_mode_equals_batch(spark, tmp_dir):
+    from cardrisk.streaming.history_features import read_history_features, run_history_features
+
+    for kind, want in (
+        ("customer", customer_spending(fx.tx(spark, SF_SMALL), ties="row")),
+        ("terminal", terminal_risk(fx.tx(spark, SF_SMALL))),
+    ):
+        base = os.path.join(tmp_dir, f"hist_{kind}")
+        q = run_history_features(spark, _stream(spark, os.path.join(tmp_dir, kind)), kind, base)
+        q.awaitTermination()
+        got = read_history_features(spark, base)
+        assert got.count() == want.count()
+        assert same_rows(got, want.select(*got.columns))
