@@ -16,8 +16,7 @@ def register(name: str, sql: str | None = None, views: tuple[str, ...] = ("tx",)
     """Register a query; ``sql`` is the oracle body, prefixed with the view CTEs."""
 
     def deco(fn: QueryFn) -> QueryFn:
-        if name in REGISTRY:
-            raise ValueError(f"duplicate query {name}")
+        # re-registration (a module reload) replaces the entry
         REGISTRY[name] = (fn, with_views(sql, *views) if sql else None)
         return fn
 
