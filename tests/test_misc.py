@@ -96,3 +96,14 @@ def test_metric_history_watch(spark, tmp_dir):
     q.awaitTermination()
     assert spark.read.parquet(f"{tmp_dir}/hist").count() == 2
     assert spark.read.parquet(f"{tmp_dir}/alerts").first()["alert"] == "critical"
+
+
+def test_checkpoint_and_scale_conf(spark):
+    from cardrisk.session import checkpoint_base, cut_lineage, scale_conf
+
+    assert checkpoint_base(spark)
+    d = cut_lineage(fx.tx(spark, SF_SMALL).select("TRANSACTION_ID"))
+    assert d.count() == 1000
+    c = scale_conf(100 * 1024**4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
