@@ -31,13 +31,30 @@ from cardrisk.session import ensure_conf, table_path
 FIXTURE_START_US = 1704067200000000
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Table handles per session, like catalog tables: the file listing and
+# footer read happen once; DataFrames are immutable, so sharing is safe
+# (``clear_tables()`` after the files change).
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def clear_tables() -> None:
+    _TABLES.clear()
+
+
+def _cached(spark: SparkSession, key: tuple, make) -> DataFrame:
     ensure_conf(spark)
-    return spark.read.parquet(table_path(sf_dir, name))
+    k = (id(spark), spark.sparkContext.applicationId, *key)
+    if k not in _TABLES:
+        _TABLES[k] = make()
+    return _TABLES[k]
+
+
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _cached(spark, ("table", sf_dir, name), lambda: spark.read.parquet(table_path(sf_dir, name)))
 
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tx_from_events(load(spark, sf_dir, "events"))
+    return _cached(spark, ("tx", sf_dir), lambda: tx_from_events(load(spark, sf_dir, "events")))
 
 
 def tx_from_events(ev: DataFrame) -> DataFrame:
