@@ -139,7 +139,7 @@ def add_customer_sequence(
     amt = [F.col(lag_name(TX_AMOUNT, k)) for k in range(1, depth + 1)]
     prev_t = F.col(lag_name(TX_TIME_SECONDS, 1))
     cols = {
-        TX_TIME_SECONDS_SHIFTED: prev_t,
+        TX_TIME_SECONDS_SHIFTED: prev_t.cast("double"),  # NaN-able float, as a shifted column is
         TIME_SINCE_LAST_TX: F.coalesce(F.col(TX_TIME_SECONDS) - prev_t, F.lit(NO_PREVIOUS_SECONDS).cast("bigint")),
         TX_AMOUNT_SHIFTED[0]: amt[0],
         TX_AMOUNT_SHIFTED[1]: amt[1],

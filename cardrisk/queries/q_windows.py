@@ -145,7 +145,7 @@ LAG_W = "(PARTITION BY CUSTOMER_ID ORDER BY us, TRANSACTION_ID)"
 
 @register(
     "time_since_last_tx",
-    f"SELECT TRANSACTION_ID, CUSTOMER_ID, lag(TX_TIME_SECONDS) OVER {LAG_W} AS TX_TIME_SECONDS_SHIFTED,\n"
+    f"SELECT TRANSACTION_ID, CUSTOMER_ID, CAST(lag(TX_TIME_SECONDS) OVER {LAG_W} AS DOUBLE) AS TX_TIME_SECONDS_SHIFTED,\n"
     f"  coalesce(TX_TIME_SECONDS - lag(TX_TIME_SECONDS) OVER {LAG_W}, 999999) AS TIME_SINCE_LAST_TX FROM tx",
 )
 def time_since_last_tx(spark, sf):
@@ -258,11 +258,12 @@ def terminal_fraud_ratio(spark, sf):
 
 STAGE2_SQL = (
     "WITH l AS (SELECT *,\n"
-    f"  lag(TX_TIME_SECONDS) OVER {LAG_W} AS TX_TIME_SECONDS_SHIFTED,\n"
+    f"  lag(TX_TIME_SECONDS) OVER {LAG_W} AS prev_t,\n"
     + ",\n".join(f"  lag(TX_AMOUNT, {k}) OVER {LAG_W} AS TX_AMOUNT_SHIFTED_{k}" for k in (1, 2, 3))
     + "\nFROM feat)\n"
-    "SELECT *, TX_AMOUNT - CUSTOMER_ID_AVG_AMOUNT_1DAY_WINDOW AS TX_AMOUNT_DEVIATION,\n"
-    "  coalesce(TX_TIME_SECONDS - TX_TIME_SECONDS_SHIFTED, 999999) AS TIME_SINCE_LAST_TX,\n"
+    "SELECT * EXCLUDE (prev_t), TX_AMOUNT - CUSTOMER_ID_AVG_AMOUNT_1DAY_WINDOW AS TX_AMOUNT_DEVIATION,\n"
+    "  CAST(prev_t AS DOUBLE) AS TX_TIME_SECONDS_SHIFTED,\n"
+    "  coalesce(TX_TIME_SECONDS - prev_t, 999999) AS TIME_SINCE_LAST_TX,\n"
     f"  coalesce({mean_present_sql(['TX_AMOUNT_SHIFTED_1', 'TX_AMOUNT_SHIFTED_2', 'TX_AMOUNT_SHIFTED_3'])}, 0) AS TX_AMOUNT_LAST3_MEAN,\n"
     f"  TX_AMOUNT / nullif({TERM_MEAN_SQL}, 0) AS TX_AMOUNT_TO_TERMINAL_AVG,\n"
     f"  {TERM_RATIO_SQL} AS TERMINAL_FRAUD_RATIO\n"
@@ -277,9 +278,9 @@ def stage2_features_q(spark, sf):
 
 def _matrix_sql() -> str:
     ints = ["CUSTOMER_ID", "TERMINAL_ID", "TX_TIME_SECONDS", "TX_TIME_DAYS", "TX_DURING_WEEKEND", "TX_DURING_NIGHT",
-            *[customer_count_col(n) for n in W], *[terminal_count_col(n) for n in W], "TIME_SINCE_LAST_TX", "TX_TIME_SECONDS_SHIFTED"]
+            *[customer_count_col(n) for n in W], *[terminal_count_col(n) for n in W], "TIME_SINCE_LAST_TX"]
     dbl = ["TX_AMOUNT", *[customer_avg_col(n) for n in W], *[terminal_risk_col(n) for n in W],
-           "TX_AMOUNT_SHIFTED_1", "TX_AMOUNT_SHIFTED_2", "TX_AMOUNT_SHIFTED_3",
+           "TX_TIME_SECONDS_SHIFTED", "TX_AMOUNT_SHIFTED_1", "TX_AMOUNT_SHIFTED_2", "TX_AMOUNT_SHIFTED_3",
            "TX_AMOUNT_DEVIATION", "TX_AMOUNT_LAST3_MEAN", "TX_AMOUNT_TO_TERMINAL_AVG", "TERMINAL_FRAUD_RATIO"]
     sel = [f"coalesce({c}, 0) AS {c}" for c in ints]
     sel += [f"CASE WHEN isinf(CAST({c} AS DOUBLE)) OR isnan(CAST({c} AS DOUBLE)) THEN 0.0 ELSE coalesce(CAST({c} AS DOUBLE), 0.0) END AS {c}" for c in dbl]
