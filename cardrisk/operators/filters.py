@@ -10,6 +10,7 @@ Spark, never collected into the driver.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -105,7 +106,9 @@ def search_transactions(
         picked = latest_days(df, n_latest_days, ts)
         d = d.join(F.broadcast(picked), F.to_date(F.col(ts)) == picked["_day"], "left_semi")
     elif len(days):
-        d = d.filter(F.to_date(ts).isin([dt.date.fromisoformat(x) if isinstance(x, str) else x for x in days]))
+        # an OR of day ranges on the raw timestamp reaches the parquet scan
+        ranges = [day_range(ts, x, x) for x in dict.fromkeys(days)]
+        d = d.filter(functools.reduce(lambda a, b: a | b, ranges))
     if status == "fraud":
         d = d.filter(F.col(TX_FRAUD) == 1)
     elif status == "legit":

@@ -1,5 +1,7 @@
 """Physical plan checks: shuffles, pushdown, pruning, no Python in the batch path."""
 
+from pyspark.sql import functions as F
+
 from cardrisk import fixtures as fx
 from cardrisk.operators import filters as flt
 from cardrisk.operators.aggregates import daily_kpis
@@ -43,3 +45,11 @@ def test_column_pruning(spark):
 def test_date_range_pushed_down(spark):
     p = plan(flt.filter_date_range(fx.tx(spark, SF_MID), "2024-01-10", "2024-01-20"))
     assert "GreaterThanOrEqual(ts" in p or "PushedFilters: [IsNotNull(ts)" in p
+
+
+def test_day_list_search_pushed_down(spark):
+    d = flt.search_transactions(fx.tx(spark, SF_MID), days=["2024-01-10", "2024-01-12"])
+    p = plan(d)
+    assert "Or(And(GreaterThanOrEqual(ts" in p
+    want = fx.tx(spark, SF_MID).filter(F.to_date("TX_DATETIME").isin("2024-01-10", "2024-01-12")).count()
+    assert d.count() == want
