@@ -227,6 +227,13 @@ def customer_weekday_hour(df: DataFrame, customer_id: int, ts: str = TX_DATETIME
     )
 
 
+def weekday_hour_counts(df: DataFrame, ts: str = TX_DATETIME) -> DataFrame:
+    """Transactions per (customer, weekday, hour) for all customers (observed cells only)."""
+    return df.groupBy(CUSTOMER_ID, F.weekday(ts).alias("weekday_no"), hour_of(ts).alias("hour")).agg(
+        F.count(F.lit(1)).alias("n_tx")
+    )
+
+
 def customer_weekday_hour_pivot(df: DataFrame, customer_id: int, ts: str = TX_DATETIME) -> DataFrame:
     """Wide form: one row per weekday, one column per hour 0..23."""
     c = df.filter(F.col(CUSTOMER_ID) == customer_id)

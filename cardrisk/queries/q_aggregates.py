@@ -163,6 +163,15 @@ def customer_weekday_hour(spark, sf):
     return agg.customer_weekday_hour(fx.tx(spark, sf), customer_id=8)
 
 
+@register(
+    "customer_weekday_hour_all",
+    f"SELECT CUSTOMER_ID, CAST(isodow(TX_DATETIME) - 1 AS INTEGER) AS weekday_no, {HOUR} AS hour, count(*) AS n_tx\n"
+    "FROM tx GROUP BY 1, 2, 3",
+)
+def customer_weekday_hour_all(spark, sf):
+    return agg.weekday_hour_counts(fx.tx(spark, sf))
+
+
 CORR_COLS = [
     "TRANSACTION_ID", "CUSTOMER_ID", "TERMINAL_ID", "TX_AMOUNT", "TX_TIME_SECONDS", "TX_TIME_DAYS",
     "TX_FRAUD_SCENARIO", "us", "TX_DURING_WEEKEND", "TX_DURING_NIGHT",

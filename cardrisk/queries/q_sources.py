@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardrisk import fixtures as fx
-from cardrisk.operators.detail import tx_detail
+from cardrisk.operators.detail import history_card
 from cardrisk.queries.q_aggregates import feat1
 from cardrisk.queries.registry import out, register
 from cardrisk.schema import TRANSACTIONS
@@ -54,7 +54,8 @@ def daily_partition_counts(spark, sf):
     return back.groupBy("TX_DATE").agg(F.count(F.lit(1)).alias("n_tx"), F.min("TX_TIME_SECONDS").alias("first_second"))
 
 
-def _detail_sql(tid: int) -> str:
+def _detail_sql(tid: int | None = None) -> str:
+    where = f" WHERE TRANSACTION_ID = {tid}" if tid is not None else ""
     parts = []
     for n in (1, 7, 30):
         parts.append(
@@ -63,11 +64,12 @@ def _detail_sql(tid: int) -> str:
             f"  TERMINAL_ID_RISK_{n}DAY_WINDOW AS term_risk,\n"
             "  CASE WHEN CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW <> 0 THEN (TX_AMOUNT - CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW)\n"
             "    / CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW * 100 WHEN CUSTOMER_ID_AVG_AMOUNT_30DAY_WINDOW = 0 THEN 0.0 END AS amount_pct_dev_30d\n"
-            f"FROM feat WHERE TRANSACTION_ID = {tid}"
+            f"FROM feat{where}"
         )
     return "\nUNION ALL\n".join(parts)
 
 
-@register("tx_detail", _detail_sql(4242), views=("feat",))
+@register("tx_detail", _detail_sql(), views=("feat",))
 def tx_detail_q(spark, sf):
-    return tx_detail(feat1(spark, sf), 4242)
+    """The history card of every transaction (three rows each); ``tx_detail`` gives one."""
+    return history_card(feat1(spark, sf))
