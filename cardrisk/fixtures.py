@@ -178,6 +178,8 @@ def with_views(body: str, *names: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in order)
     body = body.strip()
+    if not ctes:
+        return body
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

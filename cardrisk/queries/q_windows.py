@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cardrisk import fixtures as fx
 from cardrisk.functions.calendar import add_calendar_flags
 from cardrisk.operators.group_stats import terminal_means
-from cardrisk.operators.rolling import customer_spending, terminal_risk
+from cardrisk.operators.rolling import customer_spending, probe_hot_keys, terminal_risk
 from cardrisk.operators.sequence import add_customer_sequence, ordered_lags, lag_name, spending_drift
 from cardrisk.plans.features import build_features, feature_matrix
 from cardrisk.queries.registry import out, register
@@ -295,3 +295,34 @@ def feature_matrix_q(spark, sf):
 
 
 
+
+
+# Hot keys for real: keyed by order status, two keys each hold about half of
+# all orders over years of history.  The probe threshold is set low so the
+# per-key block path runs with blocks shorter than the look-back (rows copied
+# into several blocks); the result must still equal the plain SQL frames.
+HOT_STATUS_SQL = (
+    "s AS (SELECT o_orderkey AS TRANSACTION_ID,\n"
+    "  CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS BIGINT) AS TERMINAL_ID,\n"
+    "  CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS TX_FRAUD, epoch_us(o_orderdate) AS us FROM orders)"
+)
+
+
+@register(
+    "terminal_risk_hot_key",
+    f"WITH {HOT_STATUS_SQL}\nSELECT TRANSACTION_ID, TERMINAL_ID,\n  {term_sql()}\nFROM s",
+    views=(),
+)
+def terminal_risk_hot_key(spark, sf):
+    o = fx.load(spark, sf, "orders")
+    ts = F.col("o_orderdate").cast("timestamp")
+    d = o.select(
+        F.col("o_orderkey").alias(TRANSACTION_ID),
+        F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+        .cast("bigint").alias(TERMINAL_ID),
+        (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("TX_FRAUD"),
+        ts.alias("TX_DATETIME"),
+        F.unix_micros(ts).alias(US),
+    )
+    blocks = probe_hot_keys(d, {TERMINAL_ID: 37 * D}, max_rows=20)[TERMINAL_ID]
+    return terminal_risk(d, block_days=blocks).select(TRANSACTION_ID, TERMINAL_ID, *TERM_COLS)
