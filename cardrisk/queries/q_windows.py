@@ -356,3 +356,28 @@ def amount_lags_hot_key(spark, sf):
     return out.select(
         TRANSACTION_ID, CUSTOMER_ID, *[F.col(lag_name(TX_AMOUNT, k)).alias(f"TX_AMOUNT_SHIFTED_{k}") for k in range(1, 6)]
     )
+
+
+@register(
+    "customer_rolling_hot_key",
+    "WITH s AS (SELECT o_orderkey AS TRANSACTION_ID,\n"
+    "  CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS BIGINT) AS CUSTOMER_ID,\n"
+    "  o_totalprice AS TX_AMOUNT, epoch_us(o_orderdate) AS us FROM orders)\n"
+    f"SELECT TRANSACTION_ID, CUSTOMER_ID,\n  {cust_sql()}\nFROM s",
+    views=(),
+)
+def customer_rolling_hot_key(spark, sf):
+    """Rolling spend keyed by order status (about half of all rows per key) on the per-key
+    block path with blocks shorter than the look-back."""
+    o = fx.load(spark, sf, "orders")
+    ts = F.col("o_orderdate").cast("timestamp")
+    d = o.select(
+        F.col("o_orderkey").alias(TRANSACTION_ID),
+        F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+        .cast("bigint").alias(CUSTOMER_ID),
+        F.col("o_totalprice").alias(TX_AMOUNT),
+        ts.alias("TX_DATETIME"),
+        F.unix_micros(ts).alias(US),
+    )
+    blocks = probe_hot_keys(d, {CUSTOMER_ID: 30 * D}, max_rows=20)[CUSTOMER_ID]
+    return customer_spending(d, block_days=blocks).select(TRANSACTION_ID, CUSTOMER_ID, *CUST_COLS)
