@@ -86,21 +86,23 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a folder every executor can reach).  Only a
-    local-mode session without it gets a private folder, as in tests.
+    local-mode session without it gets a private folder, as in tests; it is
+    registered with ``SparkContext.setCheckpointDir`` (a core conf cannot be
+    changed at runtime).
     """
+    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="cardrisk-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+    if base:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
+        return base
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardrisk-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
