@@ -105,6 +105,28 @@ def checkpoint_base(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cardrisk`` importable in Python workers (as ``--py-files`` would).
+
+    Needed only where Python runs on executors (the streaming state
+    function).  The package is zipped once per application on the driver and
+    handed to ``SparkContext.addPyFile``, which serves it to every executor.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="cardrisk-pkg-"), "cardrisk")
+    archive = shutil.make_archive(out, "zip", root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh output folder under the shared checkpoint folder."""
     base = checkpoint_base(spark).rstrip("/")

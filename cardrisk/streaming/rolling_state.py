@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cardrisk.session import ship_package
 from cardrisk.schema import (
     CUSTOMER_ID,
     RISK_DELAY_DAYS,
@@ -157,6 +158,7 @@ def terminal_state_fn(delay: int = RISK_DELAY_DAYS, windows: Sequence[int] = WIN
 
 
 def _apply(stream: DataFrame, key: str, fn, schema, lookback_us: int, value_col: str) -> DataFrame:
+    ship_package(stream.sparkSession)  # the state function runs in Python workers
     cols = [key, TRANSACTION_ID, US, value_col]
     d = stream.filter(stream[key].isNotNull()).select(*cols, TX_DATETIME)
     d = d.withWatermark(TX_DATETIME, f"{lookback_us // D} days")
