@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardrisk.operators.rolling import money
@@ -47,19 +47,26 @@ def terminal_means(
     key: str = TERMINAL_ID,
     amount_scale: int | None = 2,
     co_keys: Sequence[str] = (),
+    method: str = "join",
 ) -> DataFrame:
-    """Amount over the key's mean amount, and the key's fraud ratio (all rows)."""
-    d = join_group_aggregates(
-        df,
-        key,
-        {
-            "_amt_sum": F.sum(money(TX_AMOUNT, amount_scale)),
-            "_amt_n": F.count(TX_AMOUNT),
-            "_fr_sum": F.sum(TX_FRAUD),
-            "_fr_n": F.count(TX_FRAUD),
-        },
-        co_keys,
-    )
+    """Amount over the key's mean amount, and the key's fraud ratio (all rows).
+
+    ``method='join'``: ``groupBy`` (partial aggregation) joined back, safe for
+    hot keys.  ``method='window'``: an unordered window over the key, for rows
+    already partitioned by the key with no hot key among them (the feature
+    plan after its probe): no extra scan, shuffle or join.
+    """
+    aggs = {
+        "_amt_sum": F.sum(money(TX_AMOUNT, amount_scale)),
+        "_amt_n": F.count(TX_AMOUNT),
+        "_fr_sum": F.sum(TX_FRAUD),
+        "_fr_n": F.count(TX_FRAUD),
+    }
+    if method == "window":
+        w = Window.partitionBy(key)
+        d = df.withColumns({n: F.when(F.col(key).isNotNull(), c.over(w)) for n, c in aggs.items()})
+    else:
+        d = join_group_aggregates(df, key, aggs, co_keys)
     mean_amt = F.try_divide(F.col("_amt_sum").cast("double"), F.col("_amt_n"))
     return d.withColumns(
         {

@@ -72,10 +72,10 @@ def build_features(
     # terminal-keyed work: a second partitioning
     d = terminal_risk(d, delay=delay, windows=windows, block_days=t_block, keep_block=stage2)
     if stage2:
-        co = [BLOCK] if BLOCK in d.columns else []
-        d = terminal_means(d, amount_scale=amount_scale, co_keys=co)
-        if co:
-            d = d.drop(BLOCK, BLEN)
+        if BLOCK in d.columns:  # hot terminals: aggregate, join back on (key, block)
+            d = terminal_means(d, amount_scale=amount_scale, co_keys=[BLOCK]).drop(BLOCK, BLEN)
+        else:  # no hot terminal: reuse the risk windows' partitioning
+            d = terminal_means(d, amount_scale=amount_scale, method="window")
     if fill_zero:
         d = d.fillna(0)
     return d
