@@ -159,3 +159,10 @@ def test_daily_delta_uses_calendar_day(spark):
                       (d(2020, 1, 4), 1, 1, 1.0, 1)])
     r = {x["TX_DATE"].day: x["fraud_delta"] for x in agg.daily_kpis(f).collect()}
     assert r == {1: 1, 2: 1, 4: 1}
+
+
+def test_terminal_means_window_equals_join(spark):
+    from cardrisk.operators.group_stats import terminal_means
+
+    t = fx.tx(spark, SF_MID)
+    assert same_rows(terminal_means(t, method="window"), terminal_means(t, method="join"))

@@ -53,3 +53,15 @@ def test_day_list_search_pushed_down(spark):
     assert "Or(And(GreaterThanOrEqual(ts" in p
     want = fx.tx(spark, SF_MID).filter(F.to_date("TX_DATETIME").isin("2024-01-10", "2024-01-12")).count()
     assert d.count() == want
+
+
+def test_plain_pipeline_scans_once(spark):
+    from cardrisk.plans.features import build_features
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(build_features(fx.tx(spark, SF_MID), stage2=True, block_days=None))
+        assert p.count("FileScan parquet") == 1
+        assert p.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
