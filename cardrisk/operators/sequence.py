@@ -126,6 +126,22 @@ def mean_of_present(cols: Sequence[Column]) -> Column:
     return F.try_divide(total, F.nullif(n, F.lit(0)))
 
 
+def _sequence_cols(amt: Sequence[Column], prev_t: Column, drift_window: int | None) -> dict[str, Column]:
+    cols = {
+        TX_TIME_SECONDS_SHIFTED: prev_t.cast("double"),  # NaN-able float, as a shifted column is
+        TIME_SINCE_LAST_TX: F.coalesce(F.col(TX_TIME_SECONDS) - prev_t, F.lit(NO_PREVIOUS_SECONDS).cast("bigint")),
+        TX_AMOUNT_SHIFTED[0]: amt[0],
+        TX_AMOUNT_SHIFTED[1]: amt[1],
+        TX_AMOUNT_SHIFTED[2]: amt[2],
+        TX_AMOUNT_LAST3_MEAN: F.coalesce(mean_of_present(amt[:3]), F.lit(0.0)),
+    }
+    if drift_window:
+        mean = mean_of_present(amt[:drift_window])
+        cols[AVG_LAST_TX_AMOUNT] = mean
+        cols[SPENDING_DRIFT] = drift_expr(F.col(TX_AMOUNT), mean)
+    return cols
+
+
 def add_customer_sequence(
     df: DataFrame,
     key: str = CUSTOMER_ID,
@@ -135,21 +151,20 @@ def add_customer_sequence(
     """Time since the previous transaction, last three amounts, their mean, and
     optionally the spending drift against the mean of the last ``drift_window``."""
     depth = max(3, drift_window or 0)
+    df = with_us(df)
+    has_blocks = BLOCK in df.columns and BLEN in df.columns
+    if not has_blocks and block_us == "auto":
+        block_us = None if df.isStreaming else probe_hot_keys(df, {key: D})[key]
+    if not has_blocks and block_us is None:
+        # one step: identical lag windows are computed once by Spark
+        w = Window.partitionBy(key).orderBy(US, TRANSACTION_ID)
+        keyed = F.col(key).isNotNull()
+        amt = [F.when(keyed, F.lag(TX_AMOUNT, k).over(w)) for k in range(1, depth + 1)]
+        prev_t = F.when(keyed, F.lag(TX_TIME_SECONDS, 1).over(w))
+        return df.withColumns(_sequence_cols(amt, prev_t, drift_window))
     d = ordered_lags(df, {TX_TIME_SECONDS: 1, TX_AMOUNT: depth}, key=key, block_us=block_us)
     amt = [F.col(lag_name(TX_AMOUNT, k)) for k in range(1, depth + 1)]
-    prev_t = F.col(lag_name(TX_TIME_SECONDS, 1))
-    cols = {
-        TX_TIME_SECONDS_SHIFTED: prev_t.cast("double"),  # NaN-able float, as a shifted column is
-        TIME_SINCE_LAST_TX: F.coalesce(F.col(TX_TIME_SECONDS) - prev_t, F.lit(NO_PREVIOUS_SECONDS).cast("bigint")),
-        TX_AMOUNT_SHIFTED[0]: amt[0],
-        TX_AMOUNT_SHIFTED[1]: amt[1],
-        TX_AMOUNT_SHIFTED[2]: amt[2],
-        TX_AMOUNT_LAST3_MEAN: F.coalesce(mean_of_present(amt[:3]), F.lit(0.0)),
-    }
-    d = d.withColumns(cols)
-    if drift_window:
-        d = d.withColumn(AVG_LAST_TX_AMOUNT, mean_of_present(amt[:drift_window]))
-        d = d.withColumn(SPENDING_DRIFT, drift_expr(F.col(TX_AMOUNT), F.col(AVG_LAST_TX_AMOUNT)))
+    d = d.withColumns(_sequence_cols(amt, F.col(lag_name(TX_TIME_SECONDS, 1)), drift_window))
     return d.drop(*[lag_name(TX_AMOUNT, k) for k in range(1, depth + 1)], lag_name(TX_TIME_SECONDS, 1))
 
 
