@@ -91,3 +91,11 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         W.fingerprint(F.col("marks")).alias("fingerprint"), W.fingerprint(F.col("edited_marks")).alias("edited_fingerprint"),
         W.likeness(F.col("h_marks"), F.col("h_edited_marks")).alias("near_edited"), W.likeness(F.col("h_marks"), F.col("h_next_marks")).alias("near_next"),
     )
+
+
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardrisk.llm.toxicity import THRESHOLD, held_out, scored
+
+    found = scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
