@@ -36,14 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardrisk.llm import kernels as K
-from cardrisk.llm.common import batch, keyed, lists, prepare, same_doc, signed, text_slices, written
+from cardrisk.llm.common import batch, keyed, lists, prepare, signed, text_hash, text_slices, written
 
 WORDS, CONTAINMENT = 5, 0.8
 #: Largest probability that a contained item shares no minimum with its document.
 MISS = 1e-6
 FILTER_BITS = 24
-#: A hot minimum (a passage in a third of all documents) is spread over this many keys.
-SALTS = 16
 
 
 def text_shingles(buf: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,18 +154,19 @@ def contaminated(
     hits = written(hits, "bench-hits").withColumn("row", F.monotonically_increasing_id())
     hits = written(hits, "bench-rows")  # so that a row keeps its number
 
-    # the items' minima for each number of bins in use: the first of the sorted hashes in its bin
-    needed = sorted({log2 for bins in plan.values() for log2 in bins})
-    signatures = items.select("item_id", "hashes", F.explode(F.array(*[F.lit(n) for n in needed]) if needed else F.expr("cast(array() as array<int>)")).alias("bin"))
-    # unsigned order: negative longs (top bit set) come last, which keeps each bin's hashes together
+    # the items' minima for the bins that the documents' size classes ask for: the least of the hashes in each bin
+    sizes = [r[0] for r in hits.select("doc_class").distinct().collect()]  # at most 62
+    needed = {q: sorted({bins_log2(c, q, threshold, miss) for c in sizes}) for q in classes}
+    levels = F.create_map(*[x for q in classes for x in (F.lit(q), F.array(*[F.lit(n) for n in needed[q]]).cast("array<int>"))]) if classes else F.lit(None).cast("map<int,array<int>>")
+    signatures = items.select("item_id", "hashes", F.explode(levels[F.length(F.bin("q"))]).alias("bin"))
     signatures = signatures.select("item_id", "bin", F.explode("hashes").alias("h")).withColumn("cell", F.expr("shiftrightunsigned(h, 64 - bin)"))
-    least = F.min(F.expr("h ^ (-9223372036854775807L - 1L)"))
+    least = F.min(F.expr("h ^ (-9223372036854775807L - 1L)"))  # the flipped sign bit gives unsigned order
     signatures = signatures.groupBy("item_id", "bin", "cell").agg(least.alias("h")).select("item_id", "bin", F.expr("h ^ (-9223372036854775807L - 1L)").alias("minimum"))
-    signatures = signatures.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
-    probes = hits.select("row", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt"), F.explode(F.arrays_zip("bins", "minima")).alias("m"))
-    probes = probes.select("row", "salt", F.col("m.bins").alias("bin"), F.col("m.minima").alias("minimum"))
-    candidates = probes.join(signatures, ["bin", "minimum", "salt"]).select("row", "item_id").distinct()
+    # a minimum that very many documents share is a skewed key of a plain join, which Spark splits
+    probes = hits.select("row", F.explode(F.arrays_zip("bins", "minima")).alias("m"))
+    probes = probes.select("row", F.col("m.bins").alias("bin"), F.col("m.minima").alias("minimum"))
+    candidates = probes.join(signatures, ["bin", "minimum"]).select("row", "item_id").distinct()
 
     verified = candidates.join(hits.select("row", "doc_id", "text_key", "doc_shingles", "found"), "row").join(items, "item_id")
     verified = verified.withColumn("shared", F.size(F.array_intersect("found", "hashes")))
@@ -181,6 +180,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """The documents that contain no test item, with all their columns."""
     found = contaminated(docs, benchmark, **options).select("doc_id", "text_key").distinct()
     bad = written(found, "bench-bad").select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key"))
-    from cardrisk.llm.common import text_hash
-
     return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_bad_id")) & (text_hash() == F.col("_bad_key")), "left_anti")
