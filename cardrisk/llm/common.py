@@ -58,8 +58,11 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def same_doc(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
+def join_docs(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
+    """Join two tables by document; ``a``'s keys stay."""
+    b = b.withColumnsRenamed({"doc_id": "_other_id", "text_key": "_other_key"})
+    same = F.col("doc_id").eqNullSafe(F.col("_other_id")) & (F.col("text_key") == F.col("_other_key"))
+    return a.join(b, same, how).drop("_other_id", "_other_key")
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -99,3 +99,31 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardrisk.llm import spans as S
+    from cardrisk.llm.pii import KINDS, personal_data
+
+    found = personal_data(read_table(spark, sf_dir, "documents"))
+    terms = F.transform("terms", lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end")))
+    return found.select(
+        "doc_id", *[S.count(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])],
+        F.sha2(S.named(F.col("base"), KINDS), 256).alias("base_sha256"), S.named(F.concat("base", terms), KINDS).alias("spans"),
+        F.size("terms").cast("bigint").alias("n_term"),
+    )
+
+
+@_query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardrisk.llm import spans as S
+    from cardrisk.llm.secret_scan import KINDS, NOVEL, scanned
+
+    found = scanned(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "found").select("doc_id", "found")
+    base = F.filter("found", lambda s: s["kind"] < NOVEL)
+    return found.select(
+        "doc_id", *[S.count(F.col("found"), i).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])],
+        F.sha2(S.named(base, KINDS), 256).alias("base_sha256"), S.named(F.col("found"), KINDS).alias("spans"),
+        S.count(F.col("found"), NOVEL).alias("n_novel"), F.array_join(F.transform(F.array_sort("found"), lambda s: s["bytes"].cast("string")), ",").alias("span_bytes"),
+    )

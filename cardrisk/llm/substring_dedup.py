@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardrisk.llm import kernels as K
-from cardrisk.llm.common import batch, keyed, prepare, same_doc, signed, text_slices, written
+from cardrisk.llm.common import batch, join_docs, keyed, prepare, signed, text_slices, written
 
 LENGTH, SEED_WORDS = 35, 12
 U = np.uint64
@@ -117,7 +117,7 @@ def _extensions(wanted: DataFrame, source: DataFrame, length: int) -> DataFrame:
                 yield batch(schema, anchor[which], span[which], i, place[which] - i, signed(h))
 
     of = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("lo", "runs", "place", "anchor", "span")).alias("wanted"))
-    texts = source.join(of, same_doc(source, of)).select(source["text"], of["wanted"])
+    texts = join_docs(source, of).select("text", "wanted")
     return texts.mapInArrow(run, "anchor bigint, span bigint, at int, left int, run bigint")
 
 
@@ -157,7 +157,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS) -
     """``doc_id, n_words, n_removed, kept`` (the kept words, joined by a space), ``spans`` removed (words, ``[lo, hi)``)."""
     found = written(repeats(docs, length, seed_words), "repeats")
     source = keyed(docs)
-    joined = source.join(found, same_doc(source, found), "left").select(source["doc_id"], source["text"], found["spans"])
+    joined = join_docs(source, found, "left").select("doc_id", "text", "spans")
     kind = pa.struct([("lo", pa.int32()), ("hi", pa.int32())])
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("spans", pa.list_(kind))])
 
