@@ -114,7 +114,7 @@ def contaminated(
     Columns ``doc_id, text_key, item_id, item_ids, shared, item_shingles, doc_shingles, containment``.
     """
     spark = prepare(docs.sparkSession)
-    items = written(_items(benchmark, words), "bench-items").withColumn("q", F.size("hashes"))
+    items = written(_items(benchmark, words).withColumn("klass", F.monotonically_increasing_id()), "bench-items").withColumn("q", F.size("hashes"))
     classes = sorted(r[0] for r in items.select(F.length(F.bin("q"))).distinct().collect())  # at most 63 size classes
     plan = {c: sorted({bins_log2(c, q, threshold, miss) for q in classes}) for c in range(1, 63)}
     shared_map = spark.sparkContext.broadcast(_bitmap(items, filter_bits))  # 2**filter_bits bits, whatever the tables hold
@@ -158,17 +158,17 @@ def contaminated(
     sizes = [r[0] for r in hits.select("doc_class").distinct().collect()]  # at most 62
     needed = {q: sorted({bins_log2(c, q, threshold, miss) for c in sizes}) for q in classes}
     levels = F.create_map(*[x for q in classes for x in (F.lit(q), F.array(*[F.lit(n) for n in needed[q]]).cast("array<int>"))]) if classes else F.lit(None).cast("map<int,array<int>>")
-    signatures = items.select("item_id", "hashes", F.explode(levels[F.length(F.bin("q"))]).alias("bin"))
-    signatures = signatures.select("item_id", "bin", F.explode("hashes").alias("h")).withColumn("cell", F.expr("shiftrightunsigned(h, 64 - bin)"))
+    signatures = items.select("klass", "hashes", F.explode(levels[F.length(F.bin("q"))]).alias("bin"))
+    signatures = signatures.select("klass", "bin", F.explode("hashes").alias("h")).withColumn("cell", F.expr("shiftrightunsigned(h, 64 - bin)"))
     least = F.min(F.expr("h ^ (-9223372036854775807L - 1L)"))  # the flipped sign bit gives unsigned order
-    signatures = signatures.groupBy("item_id", "bin", "cell").agg(least.alias("h")).select("item_id", "bin", F.expr("h ^ (-9223372036854775807L - 1L)").alias("minimum"))
+    signatures = signatures.groupBy("klass", "bin", "cell").agg(least.alias("h")).select("klass", "bin", F.expr("h ^ (-9223372036854775807L - 1L)").alias("minimum"))
 
     # a minimum that very many documents share is a skewed key of a plain join, which Spark splits
     probes = hits.select("row", F.explode(F.arrays_zip("bins", "minima")).alias("m"))
     probes = probes.select("row", F.col("m.bins").alias("bin"), F.col("m.minima").alias("minimum"))
-    candidates = probes.join(signatures, ["bin", "minimum"]).select("row", "item_id").distinct()
+    candidates = probes.join(signatures, ["bin", "minimum"]).select("row", "klass").distinct()
 
-    verified = candidates.join(hits.select("row", "doc_id", "text_key", "doc_shingles", "found"), "row").join(items, "item_id")
+    verified = candidates.join(hits.select("row", "doc_id", "text_key", "doc_shingles", "found"), "row").join(items, "klass")
     verified = verified.withColumn("shared", F.size(F.array_intersect("found", "hashes")))
     return verified.filter(F.col("shared") >= F.lit(threshold) * F.col("q")).select(
         "doc_id", "text_key", "item_id", "item_ids", F.col("shared").cast("bigint").alias("shared"), F.col("q").cast("bigint").alias("item_shingles"),
