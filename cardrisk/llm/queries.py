@@ -97,7 +97,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardrisk.llm.toxicity import THRESHOLD, held_out, scored
 
-    found = scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    found = scored(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels"))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 

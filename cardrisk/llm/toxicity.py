@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardrisk.llm.common import prepare, text_slices, written
 
@@ -128,7 +129,8 @@ class Channel:
                 out.append([(None, 0.0), (0, COST_BREAK)])
             elif ch in LEET:
                 readings = LEET[ch]
-                out.append([(ord(c) - 96, COST_LEET - math.log(len(readings))) for c in readings] + [(None, COST_DROP)])
+                stands = [(ord(c) - 96, COST_LEET - math.log(len(readings))) for c in readings]
+                out += [[*stands, (None, COST_DROP)], *[[*stands, (None, 0.0)]] * (run > 1)]
             else:
                 out.append([(None, COST_DROP), (0, COST_DROP + COST_BREAK)])
         return out
@@ -213,22 +215,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def _fit(rows: list[list[int]], y: np.ndarray, n: int, prior: float, ridge: float = 0.02) -> tuple[np.ndarray, float]:
-    """Logistic regression on binary features by accelerated gradient steps; intercept for the given share of 1."""
+def _fit(rows: list[list[int]], y: np.ndarray, n: int, prior: float, ridge: float = 1e-4, steps: int = 2000) -> tuple[np.ndarray, float]:
+    """Logistic regression on binary features, classes weighed alike, by accelerated gradient steps.
+
+    The intercept is moved to the given share of 1.
+    """
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.fromiter((c for r in rows for c in r), np.int64, len(at))
-    w, b = np.zeros(n), 0.0
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    step = 4.0 / (1 + max((len(r) for r in rows), default=0))
-    vw, vb, t = w.copy(), b, 1.0
-    for _ in range(400):
-        p = 1 / (1 + np.exp(-np.clip(vb + np.bincount(at, vw[col], len(rows)), -30, 30)))
+    step = 4.0 / (1 + max((len(r) for r in rows), default=0))  # the gradient changes at most so fast
+    w = v = np.zeros(n + 1)  # the last is the intercept
+    t = 1.0
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-(v[n] + np.bincount(at, v[col], len(rows)))))
         g = weight * (p - y)
-        nw, nb = vw - step * 20 * (np.bincount(col, g[at], n) + ridge / 20 * vw / max(n, 1)), vb - step * 20 * g.sum()
-        t2 = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        vw, vb = nw + (t - 1) / t2 * (nw - w), nb + (t - 1) / t2 * (nb - b)
-        w, b, t = nw, nb, t2
-    return w, b + math.log(prior / (1 - prior))  # fitted on classes of equal weight
+        new = v - step * np.append(np.bincount(col, g[at], n) + ridge * v[:n], g.sum())
+        t, before = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
+        w, v = new, new + (before - 1) / t * (new - w)
+    return w[:n], w[n] + math.log(prior / (1 - prior))
 
 
 def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = SAMPLE) -> tuple[dict[str, float], float]:
@@ -311,7 +315,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "score", sample: in
                 out.append(1 / (1 + math.exp(-z)) if z > -700 else 0.0)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.float64())], names=[*names, column])
 
-    schema = docs.schema.add(column, "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
     return source.mapInArrow(run, schema)
 
 
