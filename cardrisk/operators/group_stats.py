@@ -3,16 +3,13 @@
 An unordered ``avg().over(partitionBy(key))`` would put a hot key's rows into
 one task.  Instead the aggregate is a ``groupBy`` (partial aggregation before
 the shuffle, so a hot key costs one row per map task) and the per-key result
-is joined back.  When the rows are already partitioned by (key, block) the
-per-key result is first spread over the (key, block) pairs, a small table,
-so the big side keeps its partitioning and is not shuffled again; otherwise
-AQE chooses between a broadcast (measured size) and a skew-split sort-merge
-join.
+is joined back; AQE chooses between a broadcast (measured size) and a
+skew-split sort-merge join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,14 +28,9 @@ def join_group_aggregates(
     df: DataFrame,
     key: str,
     aggs: Mapping[str, Column],
-    co_keys: Sequence[str] = (),
 ) -> DataFrame:
     """Left-join ``df.groupBy(key).agg(aggs)`` onto every row of ``df``."""
     stats = df.groupBy(key).agg(*[c.alias(n) for n, c in aggs.items()])
-    if co_keys:
-        pairs = df.select(key, *co_keys).distinct()
-        stats = pairs.join(stats, key, "inner")
-        return df.join(stats, [key, *co_keys], "left")
     return df.join(stats, key, "left")
 
 
@@ -46,7 +38,6 @@ def terminal_means(
     df: DataFrame,
     key: str = TERMINAL_ID,
     amount_scale: int | None = 2,
-    co_keys: Sequence[str] = (),
     method: str = "join",
 ) -> DataFrame:
     """Amount over the key's mean amount, and the key's fraud ratio (all rows).
@@ -66,7 +57,7 @@ def terminal_means(
         w = Window.partitionBy(key)
         d = df.withColumns({n: F.when(F.col(key).isNotNull(), c.over(w)) for n, c in aggs.items()})
     else:
-        d = join_group_aggregates(df, key, aggs, co_keys)
+        d = join_group_aggregates(df, key, aggs)
     mean_amt = F.try_divide(F.col("_amt_sum").cast("double"), F.col("_amt_n"))
     return d.withColumns(
         {

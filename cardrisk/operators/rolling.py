@@ -9,14 +9,15 @@ difference of two growing frames (rows up to ``t - upper`` minus rows up to
 partition: linear cost, where a sliding frame costs rows x frame width.
 
 Hot keys.  A window partitions by its key; a single key holding a large share
-of all rows would be one task.  ``block_days='auto'`` probes the data for a
-key above ``HOT_KEY_ROWS`` rows; if there is one (or with a fixed
-``block_days``) the time axis is cut into blocks and the window partitions
-by ``(key, block)``.  A row is copied, as a
-read-only context row, into every later block whose frames can reach it (rows
-within the look-back of the block start), so every frame is complete and the
-result is exact; context rows are dropped after the window.  With a block of
-four look-backs at most a quarter of the rows are copied once.
+of all rows would be one task.  ``block_days='auto'`` probes the data for keys
+above ``HOT_KEY_ROWS`` rows.  Every frame is a difference of sums up to the
+points ``t - edge``, so a hot key's rows become events on its time axis: its
+values at ``t`` and one query at ``t - edge`` for each frame edge.  The axis is cut
+into cells of at most ``HOT_KEY_ROWS`` events (a cell above that is cut again by
+its own density), each cell is one window, and the sum before it comes from the
+running totals of the cells.  Rows are copied once for each edge whatever
+the look-back, and no cell depends on it.  Keys that are not hot keep
+the plain windows.
 """
 
 from __future__ import annotations
@@ -43,12 +44,9 @@ from cardrisk.schema import (
     terminal_count_col,
     terminal_risk_col,
 )
+from cardrisk.session import cut_lineage
 
 BLOCK = "_blk"
-CONTEXT = "_ctx"
-
-# Default block length in multiples of the longest look-back.
-BLOCK_FACTOR = 4
 
 
 def with_us(df: DataFrame, ts: str = TX_DATETIME) -> DataFrame:
@@ -64,55 +62,33 @@ def _floor_div(x: Column, n) -> Column:
     return ((x - F.pmod(x, nc)) / nc).cast("bigint")
 
 
-BLEN = "_blen"  # block length of the row's key in microseconds (NULL: key not split)
+BLEN = "_blen"  # length in microseconds of the row's first cell or block (NULL: key not split)
 
-# Rows of one (key, block) that a single window task handles comfortably;
-# a key with more rows is hot and its time axis is cut into blocks.
+# Rows of one key that a single window task handles comfortably; a key with
+# more rows is hot and its time axis is cut.
 HOT_KEY_ROWS = 5_000_000
-# Blocks shorter than the look-back copy rows into several later blocks; at
-# most this many copies of a row are made (including the row itself).
-MAX_COPIES = 8
-# More hot values than this in one key column: split every key uniformly.
-HOT_LIST_MAX = 100_000
 
 
 @dataclass(frozen=True)
 class Blocks:
     """How the time axis of a key column is cut.
 
-    ``uniform_us`` cuts every key into blocks of that length; ``hot`` lists
-    (key value, block length) for the hot keys only, every other key stays
-    one block.  ``hot`` is bounded: at most rows / ``HOT_KEY_ROWS`` keys can
-    be hot, and at most ``HOT_LIST_MAX`` are listed.
+    ``uniform_us`` cuts every key into blocks of that length; ``hot`` is a table
+    ``_val, _len`` of the hot keys (as text) with a block length for each, and every
+    other key stays whole.  No block holds more than about ``max_rows``.
     """
 
     uniform_us: int | None = None
-    hot: tuple[tuple[str, int], ...] = ()
+    hot: DataFrame | None = None
+    max_rows: int = HOT_KEY_ROWS
 
 
 def with_block_length(df: DataFrame, key: str, blocks: Blocks) -> DataFrame:
-    """Add ``_blen``: a literal for uniform blocks, a broadcast lookup for hot keys."""
+    """Add ``_blen``: a literal for uniform blocks, a lookup for hot keys."""
     if blocks.uniform_us is not None:
         return df.withColumn(BLEN, F.lit(blocks.uniform_us).cast("bigint"))
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(blocks.hot), "_val string, _len bigint")
-    table = table.select(F.col("_val").cast(df.schema[key].dataType).alias(key), F.col("_len").alias(BLEN))
-    return df.join(F.broadcast(table), key, "left")  # bounded by HOT_LIST_MAX rows
-
-
-def time_blocks(df: DataFrame, lookback_us: int) -> DataFrame:
-    """Assign each row its home block and copy it into the later blocks it can reach.
-
-    A row at ``u`` is needed by block ``b`` (of length ``B``) when some row of
-    ``b`` has a frame reaching back to ``u``, i.e. when ``u > b * B - lookback_us``.
-    Rows of keys without a block length stay in block 0 and are not copied.
-    """
-    u, blen = F.col(US), F.col(BLEN)
-    home = F.when(blen.isNull(), F.lit(0).cast("bigint")).otherwise(_floor_div(u, blen))
-    reach = u + F.lit(max(lookback_us, 1) - 1)
-    last = F.when(blen.isNull(), F.lit(0).cast("bigint")).otherwise(_floor_div(reach, blen))
-    out = df.withColumn("_home", home).withColumn(BLOCK, F.explode(F.sequence(F.col("_home"), last)))
-    return out.withColumn(CONTEXT, F.col(BLOCK) != F.col("_home")).drop("_home")
+    table = blocks.hot.select(F.col("_val").cast(df.schema[key].dataType).alias(key), F.col("_len").alias(BLEN))
+    return df.join(table, key, "left")
 
 
 # Probe results per input plan.  A probe only chooses between exact
@@ -135,48 +111,33 @@ def probe_hot_keys(df: DataFrame, lookbacks: dict[str, int], max_rows: int = HOT
     return dict(_PROBES[ck])
 
 
-def hot_block_length(n: int, span_us: int, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> int:
-    """Block length giving about ``max_rows`` rows of a key with ``n`` rows over ``span_us``.
-
-    At most ``BLOCK_FACTOR`` look-backs (longer blocks gain nothing) and at
-    least ``lookback / (MAX_COPIES - 1)`` (shorter ones copy rows too often).
-    """
-    want = (max(span_us, 1) * max_rows) // max(n, 1)
-    lo = -(-max(lookback_us, 1) // (MAX_COPIES - 1))
-    return int(max(min(want, BLOCK_FACTOR * max(lookback_us, D)), lo, 10**6))
+def forget_probes() -> None:
+    """Probe anew from now on (for timing a query as a first run)."""
+    _PROBES.clear()
 
 
 def _probe(df: DataFrame, lookbacks: dict[str, int], max_rows: int) -> dict[str, Blocks | None]:
     """Hot values per key column with their block lengths.
 
     One pass for all key columns: each row is expanded to (column, value)
-    pairs, counted with partial aggregation before the shuffle; only values
-    above ``max_rows`` rows come back to the driver (at most rows/max_rows of
-    them exist, and at most ``HOT_LIST_MAX + 1`` per column are fetched).
+    pairs, counted with partial aggregation before the shuffle.  The hot values (at
+    most rows / max_rows for a column) stay a table; only whether there are any is asked.
+    A block gets half of ``max_rows`` rows if they are spread evenly.
     """
     d = with_us(df)
     pairs = F.array(*[F.struct(F.lit(k).alias("col"), F.col(k).cast("string").alias("val")) for k in lookbacks])
-    hot = (
+    counts = (
         d.select(F.col(US), F.inline(pairs))
         .filter(F.col("val").isNotNull())
         .groupBy("col", "val")
         .agg(F.count(F.lit(1)).alias("n"), F.min(US).alias("lo"), F.max(US).alias("hi"))
         .filter(F.col("n") > max_rows)
     )
-    w = Window.partitionBy("col").orderBy(F.col("n").desc(), F.col("val"))
-    rows = hot.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= HOT_LIST_MAX + 1).collect()
-    out: dict[str, Blocks | None] = {}
-    for k, lookback_us in lookbacks.items():
-        mine = [r for r in rows if r["col"] == k]
-        if not mine:
-            out[k] = None
-        elif len(mine) > HOT_LIST_MAX:
-            out[k] = Blocks(uniform_us=max(BLOCK_FACTOR * lookback_us, D))
-        else:
-            out[k] = Blocks(hot=tuple(
-                (r["val"], hot_block_length(r["n"], r["hi"] - r["lo"], lookback_us, max_rows)) for r in mine
-            ))
-    return out
+    # a double holds any span; the length only balances the cells
+    length = F.greatest((F.col("hi") - F.col("lo") + 1).cast("double") * max_rows / (F.col("n") * 2), F.lit(1.0)).cast("bigint")
+    hot = cut_lineage(counts.select("col", F.col("val").alias("_val"), length.alias("_len")))
+    found = {r[0] for r in hot.select("col").distinct().collect()}  # at most one row for each key column
+    return {k: Blocks(hot=hot.filter(F.col("col") == k).drop("col"), max_rows=max_rows) if k in found else None for k in lookbacks}
 
 
 def probe_hot_key(df: DataFrame, key: str, lookback_us: int, max_rows: int = HOT_KEY_ROWS) -> Blocks | None:
@@ -185,11 +146,11 @@ def probe_hot_key(df: DataFrame, key: str, lookback_us: int, max_rows: int = HOT
 
 def resolve_blocks(lookback_us: int, block_days, df: DataFrame | None = None, key: str | None = None) -> Blocks | None:
     """Resolve ``block_days``: None (key only), a number of days (uniform blocks),
-    'auto' (probe the data for hot keys), 'always' (four look-backs) or a ``Blocks``."""
+    'auto' (probe the data for hot keys), 'always' (blocks of the look-back) or a ``Blocks``."""
     if block_days is None or isinstance(block_days, Blocks):
         return block_days
     if block_days == "always":
-        return Blocks(uniform_us=max(BLOCK_FACTOR * lookback_us, D))
+        return Blocks(uniform_us=max(lookback_us, D))
     if block_days == "auto":
         if df is None or df.isStreaming:
             return None
@@ -197,28 +158,73 @@ def resolve_blocks(lookback_us: int, block_days, df: DataFrame | None = None, ke
     return Blocks(uniform_us=int(block_days) * D)
 
 
-def _prepare(df: DataFrame, key: str, lookback_us: int, block_days) -> tuple[DataFrame, list[str]]:
-    df = with_us(df)
-    df = df.drop(*[c for c in (BLOCK, BLEN) if c in df.columns])
+def _keyed(df: DataFrame, key: str) -> DataFrame:
     # pandas groupby drops rows with a null key; a frame needs a time.
-    df = df.filter(F.col(key).isNotNull() & F.col(US).isNotNull())
-    blocks = resolve_blocks(lookback_us, block_days, df, key)
-    if blocks is None:
-        return df, [key]
-    return time_blocks(with_block_length(df, key, blocks), lookback_us), [key, BLOCK]
+    return with_us(df).filter(F.col(key).isNotNull() & F.col(US).isNotNull())
+
+
+def point_cells(points: DataFrame, key: str, values: Sequence[str], edges: Sequence[int], max_rows: int) -> DataFrame:
+    """Events of a key's time axis in cells of at most ``max_rows``: ``key, _tau, _edge, _at, _cell, _len, values``.
 
+    ``points`` has one row for each (key, time) with its values and first cell length.
+    Event ``_edge`` -1 carries the values at their time; event ``k`` asks for the sum up to
+    ``edges[k]`` before the time ``_at``.
+    """
+    own = [F.col(v) for v in values]
+    none = [F.lit(None).cast(points.schema[v].dataType).alias(v) for v in values]
+    event = [F.struct(F.col(US).alias("_tau"), F.lit(-1).alias("_edge"), *own)]
+    event += [F.struct((F.col(US) - e).alias("_tau"), F.lit(k).alias("_edge"), *none) for k, e in enumerate(edges)]
+    events = points.select(key, F.col(US).alias("_at"), F.col(BLEN).alias("_len"), F.inline(F.array(*event)))
+    events = events.withColumn("_cell", _floor_div(F.col("_tau"), F.col("_len")) * F.col("_len"))
+    while True:
+        counts = events.groupBy(key, "_cell", "_len").agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > max_rows) & (F.col("_len") > 1))
+        finer = F.greatest(F.floor(F.col("_len").cast("double") * max_rows / (F.col("_n") * 2)), F.lit(1)).cast("bigint")
+        dense = cut_lineage(counts.select(key, "_cell", "_len", finer.alias("_finer")))
+        if dense.isEmpty():
+            return events
+        split = events.join(dense, [key, "_cell", "_len"], "left")
+        inside = F.col("_tau") - F.col("_cell")
+        cell = F.col("_cell") + _floor_div(inside, F.col("_finer")) * F.col("_finer")
+        events = cut_lineage(split.withColumn("_cell", F.coalesce(cell, F.col("_cell"))).withColumn("_len", F.coalesce("_finer", "_len")).drop("_finer"))
+
+
+def point_sums(hot: DataFrame, key: str, aggs: dict[str, Column], edges: Sequence[int], max_rows: int) -> DataFrame:
+    """``key, us`` and, for every value ``v`` and edge ``e``, ``v_e``: the sum of ``v`` up to the time ``us - e``."""
+    names = list(aggs)
+    points = hot.groupBy(key, US, BLEN).agg(*[c.alias(n) for n, c in aggs.items()])
+    events = cut_lineage(point_cells(points, key, names, edges, max_rows))
+    # one row for each cell: rows / max_rows of them for a key
+    totals = events.groupBy(key, "_cell").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
+    before = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(key, "_cell", *[F.sum(f"_t_{n}").over(before).alias(f"_b_{n}") for n in names])
+    inside = Window.partitionBy(key, "_cell").orderBy("_tau", "_edge").rowsBetween(Window.unboundedPreceding, 0)
+    asked = events.withColumns({f"_i_{n}": F.sum(n).over(inside) for n in names}).filter("_edge >= 0")
+    asked = asked.join(totals, [key, "_cell"])
+    total = {n: F.coalesce(F.col(f"_b_{n}"), F.lit(0)) + F.coalesce(F.col(f"_i_{n}"), F.lit(0)) for n in names}
+    return asked.groupBy(key, F.col("_at").alias(US)).agg(
+        *[F.max(F.when(F.col("_edge") == k, total[n])).alias(f"{n}_{e}") for n in names for k, e in enumerate(edges)]
+    )
 
-def _finish(df: DataFrame, parts: list[str], keep_block: bool = False) -> DataFrame:
-    if BLOCK in parts:
-        df = df.filter(~F.col(CONTEXT)).drop(CONTEXT)
-        return df if keep_block else df.drop(BLOCK, BLEN)
-    return df
+
+def _split_hot(base: DataFrame, key: str, blocks: Blocks) -> tuple[DataFrame | None, DataFrame]:
+    """(rows of keys that stay whole, rows of keys that are cut), the input read once."""
+    if blocks.uniform_us is not None:
+        return None, with_block_length(base, key, blocks)
+    marked = cut_lineage(with_block_length(base, key, blocks))
+    return marked.filter(F.col(BLEN).isNull()).drop(BLEN), marked.filter(F.col(BLEN).isNotNull())
 
 
 def money(col: str, amount_scale: int | None) -> Column:
-    """Money column for exact sums: decimal(18, scale), or the plain double."""
+    """Money column for exact sums: decimal(18, scale), or the plain column.
+
+    A value with more digits than the scale is an error, not rounded.
+    """
     c = F.col(col)
-    return c.cast(f"decimal(18,{amount_scale})") if amount_scale is not None else c
+    if amount_scale is None:
+        return c
+    x = c.cast(f"decimal(18,{amount_scale})")
+    said = F.concat(F.lit(f"{col} has more than {amount_scale} decimal digits: "), c.cast("string"))
+    return F.when(c.isNull() | (x.cast("double") == c.cast("double")), x).otherwise(F.raise_error(said).cast(f"decimal(18,{amount_scale})"))
 
 
 def _prefix_frame(w, upper_us: int):
@@ -250,7 +256,6 @@ def customer_spending(
     amount_scale: int | None = 2,
     ties: str = "peer",
     block_days: int | str | None = "auto",
-    keep_block: bool = False,
     strategy: str = "prefix",
 ) -> DataFrame:
     """Rolling count of non-null amounts and mean amount per key over ``N``-day windows.
@@ -259,27 +264,42 @@ def customer_spending(
     time.  ``ties='row'`` ends it at the current row in (time, TRANSACTION_ID)
     order, the rule of a row-wise rolling window: the later peers' values are
     subtracted, which keeps one shuffle (a (key, time) window is satisfied by
-    the key's partitioning).  With plain double sums (``amount_scale=None``)
-    use ``strategy='sliding'``: a difference of double prefix sums cancels.
+    the key's partitioning).  Plain sums (``amount_scale=None``) take sliding
+    frames and leave every key whole: differences of double prefix sums cancel.
     """
     if ties not in ("peer", "row"):
         raise ValueError("ties must be 'peer' or 'row'")
-    lookback = max(windows) * D
-    base, parts = _prepare(df, key, lookback, block_days)
+    if amount_scale is None:
+        strategy, block_days = "sliding", None
+    base = _keyed(df, key)
+    blocks = resolve_blocks(max(windows) * D, block_days, base, key)
     x = money(amount, amount_scale)
     zero = F.lit(0).cast(tot_type(amount_scale))
-    w = Window.partitionBy(*parts).orderBy(US)
-    later = Window.partitionBy(*parts, US).orderBy(TRANSACTION_ID).rowsBetween(1, Window.unboundedFollowing)
-    cols = {}
-    for n in windows:
-        cnt = frame_agg(F.count(amount), w, n * D, 0, strategy, F.lit(0))
-        tot = frame_agg(F.sum(x), w, n * D, 0, strategy, zero)
-        if ties == "row":
-            cnt = cnt - F.count(amount).over(later)
-            tot = tot - F.coalesce(F.sum(x).over(later), zero)
-        cols[customer_count_col(n)] = cnt
-        cols[customer_avg_col(n)] = F.try_divide(tot.cast("double"), cnt)
-    return _finish(base.withColumns(cols), parts, keep_block)
+    later = Window.partitionBy(key, US).orderBy(TRANSACTION_ID).rowsBetween(1, Window.unboundedFollowing)
+
+    def features(frame) -> dict[str, Column]:
+        cols = {}
+        for n in windows:
+            cnt, tot = frame(n, F.count(amount), F.lit(0)), frame(n, F.sum(x), zero)
+            if ties == "row":
+                cnt = cnt - F.count(amount).over(later)
+                tot = tot - F.coalesce(F.sum(x).over(later), zero)
+            cols[customer_count_col(n)] = cnt
+            cols[customer_avg_col(n)] = F.try_divide(tot.cast("double"), cnt)
+        return cols
+
+    def plain(d: DataFrame) -> DataFrame:
+        w = Window.partitionBy(key).orderBy(US)
+        return d.withColumns(features(lambda n, agg, nil: frame_agg(agg, w, n * D, 0, strategy, nil)))
+
+    if blocks is None:
+        return plain(base)
+    whole, hot = _split_hot(base, key, blocks)
+    sums = point_sums(hot, key, {"_n": F.count(amount), "_x": F.sum(x)}, [0, *[n * D for n in windows]], blocks.max_rows)
+    out = hot.join(sums, [key, US])
+    out = out.withColumns(features(lambda n, agg, nil: F.col("_x_0") - F.col(f"_x_{n * D}") if nil is zero else F.col("_n_0") - F.col(f"_n_{n * D}")))
+    out = out.drop(BLEN, *[c for c in sums.columns if c.startswith(("_n_", "_x_"))])
+    return out if whole is None else plain(whole).unionByName(out)
 
 
 def tot_type(amount_scale: int | None) -> str:
@@ -293,7 +313,6 @@ def terminal_risk(
     key: str = TERMINAL_ID,
     label: str = TX_FRAUD,
     block_days: int | str | None = "auto",
-    keep_block: bool = False,
     strategy: str = "prefix",
 ) -> DataFrame:
     """Delayed fraud count and share per key over ``(t-(delay+N) d, t-delay d]``.
@@ -301,13 +320,30 @@ def terminal_risk(
     The share is 0 when the frame holds no labelled row.  Ties cancel in a
     delayed frame, so no tie rule is needed.
     """
-    lookback = (delay + max(windows)) * D
-    base, parts = _prepare(df, key, lookback, block_days)
-    w = Window.partitionBy(*parts).orderBy(US)
-    cols = {}
-    for n in windows:
-        cnt = frame_agg(F.count(label), w, (delay + n) * D, delay * D, strategy, F.lit(0))
-        frauds = frame_agg(F.sum(label), w, (delay + n) * D, delay * D, strategy, F.lit(0).cast("bigint"))
-        cols[terminal_count_col(n)] = cnt
-        cols[terminal_risk_col(n)] = F.coalesce(F.try_divide(frauds.cast("double"), cnt), F.lit(0.0))
-    return _finish(base.withColumns(cols), parts, keep_block)
+    base = _keyed(df, key)
+    blocks = resolve_blocks((delay + max(windows)) * D, block_days, base, key)
+
+    def features(count, frauds) -> dict[str, Column]:
+        cols = {}
+        for n in windows:
+            cols[terminal_count_col(n)] = count(n)
+            cols[terminal_risk_col(n)] = F.coalesce(F.try_divide(frauds(n).cast("double"), count(n)), F.lit(0.0))
+        return cols
+
+    def plain(d: DataFrame) -> DataFrame:
+        w = Window.partitionBy(key).orderBy(US)
+        return d.withColumns(features(
+            lambda n: frame_agg(F.count(label), w, (delay + n) * D, delay * D, strategy, F.lit(0)),
+            lambda n: frame_agg(F.sum(label), w, (delay + n) * D, delay * D, strategy, F.lit(0).cast("bigint")),
+        ))
+
+    if blocks is None:
+        return plain(base)
+    whole, hot = _split_hot(base, key, blocks)
+    sums = point_sums(hot, key, {"_n": F.count(label), "_y": F.sum(label)}, [delay * D, *[(delay + n) * D for n in windows]], blocks.max_rows)
+    out = hot.join(sums, [key, US]).withColumns(features(
+        lambda n: F.col(f"_n_{delay * D}") - F.col(f"_n_{(delay + n) * D}"),
+        lambda n: F.col(f"_y_{delay * D}") - F.col(f"_y_{(delay + n) * D}"),
+    ))
+    out = out.drop(BLEN, *[c for c in sums.columns if c.startswith(("_n_", "_y_"))])
+    return out if whole is None else plain(whole).unionByName(out)

@@ -5,9 +5,10 @@ spend, per-terminal delayed risk.  Stage two: deviation from the 1-day mean,
 lags and time since the last transaction, mean of the last three amounts,
 ratio to the terminal mean, terminal fraud ratio.
 
-All customer-keyed work runs on one partitioning, (CUSTOMER_ID, block), and
-all terminal-keyed work on another, (TERMINAL_ID, block): the whole pipeline
-shuffles the rows twice.  ``block_days=None`` partitions by the key alone.
+Without a hot key all customer-keyed work runs on one partitioning and all
+terminal-keyed work on another: the whole pipeline shuffles the rows twice.  Hot
+keys take the split path of ``rolling`` and ``sequence``.
+``block_days=None`` partitions by the key alone.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from cardrisk.functions.calendar import add_calendar_flags
 from cardrisk.operators.filters import filter_min_day
 from cardrisk.operators.group_stats import terminal_means
-from cardrisk.operators.rolling import BLEN, BLOCK, HOT_KEY_ROWS, customer_spending, probe_hot_keys, resolve_blocks, terminal_risk, with_us
+from cardrisk.operators.rolling import HOT_KEY_ROWS, customer_spending, probe_hot_keys, resolve_blocks, terminal_risk, with_us
 from cardrisk.operators.sequence import add_customer_sequence
 from cardrisk.schema import (
     CUSTOMER_ID,
@@ -35,6 +36,7 @@ from cardrisk.schema import (
     D,
     customer_avg_col,
 )
+from cardrisk.session import cut_lineage
 
 
 def build_features(
@@ -62,18 +64,16 @@ def build_features(
         c_block, t_block = resolve_blocks(c_look, block_days), resolve_blocks(t_look, block_days)
 
     # customer-keyed work: one partitioning
-    d = customer_spending(
-        d, windows=windows, ties=ties, amount_scale=amount_scale, block_days=c_block, keep_block=stage2
-    )
+    d = customer_spending(d, windows=windows, ties=ties, amount_scale=amount_scale, block_days=c_block)
     if stage2:
         d = d.withColumn(TX_AMOUNT_DEVIATION, F.col(TX_AMOUNT) - F.col(customer_avg_col(min(windows))))
         d = add_customer_sequence(d, key=CUSTOMER_ID, drift_window=drift_window, block_us=c_block)
 
     # terminal-keyed work: a second partitioning
-    d = terminal_risk(d, delay=delay, windows=windows, block_days=t_block, keep_block=stage2)
+    d = terminal_risk(d, delay=delay, windows=windows, block_days=t_block)
     if stage2:
-        if BLOCK in d.columns:  # hot terminals: aggregate, join back on (key, block)
-            d = terminal_means(d, amount_scale=amount_scale, co_keys=[BLOCK]).drop(BLOCK, BLEN)
+        if t_block is not None:  # hot terminals: aggregate and join back, the features before it computed once
+            d = terminal_means(cut_lineage(d), amount_scale=amount_scale)
         else:  # no hot terminal: reuse the risk windows' partitioning
             d = terminal_means(d, amount_scale=amount_scale, method="window")
     if fill_zero:
