@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from cardrisk.functions.calendar import day_name, hour_of, iso_day, tx_date
 from cardrisk.functions.scalar import safe_corr
+from cardrisk.operators.metrics import running_totals
+from cardrisk.operators.rolling import money
 from cardrisk.schema import (
     CUSTOMER_ID,
     TERMINAL_ID,
@@ -32,9 +34,11 @@ WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 
 
 def mean_money(col: str = TX_AMOUNT, scale: int | None = 2) -> Column:
-    """Exact mean of a money column: decimal sum, cast once, divided by the count."""
-    x = F.col(col).cast(f"decimal(18,{scale})") if scale is not None else F.col(col)
-    return F.try_divide(F.sum(x).cast("double"), F.count(col))
+    """Exact mean of a money column: decimal sum, cast once, divided by the count.
+
+    More digits than ``scale`` are an error; ``scale=None`` sums the column as it is.
+    """
+    return F.try_divide(F.sum(money(col, scale)).cast("double"), F.count(col))
 
 
 def rate(col: str = TX_FRAUD) -> Column:
@@ -42,7 +46,7 @@ def rate(col: str = TX_FRAUD) -> Column:
     return F.try_divide(F.sum(col).cast("double"), F.count(col))
 
 
-def daily_kpis(df: DataFrame, ts: str = TX_DATETIME, approx_customers: bool = False) -> DataFrame:
+def daily_kpis(df: DataFrame, ts: str = TX_DATETIME, approx_customers: bool = False, amount_scale: int | None = 2) -> DataFrame:
     """Per calendar day: transactions, frauds, mean amount, customers, tx per customer,
     fraud change against the calendar day before (absent day = 0).
 
@@ -53,7 +57,7 @@ def daily_kpis(df: DataFrame, ts: str = TX_DATETIME, approx_customers: bool = Fa
     daily = df.groupBy(tx_date(ts).alias("TX_DATE")).agg(
         F.count(F.lit(1)).alias("n_tx"),
         F.coalesce(F.sum(TX_FRAUD), F.lit(0)).cast("bigint").alias("n_fraud"),
-        mean_money().alias("mean_amount"),
+        mean_money(scale=amount_scale).alias("mean_amount"),
         customers.alias("n_customers"),
     )
     # One row per calendar day (bounded by the calendar, not the data): a lag
@@ -68,11 +72,11 @@ def daily_kpis(df: DataFrame, ts: str = TX_DATETIME, approx_customers: bool = Fa
     )
 
 
-def summary(df: DataFrame) -> DataFrame:
+def summary(df: DataFrame, amount_scale: int | None = 2) -> DataFrame:
     """Count, mean amount, fraud share in percent, distinct customers (one row)."""
     return df.agg(
         F.count(F.lit(1)).alias("n_tx"),
-        mean_money().alias("mean_amount"),
+        mean_money(scale=amount_scale).alias("mean_amount"),
         (rate() * 100).alias("fraud_pct"),
         F.countDistinct(CUSTOMER_ID).alias("n_customers"),
     )
@@ -169,23 +173,30 @@ def fraud_rate_by_amount_bin(df: DataFrame, col: str = TX_AMOUNT, bins: int = 10
     )
 
 
-def amount_quartiles_by_class(df: DataFrame, col: str = TX_AMOUNT, exact: bool = True, digits: int = 6) -> DataFrame:
-    """Box statistics per class; exact linear-interpolation percentiles or approximate ones at scale."""
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    p = F.percentile(col, qs) if exact else F.percentile_approx(col, qs, 10000)
-    return (
-        df.groupBy(TX_FRAUD)
-        .agg(F.min(col).alias("min"), p.alias("_q"), F.max(col).alias("max"), F.count(col).alias("n"))
-        .select(
-            TX_FRAUD,
-            "n",
-            "min",
-            F.round(F.col("_q")[0], digits).alias("q1"),
-            F.round(F.col("_q")[1], digits).alias("median"),
-            F.round(F.col("_q")[2], digits).alias("q3"),
-            "max",
-        )
-    )
+def amount_quartiles_by_class(df: DataFrame, col: str = TX_AMOUNT, digits: int = 6) -> DataFrame:
+    """Box statistics per class: exact linear-interpolation quartiles.
+
+    Values are counted, the counts run up over range partitions, and the values at
+    the ranks around each quartile are picked; no class is gathered anywhere.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(TX_FRAUD, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    run = running_totals(counts, ["_v"], ["_n"], by=[TX_FRAUD])
+    cols, n = {}, F.col("total__n")
+    for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        at = (n - 1) * F.lit(q)
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            holds = (rank < F.col("cum__n")) & (rank >= F.col("cum__n") - F.col("_n"))
+            cols[f"_{name}_{side}"] = F.max(F.when(holds, F.col("_v")))
+        cols[f"_{name}_w"] = F.max(at - F.floor(at))
+    box = run.groupBy(TX_FRAUD).agg(F.max(n).alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"), *[c.alias(k) for k, c in cols.items()])
+
+    def quartile(name: str) -> Column:
+        lo, hi, w = (F.col(f"_{name}_{x}") for x in ("lo", "hi", "w"))
+        return F.round(lo * (1 - w) + hi * w, digits).alias(name)
+
+    empty = df.select(TX_FRAUD).distinct()
+    out = empty.join(box, empty[TX_FRAUD].eqNullSafe(box[TX_FRAUD]), "left")
+    return out.select(empty[TX_FRAUD], F.coalesce("n", F.lit(0)).alias("n"), "min", quartile("q1"), quartile("median"), quartile("q3"), "max")
 
 
 def histogram2d(df: DataFrame, x: str, y: str, bins_x: int = 10, bins_y: int = 10) -> DataFrame:

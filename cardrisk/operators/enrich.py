@@ -1,14 +1,13 @@
 """Dimension joins, null fill, code labels, one-hot (2.C, H15).
 
-Dimension tables (customers, terminals) grow with the business, so they are
-broadcast only behind a row-count check; above the limit the join is a
-shuffle join that AQE may still turn into a broadcast from measured sizes
-or split when one key is hot.
+Dimension tables (customers, terminals) grow with the business, so nothing is
+broadcast by hand: AQE turns a join into a broadcast from measured bytes or
+splits it when one key is hot.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,20 +16,6 @@ from pyspark.sql import types as T
 from cardrisk.functions.scalar import scenario_label
 from cardrisk.schema import CUSTOMER_ID, TERMINAL_ID, TX_FRAUD_SCENARIO
 
-# Dimension rows up to which a broadcast is chosen explicitly.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the table has at most ``max_rows`` rows.
-
-    The count looks at ``max_rows + 1`` rows at most, so the check is cheap
-    whatever the size.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def strip_index_column(df: DataFrame) -> DataFrame:
     """Drop a stray CSV index column ('Unnamed: 0' or '_c0')."""
     return df.drop("Unnamed: 0", "_c0")
@@ -43,7 +28,6 @@ def enrich_dimensions(
     customer_key: str = CUSTOMER_ID,
     terminal_key: str = TERMINAL_ID,
     fill: float | None = -999,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left-join customer and terminal attributes; fill numeric nulls with ``fill``."""
     c = strip_index_column(customers)
@@ -53,8 +37,8 @@ def enrich_dimensions(
     if terminal_key != TERMINAL_ID:
         t = t.withColumnRenamed(terminal_key, TERMINAL_ID)
     d = strip_index_column(tx)
-    d = d.join(bounded_broadcast(c, max_broadcast_rows), CUSTOMER_ID, "left")
-    d = d.join(bounded_broadcast(t, max_broadcast_rows), TERMINAL_ID, "left")
+    d = d.join(c, CUSTOMER_ID, "left")
+    d = d.join(t, TERMINAL_ID, "left")
     return fill_numeric(d, fill) if fill is not None else d
 
 
@@ -71,23 +55,18 @@ def with_scenario_label(df: DataFrame, code: str = TX_FRAUD_SCENARIO) -> DataFra
     return df.withColumn("SCENARIO_LABEL", scenario_label(code))
 
 
-def category_values(df: DataFrame, col: str, limit: int = 1000) -> list:
-    """Sorted distinct values of a low-cardinality column (at most ``limit``, else an error)."""
-    vals = [r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"{col} has too many values for one-hot")
-    return vals
+def category_values(df: DataFrame, col: str) -> list:
+    """Sorted distinct values of a column, read now: the fitted vocabulary of a one-hot."""
+    return [r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col).collect()]
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], values: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """0/1 indicator columns ``<col>_<value>`` per distinct value, values sorted.
+def one_hot(df: DataFrame, values: Mapping[str, Sequence]) -> DataFrame:
+    """0/1 indicator columns ``<col>_<value>`` for the listed values of each column.
 
-    Without ``values`` the distinct values are read from the data (a bounded
-    list: one-hot only makes sense for low-cardinality columns); pass the
-    dimension table's values to get the same columns on every input.
+    The values are fitted once (``category_values`` of the training data or of the
+    dimension table), so every input gets the same columns; other values and nulls are 0 in all.
     """
     out = df
-    for c in columns:
-        vals = list(values[c]) if values and c in values else category_values(df, c)
+    for c, vals in values.items():
         out = out.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)) for v in vals}).drop(c)
     return out

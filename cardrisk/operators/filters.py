@@ -143,7 +143,7 @@ FORWARDED = "WEITERGELEITET_AN_SUPPORT"
 def second_level_queue(df: DataFrame, n: int = 10, ts: str = TX_DATETIME) -> DataFrame:
     """Forwarded cases if the flag column exists, else the newest frauds; newest ``n``."""
     if FORWARDED in df.columns:
-        d = df.filter(F.col(FORWARDED) == 1)
+        d = df.filter(F.col(FORWARDED).cast("int") == 1)  # 0/1 or a boolean
     else:
         d = df.filter(F.col(TX_FRAUD) == 1)
     return d.orderBy(F.col(ts).desc_nulls_last(), F.col(TRANSACTION_ID)).limit(n)

@@ -67,13 +67,21 @@ def terminal_means(
     ).drop("_amt_sum", "_amt_n", "_fr_sum", "_fr_n")
 
 
-def fitted_ratio_lookup(df: DataFrame, fitted: DataFrame, key: str = TERMINAL_ID, default: float = 0.0) -> DataFrame:
-    """Train-only form: join a fitted (key, TERMINAL_FRAUD_RATIO) table; unseen keys get ``default``."""
-    d = df.drop(TERMINAL_FRAUD_RATIO).join(fitted.select(key, TERMINAL_FRAUD_RATIO), key, "left")
-    return d.withColumn(TERMINAL_FRAUD_RATIO, F.coalesce(F.col(TERMINAL_FRAUD_RATIO), F.lit(default)))
+MEAN_AMOUNT = "MEAN_AMOUNT"
 
 
-def fit_terminal_ratio(train: DataFrame, key: str = TERMINAL_ID) -> DataFrame:
-    return train.groupBy(key).agg(
-        F.try_divide(F.sum(TX_FRAUD).cast("double"), F.count(TX_FRAUD)).alias(TERMINAL_FRAUD_RATIO)
+def fit_terminal_stats(train: DataFrame, key: str = TERMINAL_ID, amount_scale: int | None = 2) -> DataFrame:
+    """``key, MEAN_AMOUNT, TERMINAL_FRAUD_RATIO`` of the given (train) rows."""
+    return train.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.try_divide(F.sum(money(TX_AMOUNT, amount_scale)).cast("double"), F.count(TX_AMOUNT)).alias(MEAN_AMOUNT),
+        F.try_divide(F.sum(TX_FRAUD).cast("double"), F.count(TX_FRAUD)).alias(TERMINAL_FRAUD_RATIO),
     )
+
+
+def fitted_stats_lookup(df: DataFrame, fitted: DataFrame, key: str = TERMINAL_ID, default: float = 0.0) -> DataFrame:
+    """Fitted terminal statistics as features; a terminal not fitted has ratio ``default`` and no mean."""
+    d = df.drop(TERMINAL_FRAUD_RATIO, TX_AMOUNT_TO_TERMINAL_AVG).join(fitted.select(key, MEAN_AMOUNT, TERMINAL_FRAUD_RATIO), key, "left")
+    return d.withColumns({
+        TERMINAL_FRAUD_RATIO: F.coalesce(F.col(TERMINAL_FRAUD_RATIO), F.lit(default)),
+        TX_AMOUNT_TO_TERMINAL_AVG: F.try_divide(F.col(TX_AMOUNT), F.col(MEAN_AMOUNT)),
+    }).drop(MEAN_AMOUNT)

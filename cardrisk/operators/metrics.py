@@ -3,11 +3,10 @@
 Scores are first reduced to one row per distinct score (positives ``p``,
 negatives ``n``), so ties are handled exactly.  The precision-recall curve
 needs running totals by falling score.  A window ordered over the whole table
-would run in one task, so the running total is distributed: approximate
-quantiles of the score (a scalar subquery, nothing collected) cut the
-distinct scores into ``buckets`` contiguous ranges, each range gets its own
-ordered window, and the totals of all higher ranges (a ``buckets``-row table)
-are added as an offset.  The result is exact whatever the bucket boundaries.
+would run in one task, so the distinct scores are range-partitioned (as many
+ranges as the session has shuffle partitions), each range has its own
+ordered window, and the totals of the ranges before it (one row for each range)
+are added as an offset.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardrisk.schema import TX_FRAUD, TX_FRAUD_SCENARIO
+from cardrisk.session import cut_lineage
 
 SCORE = "SCORE"
 F1_EPS = 1e-6
@@ -33,37 +33,40 @@ def score_counts(df: DataFrame, score: str = SCORE, label: str = TX_FRAUD) -> Da
     )
 
 
-def running_totals_desc(g: DataFrame, order: str, cols: list[str], buckets: int = 64) -> DataFrame:
-    """Add ``cum_<c>`` (sum of ``c`` over rows with ``order`` >= this row's; ``order`` unique)
-    and ``total_<c>`` (sum over all rows)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = g.select(F.percentile_approx(order, probs, 10000).alias("b")).scalar()
-    # bucket = number of distinct boundaries below the value: monotone in the
-    # value, so buckets are contiguous ranges; one subquery, run once
-    v = F.col(order)
-    k = F.array_position(F.sort_array(F.array_union(bounds, F.array(v))), v) - 1
-    gb = g.withColumn("_bucket", k)
-    tot = gb.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    w_off = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
-    w_all = Window.partitionBy()  # <= buckets rows
-    off = tot.select(
-        "_bucket",
-        *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in cols],
-        *[F.sum(f"_t_{c}").over(w_all).alias(f"total_{c}") for c in cols],
+def running_totals(g: DataFrame, order: list[str | Column], cols: list[str], by: list[str] | None = None) -> DataFrame:
+    """Add ``cum_<c>`` (sum of ``c`` up to this row in ``order``) and ``total_<c>``, within ``by``.
+
+    Rows must be distinct in ``by`` and ``order``.  The range partitions are written once, so
+    that a row's range is the same wherever it is read.
+    """
+    by = by or []
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    ranges = g.repartitionByRange(*by, *keys).withColumn("_range", F.spark_partition_id())
+    ranges = cut_lineage(ranges)
+    totals = ranges.groupBy("_range", *by).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    # one row for each range (and each value of ``by`` in it)
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    offsets = totals.select(
+        F.col("_range").alias("_r"), *[F.col(k).alias(f"_k_{k}") for k in by],
+        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols],
+        *[F.sum(f"_t_{c}").over(whole).alias(f"total_{c}") for c in cols],
     )
-    w = Window.partitionBy("_bucket").orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    out = gb.join(F.broadcast(off), "_bucket", "left")
-    return out.select(
+    same = F.col("_range") == F.col("_r")
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    w = Window.partitionBy("_range", *by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    return ranges.join(offsets, same).select(
         *g.columns,
         *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in cols],
         *[f"total_{c}" for c in cols],
     )
 
 
-def pr_curve(df: DataFrame, score: str = SCORE, label: str = TX_FRAUD, buckets: int = 64) -> DataFrame:
+def pr_curve(df: DataFrame, score: str = SCORE, label: str = TX_FRAUD) -> DataFrame:
     """Per distinct score s: tp, fp (rows with score >= s), precision, recall, F1."""
     g = score_counts(df, score, label)
-    c = running_totals_desc(g, SCORE, ["p", "n"], buckets)
+    c = running_totals(g, [F.col(SCORE).desc()], ["p", "n"])
     c = c.withColumnsRenamed({"cum_p": "tp", "cum_n": "fp", "total_p": "P1", "total_n": "N1"})
     prec = F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp"))
     rec = F.try_divide(F.col("tp").cast("double"), F.col("P1"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cardrisk.functions.calendar import clock_hhmm
 from cardrisk.operators.filters import day_slice
+from cardrisk.operators.rolling import money
 from cardrisk.schema import (
     CUSTOMER_ID,
     TERMINAL_ID,
@@ -69,11 +70,11 @@ def top_fraud_terminals(df: DataFrame, day=None, n: int = 5, ts: str = TX_DATETI
     )
 
 
-def top_customers(df: DataFrame, n: int = 10) -> DataFrame:
-    """Customers by turnover (exact decimal sum)."""
+def top_customers(df: DataFrame, n: int = 10, amount_scale: int | None = 2) -> DataFrame:
+    """Customers by turnover (exact decimal sum; more digits than the scale are an error)."""
     return (
         df.groupBy(CUSTOMER_ID)
-        .agg(F.sum(F.col(TX_AMOUNT).cast("decimal(18,2)")).cast("double").alias("turnover"))
+        .agg(F.sum(money(TX_AMOUNT, amount_scale)).cast("double").alias("turnover"))
         .orderBy(F.col("turnover").desc_nulls_last(), F.col(CUSTOMER_ID))
         .limit(n)
     )
@@ -114,11 +115,6 @@ def sample_n(df: DataFrame, n: int = 1000, seed: int = 42, id_col: str = TRANSAC
     return df.orderBy(hash_order(id_col, seed), F.col(id_col)).limit(n)
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample, no shuffle (size varies around fraction * rows)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-
-
 def chronological(df: DataFrame, ts: str = TX_DATETIME) -> DataFrame:
     """Full sort by time for output files (range-partitioned, never between windows)."""
     return df.orderBy(F.col(ts).asc_nulls_last(), F.col(TRANSACTION_ID))

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardrisk.operators import metrics as m
 from cardrisk.operators.filters import filter_date_range
-from cardrisk.operators.group_stats import fit_terminal_ratio
 from cardrisk.plans import model as mdl
 from cardrisk.plans.features import build_features
 from cardrisk.sources import readers, sinks
@@ -34,22 +33,27 @@ def features_job(spark: SparkSession, source, out: str, min_day: int | None = 30
 
 
 def train_job(spark: SparkSession, source, model_dir: str, metrics_out: str | None = None, seed: int = 42,
-              class_weight: bool = False, **params) -> dict:
-    """Fit on train rows (early stopping on validation), threshold on validation, metrics on test."""
+              class_weight: bool = False, grid: dict | None = None, folds: int = mdl.CV_FOLDS, retrain: bool = False, **params) -> dict:
+    """Search (with a grid), fit on train rows, threshold on validation, metrics on test; or load.
+
+    A model that is stored already is loaded and evaluated on the same test rows; ``retrain`` fits anew.
+    The fitted model's feature importance goes to ``<model_dir>/importance``.
+    """
     tx = readers.as_dataframe(spark, source)
-    model, thr, test_pred, feats = mdl.train_eval(tx, seed=seed, class_weight=class_weight, **params)
-    t = thr.first()
+    if not retrain and mdl.stored(model_dir, spark):
+        model, threshold = mdl.load(model_dir, spark)
+        mat, _, _ = mdl.matrix(tx, seed)
+        test_pred = m.predict_at(mdl.score(model, mat.filter("split = 'test'")), threshold)
+    else:
+        model, thr, test_pred, feats, stats = mdl.train_eval(tx, seed=seed, class_weight=class_weight, grid=grid, folds=folds, **params)
+        threshold = thr.first()["threshold"]
+        spark.createDataFrame(mdl.feature_importance(model, feats), "feature string, importance double").coalesce(1).write.mode("overwrite").parquet(f"{model_dir}/importance")
+        mdl.save(model, threshold, model_dir, spark, feats, stats)
     metrics = m.binary_metrics(test_pred).first().asDict()
     curve = m.pr_curve(test_pred)
     metrics["roc_auc"] = m.roc_auc(curve).first()["roc_auc"]
     metrics["average_precision"] = m.average_precision(curve).first()["average_precision"]
-    metrics["threshold"] = t["threshold"]
-    mdl.save(model, t["threshold"], model_dir, spark)
-    ratio = fit_terminal_ratio(tx)
-    ratio.write.mode("overwrite").parquet(f"{model_dir}/terminal_ratio")
-    spark.createDataFrame([(f,) for f in feats], "feature string").coalesce(1).write.mode("overwrite").parquet(
-        f"{model_dir}/features"
-    )
+    metrics["threshold"] = threshold
     if metrics_out:
         spark.createDataFrame([metrics]).write.mode("overwrite").json(metrics_out)
     return metrics
@@ -59,10 +63,10 @@ def score_job(spark: SparkSession, model_dir: str, new_source, history_source, o
     """Score new transactions with a stored model; history gives the windows their past."""
     model, threshold = mdl.load(model_dir, spark)
     feats = [r[0] for r in spark.read.parquet(f"{model_dir}/features").collect()]  # bounded: one row per feature
-    ratio = spark.read.parquet(f"{model_dir}/terminal_ratio")
+    stats = spark.read.parquet(f"{model_dir}/terminal_stats")
     new = readers.as_dataframe(spark, new_source)
     history = readers.as_dataframe(spark, history_source)
-    preds = mdl.score_new(model, threshold, new, history, feats, ratio)
+    preds = mdl.score_new(model, threshold, new, history, feats, stats).drop(m.SCORE)
     sinks.write_predictions(preds, out, fmt)
     return preds
 
@@ -85,6 +89,8 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("model_dir")
     t.add_argument("--metrics-out")
     t.add_argument("--class-weight", action="store_true")
+    t.add_argument("--search", action="store_true", help="cross-validated search over the whole grid first")
+    t.add_argument("--retrain", action="store_true", help="fit anew although a model is stored")
     t.add_argument("--max-iter", type=int, default=100)
     t.add_argument("--max-depth", type=int, default=5)
     s = sub.add_parser("score")
@@ -98,7 +104,7 @@ def main(argv: list[str] | None = None) -> None:
         features_job(spark, a.source, a.out, a.min_day, a.begin, a.end, a.stage2, preview_out=a.preview_out)
     elif a.job == "train":
         res = train_job(spark, a.source, a.model_dir, a.metrics_out, class_weight=a.class_weight,
-                        maxIter=a.max_iter, maxDepth=a.max_depth, validationTol=0.0001)
+                        grid=mdl.GRID if a.search else None, retrain=a.retrain, maxIter=a.max_iter, maxDepth=a.max_depth)
         print(json.dumps(res, default=str))
     else:
         score_job(spark, a.model_dir, a.new_source, a.history_source, a.out)

@@ -2,26 +2,34 @@
 
 The booster is MLlib's ``GBTClassifier`` (distributed tree learning), not
 the reference's library, so scores differ from it; the workflow is the same:
-hash split, optional class weights, early stopping on a validation set, a
-threshold at the best F1 of the validation precision-recall curve (scaled by
-0.85), metrics on the test rows, scoring of new rows with their history.
+exact stratified split, cross-validated search, class weights, a final fit with the best
+setting and its best number of trees on a validation set, a threshold at the
+best F1 of the validation precision-recall curve (scaled by 0.85), metrics on the
+test rows, scoring of new rows with their history.
+
+The terminals' mean amount and fraud ratio are fitted on train rows only and
+stored with the model, so a score does not depend on the batch it is computed in.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cardrisk.functions.calendar import add_calendar_flags
 from cardrisk.operators import metrics as m
-from cardrisk.operators.group_stats import fit_terminal_ratio, fitted_ratio_lookup
+from cardrisk.operators.group_stats import fit_terminal_stats, fitted_stats_lookup
+from cardrisk.operators.rolling import with_us
 from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
 from cardrisk.session import cut_lineage
@@ -92,36 +100,69 @@ def choose_threshold(scored: DataFrame, label: str = TX_FRAUD, factor: float = m
     return m.best_threshold(m.pr_curve(scored, SCORE, label), factor)
 
 
-def prepare(tx: DataFrame, seed: int = 42, test: float = 0.2, valid: float = 0.1, parity: bool = False) -> DataFrame:
-    """Features (both stages), split; the terminal fraud ratio from training rows only unless ``parity``."""
+def prepare(tx: DataFrame, seed: int = 42, test: float = 0.2, valid: float = 0.1, parity: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Features (both stages) with their split, and the terminal statistics of the train rows.
+
+    With ``parity`` the features keep the statistics over all rows.
+    """
     feats = build_features(tx, stage2=True)
     d = stratified_split(feats, test=test, valid=valid, seed=seed)
-    if not parity:
-        ratio = fit_terminal_ratio(d.filter(F.col("split") != "test"))
-        d = fitted_ratio_lookup(d, ratio)
-    return d
+    stats = fit_terminal_stats(d.filter(F.col("split") == "train"))
+    return (d if parity else fitted_stats_lookup(d, stats)), stats
 
 
-def train_eval(tx: DataFrame, seed: int = 42, class_weight: bool = False, parity: bool = False, **params):
-    """Fit on train (early stopping on valid), threshold on valid, score test.
+def matrix(tx: DataFrame, seed: int = 42, parity: bool = False) -> tuple[DataFrame, list[str], DataFrame]:
+    """(model matrix with ``split`` and ``is_valid``, feature names, terminal statistics).
 
-    Returns (model, threshold DataFrame, scored test rows, feature names).
+    The window pipeline runs once: search, fitting and scoring read the written matrix.
     """
-    d = prepare(tx, seed=seed, parity=parity)
+    d, stats = prepare(tx, seed=seed, parity=parity)
     mat = feature_matrix(d, exclude=EXCLUDE, keep=[TRANSACTION_ID, "split", TX_DATETIME, "TX_FRAUD_SCENARIO"])
-    feats = feature_columns(d, EXCLUDE)
-    # the window pipeline runs once: fitting and the scoring passes read the
-    # matrix from the shared checkpoint folder (also survives executor loss)
     mat = cut_lineage(mat.withColumn("is_valid", F.col("split") == "valid"))
-    fit_rows = mat.filter(F.col("split") != "test")
+    return mat, feature_columns(d, EXCLUDE), cut_lineage(stats)
+
+
+def best_prefix(model: PipelineModel, valid: DataFrame) -> int:
+    """Number of trees with the least loss on the validation rows (the first of equals)."""
+    assembled = model.stages[0].transform(valid)
+    loss = model.stages[-1].evaluateEachIteration(assembled)
+    return loss.index(min(loss)) + 1
+
+
+def final_fit(mat: DataFrame, features: Sequence[str], class_weight: bool = True, **params) -> PipelineModel:
+    """Fit on train rows, then again with the number of trees that is best on the validation rows.
+
+    Trees are grown in turn from the seed, so the second fit is a prefix of the first.
+    """
+    rows = mat.filter(F.col("split") == "train")
     if class_weight:
-        fit_rows = with_class_weight(fit_rows)
-    model = fit(fit_rows, feats, valid_col="is_valid", weight_col="weight" if class_weight else None, **params)
+        rows = cut_lineage(with_class_weight(rows))
+    weight = "weight" if class_weight else None
+    params = {k: v for k, v in params.items() if k != "validationTol"}
+    model = fit(rows, features, weight_col=weight, **params)
+    valid = mat.filter(F.col("split") == "valid")
+    if valid.isEmpty():
+        return model
+    trees = best_prefix(model, valid)
+    return model if trees == model.stages[-1].getNumTrees else fit(rows, features, weight_col=weight, **{**params, "maxIter": trees})
+
+
+def train_eval(tx: DataFrame, seed: int = 42, class_weight: bool = False, parity: bool = False,
+               grid: Mapping[str, Sequence] | None = None, folds: int = CV_FOLDS, **params):
+    """Search (with a ``grid``), fit on train with the best setting and prefix, threshold on valid, score test.
+
+    Returns (model, threshold DataFrame, scored test rows, feature names, terminal statistics).
+    """
+    mat, feats, stats = matrix(tx, seed, parity)
+    if grid:
+        params = {**params, **grid_search(mat.filter(F.col("split") == "train"), feats, grid, folds, seed=seed)[0]}
+    params.setdefault("seed", seed)
+    model = final_fit(mat, feats, class_weight or bool(grid), **params)
     valid_scored = score(model, mat.filter(F.col("split") == "valid"))
     thr = choose_threshold(valid_scored)
     test_scored = score(model, mat.filter(F.col("split") == "test"))
     test_pred = m.predict_at(test_scored, thr.select("threshold").scalar())
-    return model, thr, test_pred, feats
+    return model, thr, test_pred, feats, stats
 
 
 def score_new(
@@ -130,19 +171,23 @@ def score_new(
     new_tx: DataFrame,
     history: DataFrame,
     features: Sequence[str],
-    terminal_ratio: DataFrame,
+    terminal_stats: DataFrame,
     lookback_days: int = 37,
     max_lag: int = 5,
 ) -> DataFrame:
-    """Score new transactions with both feature stages.
+    """A score and a prediction for every new row: ``TRANSACTION_ID, SCORE, PREDICTED_FRAUD``.
 
     History rows of the same customers/terminals from the ``lookback_days``
-    before the first new row are unioned in so the windows see their past;
-    only new rows are returned.  The terminal fraud ratio comes from training.
+    before the first new row are unioned in so the windows see their past, rows that
+    are themselves new left out.  Terminal statistics come from training.  A
+    row without customer, terminal or time has no window features; they are 0.
     """
-    first = new_tx.select(F.min(F.col(TX_DATETIME).cast("timestamp"))).scalar()
+    new = new_tx if TX_FRAUD in new_tx.columns else new_tx.withColumn(TX_FRAUD, F.lit(None).cast("int"))
+    new = cut_lineage(new.withColumn("_row", F.monotonically_increasing_id()))
+    history = history.join(new.select(TRANSACTION_ID), TRANSACTION_ID, "left_anti")
+    first = new.select(F.min(F.col(TX_DATETIME).cast("timestamp"))).scalar()
     hist = history.filter(F.col(TX_DATETIME).cast("timestamp") >= first - F.expr(f"INTERVAL {lookback_days} DAYS"))
-    customers = new_tx.select(CUSTOMER_ID).distinct()
+    customers = new.select(CUSTOMER_ID).distinct()
     # lags look back by rows, not time: also each new customer's last rows of any age
     w = Window.partitionBy(CUSTOMER_ID).orderBy(F.col(TX_DATETIME).desc(), F.col(TRANSACTION_ID).desc())
     last_rows = (
@@ -153,17 +198,18 @@ def score_new(
     )
     hist = (
         hist.join(customers, CUSTOMER_ID, "left_semi")
-        .unionByName(hist.join(new_tx.select(TERMINAL_ID).distinct(), TERMINAL_ID, "left_semi"))
+        .unionByName(hist.join(new.select(TERMINAL_ID).distinct(), TERMINAL_ID, "left_semi"))
         .unionByName(last_rows)
         .dropDuplicates([TRANSACTION_ID])
     )
-    new = new_tx if TX_FRAUD in new_tx.columns else new_tx.withColumn(TX_FRAUD, F.lit(None).cast("int"))
-    both = hist.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
-    feats = build_features(both, stage2=True).filter(F.col("_new"))
-    feats = fitted_ratio_lookup(feats, terminal_ratio)
-    mat = feature_matrix(feats, exclude=(*EXCLUDE, "_new"), keep=[TRANSACTION_ID])
+    both = hist.withColumn("_row", F.lit(None).cast("bigint")).unionByName(new, allowMissingColumns=True)
+    feats = build_features(both, stage2=True).filter(F.col("_row").isNotNull())
+    plain = fitted_stats_lookup(add_calendar_flags(with_us(new)), terminal_stats)
+    window_cols = [c for c in features if c not in plain.columns]
+    rows = plain.join(feats.select("_row", *window_cols), "_row", "left")
+    mat = feature_matrix(rows, exclude=(*EXCLUDE, "_row"), keep=[TRANSACTION_ID])
     s = score(model, mat.select(TRANSACTION_ID, *features))
-    return s.select(TRANSACTION_ID, (F.col(SCORE) >= F.lit(threshold)).cast("int").alias(PREDICTED_FRAUD))
+    return s.select(TRANSACTION_ID, SCORE, (F.col(SCORE) >= F.lit(threshold)).cast("int").alias(PREDICTED_FRAUD))
 
 
 def grid_search(
@@ -174,22 +220,31 @@ def grid_search(
     parallelism: int = 4,
     label: str = TX_FRAUD,
     seed: int = 42,
-):
-    """Cross-validated ROC-AUC over a parameter grid, folds from the id hash."""
-    g = gbt(label, seed=seed)
-    builder = ParamGridBuilder()
-    for name, values in (grid or GRID).items():
-        builder = builder.addGrid(g.getParam(name), list(values))
-    cv = CrossValidator(
-        estimator=Pipeline(stages=[assembler(features), g]),
-        estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
-        foldCol="fold",
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    return cv.fit(fold_column(train, folds, seed))
+    class_weight: bool = True,
+) -> tuple[dict, list[tuple[dict, float]]]:
+    """Cross-validated ROC-AUC over a parameter grid on stratified folds.
+
+    Returns the best setting and every setting with its mean AUC.  The rows are written
+    once with folds and class weights; every fit reads them.  Scores of the folds are
+    ranked exactly (``metrics.roc_auc``), ties counted half.
+    """
+    rows = fold_column(train, folds, seed, label=label)
+    rows = cut_lineage(with_class_weight(rows, label) if class_weight else rows)
+    names = list(grid or GRID)
+    settings = [dict(zip(names, values)) for values in itertools.product(*(grid or GRID).values())]
+
+    def mean_auc(setting: dict) -> float:
+        aucs = []
+        for k in range(folds):
+            model = fit(rows.filter(F.col("fold") != k), features, label, weight_col="weight" if class_weight else None, **{"seed": seed, **setting})
+            held = score(model, rows.filter(F.col("fold") == k))
+            aucs.append(m.roc_auc(m.pr_curve(held, SCORE, label)).first()[0])
+        known = [a for a in aucs if a is not None]  # a fold of one class has no AUC
+        return sum(known) / len(known) if known else 0.0
+
+    with ThreadPool(parallelism) as pool:
+        results = list(zip(settings, pool.map(inheritable_thread_target(rows.sparkSession)(mean_auc), settings)))
+    return max(results, key=lambda r: r[1])[0], results
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
@@ -198,8 +253,12 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> list[tu
     return sorted(zip(features, map(float, imp)), key=lambda t: (-t[1], t[0]))
 
 
-def save(model: PipelineModel, threshold: float, path: str, spark: SparkSession) -> None:
+def save(model: PipelineModel, threshold: float, path: str, spark: SparkSession, features: Sequence[str] = (), stats: DataFrame | None = None) -> None:
+    """Store the model with what scoring needs; the threshold is written last and marks a whole store."""
     model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(f,) for f in features], "feature string").coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
+    if stats is not None:
+        stats.write.mode("overwrite").parquet(f"{path}/terminal_stats")
     spark.createDataFrame([(float(threshold),)], "threshold double").write.mode("overwrite").parquet(f"{path}/threshold")
 
 
@@ -208,3 +267,12 @@ def load(path: str, spark: SparkSession) -> tuple[PipelineModel, float]:
     thr = spark.read.parquet(f"{path}/threshold").first()[0]
     return model, thr
 
+
+def stored(path: str, spark: SparkSession) -> bool:
+    """Whether a whole model is stored at the path."""
+    try:
+        return not spark.read.parquet(f"{path}/threshold").isEmpty()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return False
+        raise

@@ -56,7 +56,7 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 def one_hot(spark, sf):
     d = _enriched(spark, sf).select("TRANSACTION_ID", "c_mktsegment")
     segments = enrich.category_values(fx.load(spark, sf, "customer"), "c_mktsegment")
-    return enrich.one_hot(d, ["c_mktsegment"], values={"c_mktsegment": segments})
+    return enrich.one_hot(d, {"c_mktsegment": segments})
 
 
 

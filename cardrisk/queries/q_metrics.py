@@ -136,24 +136,23 @@ def metric_alert(spark, sf):
     return d.withColumn("alert", f1_alert("f1"))
 
 
-@register(
-    "stratified_split",
-    "WITH u AS (SELECT TRANSACTION_ID, TX_FRAUD,\n"
-    "  CAST(('0x' || substr(md5(CAST(TRANSACTION_ID AS VARCHAR) || ':42'), 1, 15)) AS BIGINT) / 1152921504606846976.0 AS u FROM tx)\n"
-    "SELECT TRANSACTION_ID, TX_FRAUD, CASE WHEN u < 0.2 THEN 'test' WHEN u < 0.28 THEN 'valid' ELSE 'train' END AS split FROM u",
-)
+SPLIT_SQL = """
+WITH r AS (SELECT TRANSACTION_ID, TX_FRAUD,
+  row_number() OVER (PARTITION BY TX_FRAUD ORDER BY md5(CAST(TRANSACTION_ID AS VARCHAR) || ':42'), TRANSACTION_ID) AS k,
+  count(*) OVER (PARTITION BY TX_FRAUD) AS n FROM tx),
+c AS (SELECT *, floor(n * CAST(0.2 AS DOUBLE) + 0.5) AS n_test FROM r),
+s AS (SELECT TRANSACTION_ID, TX_FRAUD, CASE WHEN k <= n_test THEN 'test'
+  WHEN k <= n_test + floor((n - n_test) * CAST(0.1 AS DOUBLE) + 0.5) THEN 'valid' ELSE 'train' END AS split FROM c)
+""".strip()
+
+
+@register("stratified_split", f"{SPLIT_SQL}\nSELECT TRANSACTION_ID, TX_FRAUD, split FROM s")
 def stratified_split_q(spark, sf):
     d = stratified_split(fx.tx(spark, sf), test=0.2, valid=0.1, seed=42)
     return d.select("TRANSACTION_ID", "TX_FRAUD", "split")
 
 
-@register(
-    "split_class_balance",
-    "WITH u AS (SELECT TX_FRAUD,\n"
-    "  CAST(('0x' || substr(md5(CAST(TRANSACTION_ID AS VARCHAR) || ':42'), 1, 15)) AS BIGINT) / 1152921504606846976.0 AS u FROM tx)\n"
-    "SELECT CASE WHEN u < 0.2 THEN 'test' WHEN u < 0.28 THEN 'valid' ELSE 'train' END AS split, TX_FRAUD, count(*) AS n\n"
-    "FROM u GROUP BY 1, 2",
-)
+@register("split_class_balance", f"{SPLIT_SQL}\nSELECT split, TX_FRAUD, count(*) AS n FROM s GROUP BY 1, 2")
 def split_class_balance(spark, sf):
     d = stratified_split(fx.tx(spark, sf), test=0.2, valid=0.1, seed=42)
     return d.groupBy("split", "TX_FRAUD").agg(F.count(F.lit(1)).alias("n"))

@@ -1,32 +1,35 @@
-"""Model fit and batch scoring (2.K K6/K7/K12): rows-only checks (not SQL-expressible)."""
+"""Model fit and batch scoring (2.K K6/K7/K12).
+
+The score itself is MLlib's; SQL states the rows, their labels and that scores and predictions are in range.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from cardrisk import fixtures as fx
-from cardrisk.operators.group_stats import fit_terminal_ratio
 from cardrisk.plans import model as mdl
+from cardrisk.queries.q_metrics import SPLIT_SQL
 from cardrisk.queries.registry import register
 from cardrisk.schema import TX_TIME_DAYS
 
-PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "validationTol": 0.0001}
+PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1}
+IN_RANGE = F.col("SCORE").between(0, 1)
 
 
-@register("model_fit_scores")
+@register("model_fit_scores", f"{SPLIT_SQL}\nSELECT TRANSACTION_ID, TX_FRAUD, TRUE AS score_in_range, TRUE AS pred_is_0_or_1 FROM s WHERE split = 'test'")
 def model_fit_scores(spark, sf):
-    """Test rows with their score and 0/1 prediction at the validation-chosen threshold."""
-    _, _, test_pred, _ = mdl.train_eval(fx.tx(spark, sf), **PARAMS)
-    return test_pred.select("TRANSACTION_ID", "TX_FRAUD", "SCORE", "PRED")
+    """The test rows with their labels; whether score and prediction are in range."""
+    test_pred = mdl.train_eval(fx.tx(spark, sf), **PARAMS)[2]
+    return test_pred.select("TRANSACTION_ID", "TX_FRAUD", IN_RANGE.alias("score_in_range"), F.col("PRED").isin(0, 1).alias("pred_is_0_or_1"))
 
 
-@register("score_batch")
+@register("score_batch", "SELECT TRANSACTION_ID, TRUE AS score_in_range, TRUE AS pred_is_0_or_1 FROM tx WHERE TX_TIME_DAYS >= 23")
 def score_batch(spark, sf, cut_day: int = 23):
     """Fit on days before ``cut_day``, then score the later days as new data with their history."""
     tx = fx.tx(spark, sf)
     past = tx.filter(F.col(TX_TIME_DAYS) < cut_day)
     new = tx.filter(F.col(TX_TIME_DAYS) >= cut_day).drop("TX_FRAUD", "TX_FRAUD_SCENARIO")
-    model, thr, _, feats = mdl.train_eval(past, **PARAMS)
-    ratio = fit_terminal_ratio(past)
-    threshold = thr.first()["threshold"]
-    return mdl.score_new(model, threshold, new, past, feats, ratio)
+    model, thr, _, feats, stats = mdl.train_eval(past, **PARAMS)
+    out = mdl.score_new(model, thr.first()["threshold"], new, past, feats, stats)
+    return out.select("TRANSACTION_ID", IN_RANGE.alias("score_in_range"), F.col("PREDICTED_FRAUD").isin(0, 1).alias("pred_is_0_or_1"))

@@ -26,13 +26,12 @@ RUNTIME_CONF = {
 
 # Static confs: only honoured when the session is created here.  Python
 # call-site capture for error messages costs about 1 ms per Column operation
-# when a plan is built; jobs built here switch it off.
+# when a plan is built; jobs built here switch it off.  Sizes (shuffle
+# partitions, memory) are the submit command's or the caller's, never set here.
 STATIC_CONF = {
     "spark.ui.enabled": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.shuffle.partitions": "8",
-    "spark.driver.memory": "16g",
 }
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardrisk.schema import COORDS, METRIC_HISTORY, SINGLE_METRIC_HISTORY, TRANSACTIONS, TX_AMOUNT
+from cardrisk.schema import COORDS, METRIC_HISTORY, SINGLE_METRIC_HISTORY, TRANSACTION_ID, TRANSACTIONS, TX_AMOUNT
 from cardrisk.session import ensure_conf
 
 # Timestamps keep microseconds in text files.
@@ -19,30 +19,54 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 TS_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def read_transactions_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTIONS) -> DataFrame:
+def read_transactions_csv(spark: SparkSession, path, schema: T.StructType = TRANSACTIONS, mixed_headers: bool = False) -> DataFrame:
     """Transactions from CSV with a header, typed by ``schema``; a stray index column is dropped.
 
-    NaN amounts become NULL (pandas treats NaN as missing).
+    Every file's header is checked against the first one's, and another column order is an
+    error.  ``mixed_headers`` maps the columns by name for each file instead (one more pass
+    for the headers).  NaN amounts become NULL (pandas treats NaN as missing).
     """
     ensure_conf(spark)
-    # the header decides the column order; known columns get the declared
-    # type, others (a stray index column) are read as text
-    header = spark.read.option("header", True).csv(path).columns
-    known = {f.name: f for f in schema.fields}
-    typed = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
-    df = (
-        spark.read.option("header", True)
-        .option("timestampFormat", TS_FORMAT)
-        .option("mode", "FAILFAST")
-        .schema(typed)
-        .csv(path)
-    )
-    df = df.drop("Unnamed: 0", "_c0")
+    if mixed_headers:
+        df = _csv_by_name(spark, path, schema)
+    else:
+        # the header decides the column order; known columns get the declared
+        # type, others (a stray index column) are read as text
+        header = spark.read.option("header", True).csv(path).columns
+        known = {f.name: f for f in schema.fields}
+        typed = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
+        df = (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("timestampFormat", TS_FORMAT)
+            .option("mode", "FAILFAST")
+            .schema(typed)
+            .csv(path)
+        )
+        df = df.drop("Unnamed: 0", "_c0")
     if TX_AMOUNT in df.columns:
         df = df.withColumn(TX_AMOUNT, F.when(F.isnan(TX_AMOUNT), None).otherwise(F.col(TX_AMOUNT)))
     return df
 
 
+def _csv_by_name(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` from files whose headers differ in order; a missing column is NULL."""
+    width = len(spark.read.csv(path).columns)
+    text = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max(width, len(schema) + 1))])
+    raw = spark.read.schema(text).csv(path).select(F.array(*text.fieldNames()).alias("v"), F.col("_metadata.file_path").alias("file"))
+    is_header = F.array_contains("v", F.lit(TRANSACTION_ID))
+    headers = raw.filter(is_header).select(F.col("file").alias("of"), F.col("v").alias("names"))  # one row for each file
+    rows = raw.filter(~F.coalesce(is_header, F.lit(False))).join(headers, F.col("file") == F.col("of"))
+
+    def column(f: T.StructField):
+        value = F.try_element_at("v", F.nullif(F.array_position("names", F.lit(f.name)), F.lit(0)).cast("int"))
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return F.to_timestamp(value, TS_FORMAT).cast(f.dataType).alias(f.name)
+        return value.cast(f.dataType).alias(f.name)
+
+    return rows.select(*[column(f) for f in schema.fields])
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet (default) or CSV by extension; used for dimension tables."""
     ensure_conf(spark)

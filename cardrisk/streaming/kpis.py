@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardrisk.fixtures import tx_from_events
+from cardrisk.operators.rolling import money
 from cardrisk.schema import CUSTOMER_ID, TX_AMOUNT, TX_DATETIME, TX_FRAUD
 from cardrisk.session import ensure_conf
 
@@ -40,15 +41,18 @@ def transaction_file_stream(spark: SparkSession, path: str, schema, fmt: str = "
     return r.load(path)
 
 
-def daily_kpi_stream(tx: DataFrame, watermark: str = "1 day", ts: str = TX_DATETIME) -> DataFrame:
-    """Per event-time day: transactions, frauds, exact money sum and count, approximate customers."""
+def daily_kpi_stream(tx: DataFrame, watermark: str = "1 day", ts: str = TX_DATETIME, amount_scale: int | None = 2) -> DataFrame:
+    """Per event-time day: transactions, frauds, exact money sum and count, approximate customers.
+
+    Rows later than ``watermark`` behind the newest are not counted (Spark's late-row
+    rule; the query's progress has their number in ``numRowsDroppedByWatermark``)."""
     return (
         tx.withWatermark(ts, watermark)
         .groupBy(F.window(ts, "1 day").alias("w"))
         .agg(
             F.count(F.lit(1)).alias("n_tx"),
             F.coalesce(F.sum(TX_FRAUD), F.lit(0)).cast("bigint").alias("n_fraud"),
-            F.sum(F.col(TX_AMOUNT).cast("decimal(18,2)")).alias("amount_sum"),
+            F.sum(money(TX_AMOUNT, amount_scale)).alias("amount_sum"),
             F.count(TX_AMOUNT).alias("amount_n"),
             F.approx_count_distinct(CUSTOMER_ID).alias("n_customers_approx"),
         )

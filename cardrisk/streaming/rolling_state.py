@@ -6,13 +6,14 @@ long arrays.  Each micro-batch's rows of the key are appended in (time, id)
 order and every new row gets its features from running sums over that
 sorted history (numpy ``searchsorted`` on the times, cumulative sums on the
 values) -- vectorised per group, no per-row Python loop.  Rows that left the
-look-back are evicted; an event-time timeout drops the state of a key that
+look-back behind the watermark are evicted (not behind the newest row seen, which one
+wrong clock could set); an event-time timeout drops the state of a key that
 has been quiet for a whole look-back.
 
 Features are those known at arrival: for input in time order they equal the
 batch operators (customer spend with the row-exact tie rule, delayed
 terminal risk).  Money is summed in integer cents, so means match the batch
-decimal sums exactly for amounts with at most two decimals.
+decimal sums exactly; amounts with more than ``amount_scale`` decimals are an error.
 """
 
 from __future__ import annotations
@@ -77,18 +78,23 @@ def _merge(state: GroupState, pdfs: Iterator[pd.DataFrame], value_of):
 
 
 def _store(state: GroupState, us, ids, v, has, lookback_us: int):
-    keep = us > us.max() - lookback_us
+    # rows to come are not older than the watermark, so their frames reach back to here
+    wm = state.getCurrentWatermarkMs()
+    keep = us > wm * 1000 - lookback_us
     state.update((us[keep].tolist(), ids[keep].tolist(), v[keep].tolist(), has[keep].tolist()))
     # quiet for a whole look-back in event time -> nothing left to remember
-    wm = state.getCurrentWatermarkMs()
     state.setTimeoutTimestamp(max(int(us.max() // 1000 + lookback_us // 1000 + 1), int(wm) + 1))
 
 
-def _cents(pdf: pd.DataFrame):
+def _units(pdf: pd.DataFrame, factor: int):
+    """Amounts in integer units of the last allowed digit."""
     a = pdf[TX_AMOUNT]
     has = a.notna().to_numpy()
-    cents = np.where(has, np.round(a.fillna(0).to_numpy("float64") * 100), 0).astype("int64")
-    return cents, has
+    x = a.fillna(0).to_numpy("float64")
+    units = np.round(x * factor)
+    if (units / factor != x).any():
+        raise ValueError(f"{TX_AMOUNT} has more digits than 1/{factor}: {x[units / factor != x][0]!r}")
+    return units.astype("int64"), has
 
 
 def _flag(pdf: pd.DataFrame):
@@ -97,14 +103,14 @@ def _flag(pdf: pd.DataFrame):
     return np.where(has, f.fillna(0).to_numpy("float64"), 0).astype("int64"), has
 
 
-def customer_state_fn(windows: Sequence[int] = WINDOWS_DAYS):
-    lookback = max(windows) * D
+def customer_state_fn(windows: Sequence[int] = WINDOWS_DAYS, amount_scale: int = 2):
+    lookback, factor = max(windows) * D, 10**amount_scale
 
     def fn(key, pdfs, state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
-        pos, us, ids, v, has = _merge(state, pdfs, _cents)
+        pos, us, ids, v, has = _merge(state, pdfs, lambda pdf: _units(pdf, factor))
         cnt = np.concatenate([[0], np.cumsum(has)])
         tot = np.concatenate([[0], np.cumsum(v)])
         # row-exact: the frame ends at the row itself in (time, id) order
@@ -115,7 +121,7 @@ def customer_state_fn(windows: Sequence[int] = WINDOWS_DAYS):
             s = tot[pos + 1] - tot[lo]
             out[customer_count_col(n)] = c.astype("int64")
             with np.errstate(divide="ignore", invalid="ignore"):
-                out[customer_avg_col(n)] = np.where(c > 0, (s / 100.0) / np.maximum(c, 1), np.nan)
+                out[customer_avg_col(n)] = np.where(c > 0, (s / float(factor)) / np.maximum(c, 1), np.nan)
         _store(state, us, ids, v, has, lookback)
         yield pd.DataFrame(out)
 
@@ -167,8 +173,8 @@ def _apply(stream: DataFrame, key: str, fn, schema, lookback_us: int, value_col:
     )
 
 
-def customer_rolling_stream(stream: DataFrame, windows: Sequence[int] = WINDOWS_DAYS) -> DataFrame:
-    fn, schema = customer_state_fn(windows)
+def customer_rolling_stream(stream: DataFrame, windows: Sequence[int] = WINDOWS_DAYS, amount_scale: int = 2) -> DataFrame:
+    fn, schema = customer_state_fn(windows, amount_scale)
     return _apply(stream, CUSTOMER_ID, fn, schema, max(windows) * D, TX_AMOUNT)
 
 

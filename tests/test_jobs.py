@@ -20,6 +20,9 @@ def test_features_train_score(spark, tmp_dir):
     past, new = tx.filter("TX_TIME_DAYS < 22"), tx.filter("TX_TIME_DAYS >= 22").drop("TX_FRAUD", "TX_FRAUD_SCENARIO")
     res = jobs.train_job(spark, past, os.path.join(tmp_dir, "model"), os.path.join(tmp_dir, "metrics"), maxIter=5, maxDepth=3)
     assert 0 <= res["roc_auc"] <= 1 and 0 <= res["threshold"] <= 1
+    again = jobs.train_job(spark, past, os.path.join(tmp_dir, "model"), maxIter=1)  # loads: the parameters have no effect
+    assert again == res
+    assert spark.read.parquet(os.path.join(tmp_dir, "model", "importance")).count() > 10
     preds = jobs.score_job(spark, os.path.join(tmp_dir, "model"), new, past, os.path.join(tmp_dir, "pred"))
     assert preds.count() == new.count()
     assert feats is not None

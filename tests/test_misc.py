@@ -76,26 +76,83 @@ def test_cached_source(spark):
 
 
 def test_stream_scoring(spark, tmp_dir):
+    """Streamed feature rows get the scores that the batch gets."""
     tx = fx.tx(spark, SF_SMALL)
-    model, thr, _, feats = mdl.train_eval(tx, maxIter=3, maxDepth=2)
-    s = kpis.tx_stream(spark, SF_SMALL).withColumn("X", F.col("TX_AMOUNT"))
-    feat_stream = s.select("TRANSACTION_ID", *[F.col("TX_AMOUNT").alias(c) if c not in s.columns else F.col(c) for c in feats])
-    out = score_stream(feat_stream, model, thr.first()["threshold"], feats)
-    q = (out.writeStream.format("parquet").option("path", f"{tmp_dir}/scores")
+    model, thr, _, feats, _ = mdl.train_eval(tx, maxIter=3, maxDepth=2)
+    threshold = thr.first()["threshold"]
+    mat = mdl.matrix(tx)[0].select("TRANSACTION_ID", *feats)
+    mat.repartition(3).write.parquet(f"{tmp_dir}/feat")
+    stream = spark.readStream.schema(mat.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/feat")
+    q = (score_stream(stream, model, threshold, feats).writeStream.format("parquet").option("path", f"{tmp_dir}/scores")
          .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
-    assert spark.read.parquet(f"{tmp_dir}/scores").count() == 1000
+    want = mdl.score(model, mat).select("TRANSACTION_ID", "SCORE", (F.col("SCORE") >= threshold).cast("int").alias("PREDICTED_FRAUD"))
+    got = spark.read.parquet(f"{tmp_dir}/scores")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 1000
 
 
 def test_metric_history_watch(spark, tmp_dir):
+    """The newest row is the last that arrived, also after midnight."""
     src = os.path.join(tmp_dir, "hist_in")
     os.makedirs(src)
     with open(os.path.join(src, "m1.csv"), "w") as f:
-        f.write("Zeit,Precision,Recall,F1_Score,ROC_AUC,PR_AUC\n10:00:00,0.95,0.77,0.86,0.99,0.87\n10:00:10,0.95,0.77,0.70,0.99,0.87\n")
+        f.write("Zeit,Precision,Recall,F1_Score,ROC_AUC,PR_AUC\n23:59:55,0.95,0.77,0.86,0.99,0.87\n00:00:05,0.95,0.77,0.70,0.99,0.87\n")
     q = watch_metric_history(spark, src, f"{tmp_dir}/hist", f"{tmp_dir}/alerts", f"{tmp_dir}/ck")
     q.awaitTermination()
     assert spark.read.parquet(f"{tmp_dir}/hist").count() == 2
-    assert spark.read.parquet(f"{tmp_dir}/alerts").first()["alert"] == "critical"
+    alert = spark.read.parquet(f"{tmp_dir}/alerts").first()
+    assert (alert["Zeit"], alert["alert"]) == ("00:00:05", "critical")
+
+
+def test_session_keeps_the_callers_sizes(spark):
+    from cardrisk.session import get_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert get_session().conf.get("spark.sql.shuffle.partitions") == "37"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_forwarded_flag_as_number_or_boolean(spark):
+    from cardrisk.operators.filters import second_level_queue
+
+    tx = fx.tx(spark, SF_SMALL)
+    flag = F.col("TRANSACTION_ID") % 10 == 0
+    as_number = second_level_queue(tx.withColumn("WEITERGELEITET_AN_SUPPORT", flag.cast("int")))
+    as_boolean = second_level_queue(tx.withColumn("WEITERGELEITET_AN_SUPPORT", flag))
+    ids = [r["TRANSACTION_ID"] for r in as_number.collect()]
+    assert ids == [r["TRANSACTION_ID"] for r in as_boolean.collect()] and len(ids) == 10 and all(i % 10 == 0 for i in ids)
+
+
+def test_far_future_row_does_not_wipe_a_state():
+    """History goes by the watermark: one wrong clock leaves it alone."""
+    import pandas as pd
+
+    from cardrisk.streaming.rolling_state import customer_state_fn
+
+    class State:
+        exists = hasTimedOut = False
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def setTimeoutTimestamp(self, t):
+            pass
+
+    fn, _ = customer_state_fn()
+    state, day = State(), 86400 * 10**6
+
+    def feed(i, us):
+        return next(fn((1,), iter([pd.DataFrame({"TRANSACTION_ID": [i], "us": [us], "TX_AMOUNT": [1.25]})]), state))["CUSTOMER_ID_NB_TX_7DAY_WINDOW"][0]
+
+    assert [feed(1, day), feed(2, 2 * day), feed(3, 9000 * day), feed(4, 3 * day)] == [1, 2, 1, 3]
+    with pytest.raises(ValueError, match="more digits"):
+        next(fn((1,), iter([pd.DataFrame({"TRANSACTION_ID": [9], "us": [day], "TX_AMOUNT": [0.004]})]), state))
 
 
 def test_checkpoint_and_scale_conf(spark):

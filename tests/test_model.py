@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cardrisk import fixtures as fx
-from cardrisk.operators.group_stats import fit_terminal_ratio
+from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans import model as mdl
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
 from conftest import SF_SMALL
@@ -13,33 +13,54 @@ PARAMS = {"maxIter": 5, "maxDepth": 3}
 
 def test_train_eval_and_store(spark, tmp_dir):
     tx = fx.tx(spark, SF_SMALL)
-    model, thr, test_pred, feats = mdl.train_eval(tx, **PARAMS)
+    model, thr, test_pred, feats, stats = mdl.train_eval(tx, **PARAMS)
     t = thr.first()
     assert 0 <= t["threshold"] <= 1
     n = test_pred.count()
     assert n > 0 and test_pred.filter(F.col("SCORE").between(0, 1)).count() == n
     imp = mdl.feature_importance(model, feats)
     assert len(imp) == len(feats) and abs(sum(v for _, v in imp) - 1) < 1e-6
-    mdl.save(model, t["threshold"], f"{tmp_dir}/m", spark)
+    assert not mdl.stored(f"{tmp_dir}/m", spark)
+    mdl.save(model, t["threshold"], f"{tmp_dir}/m", spark, feats, stats)
     m2, t2 = mdl.load(f"{tmp_dir}/m", spark)
-    assert t2 == t["threshold"]
+    assert t2 == t["threshold"] and mdl.stored(f"{tmp_dir}/m", spark)
 
 
-def test_score_new_rows_with_history(spark):
+def test_split_is_exact_for_every_label(spark):
+    d = stratified_split(fx.tx(spark, SF_SMALL), test=0.2, valid=0.1)
+    counts = {(r["TX_FRAUD"], r["split"]): r["count"] for r in d.groupBy("TX_FRAUD", "split").count().collect()}
+    for label in {k for k, _ in counts}:
+        n = sum(c for (k, _), c in counts.items() if k == label)
+        test = int(n * 0.2 + 0.5)
+        assert counts.get((label, "test"), 0) == test and counts.get((label, "valid"), 0) == int((n - test) * 0.1 + 0.5)
+    folds = fold_column(d, 5).groupBy("TX_FRAUD", "fold").count().groupBy("TX_FRAUD").agg((F.max("count") - F.min("count")).alias("gap")).collect()
+    assert all(r["gap"] <= 1 for r in folds)
+
+
+def test_every_new_row_is_scored_alike_in_any_batch(spark):
     tx = fx.tx(spark, SF_SMALL)
     past, new = tx.filter("TX_TIME_DAYS < 20"), tx.filter("TX_TIME_DAYS >= 20").drop("TX_FRAUD")
-    model, thr, _, feats = mdl.train_eval(past, **PARAMS)
-    out = mdl.score_new(model, thr.first()["threshold"], new, past, feats, fit_terminal_ratio(past))
-    assert out.count() == new.count()
-    assert set(out.columns) == {"TRANSACTION_ID", "PREDICTED_FRAUD"}
+    model, thr, _, feats, stats = mdl.train_eval(past, **PARAMS)
+    t = thr.first()["threshold"]
+    odd = new.limit(3).withColumn("CUSTOMER_ID", F.lit(None).cast("long")).unionByName(new.limit(2).withColumn("TERMINAL_ID", F.lit(None).cast("long")))
+    odd = odd.withColumn("TRANSACTION_ID", F.col("TRANSACTION_ID") + 10**9)
+    every = mdl.score_new(model, t, new.unionByName(odd), past, feats, stats)
+    assert every.count() == new.count() + 5
+    assert set(every.columns) == {"TRANSACTION_ID", "SCORE", "PREDICTED_FRAUD"} and every.filter("SCORE between 0 and 1").count() == every.count()
+    # the same rows in a small batch, the others given as history, the small batch itself among them
+    few = new.filter("TRANSACTION_ID % 7 = 0")
+    alone = mdl.score_new(model, t, few, past.unionByName(new, allowMissingColumns=True), feats, stats)
+    whole = {r[0]: (r[1], r[2]) for r in mdl.score_new(model, t, new, past, feats, stats).collect()}
+    got = {r[0]: (r[1], r[2]) for r in alone.collect()}
+    assert got and all(whole[i] == v for i, v in got.items())
 
 
 def test_grid_search_small(spark):
     d = build_features(fx.tx(spark, SF_SMALL))
     mat = feature_matrix(d, exclude=mdl.EXCLUDE, keep=["TRANSACTION_ID"])
     feats = feature_columns(d, mdl.EXCLUDE)
-    cv = mdl.grid_search(mat, feats, grid={"maxDepth": (2, 3), "maxIter": (3,)}, folds=2, parallelism=2)
-    assert len(cv.avgMetrics) == 2
+    best, results = mdl.grid_search(mat, feats, grid={"maxDepth": (2, 3), "maxIter": (3,)}, folds=2, parallelism=2)
+    assert len(results) == 2 and best in [r[0] for r in results] and all(0 <= a <= 1 for _, a in results)
 
 
 def test_class_weight(spark):

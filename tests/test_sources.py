@@ -82,3 +82,27 @@ def test_daily_partition_pruning(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(TX_DATE" in plan
     want = fx.tx(spark, SF_SMALL).filter(F.to_date("TX_DATETIME").between("2024-01-10", "2024-01-12")).count()
     assert d.count() == want
+
+
+def test_csv_header_order_by_name(spark, tmp_dir):
+    """Files with other column orders are an error, or mapped by name; never read by position."""
+    import pytest
+
+    from cardrisk import fixtures as fx
+    from cardrisk.schema import TRANSACTIONS
+    from cardrisk.sources.readers import TS_WRITE_FORMAT, read_transactions_csv
+    from conftest import SF_SMALL
+    from helpers import same_rows
+
+    tx = fx.tx(spark, SF_SMALL)
+    names = [f.name for f in TRANSACTIONS.fields if f.name in tx.columns]
+    tx = tx.select(*names)
+    a, b = tx.filter("TRANSACTION_ID % 2 = 0"), tx.filter("TRANSACTION_ID % 2 = 1").select(*reversed(names))
+    for part, where in ((a, "a"), (b, "b")):
+        part.coalesce(1).write.option("header", True).option("timestampFormat", TS_WRITE_FORMAT).csv(f"{tmp_dir}/{where}")
+    paths = [f"{tmp_dir}/a", f"{tmp_dir}/b"]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_transactions_csv(spark, paths).collect()
+    got = read_transactions_csv(spark, paths, mixed_headers=True).select(*names)
+    want = read_transactions_csv(spark, paths[0]).select(*names).unionByName(read_transactions_csv(spark, paths[1]).select(*names))
+    assert same_rows(got, want) and got.count() == 1000
