@@ -14,14 +14,17 @@ from cardrisk.queries.registry import register
 from cardrisk.schema import TX_TIME_DAYS
 
 PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1}
-IN_RANGE = F.col("SCORE").between(0, 1)
+
+
+def in_range():
+    return F.col("SCORE").between(0, 1).alias("score_in_range")
 
 
 @register("model_fit_scores", f"{SPLIT_SQL}\nSELECT TRANSACTION_ID, TX_FRAUD, TRUE AS score_in_range, TRUE AS pred_is_0_or_1 FROM s WHERE split = 'test'")
 def model_fit_scores(spark, sf):
     """The test rows with their labels; whether score and prediction are in range."""
     test_pred = mdl.train_eval(fx.tx(spark, sf), **PARAMS)[2]
-    return test_pred.select("TRANSACTION_ID", "TX_FRAUD", IN_RANGE.alias("score_in_range"), F.col("PRED").isin(0, 1).alias("pred_is_0_or_1"))
+    return test_pred.select("TRANSACTION_ID", "TX_FRAUD", in_range(), F.col("PRED").isin(0, 1).alias("pred_is_0_or_1"))
 
 
 @register("score_batch", "SELECT TRANSACTION_ID, TRUE AS score_in_range, TRUE AS pred_is_0_or_1 FROM tx WHERE TX_TIME_DAYS >= 23")
@@ -32,4 +35,4 @@ def score_batch(spark, sf, cut_day: int = 23):
     new = tx.filter(F.col(TX_TIME_DAYS) >= cut_day).drop("TX_FRAUD", "TX_FRAUD_SCENARIO")
     model, thr, _, feats, stats = mdl.train_eval(past, **PARAMS)
     out = mdl.score_new(model, thr.first()["threshold"], new, past, feats, stats)
-    return out.select("TRANSACTION_ID", IN_RANGE.alias("score_in_range"), F.col("PREDICTED_FRAUD").isin(0, 1).alias("pred_is_0_or_1"))
+    return out.select("TRANSACTION_ID", in_range(), F.col("PREDICTED_FRAUD").isin(0, 1).alias("pred_is_0_or_1"))
