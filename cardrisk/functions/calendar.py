@@ -53,7 +53,3 @@ def clock_hhmm(ts=TX_DATETIME) -> Column:
 
 def iso_day(ts=TX_DATETIME) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd")
-
-
-def unix_us(ts=TX_DATETIME) -> Column:
-    return F.unix_micros(_c(ts).cast("timestamp"))

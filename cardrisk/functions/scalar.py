@@ -30,22 +30,11 @@ def pct_deviation(amount, mean) -> Column:
     return F.when(m != 0, (a - m) / m * 100).when(m == 0, F.lit(0.0))
 
 
-def inf_to_zero(x) -> Column:
-    c = _c(x)
-    return F.when(c.isin(float("inf"), float("-inf")), F.lit(0.0)).otherwise(c)
-
-
 def null_to(x, value) -> Column:
     c = _c(x)
     return F.coalesce(c, F.lit(value))
 
 
-def nan_to_null(x) -> Column:
-    """pandas treats NaN as missing; Spark keeps NaN apart from NULL."""
-    c = _c(x)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
 def clip_round(x, base: float, spread: float, digits: int = 4) -> Column:
     """Clip to [base - spread, base + spread] and round."""
     return F.round(F.least(F.greatest(_c(x), F.lit(base - spread)), F.lit(base + spread)), digits)

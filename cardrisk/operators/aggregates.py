@@ -295,9 +295,5 @@ def filter_domain(df: DataFrame, ts: str = TX_DATETIME) -> DataFrame:
     return days.select("TX_DATE", lo.alias("min_amount"), hi.alias("max_amount")).orderBy(F.col("TX_DATE").desc())
 
 
-def terminal_mean(df: DataFrame, col: str, key: str = TERMINAL_ID, digits: int = 9) -> DataFrame:
-    return df.groupBy(key).agg(F.round(F.avg(col), digits).alias(f"mean_{col}"))
-
-
 def centroid(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     return df.agg(F.avg(lat).alias(lat), F.avg(lon).alias(lon))

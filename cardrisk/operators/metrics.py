@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardrisk.schema import TX_FRAUD, TX_FRAUD_SCENARIO
+from cardrisk.schema import TRANSACTION_ID, TX_FRAUD, TX_FRAUD_SCENARIO
 from cardrisk.session import cut_lineage
 
 SCORE = "SCORE"
@@ -106,6 +106,12 @@ def predict_at(df: DataFrame, threshold, score: str = SCORE) -> DataFrame:
     return df.withColumn("PRED", (F.col(score) >= t).cast("int"))
 
 
+def align(predictions: DataFrame, source: DataFrame, key: str = TRANSACTION_ID) -> DataFrame:
+    """Predictions with the columns of their source rows, joined by id; a prediction without a source row stays."""
+    extra = [c for c in predictions.columns if c != key]
+    return predictions.join(source.drop(*extra), key, "left")
+
+
 def confusion(df: DataFrame, label: str = TX_FRAUD, pred: str = "PRED", by: list[str] | None = None) -> DataFrame:
     y, p = F.col(label), F.col(pred)
     aggs = [

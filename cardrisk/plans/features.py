@@ -86,15 +86,6 @@ def stage1_features(df: DataFrame, min_day: int | None = 30, fill_zero: bool = T
     return build_features(df, stage2=False, min_day=min_day, fill_zero=fill_zero, **kw)
 
 
-def stage2_features(feat: DataFrame, drift_window: int | None = None, amount_scale: int | None = 2,
-                    block_days: int | str | None = "auto", windows: Sequence[int] = WINDOWS_DAYS) -> DataFrame:
-    """Second-stage features over an existing stage-one table."""
-    d = feat.withColumn(TX_AMOUNT_DEVIATION, F.col(TX_AMOUNT) - F.col(customer_avg_col(1)))
-    c_block = resolve_blocks(max(windows) * D, block_days, d, CUSTOMER_ID)
-    d = add_customer_sequence(d, drift_window=drift_window, block_us=c_block)
-    return terminal_means(d, amount_scale=amount_scale)
-
-
 def feature_columns(df: DataFrame, exclude: Sequence[str] = NON_FEATURE_COLS) -> list[str]:
     """Numeric columns that are model features (ids, time, label, scenario dropped)."""
     drop = set(exclude)
@@ -123,4 +114,3 @@ def feature_matrix(df: DataFrame, exclude: Sequence[str] = NON_FEATURE_COLS, kee
     if TX_FRAUD in df.columns:
         sel.append(F.coalesce(F.col(TX_FRAUD), F.lit(0)).alias(TX_FRAUD))
     return df.select(*sel)
-

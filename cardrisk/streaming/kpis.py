@@ -32,15 +32,6 @@ def tx_stream(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return tx_from_events(event_stream(spark, sf_dir, **kw))
 
 
-def transaction_file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
-        r = r.option("header", True)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(path)
-
-
 def daily_kpi_stream(tx: DataFrame, watermark: str = "1 day", ts: str = TX_DATETIME, amount_scale: int | None = 2) -> DataFrame:
     """Per event-time day: transactions, frauds, exact money sum and count, approximate customers.
 
