@@ -31,8 +31,9 @@ from cardrisk.llm.common import prepare
 
 GRAM, WINDOW = 3, 8
 POSITION_BITS = 24
-#: Blocks of ids for each shuffle partition, so that partitions come out even.
-BLOCKS = 4
+#: Blocks of ids for each shuffle partition, so that partitions come out even, and blocks
+#: in all: their bounds are part of the plan.  Larger blocks sort on disk.
+BLOCKS, MOST_BLOCKS = 4, 1 << 14
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -131,7 +132,7 @@ def with_next(docs: DataFrame, derived: dict[str, Column]) -> DataFrame:
     spark = prepare(docs.sparkSession, python=False)
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cuts = partitions * BLOCKS
+    cuts = min(partitions * BLOCKS, MOST_BLOCKS)
     found = source.agg(F.percentile_approx("doc_id", [i / cuts for i in range(1, cuts)], 10 * cuts).alias("q")).first()["q"]
     block = _block(sorted(set(found or [])), F.col("doc_id"))
     # the least id of each block: as many rows as there are blocks
