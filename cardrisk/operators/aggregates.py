@@ -60,6 +60,11 @@ def daily_kpis(df: DataFrame, ts: str = TX_DATETIME, approx_customers: bool = Fa
         mean_money(scale=amount_scale).alias("mean_amount"),
         customers.alias("n_customers"),
     )
+    return with_day_change(daily)
+
+
+def with_day_change(daily: DataFrame) -> DataFrame:
+    """Transactions per customer and the fraud change against the calendar day before."""
     # One row per calendar day (bounded by the calendar, not the data): a lag
     # over the ordered days finds the day before without scanning twice.
     w = Window.orderBy("TX_DATE")

@@ -2,20 +2,39 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from cardrisk import fixtures as fx
 from cardrisk.queries.q_windows import cust_sql, term_sql
 from cardrisk.queries.registry import register
 from cardrisk.session import scratch_path
 from cardrisk.streaming import history_features, kpis, rolling_state
 
 
+def tx_in_batches(spark, sf: str, batches: int = 4):
+    """The events as a stream of several files in time order, one file for each micro-batch."""
+    events = fx.load(spark, sf, "events")
+    base = scratch_path(spark, "stream_events")
+    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    part = F.coalesce(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - lo) * batches / (hi - lo + 1)), F.lit(0))
+    for i in range(batches):
+        events.filter(part == i).sortWithinPartitions("ts").coalesce(1).write.parquet(f"{base}/{i}")
+    stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(base)
+    return fx.tx_from_events(stream)
+
+
 @register(
     "stream_daily_kpis",
-    "SELECT CAST(TX_DATETIME AS DATE) AS TX_DATE, count(*) AS n_tx, CAST(coalesce(sum(TX_FRAUD), 0) AS BIGINT) AS n_fraud,\n"
-    "  CAST(sum(CAST(TX_AMOUNT AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(TX_AMOUNT), 0) AS mean_amount FROM tx GROUP BY 1",
+    "WITH d AS (SELECT CAST(TX_DATETIME AS DATE) AS TX_DATE, count(*) AS n_tx, CAST(coalesce(sum(TX_FRAUD), 0) AS BIGINT) AS n_fraud,\n"
+    "  CAST(sum(CAST(TX_AMOUNT AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(TX_AMOUNT), 0) AS mean_amount,\n"
+    "  count(DISTINCT CUSTOMER_ID) AS n_customers FROM tx GROUP BY 1)\n"
+    "SELECT a.TX_DATE, a.n_tx, a.n_fraud, a.mean_amount, a.n_customers,\n"
+    "  coalesce(CAST(a.n_tx AS DOUBLE) / nullif(a.n_customers, 0), 0) AS tx_per_customer,\n"
+    "  a.n_fraud - coalesce(b.n_fraud, 0) AS fraud_delta FROM d a LEFT JOIN d b ON b.TX_DATE + 1 = a.TX_DATE",
 )
 def stream_daily_kpis(spark, sf):
     base = scratch_path(spark, "stream_kpis")
-    q = kpis.write_batches(kpis.daily_kpi_stream(kpis.tx_stream(spark, sf)), f"{base}/out", f"{base}/ckpt")
+    q = kpis.write_batches(kpis.daily_kpi_stream(tx_in_batches(spark, sf)), f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return kpis.daily_kpis_final(spark, f"{base}/out")
 
@@ -42,7 +61,7 @@ def _run_append(spark, stream, name: str):
 )
 def stream_customer_rolling(spark, sf):
     """Per-customer rolling spend known at arrival (equals the row-exact batch form on in-order input)."""
-    return _run_append(spark, rolling_state.customer_rolling_stream(kpis.tx_stream(spark, sf)), "stream_cust")
+    return _run_append(spark, rolling_state.customer_rolling_stream(tx_in_batches(spark, sf)), "stream_cust")
 
 
 @register(
@@ -51,7 +70,7 @@ def stream_customer_rolling(spark, sf):
 )
 def stream_terminal_risk(spark, sf):
     """Per-terminal delayed risk known at arrival (equals the batch form on in-order input)."""
-    return _run_append(spark, rolling_state.terminal_risk_stream(kpis.tx_stream(spark, sf)), "stream_term")
+    return _run_append(spark, rolling_state.terminal_risk_stream(tx_in_batches(spark, sf)), "stream_term")
 
 
 @register(
@@ -61,7 +80,7 @@ def stream_terminal_risk(spark, sf):
 def stream_customer_rolling_history(spark, sf):
     """Customer features per micro-batch through the batch operators and a history table (hot-key form)."""
     base = scratch_path(spark, "stream_cust_hist")
-    history_features.run_history_features(spark, kpis.tx_stream(spark, sf), "customer", base).awaitTermination()
+    history_features.run_history_features(spark, tx_in_batches(spark, sf), "customer", base).awaitTermination()
     return history_features.read_history_features(spark, base)
 
 
@@ -72,5 +91,5 @@ def stream_customer_rolling_history(spark, sf):
 def stream_terminal_risk_history(spark, sf):
     """Terminal risk per micro-batch through the batch operators and a history table (hot-key form)."""
     base = scratch_path(spark, "stream_term_hist")
-    history_features.run_history_features(spark, kpis.tx_stream(spark, sf), "terminal", base).awaitTermination()
+    history_features.run_history_features(spark, tx_in_batches(spark, sf), "terminal", base).awaitTermination()
     return history_features.read_history_features(spark, base)

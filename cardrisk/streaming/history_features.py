@@ -9,7 +9,10 @@ their features; then they are appended to the history.
 
 Both writes go to ``.../batch_id=<n>`` folders with overwrite, and a batch
 reads only history of earlier batches, so a retried batch gives the same
-result.
+result.  Every ``SNAPSHOT_EVERY`` batches the rows still inside the look-back
+behind the newest are written as one snapshot, so a batch reads one snapshot and
+the few batches since, however long the stream has run; what lies before the
+newest snapshot is no longer read and may be deleted.
 """
 
 from __future__ import annotations
@@ -23,14 +26,16 @@ from cardrisk.operators.rolling import customer_spending, terminal_risk, with_us
 from cardrisk.schema import CUSTOMER_ID, RISK_DELAY_DAYS, TERMINAL_ID, TX_DATETIME, US, WINDOWS_DAYS, D
 
 
-def _read_history(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored history, or None before the first batch has written any."""
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+SNAPSHOT_EVERY = 20
+
+
+def read_history(spark: SparkSession, history: str, batch_id: int, schema) -> DataFrame | None:
+    """The stored rows of the batches before ``batch_id``: the newest snapshot and the batches since."""
+    snapshot = batch_id // SNAPSHOT_EVERY * SNAPSHOT_EVERY - 1  # the last batch in it
+    paths = [f"{history}/batch_id={n}" for n in range(snapshot + 1, batch_id)]
+    if snapshot >= 0:
+        paths.append(f"{history}/snapshot={snapshot}")
+    return spark.read.schema(schema).parquet(*paths) if paths else None
 
 
 def history_batch(
@@ -46,18 +51,29 @@ def history_batch(
     new = with_us(batch).withColumn("_new", F.lit(True))
     first_us = new.select(F.min(US)).scalar()
     keys = new.select(key).distinct()
-    stored = _read_history(spark, history)
+    both = new
+    stored = read_history(spark, history, batch_id, with_us(batch).schema)
     if stored is not None:
-        hist = stored.filter(F.col("batch_id") < batch_id)
-        first_day = F.to_date(F.timestamp_micros(first_us - F.lit(lookback_days * D)))
-        hist = hist.filter((F.col("TX_DATE") >= first_day) & (F.col(US) > first_us - F.lit(lookback_days * D)))
-        hist = hist.join(keys, key, "left_semi").drop("TX_DATE", "batch_id").withColumn("_new", F.lit(False))
+        hist = stored.filter(F.col(US) > first_us - F.lit(lookback_days * D))
+        hist = hist.join(keys, key, "left_semi").withColumn("_new", F.lit(False))
         both = hist.unionByName(new, allowMissingColumns=True)
-    else:
-        both = new
     return features(both).filter(F.col("_new")).drop("_new")
 
 
+def store_batch(spark: SparkSession, batch: DataFrame, batch_id: int, history: str, lookback_days: int) -> None:
+    """Append a batch to the history (an empty one too), and write the snapshot that is due."""
+    rows = with_us(batch)
+    rows.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
+    if (batch_id + 1) % SNAPSHOT_EVERY == 0:
+        older = read_history(spark, history, batch_id, rows.schema)
+        live = rows if older is None else older.unionByName(rows)
+        newest = live.agg(F.max(F.struct(TX_DATETIME, US))).first()[0]
+        if newest is not None:
+            # late rows up to one more look-back still find their frames
+            live = live.filter(F.col(US) > newest[US] - 2 * lookback_days * D)
+        live.write.mode("overwrite").parquet(f"{history}/snapshot={batch_id}")
+
+
 def run_history_features(
     spark: SparkSession,
     stream: DataFrame,
@@ -84,12 +100,14 @@ def run_history_features(
     history, out = os.path.join(base, "history"), os.path.join(base, "out")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        f = history_batch(spark, batch, batch_id, history, key, lookback, features)
-        f.select("TRANSACTION_ID", key, *cols).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        rows = with_us(batch).withColumn("TX_DATE", F.to_date(TX_DATETIME))
-        rows.write.mode("overwrite").partitionBy("TX_DATE").parquet(f"{history}/batch_id={batch_id}")
+        batch = batch.persist()  # read by the features, their keys, and the history
+        try:
+            if not batch.isEmpty():
+                f = history_batch(spark, batch, batch_id, history, key, lookback, features)
+                f.select("TRANSACTION_ID", key, *cols).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            store_batch(spark, batch, batch_id, history, lookback)
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.option("checkpointLocation", os.path.join(base, "ckpt"))

@@ -9,45 +9,32 @@ sink is idempotent; readers take the newest row per day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.fixtures import tx_from_events
+from cardrisk.operators.aggregates import with_day_change
 from cardrisk.operators.rolling import money
 from cardrisk.schema import CUSTOMER_ID, TX_AMOUNT, TX_DATETIME, TX_FRAUD
-from cardrisk.session import ensure_conf
-
-
-def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_files: int | None = None) -> DataFrame:
-    """Stream the files of one table in a folder of parquet tables."""
-    ensure_conf(spark)
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
-
-
-def tx_stream(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return tx_from_events(event_stream(spark, sf_dir, **kw))
 
 
 def daily_kpi_stream(tx: DataFrame, watermark: str = "1 day", ts: str = TX_DATETIME, amount_scale: int | None = 2) -> DataFrame:
-    """Per event-time day: transactions, frauds, exact money sum and count, approximate customers.
+    """Per event-time day and customer: transactions, frauds, exact money sum and count.
 
-    Rows later than ``watermark`` behind the newest are not counted (Spark's late-row
-    rule; the query's progress has their number in ``numRowsDroppedByWatermark``)."""
+    Customers stay apart so that a day's number of customers is exact; state is one row for
+    each customer of an open day.  Rows later than ``watermark`` behind the newest are not
+    counted (Spark's late-row rule; the query's progress has their number in
+    ``numRowsDroppedByWatermark``).
+    """
     return (
         tx.withWatermark(ts, watermark)
-        .groupBy(F.window(ts, "1 day").alias("w"))
+        .groupBy(F.window(ts, "1 day").alias("w"), CUSTOMER_ID)
         .agg(
             F.count(F.lit(1)).alias("n_tx"),
             F.coalesce(F.sum(TX_FRAUD), F.lit(0)).cast("bigint").alias("n_fraud"),
             F.sum(money(TX_AMOUNT, amount_scale)).alias("amount_sum"),
             F.count(TX_AMOUNT).alias("amount_n"),
-            F.approx_count_distinct(CUSTOMER_ID).alias("n_customers_approx"),
         )
-        .select(F.to_date(F.col("w.start")).alias("TX_DATE"), "n_tx", "n_fraud", "amount_sum", "amount_n", "n_customers_approx")
+        .select(F.to_date(F.col("w.start")).alias("TX_DATE"), CUSTOMER_ID, "n_tx", "n_fraud", "amount_sum", "amount_n")
     )
 
 
@@ -63,16 +50,19 @@ def write_batches(stream: DataFrame, out: str, checkpoint: str, output_mode: str
     return w.start()
 
 
-def latest_per_key(spark: SparkSession, out: str, key: str) -> DataFrame:
+def latest_per_key(spark: SparkSession, out: str, *keys: str) -> DataFrame:
     """The newest version of every key across the written micro-batches."""
     d = spark.read.parquet(out)
-    w = Window.partitionBy(key).orderBy(F.col("batch_id").desc())
-    return d.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "batch_id")
+    values = F.struct(*[c for c in d.columns if c not in (*keys, "batch_id")])
+    return d.groupBy(*keys).agg(F.max_by(values, "batch_id").alias("_v")).select(*keys, "_v.*")
 
 
 def daily_kpis_final(spark: SparkSession, out: str) -> DataFrame:
-    d = latest_per_key(spark, out, "TX_DATE")
-    return d.select(
-        "TX_DATE", "n_tx", "n_fraud",
-        F.try_divide(F.col("amount_sum").cast("double"), F.col("amount_n")).alias("mean_amount"),
+    """The columns of ``aggregates.daily_kpis`` from the written micro-batches."""
+    daily = latest_per_key(spark, out, "TX_DATE", CUSTOMER_ID).groupBy("TX_DATE").agg(
+        F.sum("n_tx").alias("n_tx"),
+        F.sum("n_fraud").alias("n_fraud"),
+        F.try_divide(F.sum("amount_sum").cast("double"), F.sum("amount_n")).alias("mean_amount"),
+        F.count(CUSTOMER_ID).alias("n_customers"),
     )
+    return with_day_change(daily)
