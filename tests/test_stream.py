@@ -61,9 +61,12 @@ def test_stream_daily_kpis_equal_batch(spark, tmp_dir):
     assert same_rows(got, want)
 
 
-def test_history_mode_equals_batch(spark, tmp_dir):
+def test_history_mode_equals_batch(spark, tmp_dir, monkeypatch):
+    """With a snapshot every third batch; what lies before it is not read."""
+    from cardrisk.streaming import history_features
     from cardrisk.streaming.history_features import read_history_features, run_history_features
 
+    monkeypatch.setattr(history_features, "SNAPSHOT_EVERY", 3)
     for kind, want in (
         ("customer", customer_spending(fx.tx(spark, SF_SMALL), ties="row")),
         ("terminal", terminal_risk(fx.tx(spark, SF_SMALL))),
@@ -74,3 +77,4 @@ def test_history_mode_equals_batch(spark, tmp_dir):
         got = read_history_features(spark, base)
         assert got.count() == want.count()
         assert same_rows(got, want.select(*got.columns))
+        assert any(d.startswith("snapshot=") for d in os.listdir(os.path.join(base, "history")))
