@@ -127,3 +127,40 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(S.named(base, KINDS), 256).alias("base_sha256"), S.named(F.col("found"), KINDS).alias("spans"),
         S.count(F.col("found"), NOVEL).alias("n_novel"), F.array_join(F.transform(F.array_sort("found"), lambda s: s["bytes"].cast("string")), ",").alias("span_bytes"),
     )
+
+
+def _words_sql(text: str) -> str:
+    return f"list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SHINGLES = (
+    "CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))\n"
+    "  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"
+)
+
+_SQL["op1_decontamination"] = f"""
+WITH dw AS (SELECT row_number() OVER () AS r, doc_id, {_words_sql(_FOLDED)} AS w FROM documents),
+ds AS (SELECT r, doc_id, {_SHINGLES} AS s FROM dw),
+iw AS (SELECT item_id, {_words_sql(_FOLDED)} AS w FROM benchmark),
+items AS (SELECT min(item_id) AS item_id, array_to_string(list(item_id ORDER BY item_id), ',') AS item_ids, s
+  FROM (SELECT item_id, list_sort({_SHINGLES}) AS s FROM iw) WHERE len(s) > 0 GROUP BY s),
+d AS (SELECT r, doc_id, len(s) AS n, unnest(s) AS g FROM ds),
+i AS (SELECT item_id, item_ids, len(s) AS q, unnest(s) AS g FROM items),
+pairs AS (SELECT r, doc_id, n, item_id, item_ids, q, count(*) AS shared FROM d JOIN i USING (g) GROUP BY ALL)
+SELECT doc_id, item_id, item_ids, shared, q AS item_shingles, n AS doc_shingles, CAST(shared AS DOUBLE) / q AS containment
+FROM pairs WHERE shared >= CAST(0.8 AS DOUBLE) * q
+""".strip()
+
+_SQL["op6_substring_dedup"] = f"""
+WITH dw AS (SELECT row_number() OVER () AS r, doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents),
+runs AS (SELECT r, unnest(range(1, len(w) - 33)) AS pos, unnest(list_transform(range(1, len(w) - 33), lambda i: hash(w[i:i + 34]))) AS h FROM dw WHERE len(w) >= 35),
+twice AS (SELECT r, pos FROM runs WHERE h IN (SELECT h FROM runs GROUP BY h HAVING count(*) > 1)),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM dw),
+marked AS (SELECT words.r, words.pos, word, max(CASE WHEN twice.pos IS NULL THEN 0 ELSE 1 END)
+    OVER (PARTITION BY words.r ORDER BY words.pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM words LEFT JOIN twice ON twice.r = words.r AND twice.pos = words.pos),
+kept AS (SELECT r, sum(gone) AS n_removed, string_agg(CASE WHEN gone = 0 THEN word END, ' ' ORDER BY pos) AS kept FROM marked GROUP BY r)
+SELECT doc_id, len(w) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM dw LEFT JOIN kept USING (r)
+""".strip()

@@ -92,6 +92,22 @@ def test_split_is_the_tokenizers_own():
     assert [strings[a:b] for a, b in zip(split.first, split.first[1:])] == [pattern.findall(t) for t in texts]
 
 
+def test_piece_cache_of_any_size_gives_the_tokenizers_ids(pairs):
+    from cardrisk.llm.pretokens import PieceCache, Split, load_tokenizer, tokenizer_path
+
+    class Small(PieceCache):
+        SLOTS, POOL = 1 << 5, 200
+
+    cache = Small(load_tokenizer(tokenizer_path()))
+    texts = [t or "" for _, t in pairs[:60]]
+    for lo in range(0, 60, 7):
+        split = Split(texts[lo : lo + 7])
+        ids, count = cache.encode(split)
+        ends = np.concatenate([[0], np.cumsum(count)])[split.first]
+        for i, t in enumerate(texts[lo : lo + 7]):
+            assert ids[ends[i] : ends[i + 1]].tolist() == cache.tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_token_counts(docs, encoded, no_docs):
     from cardrisk.llm.token_counts import token_counts
 
