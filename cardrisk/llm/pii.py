@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cardrisk.llm import kernels as K
 from cardrisk.llm.common import join_docs, keyed, prepare, signed, text_slices, written
-from cardrisk.llm.spans import SPANS, replaced
+from cardrisk.llm.spans import SPANS, Taken, replaced
 
 KINDS = ("email", "ip", "card", "phone", "term")
 EMAIL, IP, CARD, PHONE, TERM = range(5)
@@ -130,13 +130,13 @@ def detect(source: DataFrame) -> DataFrame:
             for text in b.column(2).to_pylist():
                 found = entities(text)
                 base.append([{"start": a, "kind": k, "end": z} for a, k, z in found])
-                rows, taken = [], [(a, z) for a, _, z in found]
+                rows, taken = [], Taken(found)
                 for a, kind, z in found:
                     lo, hi = max(0, a - NEAR), z + NEAR
                     # one character more on each side tells whether a term is cut
                     for m in _TERM.finditer(text, max(0, lo - 1), hi + 1):
                         s, e = m.span()
-                        if s < lo or e > hi or any(s < y and x < e for x, y in taken):
+                        if s < lo or e > hi or taken(s, e):
                             continue
                         rows.append((_identity(kind, text[a:z]), _lower(m.group()), s, e))
                 h = signed(_hashes([x for r in rows for x in r[:2]])) if rows else []

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from cardrisk.llm import kernels as K
 from cardrisk.llm.common import prepare, signed, text_slices, written
-from cardrisk.llm.spans import replaced
+from cardrisk.llm.spans import Taken, replaced
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN, ACCESS, HEX, NOVEL = range(4)
@@ -54,15 +54,15 @@ def patterns(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Long strings of mixed characters that begin within ``REACH`` of a sensitive word and are no match yet."""
-    out, done = [], 0
+    out, done, taken = [], 0, Taken(base)
     for s in _SENSITIVE.finditer(text):
-        at = max(s.end(), done)
-        while (m := _CANDIDATE.search(text, at, len(text))) if at <= s.end() + REACH else None:
-            if m.start() > s.end() + REACH:
-                break
+        at, last = max(s.end(), done), s.end() + REACH
+        # only what is near is searched; a candidate is then taken to its end
+        while at <= last and (near := _CANDIDATE.search(text, at, last + LEAST)):
+            m = _CANDIDATE.match(text, near.start())
             at = done = m.end()
             kinds = sum(bool(p.search(m.group())) for p in (_LOWER_LETTER, _UPPER_LETTER, _DIGIT))
-            if kinds >= 2 and _DIGIT.search(m.group()) and not any(a < m.end() and m.start() < z for a, _, z in base):
+            if kinds >= 2 and _DIGIT.search(m.group()) and not taken(m.start(), m.end()):
                 out.append((m.start(), NOVEL, m.end()))
     return out
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +23,18 @@ def count(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
+class Taken:
+    """Whether a range overlaps any of some ``(start, kind, end)`` spans, sorted by start."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = [s for s, _, _ in spans]
+        self.reach = list(accumulate((e for _, _, e in spans), max))
+
+    def __call__(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return at > 0 and self.reach[at - 1] > start
+
+
 def replaced(text: str, spans: list[tuple[int, int, int]], with_: Callable[[int, str], str]) -> str:
     """The text with ``(start, kind, end)`` spans replaced; of overlapping ones the union, as the first."""
     out, at, open_ = [], 0, None

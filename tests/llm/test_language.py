@@ -150,6 +150,32 @@ def test_secrets(docs, pairs, make, no_docs):
     assert redacted(no_docs).count() == 0
 
 
+def test_scans_are_linear():
+    """Long texts full of near misses take seconds, not hours."""
+    import time
+
+    from cardrisk.llm import pii, secret_scan
+
+    began = time.time()
+    for text in ("token " * 60_000, "secret=ab " * 30_000, "a@" * 100_000, "1" * 300_000, "1.1." * 50_000, "+1 (" * 50_000, "deadbeef" * 40_000, "x" * 300_000 + "@", ("f" * 30 + " ") * 20_000):
+        base = secret_scan.patterns(text)
+        secret_scan.candidates(text, base)
+        pii.entities(text)
+    assert time.time() - began < 60
+
+
+def test_overlaps():
+    from cardrisk.llm.spans import Taken
+
+    rng = random.Random(10)
+    for _ in range(300):
+        spans = sorted((a, 0, a + rng.randint(1, 9)) for a in (rng.randint(0, 40) for _ in range(rng.randint(0, 6))))
+        taken = Taken(spans)
+        for a in range(45):
+            for z in range(a + 1, a + 6):
+                assert taken(a, z) == any(x < z and a < y for x, _, y in spans)
+
+
 def test_known_identifiers_are_not_novel():
     from cardrisk.llm.secret_scan import Novelty
 
