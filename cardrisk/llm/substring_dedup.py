@@ -134,7 +134,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS)
     whole = whole.select("doc_id", "text_key", "lo", (F.col("lo") + F.col("runs") + F.lit(length - 1)).alias("hi"))
 
     several = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("spans")).filter("spans > 1").select("anchor")
-    differing = spans.join(several, "anchor")
+    # written, so that the join deals its sides anew and Spark can split an anchor with very many spans
+    differing = spans.join(written(several, "several"), "anchor")
     wanted = differing.select("anchor", "span", "one.*")
     # a repeated document row (same id and text) would list its occurrences twice; one is enough
     extended = written(_extensions(wanted, source, length).distinct(), "extensions")
