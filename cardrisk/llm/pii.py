@@ -40,6 +40,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 EMAIL, IP, CARD, PHONE, TERM = range(5)
 NEAR, SUPPORT, GENERALISE, REMOVE = 60, 3, 0.9, 0.99
 BITMAP_BITS = 24
+#: Term counts that a task holds before it merges them.
+HELD = 1_000_000
 
 # The patterns of the entities.
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -159,6 +161,12 @@ def term_documents(source: DataFrame, terms: DataFrame) -> DataFrame:
         bitmap = shared.value
         if not bitmap.any():
             return
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            term, back = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+            return term, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
+
         for b in batches:
             for _, _, buf, offs in text_slices(b.column(0)):
                 starts, ends, first = K.word_spans(np.where(LETTERS[buf], K.LOWER[buf], np.uint8(32)), offs)
@@ -171,8 +179,15 @@ def term_documents(source: DataFrame, terms: DataFrame) -> DataFrame:
                 order = np.lexsort((doc, h))
                 doc, h = doc[order], h[order]
                 once = np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])[: len(h)]
-                term, n = np.unique(h[once], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(term)), pa.array(n)], schema=schema)
+                held.append(np.unique(h[once], return_counts=True))
+            if sum(len(t) for t, _ in held) > HELD:
+                held = [merged()]
+                if len(held[0][0]) > HELD // 2:  # a task of very many terms hands them on
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(held[0][0])), pa.array(held[0][1])], schema=schema)
+                    held = []
+        if held:
+            term, n = merged()
+            yield pa.RecordBatch.from_arrays([pa.array(signed(term)), pa.array(n)], schema=schema)
 
     return source.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("documents"))
 
