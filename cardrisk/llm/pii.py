@@ -10,7 +10,15 @@ mutual information of term and entity against the entity's information content,
 which is 1 for a term that occurs only beside the entity and 0 for one that
 is independent.  Counts are over all documents: ``P(entity)`` is the share that holds it,
 ``P(entity | term)`` the share of the term's documents in which it stands
-within ``NEAR`` characters of the entity.  Pairs need ``SUPPORT`` different texts.
+within ``NEAR`` characters of the entity.
+
+Most values stand in one text only, so counts of the value alone say little.  A
+pair of under ``SUPPORT`` different texts is shrunk towards independence,
+``P(entity | term)`` by ``texts / (texts + 1)``: a term found nowhere else counts from 1,024
+documents on, and copies of a text add nothing.  As a back-off the same measure is taken
+for wider groups of values (an email's domain, an address' first three numbers, a
+card's first six digits, and the kind), from ``SUPPORT`` different texts on.  A
+term's disclosure is the highest of these.
 A term at ``GENERALISE`` or more is generalised to its class, at ``REMOVE`` or more removed.
 
 Terms are runs of at least three letters (code points from U+0080 on
@@ -114,6 +122,13 @@ def _identity(kind: int, value: str) -> str:
     return f"{kind}:" + (_lower(value) if kind == EMAIL else value if kind == IP else "".join(_DIGIT.findall(value)))
 
 
+def _groups(kind: int, identity: str) -> list[str]:
+    """The entity and the wider groups that it belongs to, the kind last."""
+    value = identity[2:]
+    wider = value[value.index("@") :] if kind == EMAIL else value[: value.rindex(".") + 1] if kind == IP else value[:6] if kind == CARD else ""
+    return [identity, *([f"{identity[:2]}{wider}*"] if wider else []), f"{identity[:2]}*"]
+
+
 def _hashes(strings: list[str]) -> np.ndarray:
     raw = [s.encode() for s in strings]
     ends = np.cumsum([len(r) for r in raw])
@@ -122,7 +137,7 @@ def _hashes(strings: list[str]) -> np.ndarray:
 
 def detect(source: DataFrame) -> DataFrame:
     """``doc_id, text_key, base, near`` of every document; ``near`` has a row for each term beside an entity."""
-    near = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+    near = pa.struct([("entity", pa.list_(pa.int64())), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("base", pa.list_(span)), ("near", pa.list_(near))])
 
@@ -134,18 +149,20 @@ def detect(source: DataFrame) -> DataFrame:
                 base.append([{"start": a, "kind": k, "end": z} for a, k, z in found])
                 rows, taken = [], Taken(found)
                 for a, kind, z in found:
+                    groups = _groups(kind, _identity(kind, text[a:z]))
                     lo, hi = max(0, a - NEAR), z + NEAR
                     # one character more on each side tells whether a term is cut
                     for m in _TERM.finditer(text, max(0, lo - 1), hi + 1):
                         s, e = m.span()
                         if s < lo or e > hi or taken(s, e):
                             continue
-                        rows.append((_identity(kind, text[a:z]), _lower(m.group()), s, e))
-                h = signed(_hashes([x for r in rows for x in r[:2]])) if rows else []
-                beside.append([{"entity": int(h[2 * i]), "term": int(h[2 * i + 1]), "start": r[2], "end": r[3]} for i, r in enumerate(rows)])
+                        rows.append((groups, _lower(m.group()), s, e))
+                names = list(dict.fromkeys(x for r in rows for x in (*r[0], r[1])))
+                h = dict(zip(names, signed(_hashes(names)).tolist())) if names else {}
+                beside.append([{"entity": [h[g] for g in r[0]], "term": h[r[1]], "start": r[2], "end": r[3]} for r in rows])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(base, pa.list_(span)), pa.array(beside, pa.list_(near))], schema=schema)
 
-    return source.mapInArrow(run, f"doc_id bigint, text_key bigint, base {SPANS}, near array<struct<entity:bigint,term:bigint,start:int,end:int>>")
+    return source.mapInArrow(run, f"doc_id bigint, text_key bigint, base {SPANS}, near array<struct<entity:array<bigint>,term:bigint,start:int,end:int>>")
 
 
 def term_documents(source: DataFrame, terms: DataFrame) -> DataFrame:
@@ -192,18 +209,30 @@ def term_documents(source: DataFrame, terms: DataFrame) -> DataFrame:
     return source.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("documents"))
 
 
-def disclosures(found: DataFrame, source: DataFrame) -> DataFrame:
-    """``entity, term, disclosure`` of the pairs with enough support."""
+def _beside(found: DataFrame) -> DataFrame:
+    """``doc_id, text_key, level, entity, term, start, end``: each term with its entity (level 0) and that one's groups."""
     rows = found.filter(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("n"))
+    return rows.select("doc_id", "text_key", F.posexplode("n.entity").alias("level", "entity"), "n.term", "n.start", "n.end")
+
+
+def disclosures(found: DataFrame, source: DataFrame) -> DataFrame:
+    """``entity, term, disclosure`` of the entities, and of the groups with enough support."""
+    rows = _beside(found)
     # one row for each document, entity and term before anything is counted
-    pairs = rows.groupBy("n.entity", "n.term", "text_key", "doc_id").agg(F.lit(1).alias("one"))
-    pairs = pairs.groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("n"))
-    pairs = written(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("both")).filter(F.col("texts") >= SUPPORT), "pii-pairs")
-    holders = rows.groupBy("n.entity", "text_key", "doc_id").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count(F.lit(1)).alias("holders"))
+    pairs = rows.groupBy("level", "entity", "term", "text_key", "doc_id").agg(F.lit(1).alias("one"))
+    pairs = pairs.groupBy("level", "entity", "term", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    pairs = pairs.groupBy("level", "entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("both"))
+    pairs = written(pairs.filter((F.col("level") == 0) | (F.col("texts") >= SUPPORT)), "pii-pairs")
+    holders = written(rows.groupBy("entity", "text_key", "doc_id").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count(F.lit(1)).alias("holders")), "pii-holders")
     documents = term_documents(source, pairs.select("term").distinct())
     total = found.agg(F.count(F.lit(1)).cast("double")).first()[0]
-    given, alone = F.col("both") / F.col("documents"), F.col("holders") / F.lit(total or 1.0)
-    scored = pairs.join(holders, "entity").join(documents, "term")
+    kinds = [int(h) for h in signed(_hashes([f"{k}:*" for k in range(TERM)]))]
+    wide = F.col("entity").isin(kinds)  # beside very many terms, but four rows of holders
+    joined = pairs.filter(~wide).join(holders.filter(~wide), "entity").unionByName(pairs.filter(wide).join(F.broadcast(holders.filter(wide)), "entity"))
+    alone = F.col("holders") / F.lit(total or 1.0)
+    seen = F.col("both") / F.col("documents")
+    given = F.when(F.col("texts") >= SUPPORT, seen).otherwise((F.col("texts") * seen + alone) / (F.col("texts") + 1))
+    scored = joined.join(documents, "term")
     # an entity in every document has no information to disclose
     return scored.select("entity", "term", F.when(alone < 1, F.least(F.log(given / alone) / -F.log(alone), F.lit(1.0))).otherwise(0.0).alias("disclosure"))
 
@@ -214,8 +243,7 @@ def personal_data(docs: DataFrame, threshold: float = GENERALISE) -> DataFrame:
     source = keyed(docs)
     found = written(detect(source), "pii-found")
     pairs = written(disclosures(found, source).filter(F.col("disclosure") >= threshold), "pii-disclosing")
-    rows = found.filter(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("n")).select("doc_id", "text_key", "n.*")
-    rows = rows.join(pairs, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    rows = _beside(found).join(pairs, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     terms = rows.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", F.lit(TERM).alias("kind"), "end", "disclosure"))).alias("terms"))
     empty = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,disclosure:double>>)")
     return join_docs(found, terms, "left").select("doc_id", "text_key", "base", F.coalesce("terms", empty).alias("terms"))

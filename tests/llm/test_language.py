@@ -131,6 +131,25 @@ def test_disclosing_terms(make):
     assert "Zorblatt" not in clean[1000] and "[EMAIL]" in clean[1000] and clean[5] == text[5] and len(clean) == len(rows)
 
 
+def test_terms_beside_rare_entities(make):
+    from cardrisk.llm.pii import sanitised
+
+    rng = random.Random(19)
+    fill = lambda: " ".join(rng.choice(WORDS) for _ in range(20))
+    rows = [(i, fill()) for i in range(1500)]
+    # every value once: a name beside several of a domain or kind, and a name beside one
+    rows += [(3000 + i, f"{fill()} Vandermeer at v{i}@corp{i}.example {fill()}") for i in range(5)]
+    rows += [(4000 + i, f"{fill()} Ostrander on +1 (555) 010-{9000 + i} {fill()}") for i in range(5)]
+    rows += [(5000, f"{fill()} Kowalczyk from 10.20.30.40 {fill()}")]
+    copied = f"{fill()} Pellegrino under 4111 1111 1111 1111 {fill()}"
+    rows += [(6000 + i, copied) for i in range(40)]
+    clean = {r["doc_id"]: r["text"] for r in sanitised(make(rows)).collect()}
+    assert not any("Vandermeer" in clean[3000 + i] or "Ostrander" in clean[4000 + i] for i in range(5))
+    assert "Kowalczyk" not in clean[5000]
+    assert all("Pellegrino" in clean[6000 + i] and "[CARD]" in clean[6000 + i] for i in range(40))
+    assert all(clean[i] == t for i, t in rows[:1500]) and len(clean) == len(rows)
+
+
 def test_secrets(docs, pairs, make, no_docs):
     from cardrisk.llm import spans as S
     from cardrisk.llm.secret_scan import KINDS, NOVEL, redacted, scanned
