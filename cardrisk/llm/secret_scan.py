@@ -4,7 +4,7 @@ Assignments, access keys and long hexadecimal strings are found by pattern.
 Other strings that stand after a sensitive word are candidates, and each is
 measured: its marginal compressed bytes, ``|zstd(context + candidate)| - |zstd(context)|``,
 with the code around it as context and a dictionary of the corpus' identifiers (its
-most frequent words, counted over all documents) behind both.  What repeats the
+most frequent words by different texts, of ``SPREAD`` texts at least) behind both.  What repeats the
 context or common identifiers costs a few bytes; random strings cost nearly
 their length.  Candidates at ``NOVELTY`` bytes a character or more are reported.
 Matches of the patterns are measured too, and stay whatever they cost.
@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardrisk.llm import kernels as K
-from cardrisk.llm.common import prepare, signed, text_slices, written
+from cardrisk.llm.common import prepare, signed, text_hash, text_slices
 from cardrisk.llm.spans import Taken, replaced
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN, ACCESS, HEX, NOVEL = range(4)
 #: Words of the dictionary and its bytes, at most.
 IDENTIFIERS, DICTIONARY_BYTES = 4096, 1 << 16
+#: Different texts that a word of the dictionary stands in, at least.
+SPREAD = 10
 NOVELTY, AROUND, REACH, LEAST = 0.7, 200, 48, 16
 
 # The patterns.
@@ -82,18 +84,19 @@ class Novelty:
 
 
 def identifiers(docs: DataFrame, words: int = IDENTIFIERS, size: int = DICTIONARY_BYTES) -> bytes:
-    """The most frequent words of the corpus, the most frequent last, at most ``size`` bytes."""
+    """The words in most different texts, those in most last, at most ``size`` bytes; copies count once."""
     spark = docs.sparkSession
     source = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    different = source.select("text", text_hash().alias("key")).dropDuplicates(["key"]).select("text")
     counted = pa.schema([("word", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [_slice_words(buf, offs)[2] for _, _, buf, offs in text_slices(b.column(0))]
+            parts = [_once(*_slice_words(buf, offs)[2:]) for _, _, buf, offs in text_slices(b.column(0))]
             word, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64), [])
             yield pa.RecordBatch.from_arrays([pa.array(signed(word)), pa.array(n, pa.int64())], schema=counted)
 
-    totals = source.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    totals = different.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= SPREAD)
     top = [r[0] for r in totals.orderBy(F.desc("n"), "word").limit(words).select("word").collect()]
     shared = spark.sparkContext.broadcast(np.sort(np.array(top, np.int64)))
     spelled = pa.schema([("word", pa.int64()), ("spelling", pa.string())])
@@ -102,7 +105,7 @@ def identifiers(docs: DataFrame, words: int = IDENTIFIERS, size: int = DICTIONAR
         wanted, seen = shared.value, {}
         for b in batches if len(wanted) else ():
             for _, _, buf, offs in text_slices(b.column(0)):
-                starts, ends, h = _slice_words(buf, offs)
+                starts, ends, h, _ = _slice_words(buf, offs)
                 h = signed(h)
                 hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h)
                 new, first = np.unique(h[hit], return_index=True)
@@ -120,11 +123,18 @@ def identifiers(docs: DataFrame, words: int = IDENTIFIERS, size: int = DICTIONAR
     return out
 
 
-def _slice_words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    starts, ends, _ = K.word_spans(buf, offs)
+def _slice_words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    starts, ends, first = K.word_spans(buf, offs)
     short = ends - starts <= 40  # longer ones are no identifiers
-    starts, ends = starts[short], ends[short]
-    return starts, ends, K.word_hashes(buf, starts, ends)
+    starts, ends, doc = starts[short], ends[short], K.row_of(first)[short]
+    return starts, ends, K.word_hashes(buf, starts, ends), doc
+
+
+def _once(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Each word once for each document that holds it."""
+    order = np.lexsort((doc, h))
+    h, doc = h[order], doc[order]
+    return h[np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])[: len(h)]]
 
 
 SPAN = "struct<start:int,kind:int,end:int,bytes:int>"

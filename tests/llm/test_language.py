@@ -204,6 +204,20 @@ def test_known_identifiers_are_not_novel():
     assert cheap < 0.5 * (z - a) < dear
 
 
+def test_copied_secrets_are_no_identifiers(make):
+    from cardrisk.llm.secret_scan import NOVEL, identifiers, scanned
+
+    rng = random.Random(29)
+    copied = "the bearer is Zk3vP9qLx8TnW2bY7cRd then the river Zk3vP9qLx8TnW2bY7cRd " + "Zk3vP9qLx8TnW2bY7cRd " * 20
+    alone = "the bearer is Hq7RtB2mXw9KdV4sLz1G then the river"
+    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(30))) for i in range(60)] + [(100 + i, copied) for i in range(30)] + [(200, alone)]
+    words = identifiers(make(rows)).split()
+    assert b"river" in words and b"Zk3vP9qLx8TnW2bY7cRd" not in words and b"Hq7RtB2mXw9KdV4sLz1G" not in words
+    found = scanned(make(rows), "found").filter("doc_id = 200").first()["found"]
+    assert [alone[s["start"] : s["end"]] for s in found if s["kind"] == NOVEL] == ["Hq7RtB2mXw9KdV4sLz1G"]
+    assert identifiers(make(rows[-1:])) == b""
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
