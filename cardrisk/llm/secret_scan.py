@@ -1,12 +1,14 @@
 """Secrets: patterns, and zstandard novelty of strings in a sensitive context.
 
 Assignments, access keys and long hexadecimal strings are found by pattern.
-Other strings that stand after a sensitive word are candidates, and each is
+Other strings that stand after a sensitive word are candidates, and so are those that
+follow a candidate on the same or the next line (blocks of base64).  Each is
 measured: its marginal compressed bytes, ``|zstd(context + candidate)| - |zstd(context)|``,
 with the code around it as context and a dictionary of the corpus' identifiers (its
 most frequent words by different texts, of ``SPREAD`` texts at least) behind both.  What repeats the
 context or common identifiers costs a few bytes; random strings cost nearly
-their length.  Candidates at ``NOVELTY`` bytes a character or more are reported.
+their length.  Candidates at ``NOVELTY`` bytes a character or more are reported, those that
+follow each other also if they are as dear together: random lines lie close above the bound.
 Matches of the patterns are measured too, and stay whatever they cost.
 
 Nulls and edges: a null or empty text has no spans; repeated rows have equal
@@ -17,7 +19,7 @@ dictionary; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ ASSIGN, ACCESS, HEX, NOVEL = range(4)
 IDENTIFIERS, DICTIONARY_BYTES = 4096, 1 << 16
 #: Different texts that a word of the dictionary stands in, at least.
 SPREAD = 10
-NOVELTY, AROUND, REACH, LEAST = 0.7, 200, 48, 16
+NOVELTY, AROUND, REACH, LEAST = 0.7, 200, 48, 6
 
 # The patterns.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -44,6 +46,10 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _SENSITIVE = re.compile(r"passw|passphrase|secret|token|api[_-]?key|credential|private|bearer|authori[sz]ation|signature", re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
 _LOWER_LETTER, _UPPER_LETTER, _DIGIT = re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]")
+#: Words written as such, with a capital or in capitals: they need a digit.
+_PLAIN = re.compile(r"[+/_.=-]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[+/_.=-]+(?:[A-Z]?[a-z]+|[A-Z]+))*[+/_.=-]*")
+#: What may stand between candidates of adjacent lines: quotes, marks and one line break.
+_BETWEEN = re.compile(r"""["'`,;\x20\t]{0,16}(?:(?:\\r)?\\n|\r?\n)?["'`,;#*>|\x20\t]{0,16}""")
 
 
 def patterns(text: str) -> list[tuple[int, int, int]]:
@@ -55,7 +61,7 @@ def patterns(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Long strings of mixed characters that begin within ``REACH`` of a sensitive word and are no match yet."""
+    """Strings of mixed characters that begin within ``REACH`` of a sensitive word, or follow one that does, and are no match yet."""
     out, done, taken = [], 0, Taken(base)
     for s in _SENSITIVE.finditer(text):
         at, last = max(s.end(), done), s.end() + REACH
@@ -64,8 +70,11 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             m = _CANDIDATE.match(text, near.start())
             at = done = m.end()
             kinds = sum(bool(p.search(m.group())) for p in (_LOWER_LETTER, _UPPER_LETTER, _DIGIT))
-            if kinds >= 2 and _DIGIT.search(m.group()) and not taken(m.start(), m.end()):
-                out.append((m.start(), NOVEL, m.end()))
+            if kinds >= 2 and not _PLAIN.fullmatch(m.group()):
+                at = done = _BETWEEN.match(text, m.end()).end()
+                last = max(last, at)
+                if not taken(m.start(), m.end()):
+                    out.append((m.start(), NOVEL, m.end()))
     return out
 
 
@@ -137,6 +146,21 @@ def _once(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return h[np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])[: len(h)]]
 
 
+def found_spans(text: str, measure: Callable[[str, int, int], int], novelty: float = NOVELTY) -> list[tuple[int, int, int, int]]:
+    """``(start, kind, end, bytes)`` of the patterns and of the novel candidates, alone or with those next to them."""
+    base = patterns(text)
+    alone = candidates(text, base)
+    blocks: list[list[tuple[int, int, int]]] = []
+    for s in alone:
+        if blocks and _BETWEEN.fullmatch(text, blocks[-1][-1][2], s[0]):
+            blocks[-1].append(s)
+        else:
+            blocks.append([s])
+    whole = {s for b in blocks if len(b) > 1 and measure(text, b[0][0], b[-1][2]) >= novelty * (b[-1][2] - b[0][0]) for s in b}
+    out = [(a, k, z, measure(text, a, z)) for a, k, z in sorted(base + alone)]
+    return [s for s in out if s[1] != NOVEL or s[3] >= novelty * (s[2] - s[0]) or s[:3] in whole]
+
+
 SPAN = "struct<start:int,kind:int,end:int,bytes:int>"
 
 
@@ -155,13 +179,7 @@ def scanned(docs: DataFrame, column: str = "spans", novelty: float = NOVELTY, re
         for b in batches:
             spans, texts = [], []
             for text in b.column(at).to_pylist():
-                found = []
-                if text:
-                    base = patterns(text)
-                    for a, k, z in sorted(base + candidates(text, base)):
-                        cost = measure(text, a, z)
-                        if k != NOVEL or cost >= novelty * (z - a):
-                            found.append({"start": a, "kind": k, "end": z, "bytes": cost})
+                found = [{"start": a, "kind": k, "end": z, "bytes": cost} for a, k, z, cost in found_spans(text, measure, novelty)] if text else []
                 spans.append(found)
                 if redact:
                     texts.append(replaced(text, [(s["start"], s["kind"], s["end"]) for s in found], lambda k, _: f"[{KINDS[k].upper()}]") if found else text)
