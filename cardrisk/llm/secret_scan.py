@@ -4,7 +4,7 @@ Assignments, access keys and long hexadecimal strings are found by pattern.
 Other strings that stand after a sensitive word are candidates, and so are those that
 follow a candidate on the same or the next line (blocks of base64).  Each is
 measured: its marginal compressed bytes, ``|zstd(context + candidate)| - |zstd(context)|``,
-with the code around it as context and a dictionary of the corpus' identifiers (its
+with the code around it, other occurrences of the candidate left out, as context and a dictionary of the corpus' identifiers (its
 most frequent words by different texts, of ``SPREAD`` texts at least) behind both.  What repeats the
 context or common identifiers costs a few bytes; random strings cost nearly
 their length.  Candidates at ``NOVELTY`` bytes a character or more are reported, those that
@@ -44,7 +44,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _SENSITIVE = re.compile(r"passw|passphrase|secret|token|api[_-]?key|credential|private|bearer|authori[sz]ation|signature", re.IGNORECASE | re.ASCII)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.-]{%d,}={0,2}" % LEAST)  # a key and its value are two
 _LOWER_LETTER, _UPPER_LETTER, _DIGIT = re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]")
 #: Words written as such, with a capital or in capitals: they need a digit.
 _PLAIN = re.compile(r"[+/_.=-]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[+/_.=-]+(?:[A-Z]?[a-z]+|[A-Z]+))*[+/_.=-]*")
@@ -88,7 +88,10 @@ class Novelty:
         self.compress = zstandard.ZstdCompressor(level=3, dict_data=words, write_content_size=False).compress
 
     def bytes(self, text: str, start: int, end: int) -> int:
-        context = (text[max(0, start - AROUND) : start] + text[end : end + AROUND]).encode()
+        # what is written twice does not explain itself: other occurrences are blanked, also those that reach into the context
+        same, wide = text[start:end].strip("+/_.=-") or text[start:end], AROUND + end - start
+        before = text[max(0, start - wide) : start].replace(same, " " * len(same))[-AROUND:]
+        context = (before + text[end : end + wide].replace(same, " " * len(same))[:AROUND]).encode()
         return len(self.compress(context + text[start:end].encode())) - len(self.compress(context))
 
 

@@ -235,6 +235,19 @@ def test_candidates_go_on():
     assert not novel("Private Property, PRIVATE Harbour-Town and Grain.Boats")
 
 
+def test_secrets_written_twice():
+    from cardrisk.llm.secret_scan import AROUND, NOVEL, Novelty, found_spans
+
+    secret = "Zk3vP9qLx8TnW2bY7cRdHq7RtB2m"
+    novel = lambda text: [text[a:z] for a, k, z, _ in found_spans(text, Novelty(b"").bytes) if k == NOVEL]
+    assert novel(f"the bearer {secret} under the old bridge, and the bearer {secret} once more") == [secret] * 2
+    assert novel(f"bearer {secret} # bearer={secret}") == [secret] * 2
+    # the other one reaches into the context, or just not
+    for gap in range(AROUND - 30, AROUND + 3):
+        text = f"bearer {secret} {'the river runs ' * 40}"[: 7 + len(secret) + gap - 8] + f" bearer {secret}"
+        assert novel(text) == [secret] * 2, gap
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
