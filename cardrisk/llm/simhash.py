@@ -200,7 +200,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, seed: int = SEED, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``doc_id, text_key, fingerprint, component_id`` of every document."""
+    """``doc_id, text_key, fingerprint, component_id, label`` of every document; ``label`` is the component's smallest fingerprint."""
     prepare(docs.sparkSession)
     prints = written(fingerprints(docs, words, seed), "simhash")
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
@@ -208,20 +208,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, seed: int = SEED, radiu
     classes = classes.join(labels, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "first_id", F.coalesce("label", "fingerprint").alias("label"))
     classes = written(classes, "simhash-classes")
     ids = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    classes = classes.join(ids, "label").select("fingerprint", "component_id")
-    return prints.join(classes, "fingerprint").select("doc_id", "text_key", "fingerprint", "component_id")
+    classes = classes.join(ids, "label").select("fingerprint", "component_id", "label")
+    return prints.join(classes, "fingerprint").select("doc_id", "text_key", "fingerprint", "component_id", "label")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, that of the smallest id, with all its columns.
 
-    Equal rows of that id count as one document; a group without ids keeps its smallest text key.
+    Equal rows of that id count as one document; of several texts of that id in the group, and in a
+    group without ids, the smallest text key stays.
     """
     found = near_duplicates(docs, **options)
-    spare = F.min(F.when(F.col("doc_id").isNull(), F.col("text_key"))).alias("_key")
-    kept = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
-    nameless = found.filter("component_id is null").groupBy("fingerprint").agg(spare).select(F.lit(None).cast("bigint").alias("doc_id"), F.col("_key").alias("text_key"))
-    kept = written(kept.unionByName(nameless), "simhash-kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
+    # the label, not the id: two groups may have the same smallest id
+    kept = found.filter("doc_id <=> component_id").groupBy("label", "doc_id").agg(F.min("text_key").alias("text_key"))
+    kept = written(kept, "simhash-kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
     id_ = F.col("doc_id").cast("bigint")
     out = docs.join(kept, id_.eqNullSafe(F.col("_kept_id")) & (text_hash() == F.col("_kept_key")), "left_semi")
     return out.dropDuplicates(["doc_id", "text"])

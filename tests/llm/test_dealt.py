@@ -214,6 +214,22 @@ def test_simhash_keeps_one_of_each_group(docs, pairs, no_docs):
     assert near_duplicates(no_docs).count() == 0 and keep_one(no_docs).count() == 0
 
 
+def test_simhash_keeps_one_of_groups_that_share_an_id(make):
+    from cardrisk.llm.simhash import RADIUS, keep_one
+
+    rng = random.Random(14)
+    base = [f"w{rng.randint(0, 99)}" for _ in range(900)]
+    near = lambda k: " ".join(base[:k] + [f"new{k}"] + base[k + 1 :])
+    prints = {k: brute.fingerprint(near(k)) for k in range(300)}
+    a, b = next((a, b) for a in prints for b in prints if a < b and 0 < (prints[a] ^ prints[b]).bit_count() <= RADIUS)
+    # one id with two texts of two groups, each with a copy of its own id; a linked group without ids
+    rows = [(1, "one group of some words here"), (1, "quite another text stands there"), (2, "one group of some words here"), (3, "quite another text stands there")]
+    rows += [(None, near(a)), (None, near(b)), (None, near(b))]
+    kept = [(r[0], r[1]) for r in keep_one(make(rows)).select("doc_id", "text").collect()]
+    assert sorted(x for x in kept if x[0]) == sorted(rows[:2])
+    assert len(kept) == 3 and kept[[x[0] for x in kept].index(None)] in rows[4:]
+
+
 # 6 -----------------------------------------------------------------------------------------------
 
 
