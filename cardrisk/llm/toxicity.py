@@ -43,7 +43,7 @@ SAMPLE = 6000
 FEATURES, EVIDENCE = 4096, 20.0
 THRESHOLD = 0.3
 BEGINNINGS = (3, 4, 5, 6)
-#: Tokens beyond this length are not words.
+#: Longer tokens are decoded in windows of this length, each half over the one before.
 LONGEST = 64
 
 # What a symbol may stand for.
@@ -112,8 +112,15 @@ class Channel:
     def _symbol(self, ch: str) -> int:
         return int(self.fold[ord(ch)]) if ord(ch) < 0x10000 else 0
 
-    def lattice(self, token: str) -> list[list[tuple[int | None, float]]]:
-        """For each character its readings: a symbol or nothing, and the cost."""
+    def reads(self, ch: str) -> bool:
+        """Whether a character may stand for a letter of a-z."""
+        return ch in LEET or self._symbol(ch) > 0
+
+    def lattice(self, token: str, spelled: bool = False) -> list[list[tuple[int | None, float]]]:
+        """For each character its readings: a symbol or nothing, and the cost.
+
+        If ``spelled``, a symbol that may stand for a letter does, and two of them stand for two.
+        """
         out, i = [], 0
         while i < len(token):
             ch, run = token[i], 1
@@ -130,16 +137,19 @@ class Channel:
             elif ch in LEET:
                 readings = LEET[ch]
                 stands = [(ord(c) - 96, COST_LEET - math.log(len(readings))) for c in readings]
-                out += [[*stands, (None, COST_DROP)], *[[*stands, (None, 0.0)]] * (run > 1)]
+                if spelled:
+                    out += [stands, *[stands if run == 2 else [*stands, (None, 0.0)]] * (run > 1)]
+                else:
+                    out += [[*stands, (None, COST_DROP)], *[[*stands, (None, 0.0)]] * (run > 1)]
             else:
                 out.append([(None, COST_DROP), (0, COST_DROP + COST_BREAK)])
         return out
 
-    def decode(self, token: str) -> str:
+    def decode(self, token: str, spelled: bool = False) -> str:
         """The best reading: words of a-z, a space between."""
         model = self.model
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for readings in [*self.lattice(token), [(0, 0.0)]]:
+        for readings in [*self.lattice(token, spelled), [(0, 0.0)]]:
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, path) in states.items():
                 for symbol, cost in readings:
@@ -160,8 +170,12 @@ class Channel:
 
 
 # three or more single characters that stand apart
-APART = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
+APART = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
+_LONG_RUN = re.compile(r"(.)\1{3,}")
+_SAME = re.compile(r"(.)\1*")
+#: What stands around words; a symbol of these may belong to the word.
+_EDGE = "'\"()[]{}.,;:?!-_*$#%&~/\\|<>=+^`"
 
 
 class Reader:
@@ -174,14 +188,31 @@ class Reader:
         self.seen: dict[str, tuple[str, ...]] = {}
 
     def words(self, token: str) -> tuple[str, ...]:
-        core = token.strip("'\"()[]{}.,;:?!-_*$#%&~/\\|<>=+^`")
-        if core.isalpha() and not _RUN.search(core) and (len(token) == len(core) or token[0] not in "$@!|+(<"):
+        core = token.strip(_EDGE)
+        after = token[len(token.rstrip(_EDGE)) :] if core else ""
+        # symbols of the end that may be letters
+        ends = [m for m in _SAME.finditer(after) if m.group(1) in LEET]
+        if core.isalpha() and not _RUN.search(core) and not ends and (len(token) == len(core) or token[0] not in "$@!|+(<"):
             return (core,)
-        if not any(c.isalpha() for c in token) or len(token) > LONGEST:
+        if not any(self.channel.reads(c) for c in token):
             return (core,) if core else ()
-        found = [core, *self.channel.decode(core).split()]
+        if len(token) > LONGEST:
+            token = _LONG_RUN.sub(r"\1\1\1", token)  # a longer run reads the same
+            if len(token) > LONGEST:
+                half = LONGEST // 2
+                parts = [token[i : i + LONGEST] for i in range(0, len(token) - half, half)]
+                return tuple(dict.fromkeys([core, *(w for p in parts for w in self.words(p))]))
+            return tuple(dict.fromkeys([core, *self.words(token)]))
+        decode = self.channel.decode
+        found = [core, *decode(core).split()]
         if token[0] in "$@!|+(<" and token[:2] != token[0] * 2:
-            found += self.channel.decode(token[0] + core).split()
+            found += decode(token[0] + core).split()
+        if not any(c.isalpha() for c in token):  # '455': as the letters that it stands for
+            found += [w for t in {core, core + after, token} for w in decode(t, True).split()]
+        elif ends:
+            # the symbols of the end, or the first of them, as letters
+            heads = {core, token[0] + core} if token[0] in "$@!|+(<" else {core}
+            found += [w for h in heads for m in ends[:3] for s in (False, True) for w in decode(h + after[: m.end()], s).split()]
         return tuple(dict.fromkeys(w for w in found if w))
 
     def features(self, token: str) -> tuple[str, ...]:
@@ -192,18 +223,19 @@ class Reader:
         low = text.lower()
         tokens = set(low.split())
         for m in APART.finditer(low):
-            if len(set(m.group())) > 3:
-                tokens.add(m.group())
+            tokens.add(" ".join(m.group().split()))
         return tokens
 
     def apart(self, token: str) -> tuple[str, ...]:
-        words = self.channel.decode(token).split()
+        words = self.channel.decode(token).split() if any(map(self.channel.reads, token)) else []
+        if not all(c.isalpha() or c == " " or c not in LEET for c in token):
+            words += self.channel.decode(token, True).split()
         return tuple(dict.fromkeys(f for w in words for f in (w, *(w[:n] + "~" for n in BEGINNINGS if len(w) > n))))
 
     def of(self, token: str) -> tuple[str, ...]:
         got = self.seen.get(token)
         if got is None:
-            got = self.apart(token) if " " in token or "\t" in token else self.features(token)
+            got = self.apart(token) if " " in token else self.features(token)
             if len(self.seen) > self.KEPT:
                 self.seen.clear()
             self.seen[token] = got
@@ -305,7 +337,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "score", sample: in
                 for t in reader.text(text):
                     hit = seen.get(t)
                     if hit is None:
-                        hit = tuple(f for f in (reader.apart(t) if " " in t or "\t" in t else reader.features(t)) if f in weights)
+                        hit = tuple(f for f in (reader.apart(t) if " " in t else reader.features(t)) if f in weights)
                         if len(seen) > reader.KEPT:
                             seen.clear()
                         seen[t] = hit

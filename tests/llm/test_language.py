@@ -58,6 +58,23 @@ def test_decoding(toxic_corpus):
     assert [channel.decode(t) for t in ("v3rm1n", "v e r m i n", "b-r-i-d-g-e", "gr44aain", "w@ter")] == ["vermin", "vermin", "bridge", "grain", "water"]
 
 
+def test_shortcuts_hide_no_words(spark):
+    from cardrisk.llm.toxicity import scored
+
+    rng = random.Random(17)
+    bad = ["ass", "grubber", "idiot"]
+    plain = [" ".join(rng.choice(WORDS) for _ in range(40)) for _ in range(1200)]
+    rows = [(i, f"{t} {rng.choice(bad)} {t[:60]}" if i % 4 == 0 else t) for i, t in enumerate(plain)]
+    hidden = ["a$$", "a$$!", "idio+", "@$$", "455", "'455'", "a s s", "a  s  s", "a\ns\ns", "@ $ $", "i  d  i\n\no  t", "gru" + "b" * 80 + "er", "the.river.runs.under.old.stone.bridge.while.seven.boats.grubber.carry.grain.along"]
+    clean = ["river!", "2024", "$40.00", "+++", "b o a t s", "1 2 3", "a" * 90, "the.river.runs.under.old.stone.bridge.while.seven.boats.carry.grain.along.quiet", "town#"]
+    table = rows + [(5000 + i, " ".join([*WORDS[:8], t, *WORDS[8:]])) for i, t in enumerate(hidden)] + [(6000 + i, " ".join([*WORDS[:8], t, *WORDS[8:]])) for i, t in enumerate(clean)]
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1200)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in scored(docs, labels).collect()}
+    assert [t for i, t in enumerate(hidden) if got[5000 + i] < 0.3] == []
+    assert [t for i, t in enumerate(clean) if got[6000 + i] >= 0.3] == []
+
+
 def test_held_out_labels_are_not_read(spark, toxic_corpus):
     from cardrisk.llm.toxicity import held_out, scored
 
