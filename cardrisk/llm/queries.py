@@ -129,6 +129,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardrisk.llm.token_alignment import token_alignment
+
+    return token_alignment(read_table(spark, sf_dir, "documents"))
+
+
 def _words_sql(text: str) -> str:
     return f"list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
