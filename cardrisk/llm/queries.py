@@ -136,6 +136,16 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardrisk.llm.common import written
+    from cardrisk.llm.vector_codes import digest, vector_codes, with_label_error
+
+    codes, books = vector_codes(read_table(spark, sf_dir, "embeddings"))
+    found = with_label_error(written(codes, "vector-codes"))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
 def _words_sql(text: str) -> str:
     return f"list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
