@@ -136,6 +136,13 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardrisk.llm.html_extraction import main_text
+
+    return main_text(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @_query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardrisk.llm.common import written
