@@ -17,6 +17,7 @@ from cardrisk.queries import (  # noqa: F401  (registration side effects)
     q_sources,
     q_metrics,
     q_model,
+    q_resample,
     q_streaming,
     q_more,
 )
