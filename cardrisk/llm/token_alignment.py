@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -101,26 +102,33 @@ def _tokenizers(a_path: str, b_path: str):
     return _LOADED[at]
 
 
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[str, int, list[int]]:
+def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[str, int, tuple[int, ...]]:
     """Groups of a window as text, their number, and the id pair ``a << 32 | b`` of every link."""
-    groups, links = [], []
-    i = j = from_i = from_j = 0
+    if len(a) == 1 or len(b) == 1:  # one group, all linked
+        return f"{','.join(map(str, a))}|{','.join(map(str, b))}", 1, tuple([x << 32 | y for x in a for y in b])
+    text, groups, links = "", 1, []
+    i = j = 0
     end_a, end_b = size_a[0], size_b[0]
+    part_a, part_b = str(a[0]), str(b[0])
     while True:
         links.append(a[i] << 32 | b[j])
         if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[from_i : i + 1]))}|{','.join(map(str, b[from_j : j + 1]))}")
+            text += f"{part_a}|{part_b}"
             i, j = i + 1, j + 1
             if i == len(a):
-                return ";".join(groups), len(groups), links
-            from_i, from_j = i, j
+                return text, groups, tuple(links)
+            text += ";"
+            groups += 1
+            part_a, part_b = str(a[i]), str(b[j])
             end_a, end_b = end_a + size_a[i], end_b + size_b[j]
         elif end_a < end_b:
             i += 1
             end_a += size_a[i]
+            part_a += f",{a[i]}"
         else:
             j += 1
             end_b += size_b[j]
+            part_b += f",{b[j]}"
 
 
 def _alike(ids: np.ndarray, lo: np.ndarray, n: np.ndarray, like: np.ndarray) -> np.ndarray:
@@ -148,7 +156,7 @@ class Aligner:
         a = [ids[at[k] : at[k + 1]] for k in range(len(texts))]
         for k in np.flatnonzero(split.odd):
             a[k] = np.array(self.cache.tokenizer.encode(spaced[k], add_special_tokens=False).ids, np.uint32)
-        b = [np.array(x, np.uint32) for x in self.model.encode(texts, num_threads=1)]
+        b = [np.fromiter(x, np.uint32, len(x)) for x in self.model.encode(texts, num_threads=1)]
         return a, b
 
     def windows(self, ids_a: np.ndarray, ids_b: np.ndarray, last: np.ndarray):
@@ -175,12 +183,14 @@ class Aligner:
         which[other] = len(first) + np.arange(len(other))
         first = np.concatenate([first, other])
         found, memo = [], self.memo
+        raw_a, raw_b = ids_a.astype("<u4").tobytes(), ids_b.astype("<u4").tobytes()
+        list_a, list_b = ids_a.tolist(), ids_b.tolist()
+        size_a, size_b = self.a.size[ids_a].tolist(), self.b.size[ids_b].tolist()
         for a0, a1, b0, b1 in zip(wa[first].tolist(), wa[first + 1].tolist(), wb[first].tolist(), wb[first + 1].tolist()):
-            at = (ids_a[a0:a1].tobytes(), ids_b[b0:b1].tobytes())
+            at = (raw_a[4 * a0 : 4 * a1], raw_b[4 * b0 : 4 * b1])  # the tuples of ids
             known = memo.get(at)
             if known is None:
-                a, b = ids_a[a0:a1], ids_b[b0:b1]
-                known = align(a.tolist(), b.tolist(), self.a.size[a].tolist(), self.b.size[b].tolist())
+                known = align(list_a[a0:a1], list_b[b0:b1], size_a[a0:a1], size_b[b0:b1])
                 if len(memo) >= MEMO:
                     memo.clear()
                 memo[at] = known
@@ -208,7 +218,7 @@ class Aligner:
         strings = [f[0] for f in found]
         groups = np.fromiter((f[1] for f in found), np.int64, len(found))
         n = np.fromiter((len(f[2]) for f in found), np.int64, len(found))
-        pool = np.fromiter((x for f in found for x in f[2]), np.int64, int(n.sum()))
+        pool = np.fromiter(chain.from_iterable(f[2] for f in found), np.int64, int(n.sum()))
         begin = np.cumsum(n) - n
         tops = np.searchsorted(wa, np.cumsum([len(g[1]) for g in good]))
         lo = 0
