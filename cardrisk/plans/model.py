@@ -14,12 +14,13 @@ stored with the model, so a score does not depend on the batch it is computed in
 from __future__ import annotations
 
 import itertools
+import json
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.errors import AnalysisException
@@ -29,10 +30,11 @@ from pyspark.sql import functions as F
 from cardrisk.functions.calendar import add_calendar_flags
 from cardrisk.operators import metrics as m
 from cardrisk.operators.group_stats import fit_terminal_stats, fitted_stats_lookup
+from cardrisk.operators.resample import smote
 from cardrisk.operators.rolling import with_us
 from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
-from cardrisk.session import cut_lineage
+from cardrisk.session import cut_lineage, scratch_path
 from cardrisk.schema import (
     CUSTOMER_ID,
     NON_FEATURE_COLS,
@@ -122,42 +124,66 @@ def matrix(tx: DataFrame, seed: int = 42, parity: bool = False) -> tuple[DataFra
     return mat, feature_columns(d, EXCLUDE), cut_lineage(stats)
 
 
+def first_trees(model: PipelineModel, trees: int) -> PipelineModel:
+    """The model with its first ``trees`` trees alone.
+
+    The booster's stored form has a row a node with its ``treeID``: those of later trees are left out.
+    Nothing is fitted.
+    """
+    booster = model.stages[-1]
+    if trees >= booster.getNumTrees:
+        return model
+    spark = SparkSession.getActiveSession()
+    whole, cut = scratch_path(spark, "booster"), scratch_path(spark, "booster-prefix")
+    booster.write().save(whole)
+    spark.read.parquet(f"{whole}/data").filter(F.col("treeID") < trees).write.parquet(f"{cut}/data")
+    spark.read.parquet(f"{whole}/treesMetadata").filter(F.col("_1") < trees).coalesce(1).write.parquet(f"{cut}/treesMetadata")
+    about = json.loads(spark.read.text(f"{whole}/metadata").first()[0])
+    about["numTrees"] = trees
+    spark.createDataFrame([(json.dumps(about, separators=(",", ":")),)], "value string").coalesce(1).write.text(f"{cut}/metadata")
+    return PipelineModel([*model.stages[:-1], GBTClassificationModel.load(cut)])
+
+
 def best_prefix(model: PipelineModel, valid: DataFrame) -> int:
     """Number of trees with the least loss on the validation rows (the first of equals)."""
     assembled = model.stages[0].transform(valid)
+    if "weight" not in assembled.columns:  # validation rows count as they are
+        assembled = assembled.withColumn("weight", F.lit(1.0))
     loss = model.stages[-1].evaluateEachIteration(assembled)
     return loss.index(min(loss)) + 1
 
 
-def final_fit(mat: DataFrame, features: Sequence[str], class_weight: bool = True, **params) -> PipelineModel:
-    """Fit on train rows, then again with the number of trees that is best on the validation rows.
+def final_fit(mat: DataFrame, features: Sequence[str], class_weight: bool = True, resample: bool = False, **params) -> PipelineModel:
+    """Fit on train rows and keep the first trees that are best on the validation rows; one fit.
 
-    Trees are grown in turn from the seed, so the second fit is a prefix of the first.
+    The classes are weighted, or with ``resample`` evened out by synthetic rows; both never.
     """
     rows = mat.filter(F.col("split") == "train")
-    if class_weight:
-        rows = cut_lineage(with_class_weight(rows))
-    weight = "weight" if class_weight else None
+    rows, weight = _balanced(rows, features, class_weight, resample)
     params = {k: v for k, v in params.items() if k != "validationTol"}
     model = fit(rows, features, weight_col=weight, **params)
     valid = mat.filter(F.col("split") == "valid")
-    if valid.isEmpty():
-        return model
-    trees = best_prefix(model, valid)
-    return model if trees == model.stages[-1].getNumTrees else fit(rows, features, weight_col=weight, **{**params, "maxIter": trees})
+    return model if valid.isEmpty() else first_trees(model, best_prefix(model, valid))
+
+
+def _balanced(rows: DataFrame, features: Sequence[str], class_weight: bool, resample: bool, label: str = TX_FRAUD) -> tuple[DataFrame, str | None]:
+    """Written rows for a fit and the name of their weight, if any."""
+    if resample:
+        return cut_lineage(smote(rows, features, label)), None
+    return (cut_lineage(with_class_weight(rows, label)), "weight") if class_weight else (rows, None)
 
 
 def train_eval(tx: DataFrame, seed: int = 42, class_weight: bool = False, parity: bool = False,
-               grid: Mapping[str, Sequence] | None = None, folds: int = CV_FOLDS, **params):
+               grid: Mapping[str, Sequence] | None = None, folds: int = CV_FOLDS, resample: bool = False, **params):
     """Search (with a ``grid``), fit on train with the best setting and prefix, threshold on valid, score test.
 
     Returns (model, threshold DataFrame, scored test rows, feature names, terminal statistics).
     """
     mat, feats, stats = matrix(tx, seed, parity)
     if grid:
-        params = {**params, **grid_search(mat.filter(F.col("split") == "train"), feats, grid, folds, seed=seed)[0]}
+        params = {**params, **grid_search(mat.filter(F.col("split") == "train"), feats, grid, folds, seed=seed, resample=resample)[0]}
     params.setdefault("seed", seed)
-    model = final_fit(mat, feats, class_weight or bool(grid), **params)
+    model = final_fit(mat, feats, class_weight or bool(grid), resample, **params)
     valid_scored = score(model, mat.filter(F.col("split") == "valid"))
     thr = choose_threshold(valid_scored)
     test_scored = score(model, mat.filter(F.col("split") == "test"))
@@ -212,6 +238,55 @@ def score_new(
     return s.select(TRANSACTION_ID, SCORE, (F.col(SCORE) >= F.lit(threshold)).cast("int").alias(PREDICTED_FRAUD))
 
 
+def settings_of(grid: Mapping[str, Sequence] | None = None) -> list[dict]:
+    """Every combination of the grid's values."""
+    grid = grid or GRID
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def out_of_fold(
+    train: DataFrame,
+    features: Sequence[str],
+    grid: Mapping[str, Sequence] | None = None,
+    folds: int = CV_FOLDS,
+    parallelism: int = 4,
+    label: str = TX_FRAUD,
+    seed: int = 42,
+    class_weight: bool = True,
+    resample: bool = False,
+) -> DataFrame:
+    """``setting, fold, TRANSACTION_ID, label, SCORE``: every train row scored once a setting, by a model that has not seen it.
+
+    Rows are balanced within each fold's own train part, so no synthetic row has a held-out row as its end; a
+    part is balanced and written once and serves all settings.  ``setting`` counts ``settings_of(grid)``.
+    The table is written, a folder a fold and setting, so a lost fit is repeated alone.
+    """
+    spark = train.sparkSession
+    rows = cut_lineage(fold_column(train, folds, seed, label=label))
+    parts = [_balanced(rows.filter(F.col("fold") != k), features, class_weight, resample, label) for k in range(folds)]
+    path = scratch_path(spark, "out-of-fold")
+
+    def one(job: tuple[int, dict, int]) -> None:
+        i, setting, k = job
+        model = fit(parts[k][0], features, label, weight_col=parts[k][1], **{"seed": seed, **setting})
+        held = score(model, rows.filter(F.col("fold") == k))
+        held.select(TRANSACTION_ID, F.col(label).cast("int").alias(label), SCORE).write.parquet(f"{path}/setting={i}/fold={k}")
+
+    jobs = [(i, setting, k) for i, setting in enumerate(settings_of(grid)) for k in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        pool.map(inheritable_thread_target(spark)(one), jobs)
+    kind = f"{TRANSACTION_ID} {train.schema[TRANSACTION_ID].dataType.simpleString()}, {label} int, {SCORE} double, setting int, fold int"
+    return spark.read.schema(kind).parquet(path)
+
+
+def fold_aucs(scored: DataFrame, settings: int, folds: int, label: str = TX_FRAUD) -> list[tuple[int, int, float | None]]:
+    """``(setting, fold, AUC)`` from an out-of-fold table; exact, ties counted half; None for a fold of one class."""
+    return [
+        (i, k, m.roc_auc(m.pr_curve(scored.filter((F.col("setting") == i) & (F.col("fold") == k)), SCORE, label)).first()[0])
+        for i in range(settings) for k in range(folds)
+    ]
+
+
 def grid_search(
     train: DataFrame,
     features: Sequence[str],
@@ -221,29 +296,19 @@ def grid_search(
     label: str = TX_FRAUD,
     seed: int = 42,
     class_weight: bool = True,
+    resample: bool = False,
 ) -> tuple[dict, list[tuple[dict, float]]]:
-    """Cross-validated ROC-AUC over a parameter grid on stratified folds.
+    """Cross-validated ROC-AUC over a parameter grid on stratified folds (``out_of_fold``).
 
-    Returns the best setting and every setting with its mean AUC.  The rows are written
-    once with folds and class weights; every fit reads them.  Scores of the folds are
-    ranked exactly (``metrics.roc_auc``), ties counted half.
+    Returns the best setting and every setting with its mean AUC over the folds that hold both classes.
     """
-    rows = fold_column(train, folds, seed, label=label)
-    rows = cut_lineage(with_class_weight(rows, label) if class_weight else rows)
-    names = list(grid or GRID)
-    settings = [dict(zip(names, values)) for values in itertools.product(*(grid or GRID).values())]
-
-    def mean_auc(setting: dict) -> float:
-        aucs = []
-        for k in range(folds):
-            model = fit(rows.filter(F.col("fold") != k), features, label, weight_col="weight" if class_weight else None, **{"seed": seed, **setting})
-            held = score(model, rows.filter(F.col("fold") == k))
-            aucs.append(m.roc_auc(m.pr_curve(held, SCORE, label)).first()[0])
-        known = [a for a in aucs if a is not None]  # a fold of one class has no AUC
-        return sum(known) / len(known) if known else 0.0
-
-    with ThreadPool(parallelism) as pool:
-        results = list(zip(settings, pool.map(inheritable_thread_target(rows.sparkSession)(mean_auc), settings)))
+    settings = settings_of(grid)
+    scored = out_of_fold(train, features, grid, folds, parallelism, label, seed, class_weight, resample)
+    known: dict[int, list[float]] = {}
+    for i, _, auc in fold_aucs(scored, len(settings), folds, label):
+        if auc is not None:
+            known.setdefault(i, []).append(auc)
+    results = [(setting, sum(known[i]) / len(known[i]) if i in known else 0.0) for i, setting in enumerate(settings)]
     return max(results, key=lambda r: r[1])[0], results
 
 

@@ -18,6 +18,7 @@ from cardrisk.queries import (  # noqa: F401  (registration side effects)
     q_metrics,
     q_model,
     q_resample,
+    q_search,
     q_streaming,
     q_more,
 )

@@ -67,3 +67,46 @@ def test_class_weight(spark):
     w = mdl.with_class_weight(fx.tx(spark, SF_SMALL))
     r = w.groupBy("TX_FRAUD").agg(F.max("weight").alias("w")).orderBy("TX_FRAUD").collect()
     assert r[0]["w"] == 1.0 and r[1]["w"] > 1.0
+
+
+def test_first_trees_score_as_a_shorter_fit(spark):
+    """A stored ensemble cut to its first trees scores what a fit of that many trees scores."""
+    mat, feats, _ = mdl.matrix(fx.tx(spark, SF_SMALL))
+    rows, valid = mat.filter("split = 'train'"), mat.filter("split = 'valid'")
+    model = mdl.fit(rows, feats, maxIter=6, maxDepth=3, seed=7)
+    for n in (1, 4):
+        short = mdl.fit(rows, feats, maxIter=n, maxDepth=3, seed=7)
+        cut = mdl.first_trees(model, n)
+        assert cut.stages[-1].getNumTrees == n
+        a = {r[0]: r[1] for r in mdl.score(cut, valid).select("TRANSACTION_ID", "SCORE").collect()}
+        assert a == {r[0]: r[1] for r in mdl.score(short, valid).select("TRANSACTION_ID", "SCORE").collect()}
+    assert mdl.first_trees(model, 6) is model
+    for how in ({"class_weight": True}, {"resample": True}):
+        final = mdl.final_fit(mat, feats, **{"class_weight": False, **how}, maxIter=6, maxDepth=3, seed=7)
+        assert final.stages[-1].getNumTrees == mdl.best_prefix(final, valid)
+
+
+def test_final_fit_fits_once(spark, monkeypatch):
+    calls = []
+    own = mdl.fit
+    monkeypatch.setattr(mdl, "fit", lambda *a, **k: calls.append(1) or own(*a, **k))
+    mat, feats, _ = mdl.matrix(fx.tx(spark, SF_SMALL))
+    mdl.final_fit(mat, feats, maxIter=4, maxDepth=2, seed=1)
+    assert len(calls) == 1
+
+
+def test_out_of_fold_rows_and_no_leak(spark, monkeypatch):
+    """Each row is scored once a setting, and no fit sees a row of the fold it scores, not as an end of a synthetic row either."""
+    from cardrisk.operators import resample as rs
+
+    mat, feats, _ = mdl.matrix(fx.tx(spark, SF_SMALL))
+    train = mat.filter("split = 'train'")
+    seen = []
+    own = rs.synthetic_rows
+    monkeypatch.setattr(rs, "synthetic_rows", lambda df, *a, **k: seen.append({r[0] for r in df.select("TRANSACTION_ID").collect()}) or own(df, *a, **k))
+    scored = mdl.out_of_fold(train, feats, {"maxDepth": (2, 3), "maxIter": (2,)}, 2, resample=True)
+    rows = [tuple(r) for r in scored.select("setting", "TRANSACTION_ID", "fold").collect()]
+    ids = {r[0] for r in train.select("TRANSACTION_ID").collect()}
+    assert len(rows) == 2 * len(ids) and {(s, i) for s, i, _ in rows} == {(s, i) for s in (0, 1) for i in ids}
+    fold = {i: k for _, i, k in rows}
+    assert len(seen) == 2 and all({fold[i] for i in part} == {1 - k} for k, part in enumerate(seen))
