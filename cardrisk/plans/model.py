@@ -191,6 +191,12 @@ def train_eval(tx: DataFrame, seed: int = 42, class_weight: bool = False, parity
     return model, thr, test_pred, feats, stats
 
 
+def last_rows_of(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` last rows of every customer by time and id (a limit within each task comes before the shuffle)."""
+    w = Window.partitionBy(CUSTOMER_ID).orderBy(F.col(TX_DATETIME).desc(), F.col(TRANSACTION_ID).desc())
+    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
 def score_new(
     model: PipelineModel,
     threshold: float,
@@ -200,12 +206,15 @@ def score_new(
     terminal_stats: DataFrame,
     lookback_days: int = 37,
     max_lag: int = 5,
+    last_rows: DataFrame | None = None,
 ) -> DataFrame:
     """A score and a prediction for every new row: ``TRANSACTION_ID, SCORE, PREDICTED_FRAUD``.
 
     History rows of the same customers/terminals from the ``lookback_days``
     before the first new row are unioned in so the windows see their past, rows that
-    are themselves new left out.  Terminal statistics come from training.  A
+    are themselves new left out.  The lags look back by rows: ``last_rows`` is a kept table of each
+    customer's ``max_lag`` last rows (``plans.scoring``); without it they are taken from the whole ``history``.
+    Terminal statistics come from training.  A
     row without customer, terminal or time has no window features; they are 0.
     """
     new = new_tx if TX_FRAUD in new_tx.columns else new_tx.withColumn(TX_FRAUD, F.lit(None).cast("int"))
@@ -215,13 +224,11 @@ def score_new(
     hist = history.filter(F.col(TX_DATETIME).cast("timestamp") >= first - F.expr(f"INTERVAL {lookback_days} DAYS"))
     customers = new.select(CUSTOMER_ID).distinct()
     # lags look back by rows, not time: also each new customer's last rows of any age
-    w = Window.partitionBy(CUSTOMER_ID).orderBy(F.col(TX_DATETIME).desc(), F.col(TRANSACTION_ID).desc())
-    last_rows = (
-        history.join(customers, CUSTOMER_ID, "left_semi")
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= max_lag)
-        .drop("_rn")
-    )
+    if last_rows is None:
+        last_rows = last_rows_of(history.join(customers, CUSTOMER_ID, "left_semi"), max_lag)
+    else:
+        last_rows = last_rows.join(new.select(TRANSACTION_ID), TRANSACTION_ID, "left_anti").join(customers, CUSTOMER_ID, "left_semi")
+        last_rows = last_rows.select(*hist.columns)
     hist = (
         hist.join(customers, CUSTOMER_ID, "left_semi")
         .unionByName(hist.join(new.select(TERMINAL_ID).distinct(), TERMINAL_ID, "left_semi"))

@@ -5,22 +5,46 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardrisk import fixtures as fx
+from cardrisk.plans import model as mdl
+from cardrisk.plans import scoring
+from cardrisk.queries.q_model import PARAMS
 from cardrisk.queries.q_windows import cust_sql, term_sql
 from cardrisk.queries.registry import register
+from cardrisk.schema import TX_TIME_DAYS, D
 from cardrisk.session import scratch_path
 from cardrisk.streaming import history_features, kpis, rolling_state
 
 
-def tx_in_batches(spark, sf: str, batches: int = 4):
-    """The events as a stream of several files in time order, one file for each micro-batch."""
+def by_time(batches: int = 4):
+    """Batch numbers by even shares of the events' time span."""
+
+    def number(events):
+        us = F.unix_micros(F.col("ts").cast("timestamp"))
+        lo, hi = events.agg(F.min(us), F.max(us)).first()
+        return F.coalesce(F.floor((us - lo) * batches / (hi - lo + 1)), F.lit(0)).cast("int") if lo is not None else F.lit(0)
+
+    return number
+
+
+def run_in_batches(spark, sf: str, start, number=None, where=None) -> None:
+    """The events as a stream: batch after batch arrives in the source folder, and the query started by ``start`` takes up
+    what is new from its checkpoint.
+
+    One pass splits the table by ``number``; a batch has as many files as tasks wrote it and is read by as many.
+    """
     events = fx.load(spark, sf, "events")
-    base = scratch_path(spark, "stream_events")
-    lo, hi = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    part = F.coalesce(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - lo) * batches / (hi - lo + 1)), F.lit(0))
-    for i in range(batches):
-        events.filter(part == i).sortWithinPartitions("ts").coalesce(1).write.parquet(f"{base}/{i}")
-    stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(base)
-    return fx.tx_from_events(stream)
+    if where is not None:
+        events = events.filter(where)
+    split, arrived = scratch_path(spark, "stream_split"), scratch_path(spark, "stream_events")
+    part = (number or by_time())(events)
+    events.withColumn("_batch", part).write.partitionBy("_batch").parquet(split)
+    spark.createDataFrame([], events.schema).write.parquet(arrived)
+    source = spark.read.schema(events.withColumn("_batch", part).schema).parquet(split)
+    numbers = sorted(r[0] for r in events.select(part.alias("n")).distinct().collect())  # a row a batch
+    for n in numbers or [None]:
+        if n is not None:
+            source.filter(F.col("_batch") == n).drop("_batch").write.mode("append").parquet(arrived)
+        start(fx.tx_from_events(spark.readStream.schema(events.schema).parquet(arrived))).awaitTermination()
 
 
 @register(
@@ -34,23 +58,22 @@ def tx_in_batches(spark, sf: str, batches: int = 4):
 )
 def stream_daily_kpis(spark, sf):
     base = scratch_path(spark, "stream_kpis")
-    q = kpis.write_batches(kpis.daily_kpi_stream(tx_in_batches(spark, sf)), f"{base}/out", f"{base}/ckpt")
-    q.awaitTermination()
+    run_in_batches(spark, sf, lambda tx: kpis.write_batches(kpis.daily_kpi_stream(tx), f"{base}/out", f"{base}/ckpt"))
     return kpis.daily_kpis_final(spark, f"{base}/out")
 
 
-def _run_append(spark, stream, name: str):
+def _run_append(spark, sf: str, features, name: str):
     base = scratch_path(spark, name)
-    q = (
-        stream.writeStream.outputMode("append")
-        .option("checkpointLocation", f"{base}/ckpt")
-        .format("parquet")
-        .option("path", f"{base}/out")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    kinds = []
+
+    def start(tx):
+        out = features(tx)
+        kinds.append(out.schema)
+        sink = out.writeStream.outputMode("append").option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out")
+        return sink.trigger(availableNow=True).start()
+
+    run_in_batches(spark, sf, start)
+    return spark.read.schema(kinds[0]).parquet(f"{base}/out")
 
 
 # The events file arrives in time order and has no equal timestamps, so the
@@ -61,7 +84,7 @@ def _run_append(spark, stream, name: str):
 )
 def stream_customer_rolling(spark, sf):
     """Per-customer rolling spend known at arrival (equals the row-exact batch form on in-order input)."""
-    return _run_append(spark, rolling_state.customer_rolling_stream(tx_in_batches(spark, sf)), "stream_cust")
+    return _run_append(spark, sf, rolling_state.customer_rolling_stream, "stream_cust")
 
 
 @register(
@@ -70,7 +93,7 @@ def stream_customer_rolling(spark, sf):
 )
 def stream_terminal_risk(spark, sf):
     """Per-terminal delayed risk known at arrival (equals the batch form on in-order input)."""
-    return _run_append(spark, rolling_state.terminal_risk_stream(tx_in_batches(spark, sf)), "stream_term")
+    return _run_append(spark, sf, rolling_state.terminal_risk_stream, "stream_term")
 
 
 @register(
@@ -80,7 +103,7 @@ def stream_terminal_risk(spark, sf):
 def stream_customer_rolling_history(spark, sf):
     """Customer features per micro-batch through the batch operators and a history table (hot-key form)."""
     base = scratch_path(spark, "stream_cust_hist")
-    history_features.run_history_features(spark, tx_in_batches(spark, sf), "customer", base).awaitTermination()
+    run_in_batches(spark, sf, lambda tx: history_features.run_history_features(spark, tx, "customer", base))
     return history_features.read_history_features(spark, base)
 
 
@@ -91,5 +114,31 @@ def stream_customer_rolling_history(spark, sf):
 def stream_terminal_risk_history(spark, sf):
     """Terminal risk per micro-batch through the batch operators and a history table (hot-key form)."""
     base = scratch_path(spark, "stream_term_hist")
-    history_features.run_history_features(spark, tx_in_batches(spark, sf), "terminal", base).awaitTermination()
+    run_in_batches(spark, sf, lambda tx: history_features.run_history_features(spark, tx, "terminal", base))
     return history_features.read_history_features(spark, base)
+
+
+@register(
+    "stream_score",
+    "SELECT TRANSACTION_ID, TRUE AS score_in_range, TRUE AS pred_is_0_or_1, TRUE AS same_as_batch FROM tx WHERE TX_TIME_DAYS >= 23",
+)
+def stream_score(spark, sf, cut_day: int = 23):
+    """Raw transactions scored as they arrive, from kept day folders and last rows; equal to scoring all of them at once."""
+    tx = fx.tx(spark, sf)
+    past, new = tx.filter(F.col(TX_TIME_DAYS) < cut_day), tx.filter(F.col(TX_TIME_DAYS) >= cut_day).drop("TX_FRAUD", "TX_FRAUD_SCENARIO")
+    model, thr, _, feats, stats = mdl.train_eval(past, **PARAMS)
+    threshold = thr.first()["threshold"]
+    base = scratch_path(spark, "stream_score")
+    scoring.store_batch(spark, f"{base}/state", past, 0)
+    late = F.col("ts") >= F.timestamp_micros(F.lit(fx.FIXTURE_START_US + cut_day * D)).cast("timestamp_ntz")
+    run_in_batches(
+        spark, sf, where=late,
+        start=lambda s: scoring.score_stream(spark, s.drop("TX_FRAUD"), f"{base}/state", f"{base}/out", f"{base}/ckpt", model, threshold, feats, stats),
+    )
+    kind = new.select("TRANSACTION_ID", F.lit(0.0).alias("SCORE"), F.lit(0).alias("PREDICTED_FRAUD")).schema
+    got = spark.read.schema(kind).parquet(f"{base}/out")
+    once = mdl.score_new(model, threshold, new, past, feats, stats).select("TRANSACTION_ID", F.col("SCORE").alias("_s"), F.col("PREDICTED_FRAUD").alias("_p"))
+    same = ((F.col("SCORE") == F.col("_s")) & (F.col("PREDICTED_FRAUD") == F.col("_p"))).alias("same_as_batch")
+    return got.join(once, "TRANSACTION_ID", "left").select(
+        "TRANSACTION_ID", F.col("SCORE").between(0, 1).alias("score_in_range"), F.col("PREDICTED_FRAUD").isin(0, 1).alias("pred_is_0_or_1"), same
+    )
