@@ -12,7 +12,7 @@ from cardrisk.queries.q_windows import cust_sql, term_sql
 from cardrisk.queries.registry import register
 from cardrisk.schema import TX_TIME_DAYS, D
 from cardrisk.session import scratch_path
-from cardrisk.streaming import history_features, kpis, rolling_state
+from cardrisk.streaming import history_features, kpis, late, rolling_cells, rolling_state
 
 
 def by_time(batches: int = 4):
@@ -39,12 +39,17 @@ def run_in_batches(spark, sf: str, start, number=None, where=None) -> None:
     part = (number or by_time())(events)
     events.withColumn("_batch", part).write.partitionBy("_batch").parquet(split)
     spark.createDataFrame([], events.schema).write.parquet(arrived)
+    # a batch without rows only drops old state, which the next batch does as well
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     source = spark.read.schema(events.withColumn("_batch", part).schema).parquet(split)
     numbers = sorted(r[0] for r in events.select(part.alias("n")).distinct().collect())  # a row a batch
-    for n in numbers or [None]:
-        if n is not None:
-            source.filter(F.col("_batch") == n).drop("_batch").write.mode("append").parquet(arrived)
-        start(fx.tx_from_events(spark.readStream.schema(events.schema).parquet(arrived))).awaitTermination()
+    try:
+        for n in numbers or [None]:
+            if n is not None:
+                source.filter(F.col("_batch") == n).drop("_batch").write.mode("append").parquet(arrived)
+            start(fx.tx_from_events(spark.readStream.schema(events.schema).parquet(arrived))).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
 
 
 @register(
@@ -62,7 +67,7 @@ def stream_daily_kpis(spark, sf):
     return kpis.daily_kpis_final(spark, f"{base}/out")
 
 
-def _run_append(spark, sf: str, features, name: str):
+def _run_append(spark, sf: str, features, name: str, batches: int = 4):
     base = scratch_path(spark, name)
     kinds = []
 
@@ -72,7 +77,7 @@ def _run_append(spark, sf: str, features, name: str):
         sink = out.writeStream.outputMode("append").option("checkpointLocation", f"{base}/ckpt").format("parquet").option("path", f"{base}/out")
         return sink.trigger(availableNow=True).start()
 
-    run_in_batches(spark, sf, start)
+    run_in_batches(spark, sf, start, by_time(batches))
     return spark.read.schema(kinds[0]).parquet(f"{base}/out")
 
 
@@ -142,3 +147,70 @@ def stream_score(spark, sf, cut_day: int = 23):
     return got.join(once, "TRANSACTION_ID", "left").select(
         "TRANSACTION_ID", F.col("SCORE").between(0, 1).alias("score_in_range"), F.col("PREDICTED_FRAUD").isin(0, 1).alias("pred_is_0_or_1"), same
     )
+
+
+@register(
+    "stream_customer_cells",
+    f"SELECT TRANSACTION_ID, CUSTOMER_ID,\n  {cust_sql()}\nFROM tx WHERE CUSTOMER_ID IS NOT NULL",
+)
+def stream_customer_cells(spark, sf):
+    """Per-customer rolling spend from time cells in keyed map state."""
+    return _run_append(spark, sf, rolling_cells.customer_cells_stream, "stream_cust_cells", 2)
+
+
+@register(
+    "stream_terminal_cells",
+    f"SELECT TRANSACTION_ID, TERMINAL_ID,\n  {term_sql()}\nFROM tx WHERE TERMINAL_ID IS NOT NULL",
+)
+def stream_terminal_cells(spark, sf):
+    """Per-terminal delayed risk from time cells in keyed map state."""
+    return _run_append(spark, sf, rolling_cells.terminal_cells_stream, "stream_term_cells", 2)
+
+
+# One event in ten arrives two batches after its time; its day is closed by then unless it was among the batch's last.
+LATE_SQL = f"""a AS (SELECT *, CAST(CASE WHEN TRANSACTION_ID % 10 = 3 THEN least(k + 2, 3) ELSE k END AS INTEGER) AS batch
+  FROM (SELECT *, floor((us - lo) * 4 / (hi - lo + 1)) AS k FROM tx, (SELECT min(us) AS lo, max(us) AS hi FROM tx) q) r),
+m AS (SELECT batch, max(us) AS top FROM a GROUP BY batch),
+w AS (SELECT x.batch, (SELECT max(y.top) FROM m y WHERE y.batch < x.batch) - {D} AS closed FROM m x),
+s AS (SELECT a.*, coalesce((us // {D} + 1) * {D} <= closed, FALSE) AS late FROM a JOIN w ON w.batch = a.batch)"""
+
+
+def _out_of_order(events):
+    """Batches by time, but every tenth event comes two batches later."""
+    k = by_time()(events)
+    return F.when(F.col("event_id") % 10 == 3, F.least(k + 2, F.lit(3))).otherwise(k).cast("int")
+
+
+def _late(spark, sf) -> str:
+    base = scratch_path(spark, "stream_late")
+    run_in_batches(spark, sf, lambda tx: late.kpis_with_late_rows(spark, tx, base), _out_of_order)
+    return base
+
+
+@register("stream_late_rows", f"WITH {LATE_SQL}\nSELECT batch, TRANSACTION_ID, 'day closed' AS reason FROM s WHERE late")
+def stream_late_rows(spark, sf):
+    """The side table of rows whose day was closed when they came."""
+    return late.late_rows(spark, _late(spark, sf)).select("batch", "TRANSACTION_ID", "reason")
+
+
+@register(
+    "stream_late_balance",
+    f"WITH {LATE_SQL}\nSELECT batch, count(*) AS n_read, count(*) FILTER (NOT late) AS n_counted, count(*) FILTER (late) AS n_late FROM s GROUP BY batch",
+)
+def stream_late_balance(spark, sf):
+    """A row a batch: counted and late rows are all that was read."""
+    return late.progress(spark, _late(spark, sf))
+
+
+@register(
+    "stream_counted_kpis",
+    f"WITH {LATE_SQL},\nd AS (SELECT CAST(TX_DATETIME AS DATE) AS TX_DATE, count(*) AS n_tx, CAST(coalesce(sum(TX_FRAUD), 0) AS BIGINT) AS n_fraud,\n"
+    "  CAST(sum(CAST(TX_AMOUNT AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(TX_AMOUNT), 0) AS mean_amount,\n"
+    "  count(DISTINCT CUSTOMER_ID) AS n_customers FROM s WHERE NOT late GROUP BY 1)\n"
+    "SELECT a.TX_DATE, a.n_tx, a.n_fraud, a.mean_amount, a.n_customers,\n"
+    "  coalesce(CAST(a.n_tx AS DOUBLE) / nullif(a.n_customers, 0), 0) AS tx_per_customer,\n"
+    "  a.n_fraud - coalesce(b.n_fraud, 0) AS fraud_delta FROM d a LEFT JOIN d b ON b.TX_DATE + 1 = a.TX_DATE",
+)
+def stream_counted_kpis(spark, sf):
+    """Daily KPIs of an out-of-order stream without its late rows."""
+    return late.counted_kpis(spark, _late(spark, sf))
