@@ -65,6 +65,59 @@ def join_docs(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(b, same, how).drop("_other_id", "_other_key")
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it as long as a column is called so (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+#: Steps of a doubling in which counts are binned.
+STEPS = 16
+
+
+def frequent(table: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of the largest counts ``n``, at most ``most`` of them.
+
+    The cut-off comes from counts of binned counts (at most some thousand rows), so the rows under it stay
+    where they are; the bin that would go over ``most`` is left out whole.
+    """
+    step = F.floor(F.log2(n) * STEPS)
+    bins = sorted(((r[0], r[1]) for r in table.groupBy(step.alias("bin")).agg(F.count(F.lit(1))).collect()), reverse=True)
+    cut, held = None, 0
+    for at, rows in bins:
+        held += rows
+        if held > most:
+            break
+        cut = at
+    return table.filter(F.lit(False)) if cut is None else table.filter(step >= cut)
+
+
+def top_rows(table: DataFrame, n: str, key: str, most: int) -> list:
+    """The ``most`` rows of the largest counts ``n``, ties by ``key``, in that order.
+
+    Beyond the rows that ``frequent`` finds, the counts of counts of the next bin give the last count; only rows of it
+    and over it come to the driver.
+    """
+    sure = frequent(table, n, most)
+    rows = sure.collect()
+    least = min((r[n] for r in rows), default=None)
+    rest = table if least is None else table.filter(F.col(n) < least)
+    top = rest.agg(F.max(F.floor(F.log2(n) * STEPS))).first()[0]
+    left = most - len(rows)
+    if top is not None and left > 0:
+        rest = rest.filter(F.floor(F.log2(n) * STEPS) == top)
+        counts = sorted(((r[0], r[1]) for r in rest.groupBy(n).agg(F.count(F.lit(1))).collect()), reverse=True)
+        for value, size in counts:
+            own = rest.filter(F.col(n) == value)
+            rows += own.collect() if size <= left else own.orderBy(key).limit(left).collect()
+            left -= size
+            if left <= 0:
+                break
+    return sorted(rows, key=lambda r: (-r[n], r[key]))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column without copying it (nulls are empty)."""
     if column.null_count:

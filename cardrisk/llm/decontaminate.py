@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardrisk.llm import kernels as K
-from cardrisk.llm.common import batch, keyed, lists, prepare, signed, text_hash, text_slices, written
+from cardrisk.llm.common import batch, free_name, keyed, lists, prepare, signed, text_hash, text_slices, written
 
 WORDS, CONTAINMENT = 5, 0.8
 #: Largest probability that a contained item shares no minimum with its document.
@@ -179,5 +179,6 @@ def contaminated(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that contain no test item, with all their columns."""
     found = contaminated(docs, benchmark, **options).select("doc_id", "text_key").distinct()
-    bad = written(found, "bench-bad").select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key"))
-    return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_bad_id")) & (text_hash() == F.col("_bad_key")), "left_anti")
+    id_, key = free_name("_bad_id", docs.columns), free_name("_bad_key", docs.columns)
+    bad = written(found, "bench-bad").select(F.col("doc_id").alias(id_), F.col("text_key").alias(key))
+    return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col(id_)) & (text_hash() == F.col(key)), "left_anti")

@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardrisk.llm import kernels as K
-from cardrisk.llm.common import prepare, signed, text_hash, text_slices
+from cardrisk.llm.common import free_name, prepare, signed, text_hash, text_slices, top_rows, written
 from cardrisk.llm.spans import Taken, replaced
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN, ACCESS, HEX, NOVEL = range(4)
 #: Words of the dictionary and its bytes, at most.
 IDENTIFIERS, DICTIONARY_BYTES = 4096, 1 << 16
+#: Bits of the bitmap of repeated texts' hashes.
+BITMAP_BITS = 24
 #: Different texts that a word of the dictionary stands in, at least.
 SPREAD = 10
 NOVELTY, AROUND, REACH, LEAST = 0.7, 200, 48, 6
@@ -95,21 +97,54 @@ class Novelty:
         return len(self.compress(context + text[start:end].encode())) - len(self.compress(context))
 
 
+def repeated_texts(docs: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """Bitmap of ``2**bits`` bits with those of every text hash that occurs twice: at most ``2**bits / 8`` bytes reach the driver.
+
+    A text whose bit is not set stands in one row alone.
+    """
+    twice = docs.groupBy(text_hash().alias("key")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    spot = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
+    words = twice.groupBy(F.shiftright(spot, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(key & {63} as int))")).alias("bits"))
+    rows = words.toPandas()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
 def identifiers(docs: DataFrame, words: int = IDENTIFIERS, size: int = DICTIONARY_BYTES) -> bytes:
     """The words in most different texts, those in most last, at most ``size`` bytes; copies count once."""
     spark = docs.sparkSession
     source = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    different = source.select("text", text_hash().alias("key")).dropDuplicates(["key"]).select("text")
+    marked = spark.sparkContext.broadcast(repeated_texts(source))
     counted = pa.schema([("word", pa.int64()), ("n", pa.int64())])
 
+    def kept(alone: bool):
+        # rows of texts that stand alone, or of those that may not
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bitmap = marked.value
+            for b in batches:
+                key = b.column(1).to_numpy().view(np.uint64)
+                spot = key & np.uint64((bitmap.size << 6) - 1)
+                hit = (bitmap[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+                yield b.filter(pa.array(~hit if alone else hit))
+
+        return run
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return count(kept(True)(batches))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = [_once(*_slice_words(buf, offs)[2:]) for _, _, buf, offs in text_slices(b.column(0))]
             word, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64), [])
             yield pa.RecordBatch.from_arrays([pa.array(signed(word)), pa.array(n, pa.int64())], schema=counted)
 
-    totals = different.mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= SPREAD)
-    top = [r[0] for r in totals.orderBy(F.desc("n"), "word").limit(words).select("word").collect()]
+    keyed_texts = source.select("text", text_hash().alias("key"))
+    # only texts that may have copies are shuffled, one of each
+    copies = keyed_texts.mapInArrow(kept(False), "text string, key bigint").dropDuplicates(["key"])
+    parts = keyed_texts.mapInArrow(once, "word bigint, n bigint").unionByName(copies.mapInArrow(count, "word bigint, n bigint"))
+    totals = written(parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= SPREAD), "secret-words")
+    top = [r["word"] for r in top_rows(totals, "n", "word", words)]
     shared = spark.sparkContext.broadcast(np.sort(np.array(top, np.int64)))
     spelled = pa.schema([("word", pa.int64()), ("spelling", pa.string())])
 
@@ -201,4 +236,5 @@ def scanned(docs: DataFrame, column: str = "spans", novelty: float = NOVELTY, re
 
 def redacted(docs: DataFrame) -> DataFrame:
     """All documents with their columns, the secrets in their texts replaced."""
-    return scanned(docs, "_secret_spans", redact=True).drop("_secret_spans")
+    spans = free_name("_secret_spans", docs.columns)
+    return scanned(docs, spans, redact=True).drop(spans)

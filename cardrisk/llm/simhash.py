@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardrisk.llm import kernels as K
-from cardrisk.llm.common import batch, keyed, prepare, signed, text_hash, text_slices, written
+from cardrisk.llm.common import batch, free_name, keyed, prepare, signed, text_hash, text_slices, written
 
 WORDS, SEED, RADIUS, BITS = 3, 42, 3, 64
 #: Most fingerprints of one BK-tree.
@@ -221,7 +221,8 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     found = near_duplicates(docs, **options)
     # the label, not the id: two groups may have the same smallest id
     kept = found.filter("doc_id <=> component_id").groupBy("label", "doc_id").agg(F.min("text_key").alias("text_key"))
-    kept = written(kept, "simhash-kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
+    kept_id, kept_key = free_name("_kept_id", docs.columns), free_name("_kept_key", docs.columns)
+    kept = written(kept, "simhash-kept").select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_key))
     id_ = F.col("doc_id").cast("bigint")
-    out = docs.join(kept, id_.eqNullSafe(F.col("_kept_id")) & (text_hash() == F.col("_kept_key")), "left_semi")
+    out = docs.join(kept, id_.eqNullSafe(F.col(kept_id)) & (text_hash() == F.col(kept_key)), "left_semi")
     return out.dropDuplicates(["doc_id", "text"])

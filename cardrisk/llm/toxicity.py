@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardrisk.llm.common import prepare, text_slices, written
+from cardrisk.llm.common import free_name, prepare, text_slices, written
 
 #: Labelled rows of each class that the classifier is fitted on, at most.
 SAMPLE = 6000
@@ -323,7 +323,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "score", sample: in
     model = language_model(docs)
     weights, intercept = fit(docs, labels, model, sample)
     shared = spark.sparkContext.broadcast((model, weights, intercept))  # 27**3 numbers and at most FEATURES words
-    body, names = "_text_for_score", docs.columns
+    body, names = free_name("_text_for_score", docs.columns), docs.columns
     source = docs.withColumn(body, F.coalesce(F.col("text"), F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,4 +353,5 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "score", sample: in
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score under the threshold, with all their columns."""
-    return scored(docs, labels, "_toxic_score").filter(F.col("_toxic_score") < threshold).drop("_toxic_score")
+    score = free_name("_toxic_score", docs.columns)
+    return scored(docs, labels, score).filter(F.col(score) < threshold).drop(score)
