@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardrisk.llm import kernels as K
-from cardrisk.llm.common import batch, keyed, prepare, text_slices, written
+from cardrisk.llm.common import batch, frequent, keyed, prepare, text_slices, written
 from cardrisk.llm.pretokens import PieceCache, Split, load_tokenizer, tokenizer_path
 
 #: Broadcast id pairs: 17 bytes each.
@@ -41,8 +41,6 @@ COMMON = 1 << 17
 MEMO = 400_000
 MARK = "▁"
 ID_BASE = 0x9FB21C651E98DF25  # odd
-#: Steps of a doubling in which pair counts are binned for the cut-off.
-STEPS = 16
 
 _LOADED: dict = {}
 
@@ -261,18 +259,8 @@ def pair_counts(found: DataFrame) -> DataFrame:
 
 
 def most_common(pairs: DataFrame, common: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent pairs, at most ``common``: those at or over a count found from binned counts."""
-    step = F.floor(F.log2("n") * STEPS)
-    bins = sorted(pairs.groupBy(step.alias("bin")).agg(F.count(F.lit(1)).alias("pairs")).collect(), reverse=True)
-    cut, held = None, 0
-    for r in bins:
-        held += r["pairs"]
-        if held > common:
-            break
-        cut = r["bin"]
-    if cut is None:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    rows = pairs.filter(step >= cut).toPandas().sort_values("pair")
+    """The most frequent pairs, at most ``common``."""
+    rows = frequent(pairs, "n", common).toPandas().sort_values("pair")
     return rows["pair"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), rows["best"].to_numpy(bool)
 
 

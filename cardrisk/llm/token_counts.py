@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardrisk.llm.common import batch, keyed, prepare, signed, text_slices, written
+from cardrisk.llm.common import batch, frequent, keyed, prepare, signed, text_slices, written
 from cardrisk.llm.pretokens import Split, load_tokenizer, tokenizer_path
 
 #: Broadcast pre-tokens: 12 bytes each.
@@ -95,7 +95,7 @@ def token_counts(docs: DataFrame, path: str | None = None, common: int = COMMON)
     path = path or tokenizer_path()
     source = keyed(docs)
     pieces = written(_pieces(pretoken_frequencies(source, path), path), "pieces")
-    top = pieces.orderBy(F.desc("n"), "hash").limit(common).select("hash", "pieces").toPandas()
+    top = frequent(pieces, "n", common).select("hash", "pieces").toPandas()
     order = np.argsort(top["hash"].to_numpy(dtype=np.int64))
     table = spark.sparkContext.broadcast((top["hash"].to_numpy(dtype=np.int64)[order], top["pieces"].to_numpy(dtype=np.int32)[order]))
 
