@@ -19,6 +19,7 @@ from cardrisk.queries import (  # noqa: F401  (registration side effects)
     q_model,
     q_resample,
     q_search,
+    q_sketches,
     q_streaming,
     q_more,
 )
