@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardrisk.functions.scalar import scenario_label
+from cardrisk.operators.metrics import running_totals
 from cardrisk.schema import CUSTOMER_ID, TERMINAL_ID, TX_FRAUD_SCENARIO
 
 def strip_index_column(df: DataFrame) -> DataFrame:
@@ -60,6 +62,33 @@ def category_values(df: DataFrame, col: str) -> list:
     return [r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col).collect()]
 
 
+def vocabulary(df: DataFrame, col: str) -> DataFrame:
+    """``value, index``: the different values of a column, numbered from 0 in their order; a table, however many there are."""
+    values = df.select(F.col(col).alias("value")).filter(F.col(col).isNotNull()).distinct().withColumn("_one", F.lit(1).cast("bigint"))
+    return running_totals(values, ["value"], ["_one"]).select("value", (F.col("cum__one") - 1).alias("index"))
+
+
+def one_hot_sparse(df: DataFrame, col: str, words: DataFrame, out: str = "one_hot") -> DataFrame:
+    """Adds a sparse 0/1 vector with a place for every value of the fitted ``vocabulary`` and one more.
+
+    Values that the vocabulary lacks, and nulls, have their 1 in the last place.  The driver learns the number of values alone.
+    """
+    size = words.count()
+    index, value = free_column("_index", df.columns), free_column("_value", df.columns)
+    d = df.join(words.select(F.col("value").alias(value), F.col("index").alias(index)), F.col(col) == F.col(value), "left").drop(value)
+    d = d.withColumn(index, F.coalesce(F.col(index), F.lit(size)).cast("double"))
+    sizes = df.sparkSession.range(size, size + 1).select(F.col("id").cast("double").alias(index))  # the encoder learns its width from the greatest index
+    return OneHotEncoder(inputCols=[index], outputCols=[out], dropLast=False).fit(sizes).transform(d).drop(index)
+
+
+def free_column(name: str, columns: Sequence[str]) -> str:
+    """``name``, with underscores before it as long as a column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def one_hot(df: DataFrame, values: Mapping[str, Sequence]) -> DataFrame:
     """0/1 indicator columns ``<col>_<value>`` for the listed values of each column.
 

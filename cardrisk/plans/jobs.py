@@ -8,14 +8,17 @@ a failure writes the same result.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardrisk.operators import metrics as m
 from cardrisk.operators.filters import filter_date_range
 from cardrisk.plans import model as mdl
 from cardrisk.plans.features import build_features
+from cardrisk.schema import RISK_DELAY_DAYS, TX_DATETIME, WINDOWS_DAYS
 from cardrisk.sources import readers, sinks
 
 
@@ -32,6 +35,18 @@ def features_job(spark: SparkSession, source, out: str, min_day: int | None = 30
     return feats
 
 
+def refresh_days(spark: SparkSession, days: str, out: str, first: dt.date, last: dt.date, lookback_days: int = RISK_DELAY_DAYS + max(WINDOWS_DAYS), **how) -> None:
+    """Stage-one features of the days from ``first`` to ``last`` anew, from a day-partitioned table.
+
+    Only their folders and those of the ``lookback_days`` before are read (the longest window's reach), and only their
+    folders under ``out`` are replaced; a day that has no rows any more keeps its old folder.
+    """
+    rows = readers.read_daily_partitions(spark, days, first - dt.timedelta(days=lookback_days), last)
+    feats = build_features(rows.drop("TX_DATE"), stage2=False, **how).withColumn("TX_DATE", F.to_date(TX_DATETIME))
+    feats = feats.filter(F.col("TX_DATE").between(F.lit(first), F.lit(last)))
+    feats.repartitionByRange("TX_DATE", TX_DATETIME).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("TX_DATE").parquet(out)
+
+
 def train_job(spark: SparkSession, source, model_dir: str, metrics_out: str | None = None, seed: int = 42,
               class_weight: bool = False, grid: dict | None = None, folds: int = mdl.CV_FOLDS, retrain: bool = False, **params) -> dict:
     """Search (with a grid), fit on train rows, threshold on validation, metrics on test; or load.

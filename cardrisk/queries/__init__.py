@@ -20,6 +20,7 @@ from cardrisk.queries import (  # noqa: F401  (registration side effects)
     q_resample,
     q_search,
     q_sketches,
+    q_upkeep,
     q_streaming,
     q_more,
 )

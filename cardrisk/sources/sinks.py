@@ -11,11 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cardrisk.functions.scalar import clip_round
-from cardrisk.schema import PREDICTED_FRAUD, TRANSACTION_ID, TX_DATETIME, TX_TIME_DAYS, TX_TIME_SECONDS
+from cardrisk.schema import PREDICTED_FRAUD, TRANSACTION_ID, TX_DATETIME, TX_FRAUD, TX_TIME_DAYS, TX_TIME_SECONDS
 from cardrisk.sources.readers import TS_WRITE_FORMAT
 
 
@@ -34,6 +34,20 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return write_table(df, path, fmt)
 
 
+def write_features_checked(df: DataFrame, path: str, fmt: str = "parquet") -> dict:
+    """Write all feature rows and return the data check of what was written: rows, frauds, first and last time and the nulls of
+    every column (``null_<column>``).
+
+    The check is observed in the pass that writes; the rows are not read for it again.
+    """
+    seen = Observation("feature check")
+    ts = F.col(TX_DATETIME).cast("timestamp_ntz")
+    checks = [F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(TX_FRAUD), F.lit(0)).cast("bigint").alias("n_fraud"), F.min(ts).alias("first_time"), F.max(ts).alias("last_time")]
+    checks += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in df.columns]
+    write_table(df.observe(seen, *checks), path, fmt)
+    return seen.get
+
+
 def preview(df: DataFrame, n: int = 50, ts: str = TX_DATETIME) -> DataFrame:
     """The first ``n`` rows in time order (a top-n, not a full sort)."""
     return df.orderBy(F.col(ts).asc_nulls_last(), F.col(TRANSACTION_ID)).limit(n)
