@@ -11,6 +11,10 @@ block) table; the ``K`` preceding non-empty blocks are certain to hold the
 ``K`` rows before any block start, so a short window over that table gives
 every block its exact predecessors.  The small table is joined back on
 (key, block), the partitioning the big side already has.
+
+A burst can leave more than ``max_rows`` rows in one block, up to all of them in one
+microsecond.  The rows of such blocks are laid out by (key, time, id) in even ranges, and a
+block's rows in one range are a part of it, numbered in order; blocks within the limit have one part.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardrisk.operators.rolling import BLEN, BLOCK, D, Blocks, _floor_div, probe_hot_keys, with_block_length, with_us
+from cardrisk.operators.rolling import BLEN, BLOCK, D, HOT_KEY_ROWS, Blocks, _floor_div, probe_hot_keys, with_block_length, with_us
 from cardrisk.schema import (
     AVG_LAST_TX_AMOUNT,
     CUSTOMER_ID,
@@ -34,12 +38,16 @@ from cardrisk.schema import (
     TX_TIME_SECONDS_SHIFTED,
     US,
 )
+from cardrisk.session import cut_lineage
 
 # Marker for "no previous transaction" and drift guard.
 NO_PREVIOUS_SECONDS = 999999
 DRIFT_EPS = 1e-5
 
 
+PART = "_part_of_block"
+
+
 def lag_name(col: str, k: int) -> str:
     return f"_lag_{col}_{k}"
 
@@ -50,6 +58,7 @@ def ordered_lags(
     key: str = CUSTOMER_ID,
     order: Sequence[str] = (US, TRANSACTION_ID),
     block_us: Blocks | int | str | None = "auto",
+    max_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add ``lag_name(c, k)`` for ``k = 1..lags[c]``: the value ``k`` rows earlier in the key.
 
@@ -77,8 +86,9 @@ def ordered_lags(
         d = df
 
     depth = max(lags.values())
-    w = Window.partitionBy(key, BLOCK).orderBy(*order)
-    wd = Window.partitionBy(key, BLOCK).orderBy(*[F.col(o).desc() for o in order])
+    d = with_parts(d, key, order, max_rows)
+    w = Window.partitionBy(key, BLOCK, PART).orderBy(*order)
+    wd = Window.partitionBy(key, BLOCK, PART).orderBy(*[F.col(o).desc() for o in order])
     d = d.withColumns(
         {
             "_pos": F.row_number().over(w),
@@ -90,25 +100,41 @@ def ordered_lags(
     rec = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in lags])
     tails = (
         d.filter((F.col("_rpos") <= depth) & F.col(BLEN).isNotNull())
-        .groupBy(key, BLOCK)
+        .groupBy(key, BLOCK, PART)
         .agg(F.collect_list(rec).alias("_tail"))
     )
-    wt = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(-depth, -1)
-    prev = tails.select(key, BLOCK, F.sort_array(F.flatten(F.collect_list("_tail").over(wt))).alias("_p"))
+    wt = Window.partitionBy(key).orderBy(BLOCK, PART).rowsBetween(-depth, -1)
+    prev = tails.select(key, BLOCK, PART, F.sort_array(F.flatten(F.collect_list("_tail").over(wt))).alias("_p"))
     prev = prev.select(
-        key, BLOCK, F.slice("_p", F.greatest(F.size("_p") - depth + 1, F.lit(1)), depth).alias("_prev")
+        key, BLOCK, PART, F.slice("_p", F.greatest(F.size("_p") - depth + 1, F.lit(1)), depth).alias("_prev")
     )
-    out = d.join(prev, [key, BLOCK], "left")
+    out = d.join(prev, [key, BLOCK, PART], "left")
     cols = {}
     for (c, k), nm in names.items():
         back = F.try_element_at(F.col("_prev"), F.least(F.col("_pos") - (k + 1), F.lit(-1)))
         cols[nm] = F.when(F.col("_pos") > k, F.col("_in" + nm)).otherwise(back.getField(c))
-    out = out.withColumns(cols).drop("_pos", "_rpos", "_prev", *["_in" + nm for nm in names.values()])
+    out = out.withColumns(cols).drop("_pos", "_rpos", "_prev", PART, *["_in" + nm for nm in names.values()])
     if own_block:
         out = out.drop(BLOCK, BLEN)
     return _blank_null_key(out, key, names.values())
 
 
+def with_parts(d: DataFrame, key: str, order: Sequence[str], max_rows: int) -> DataFrame:
+    """Add ``PART``: 0, or for the rows of a split key's block of over ``max_rows`` the range that they fall in."""
+    if d.isStreaming:
+        return d.withColumn(PART, F.lit(0))
+    d = cut_lineage(d)
+    dense = d.filter(F.col(BLEN).isNotNull()).groupBy(key, BLOCK).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    dense = cut_lineage(dense)
+    rows = dense.agg(F.sum("_n")).first()[0]
+    if rows is None:
+        return d.withColumn(PART, F.lit(0))
+    blocks = dense.drop("_n")
+    ranges = d.join(blocks, [key, BLOCK], "left_semi").repartitionByRange(max(2, -(-2 * rows // max_rows)), key, *order)
+    parts = cut_lineage(ranges.withColumn(PART, F.spark_partition_id()))  # so that a row keeps its range
+    return d.join(blocks, [key, BLOCK], "left_anti").withColumn(PART, F.lit(0)).select(*parts.columns).unionByName(parts)
+
+
 def _blank_null_key(df: DataFrame, key: str, cols) -> DataFrame:
     # a row without a key has no sequence (pandas: NaN)
     return df.withColumns({c: F.when(F.col(key).isNotNull(), F.col(c)) for c in cols})
@@ -147,6 +173,7 @@ def add_customer_sequence(
     key: str = CUSTOMER_ID,
     drift_window: int | None = None,
     block_us: Blocks | int | str | None = "auto",
+    max_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Time since the previous transaction, last three amounts, their mean, and
     optionally the spending drift against the mean of the last ``drift_window``."""
@@ -162,7 +189,7 @@ def add_customer_sequence(
         amt = [F.when(keyed, F.lag(TX_AMOUNT, k).over(w)) for k in range(1, depth + 1)]
         prev_t = F.when(keyed, F.lag(TX_TIME_SECONDS, 1).over(w))
         return df.withColumns(_sequence_cols(amt, prev_t, drift_window))
-    d = ordered_lags(df, {TX_TIME_SECONDS: 1, TX_AMOUNT: depth}, key=key, block_us=block_us)
+    d = ordered_lags(df, {TX_TIME_SECONDS: 1, TX_AMOUNT: depth}, key=key, block_us=block_us, max_rows=max_rows)
     amt = [F.col(lag_name(TX_AMOUNT, k)) for k in range(1, depth + 1)]
     d = d.withColumns(_sequence_cols(amt, F.col(lag_name(TX_TIME_SECONDS, 1)), drift_window))
     return d.drop(*[lag_name(TX_AMOUNT, k) for k in range(1, depth + 1)], lag_name(TX_TIME_SECONDS, 1))

@@ -67,7 +67,7 @@ def build_features(
     d = customer_spending(d, windows=windows, ties=ties, amount_scale=amount_scale, block_days=c_block)
     if stage2:
         d = d.withColumn(TX_AMOUNT_DEVIATION, F.col(TX_AMOUNT) - F.col(customer_avg_col(min(windows))))
-        d = add_customer_sequence(d, key=CUSTOMER_ID, drift_window=drift_window, block_us=c_block)
+        d = add_customer_sequence(d, key=CUSTOMER_ID, drift_window=drift_window, block_us=c_block, max_rows=hot_key_rows)
 
     # terminal-keyed work: a second partitioning
     d = terminal_risk(d, delay=delay, windows=windows, block_days=t_block)

@@ -107,3 +107,22 @@ def test_sequence_hot_path(spark):
     a = add_customer_sequence(t, drift_window=5)
     b = add_customer_sequence(t, drift_window=5, block_us=7 * D)
     assert same_rows(a, b)
+
+
+@pytest.mark.parametrize("instant", [False, True])
+def test_bursts_are_cut_again_for_lags(spark, instant):
+    """Half a key's rows within 10 ms, or in one microsecond: no part holds many more rows than the limit, and lags are exact."""
+    from cardrisk.operators.rolling import BLOCK, Blocks, _floor_div
+    from cardrisk.operators.sequence import PART, with_parts
+
+    n, limit = 20_000, 1_000
+    at = F.when(F.col("id") % 2 == 0, F.lit(40 * D) + (F.lit(0) if instant else F.floor(F.col("id") / 2))).otherwise(F.col("id") * (74 * D // n))
+    t = with_us(spark.range(n).select(
+        F.col("id").alias("TRANSACTION_ID"), F.lit(1).cast("long").alias("CUSTOMER_ID"), F.timestamp_micros(at.cast("long")).alias("TX_DATETIME"), (F.col("id") % 997).cast("double").alias("TX_AMOUNT"),
+    ))
+    d = with_block_length(t, "CUSTOMER_ID", Blocks(uniform_us=2 * D)).withColumn(BLOCK, _floor_div(F.col(US), F.col(BLEN)))
+    assert d.groupBy(BLOCK).count().agg(F.max("count")).first()[0] > 10 * limit
+    parts = with_parts(d, "CUSTOMER_ID", (US, "TRANSACTION_ID"), limit)
+    assert parts.count() == n and parts.groupBy(BLOCK, PART).count().agg(F.max("count")).first()[0] <= 2 * limit
+    whole = ordered_lags(t, {"TX_AMOUNT": 4}, block_us=None)
+    assert same_rows(ordered_lags(t, {"TX_AMOUNT": 4}, block_us=2 * D, max_rows=limit), whole)
