@@ -11,26 +11,29 @@ from cardrisk.operators import enrich
 from cardrisk.plans import jobs
 from cardrisk.queries.q_aggregates import feat1
 from cardrisk.queries.registry import out, register
-from cardrisk.schema import CUSTOMER_ID, METRIC_HISTORY, TRANSACTION_ID, TX_DATETIME, TX_FRAUD
+from cardrisk.schema import CUSTOMER_id(), METRIC_HISTORY, TRANSACTION_id(), TX_DATETIME, TX_FRAUD
 from cardrisk.session import scratch_path
 from cardrisk.sources import readers, rejects, sinks
 from cardrisk.streaming import score
 
 HEADER = ",".join(f.name for f in METRIC_HISTORY.fields)
-_ID = F.col(TRANSACTION_ID)
+
+
+def _id():
+    return F.col(TRANSACTION_id())
 
 
 def _metric_line(f1):
-    zeit = F.format_string("%02d:%02d:%02d", _ID % 24, _ID % 60, _ID % 59)
+    zeit = F.format_string("%02d:%02d:%02d", _id() % 24, _id() % 60, _id() % 59)
     return F.concat_ws(",", zeit, F.lit("0.5"), F.lit("0.25"), f1, F.lit("0.9"), F.lit("0.8"))
 
 
 def _dirty_file(spark, sf) -> str:
     """A metric history with a line a transaction, some of them bad."""
-    good = (_ID % 1000 / 1000).cast("decimal(4,3)").cast("string")
+    good = (_id() % 1000 / 1000).cast("decimal(4,3)").cast("string")
     line = (
-        F.when(_ID % 10 == 3, F.lit(HEADER)).when(_ID % 10 == 5, _metric_line(F.lit("n/a"))).when(_ID % 10 == 7, F.lit("10:00:00,0.5,0.5"))
-        .when(_ID % 10 == 9, F.lit("  ")).when(_ID % 20 == 8, _metric_line(F.lit(""))).when(_ID % 20 == 4, F.concat(_metric_line(good), F.lit(",1"))).otherwise(_metric_line(good))
+        F.when(_id() % 10 == 3, F.lit(HEADER)).when(_id() % 10 == 5, _metric_line(F.lit("n/a"))).when(_id() % 10 == 7, F.lit("10:00:00,0.5,0.5"))
+        .when(_id() % 10 == 9, F.lit("  ")).when(_id() % 20 == 8, _metric_line(F.lit(""))).when(_id() % 20 == 4, F.concat(_metric_line(good), F.lit(",1"))).otherwise(_metric_line(good))
     )
     path = scratch_path(spark, "dirty_history")
     fx.tx(spark, sf).select(line.alias("value")).write.text(path)
@@ -39,9 +42,9 @@ def _dirty_file(spark, sf) -> str:
 
 @register(
     "history_rejects",
-    "SELECT CASE WHEN TRANSACTION_ID % 10 = 3 THEN 'header' WHEN TRANSACTION_ID % 10 IN (5, 7) OR TRANSACTION_ID % 20 = 4 THEN 'malformed'\n"
-    "  WHEN TRANSACTION_ID % 10 = 9 THEN 'blank' WHEN TRANSACTION_ID % 20 = 8 THEN 'missing' ELSE 'kept' END AS outcome, count(*) AS n_lines,\n"
-    "  CAST(sum(CASE WHEN TRANSACTION_ID % 10 IN (3, 5, 7, 9) OR TRANSACTION_ID % 20 IN (4, 8) THEN NULL ELSE TRANSACTION_ID % 1000 END) AS BIGINT) AS f1_thousandths FROM tx GROUP BY 1",
+    "SELECT CASE WHEN TRANSACTION_id() % 10 = 3 THEN 'header' WHEN TRANSACTION_id() % 10 IN (5, 7) OR TRANSACTION_id() % 20 = 4 THEN 'malformed'\n"
+    "  WHEN TRANSACTION_id() % 10 = 9 THEN 'blank' WHEN TRANSACTION_id() % 20 = 8 THEN 'missing' ELSE 'kept' END AS outcome, count(*) AS n_lines,\n"
+    "  CAST(sum(CASE WHEN TRANSACTION_id() % 10 IN (3, 5, 7, 9) OR TRANSACTION_id() % 20 IN (4, 8) THEN NULL ELSE TRANSACTION_id() % 1000 END) AS BIGINT) AS f1_thousandths FROM tx GROUP BY 1",
 )
 def history_rejects(spark, sf):
     """Lines of a dirty history by outcome: kept rows, and the reject table by reason."""
@@ -67,7 +70,7 @@ def daily_refresh(spark, sf):
     return out(spark.read.parquet(target).select(*feat1(spark, sf).columns))
 
 
-_CHECKED = [CUSTOMER_ID, "TERMINAL_ID", "TX_AMOUNT", "TERMINAL_ID_RISK_7DAY_WINDOW", "CUSTOMER_ID_AVG_AMOUNT_1DAY_WINDOW"]
+_CHECKED = [CUSTOMER_id(), "TERMINAL_id()", "TX_AMOUNT", "TERMINAL_id()_RISK_7DAY_WINDOW", "CUSTOMER_id()_AVG_AMOUNT_1DAY_WINDOW"]
 
 
 @register(
@@ -86,21 +89,21 @@ def features_data_check(spark, sf):
 
 @register(
     "one_hot_wide",
-    "SELECT TRANSACTION_ID, CAST(v AS BIGINT) AS place, n AS places FROM (SELECT TRANSACTION_ID, dense_rank() OVER (ORDER BY concat('c', CAST(CUSTOMER_ID AS VARCHAR))) - 1 AS v FROM tx WHERE CUSTOMER_ID IS NOT NULL\n"
-    "  UNION ALL SELECT TRANSACTION_ID, (SELECT count(DISTINCT CUSTOMER_ID) FROM tx) FROM tx WHERE CUSTOMER_ID IS NULL) a, (SELECT count(DISTINCT CUSTOMER_ID) + 1 AS n FROM tx) b",
+    "SELECT TRANSACTION_id(), CAST(v AS BIGINT) AS place, n AS places FROM (SELECT TRANSACTION_id(), dense_rank() OVER (ORDER BY concat('c', CAST(CUSTOMER_id() AS VARCHAR))) - 1 AS v FROM tx WHERE CUSTOMER_id() IS NOT NULL\n"
+    "  UNION ALL SELECT TRANSACTION_id(), (SELECT count(DISTINCT CUSTOMER_id()) FROM tx) FROM tx WHERE CUSTOMER_id() IS NULL) a, (SELECT count(DISTINCT CUSTOMER_id()) + 1 AS n FROM tx) b",
 )
 def one_hot_wide(spark, sf):
     """Customers as sparse one-hot vectors over a fitted vocabulary table: the place of each row's 1 and the vector's length."""
-    named = fx.tx(spark, sf).select(TRANSACTION_ID, F.concat(F.lit("c"), F.col(CUSTOMER_ID).cast("string")).alias("name"))
+    named = fx.tx(spark, sf).select(TRANSACTION_id(), F.concat(F.lit("c"), F.col(CUSTOMER_id()).cast("string")).alias("name"))
     encoded = enrich.one_hot_sparse(named, "name", enrich.vocabulary(named, "name"))
     # SQL has no function of a sparse vector's place; making it dense would cost a value a category
     place = F.udf(lambda v: (int(v.indices[0]), int(v.size)), "place bigint, places bigint")
-    return encoded.select(TRANSACTION_ID, place("one_hot").alias("p")).select(TRANSACTION_ID, "p.place", "p.places")
+    return encoded.select(TRANSACTION_id(), place("one_hot").alias("p")).select(TRANSACTION_id(), "p.place", "p.places")
 
 
 @register(
     "source_dispatch",
-    "SELECT kind, count(*) AS n, CAST(sum(TRANSACTION_ID) AS BIGINT) AS ids FROM tx, (VALUES ('csv'), ('parquet'), ('frame')) AS k(kind) GROUP BY kind",
+    "SELECT kind, count(*) AS n, CAST(sum(TRANSACTION_id()) AS BIGINT) AS ids FROM tx, (VALUES ('csv'), ('parquet'), ('frame')) AS k(kind) GROUP BY kind",
 )
 def source_dispatch(spark, sf):
     """One table from a CSV path with a stray index column, a parquet path and a frame."""
@@ -108,21 +111,21 @@ def source_dispatch(spark, sf):
     csv, parquet = scratch_path(spark, "dispatch") + ".csv", scratch_path(spark, "dispatch") + ".parquet"
     sinks.write_table(tx.withColumn("Unnamed: 0", F.monotonically_increasing_id()).select("Unnamed: 0", *tx.columns), csv, "csv")
     sinks.write_table(tx, parquet)
-    parts = [readers.as_dataframe(spark, s).select(F.lit(k).alias("kind"), TRANSACTION_ID) for k, s in (("csv", csv), ("parquet", parquet), ("frame", tx))]
+    parts = [readers.as_dataframe(spark, s).select(F.lit(k).alias("kind"), TRANSACTION_id()) for k, s in (("csv", csv), ("parquet", parquet), ("frame", tx))]
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(TRANSACTION_ID).alias("ids"))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(TRANSACTION_id()).alias("ids"))
 
 
 @register(
     "stream_history_watch",
-    "SELECT count(*) AS n_rows, CAST(sum(TRANSACTION_ID % 1000) AS BIGINT) AS f1_thousandths, count(DISTINCT TX_TIME_DAYS // 10) AS n_alerts FROM tx",
+    "SELECT count(*) AS n_rows, CAST(sum(TRANSACTION_id() % 1000) AS BIGINT) AS f1_thousandths, count(DISTINCT TX_TIME_DAYS // 10) AS n_alerts FROM tx",
 )
 def stream_history_watch(spark, sf):
     """Metric files arriving in turn are appended to the history, with one alert level a batch."""
     base = scratch_path(spark, "watch")
     tx = fx.tx(spark, sf)
     part = F.expr("TX_TIME_DAYS div 10")
-    line = _metric_line((_ID % 1000 / 1000).cast("decimal(4,3)").cast("string"))
+    line = _metric_line((_id() % 1000 / 1000).cast("decimal(4,3)").cast("string"))
     for n in sorted(r[0] for r in tx.select(part).distinct().collect()):  # a file folder every ten days
         rows = tx.filter(part == n).select(F.split(line, ",").alias("v")).select(*[F.col("v")[i].alias(f.name) for i, f in enumerate(METRIC_HISTORY.fields)])
         rows.write.mode("append").option("header", True).csv(f"{base}/in")
