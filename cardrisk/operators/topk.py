@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cardrisk.functions.calendar import clock_hhmm
 from cardrisk.operators.filters import day_slice
 from cardrisk.operators.rolling import money
+from cardrisk.operators.sampling import hash_order
 from cardrisk.schema import (
     CUSTOMER_ID,
     TERMINAL_ID,
@@ -105,11 +106,6 @@ def customer_last_n(df: DataFrame, n: int = 10, customer_id: int | None = None,
     )
 
 
-def hash_order(id_col: str = TRANSACTION_ID, seed: int = 42):
-    """Deterministic pseudo-random order: md5 of 'id:seed' (same in any SQL engine)."""
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
-
-
 def sample_n(df: DataFrame, n: int = 1000, seed: int = 42, id_col: str = TRANSACTION_ID) -> DataFrame:
     """min(n, rows) rows without replacement, reproducible by seed."""
     return df.orderBy(hash_order(id_col, seed), F.col(id_col)).limit(n)

@@ -70,6 +70,26 @@ def daily_refresh(spark, sf):
     return out(spark.read.parquet(target).select(*feat1(spark, sf).columns))
 
 
+@register(
+    "cached_table_reload",
+    "SELECT * FROM (SELECT 1 AS step, count(*) FILTER (TX_TIME_DAYS < 15) AS n_rows FROM tx UNION ALL SELECT 2, count(*) FILTER (TX_TIME_DAYS < 15) FROM tx\n"
+    "  UNION ALL SELECT 3, count(*) FROM tx) t",
+)
+def cached_table_reload(spark, sf):
+    """A table that grows while it is kept: the kept rows within its 60 seconds, all rows after them."""
+    tx, now, rows = fx.tx(spark, sf), [0.0], []
+    # another process writes: from second 30 on the folders hold the later days too (a write of this session would renew the kept rows)
+    early, later = scratch_path(spark, "days-early"), scratch_path(spark, "days-later")
+    sinks.write_table(tx.filter(F.col("TX_TIME_DAYS") < 15), early)
+    sinks.write_table(tx.filter(F.col("TX_TIME_DAYS") >= 15), later)
+    table = readers.TimedTable(lambda: spark.read.schema(tx.schema).parquet(early, *([later] if now[0] >= 30 else [])), 60.0, lambda: now[0])
+    for step, at in ((1, 0.0), (2, 59.0), (3, 60.0)):
+        now[0] = at
+        rows.append((step, table.get().count()))
+    table.drop()
+    return spark.createDataFrame(rows, "step int, n_rows bigint")
+
+
 _CHECKED = [CUSTOMER_ID, "TERMINAL_ID", "TX_AMOUNT", "TERMINAL_ID_RISK_7DAY_WINDOW", "CUSTOMER_ID_AVG_AMOUNT_1DAY_WINDOW"]
 
 

@@ -7,6 +7,9 @@ swallowed.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,6 +136,30 @@ def cached(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+class TimedTable:
+    """A loaded table kept for repeated queries, loaded again once it is ``seconds`` old.
+
+    ``get`` gives the kept frame; frames handed out before stay valid, as Spark reads their files again.
+    """
+
+    def __init__(self, load: Callable[[], DataFrame], seconds: float = 60.0, clock: Callable[[], float] = time.monotonic):
+        self.load, self.seconds, self.clock = load, seconds, clock
+        self._kept: DataFrame | None = None
+        self._since = 0.0
+
+    def get(self) -> DataFrame:
+        if self._kept is None or self.clock() - self._since >= self.seconds:
+            self.drop()
+            self._kept, self._since = cached(self.load()), self.clock()
+        return self._kept
+
+    def drop(self) -> None:
+        """Forget the kept table; the next ``get`` loads it."""
+        if self._kept is not None:
+            self._kept.unpersist()
+            self._kept = None
+
+
 def read_daily_partitions(spark: SparkSession, path: str, first=None, last=None, ts: str = "TX_DATETIME") -> DataFrame:
     """Read a day-partitioned table; a day range prunes partitions (folders) before any file is opened.
 

@@ -120,3 +120,18 @@ def test_sketches_of_days_without_amounts(spark, tmp_dir):
     kpis = ds.range_kpis(sketches, ranges).first()
     assert (kpis["n_tx"], kpis["n_fraud"], kpis["n_customers"], kpis["mean_amount"]) == (2, 0, 1, None)
     assert ds.range_kpis(sketches.limit(0), ranges).count() == 0
+
+
+def test_timed_table(spark):
+    from cardrisk.sources.readers import TimedTable
+
+    now, loads = [0.0], []
+    table = TimedTable(lambda: loads.append(1) or spark.range(len(loads)), 60.0, lambda: now[0])
+    first = table.get()
+    now[0] = 59.9
+    assert table.get() is first and first.is_cached and len(loads) == 1
+    now[0] = 60.0
+    assert table.get().count() == 2 and not first.is_cached and first.count() == 1
+    table.drop()
+    assert table.get().count() == 3
+    table.drop()
