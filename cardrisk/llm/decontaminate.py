@@ -22,7 +22,8 @@ Nulls and edges: a null or empty text has no shingle and matches nothing; an
 item without words matches nothing; items with equal shingle sets are one
 class (``item_id`` is its smallest id, ``item_ids`` lists all, null ids left
 out of the list); repeated document rows give repeated result rows; an empty
-table gives an empty result.
+table gives an empty result.  ``contaminated`` reads no other columns; ``decontaminate`` keeps them,
+whatever their names; a very long text is one numpy step.
 """
 
 from __future__ import annotations

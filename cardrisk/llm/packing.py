@@ -16,6 +16,8 @@ offset.  No length, however common, is gathered in one task.
 
 Nulls and edges: a null or empty text is the end id alone; repeated rows are
 packed each; a null ``doc_id`` stays null; an empty table gives no windows.
+Other columns are not read, whatever their names; a very long text is tokenised in one step and cut
+into pieces as any other.
 """
 
 from __future__ import annotations

@@ -28,6 +28,7 @@ for the terms that stand near entities only: a bitmap of fixed size lets them pa
 Nulls and edges: a null or empty text has no spans; repeated rows have equal
 spans each and count as documents each, but as one text; a null ``doc_id``
 stays null; an empty table gives an empty result.
+Other columns are not read, whatever their names; a very long text is searched as one string, in linear time.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ Matches of the patterns are measured too, and stay whatever they cost.
 
 Nulls and edges: a null or empty text has no spans; repeated rows have equal
 spans each; a null ``doc_id`` stays null; a corpus without words has an empty
-dictionary; an empty table gives an empty result.
+dictionary; an empty table gives an empty result.  Other columns are kept, whatever their
+names; a very long text is searched as one string, near its sensitive words only.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ Nulls and edges: a text without words has fingerprint 0 and is linked like any
 other; one of fewer words than a shingle has one shingle; repeated rows keep their
 rows; rows with a null ``doc_id`` take part, but the component's id is its
 smallest id that is not null (null if it has none); an empty table gives an
-empty result.
+empty result.  ``near_duplicates`` reads no other columns; ``keep_one`` keeps them, whatever their
+names; a very long text's shingles are hashed in one step.
 """
 
 from __future__ import annotations

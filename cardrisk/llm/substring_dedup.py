@@ -20,6 +20,7 @@ Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Equality is that of an anchor's
 Nulls and edges: a null or empty text has no words; a text of fewer than
 ``length`` words has no run and stays whole; repeated rows repeat each other
 in full; a null ``doc_id`` stays null; an empty table gives an empty result.
+Other columns are not read, whatever their names; a very long text is hashed in one numpy step.
 """
 
 from __future__ import annotations

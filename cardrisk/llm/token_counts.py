@@ -15,6 +15,7 @@ versions disagree are counted whole by the tokenizer.
 
 Nulls and edges: a null text is empty and has no token; repeated rows each
 keep their row; a null ``doc_id`` stays null; an empty table gives an empty result.
+Other columns are not read, whatever their names; a very long text is split and counted in one numpy step.
 """
 
 from __future__ import annotations

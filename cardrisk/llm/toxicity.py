@@ -20,6 +20,8 @@ Nulls and edges: a null or empty text has the score of a text without any known
 word; a null ``doc_id`` is not held out and has no label; contradicting labels
 of one id all count; repeated rows are scored each; without labels the
 score is 0; an empty table gives an empty result.
+Other columns are kept, whatever their names (a column called as the score is the caller's to avoid in ``scored``);
+a very long text is read token by token.
 """
 
 from __future__ import annotations

@@ -17,6 +17,8 @@ document is also sent to the block before.  No order over the table is built in
 Nulls and edges: a null text is empty; a null ``doc_id`` stands first; rows of one
 ``doc_id`` follow each other by text; the last document is followed by the first, a
 single one by itself; an empty table gives an empty result.
+Other columns are not read, whatever their names; a very long text is one array of words, and beyond
+2**24 words positions begin again, so ties between words that far apart may go to the one further left.
 """
 
 from __future__ import annotations
