@@ -140,3 +140,18 @@ def test_stages_keep_columns_of_clashing_names(spark, make):
         rows = out.collect()
         assert out.columns == df.columns and rows
         assert all(r[c] == f"own {c}" for r in rows for c in CLASHES)
+
+
+@pytest.mark.parametrize("operator", ["pack", "near_duplicates", "token_counts", "dedup", "kd_shards", "personal_data", "fingerprints", "token_alignment"])
+def test_operators_do_not_read_columns_of_clashing_names(spark, operator):
+    import importlib
+
+    home = {"pack": "packing", "near_duplicates": "simhash", "dedup": "substring_dedup", "kd_shards": "sharding", "personal_data": "pii", "fingerprints": "winnowing"}
+    run = getattr(importlib.import_module(f"cardrisk.llm.{home.get(operator, operator)}"), operator)
+    if operator == "kd_shards":
+        run = lambda d, whole=run: whole(d, ["doc_id"], 3)
+    plain = spark.createDataFrame([(k % 7, f"some words of text number {k % 9} that stand here") for k in range(20)], "doc_id long, text string").coalesce(1)
+    names = [*CLASHES, "size", "tie", "d0", "ids", "task", "n", "block", "start", "hashes", "fingerprint", "component_id", "pairs", "links", "n_a"]
+    clashing = plain.select("*", *[F.lit(f"own {c}").alias(c) for c in dict.fromkeys(names)])
+    of = lambda df: sorted(map(str, run(df).collect()))
+    assert of(clashing) == of(plain)
