@@ -11,8 +11,10 @@ A chosen entry is one long: 40 bits of hash above 24 bits that count the positio
 down, so the smaller entry is the smaller hash or, of equals, the one further right.
 
 ``with_next`` pairs every document with the next by ``doc_id``, over the whole table:
-``doc_id`` ranges become blocks, a window runs in each block, and a block's first
-document is also sent to the block before.  No order over the table is built in one task.
+ranges of ``doc_id`` and text hash become blocks, a window runs in each block, and a block's first
+document is also sent to the block before.  The ranges' bounds come from a sample of bounded size and only say
+where a row is worked on.  Rows equal in both, where they are many, are numbered in a written table and cut by their number.
+No order over the table is built in one task.
 
 Nulls and edges: a null text is empty; a null ``doc_id`` stands first; rows of one
 ``doc_id`` follow each other by text; the last document is followed by the first, a
@@ -29,13 +31,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardrisk.llm.common import prepare
+from cardrisk.llm.common import prepare, written
 
 GRAM, WINDOW = 3, 8
 POSITION_BITS = 24
 #: Blocks of ids for each shuffle partition, so that partitions come out even, and blocks
 #: in all: their bounds are part of the plan.  Larger blocks sort on disk.
 BLOCKS, MOST_BLOCKS = 4, 1 << 14
+#: Rows drawn for each bound, and rows of equal id and text that may stand in one block.
+SAMPLED, MOST_EQUAL = 16, 1000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -117,41 +121,63 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Dat
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.char_length(text).cast("bigint").alias("n_chars"), positions(chosen(text, gram, window)).alias("marks"))
 
 
-def _block(bounds: list[int], value: Column) -> Column:
+def _places(places: list[tuple[int, int, int]]) -> Column:
+    """Places in the order of documents as literals: id (null: least), text hash, number."""
+    return F.array(*[F.struct(*[F.lit(x).cast("bigint").alias(n) for n, x in zip("abc", p)]) for p in places])
+
+
+def _block(bounds: list[tuple[int, int, int]], value: Column) -> Column:
     """How many of the sorted bounds the value reaches, in two steps of about their square root."""
     if not bounds:
         return F.lit(0)
     step = max(1, math.isqrt(len(bounds)))
     parts = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    longs = lambda xs: F.array(*[F.lit(x).cast("bigint") for x in xs])
-    part = F.size(F.filter(longs([p[0] for p in parts]), lambda x: x <= value))
-    inside = F.get(F.array(*[longs(p) for p in parts]), part - 1)
+    part = F.size(F.filter(_places([p[0] for p in parts]), lambda x: x <= value))
+    inside = F.get(F.array(*[_places(p) for p in parts]), part - 1)
     return F.when(part > 0, (part - 1) * step + F.size(F.filter(inside, lambda x: x <= value))).otherwise(0)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, place``; rows of equal id and text have equal places as long as they are few."""
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    source = source.withColumn("key", F.xxhash64("text")).withColumn("nr", F.lit(0).cast("bigint"))
+    most = source.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (most or 0) > MOST_EQUAL:
+        source = written(source.withColumn("nr", F.monotonically_increasing_id()), "numbered-documents")
+    place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("a"), F.col("key").alias("b"), F.col("nr").alias("c"))
+    return source.select("doc_id", "text", place.alias("place"))
+
+
+def _bounds(source: DataFrame, cuts: int) -> list[tuple[int, int, int]]:
+    """At most ``cuts - 1`` places that cut the rows about evenly, from some ``SAMPLED`` rows a cut."""
+    rows = source.count()
+    if not rows:
+        return []
+    spread = F.pmod(F.xxhash64("place", F.monotonically_increasing_id()), F.lit(rows))  # equal rows are drawn each by itself
+    drawn = sorted(tuple(r[0]) for r in source.select("place", spread.alias("x")).filter(F.col("x") < cuts * SAMPLED).select("place").collect())
+    return sorted({drawn[len(drawn) * i // cuts] for i in range(1, cuts)}) if drawn else []
+
+
 def with_next(docs: DataFrame, derived: dict[str, Column]) -> DataFrame:
     """``doc_id, text``, the ``derived`` columns (of ``text``), and ``next_text`` and ``next_*`` of the next document."""
     spark = prepare(docs.sparkSession, python=False)
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    source = _placed(docs)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cuts = min(partitions * BLOCKS, MOST_BLOCKS)
-    found = source.agg(F.percentile_approx("doc_id", [i / cuts for i in range(1, cuts)], 10 * cuts).alias("q")).first()["q"]
-    block = _block(sorted(set(found or [])), F.col("doc_id"))
-    # the least id of each block: as many rows as there are blocks
-    heads = {r[0]: r[1] for r in source.select(block.alias("block"), "doc_id").groupBy("block").agg(F.expr("min(coalesce(doc_id, -9223372036854775808L))")).collect()}
+    block = _block(_bounds(source, min(partitions * BLOCKS, MOST_BLOCKS)), F.col("place"))
+    # the least place of each block: as many rows as there are blocks
+    heads = {r[0]: tuple(r[1]) for r in source.select(block.alias("block"), "place").groupBy("block").agg(F.min("place")).collect()}
     order = sorted(heads)
     if not order:
-        order, heads = [0], {0: 0}
-    pairs = [(b, heads[b], order[i - 1]) for i, b in enumerate(order)]
-    lists = [F.array(*[F.lit(v).cast("bigint") for v in column]) for column in zip(*pairs)]
-    at = F.array_position(lists[0], F.col("block")).cast("int")
-    first = F.coalesce("doc_id", F.lit(-(1 << 63))) == F.element_at(lists[1], at)
+        order, heads = [0], {0: (0, 0, 0)}
+    longs = lambda xs: F.array(*[F.lit(x).cast("bigint") for x in xs])
+    at = F.array_position(longs(order), F.col("block")).cast("int")
+    first = F.col("place") == F.element_at(_places([heads[b] for b in order]), at)
     own = F.struct(F.col("block").alias("block"), F.lit(False).alias("guest"))
-    guest = F.struct(F.element_at(lists[2], at).alias("block"), F.lit(True).alias("guest"))
+    guest = F.struct(F.element_at(longs([order[i - 1] for i in range(len(order))]), at).alias("block"), F.lit(True).alias("guest"))
     rows = source.withColumn("block", block.cast("bigint"))
-    rows = rows.select("doc_id", "text", F.explode(F.when(first, F.array(own, guest)).otherwise(F.array(own))).alias("to"))
-    rows = rows.select("doc_id", "text", "to.block", "to.guest").repartition(partitions, "block").withColumns(derived)
-    ordered = Window.partitionBy("block").orderBy("guest", "doc_id", F.xxhash64("text"), "text")
+    rows = rows.select("doc_id", "text", "place", F.explode(F.when(first, F.array(own, guest)).otherwise(F.array(own))).alias("to"))
+    rows = rows.select("doc_id", "text", "place", "to.block", "to.guest").repartition(partitions, "block").withColumns(derived)
+    ordered = Window.partitionBy("block").orderBy("guest", "place", "text")
     names = ["text", *derived]
     return rows.withColumns({f"next_{n}": F.lead(n).over(ordered) for n in names}).filter(~F.col("guest")).select("doc_id", *names, *[f"next_{n}" for n in names])
 

@@ -155,3 +155,25 @@ def test_operators_do_not_read_columns_of_clashing_names(spark, operator):
     clashing = plain.select("*", *[F.lit(f"own {c}").alias(c) for c in dict.fromkeys(names)])
     of = lambda df: sorted(map(str, run(df).collect()))
     assert of(clashing) == of(plain)
+
+
+@pytest.mark.parametrize("ids", ["none", "one", "hashed"])
+@pytest.mark.parametrize("most", [1000, 3])
+def test_next_documents_of_any_ids(spark, monkeypatch, ids, most):
+    """Null, equal and 64-bit ids: every row has the next one's text, and rows are spread over blocks."""
+    from cardrisk.llm import winnowing as W
+
+    monkeypatch.setattr(W, "MOST_EQUAL", most)
+    of = {"none": lambda k: None, "one": lambda k: 7, "hashed": lambda k: xxhash.xxh64_intdigest(str(k)) - (1 << 63)}[ids]
+    rows = [(of(k % 300), f"text {k % 300} of some words " + "x" * (k % 5)) for k in range(600)] + [(of(5), "the very same text")] * 60
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = W.with_next(df, {"n": F.length("text")}).select("doc_id", "text", "next_text", "next_n").collect()
+    signed = lambda h: h - (1 << 64) if h >= 1 << 63 else h
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(xxhash.xxh64_intdigest(r[1].encode(), 42))))
+    expected = collections.Counter((i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order))
+    assert collections.Counter((r["doc_id"], r["text"], r["next_text"]) for r in found) == expected
+    assert all(r["next_n"] == len(r["next_text"]) for r in found)
+    source = W._placed(df)
+    bounds = W._bounds(source, 32)
+    sizes = source.groupBy(W._block(bounds, F.col("place"))).count().collect()
+    assert max(r["count"] for r in sizes) <= (130 if most == 1000 else 100) and len(sizes) > 16
