@@ -155,7 +155,8 @@ def stream_score(spark, sf, cut_day: int = 23):
 )
 def stream_customer_cells(spark, sf):
     """Per-customer rolling spend from time cells in keyed map state."""
-    return _run_append(spark, sf, rolling_cells.customer_cells_stream, "stream_cust_cells", 2)
+    with rolling_cells.rocksdb_state(spark):
+        return _run_append(spark, sf, rolling_cells.customer_cells_stream, "stream_cust_cells", 2)
 
 
 @register(
@@ -164,7 +165,8 @@ def stream_customer_cells(spark, sf):
 )
 def stream_terminal_cells(spark, sf):
     """Per-terminal delayed risk from time cells in keyed map state."""
-    return _run_append(spark, sf, rolling_cells.terminal_cells_stream, "stream_term_cells", 2)
+    with rolling_cells.rocksdb_state(spark):
+        return _run_append(spark, sf, rolling_cells.terminal_cells_stream, "stream_term_cells", 2)
 
 
 # One event in ten arrives two batches after its time; its day is closed by then unless it was among the batch's last.

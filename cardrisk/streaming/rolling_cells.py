@@ -8,8 +8,8 @@ with ``CELL`` of an hour that list has some 720 entries for 30 days, however man
 
 Cells that lie a look-back behind the watermark are removed as rows come; a timer removes the state of a
 key that has been quiet for a look-back.  Features are those known at arrival, as in ``rolling_state``: input
-in time order gives the batch operators' results.  Needs the RocksDB state store (set for the session if
-another is not named) for map state.
+in time order gives the batch operators' results.  Map state needs the RocksDB state store:
+streams are made and started under ``rocksdb_state``, or in a session that names that store.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from contextlib import contextmanager
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cardrisk.schema import CUSTOMER_ID, RISK_DELAY_DAYS, TERMINAL_ID, TRANSACTION_ID, TX_AMOUNT, TX_DATETIME, TX_FRAUD, US, WINDOWS_DAYS, D
@@ -31,6 +31,7 @@ from cardrisk.streaming import rolling_state
 from cardrisk.streaming.rolling_state import _flag, _units, customer_state_fn, terminal_state_fn
 
 CELL = 3600 * 10**6
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _EMPTY = tuple(np.zeros(0, t) for t in ("int64", "int64", "int64", "bool"))
 
@@ -188,11 +189,22 @@ class TerminalCells(_Rolling):
         return pd.DataFrame(out)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """The RocksDB state store for streams started within; the session's own setting stands again after."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
 def _apply(stream: DataFrame, key: str, processor: _Rolling, schema, value: str) -> DataFrame:
     spark = stream.sparkSession
     ship_package(spark)  # the processor runs in Python workers
-    if "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass"):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
+    if "RocksDB" not in spark.conf.get(PROVIDER):
+        raise RuntimeError(f"map state needs the RocksDB state store: run under rocksdb_state(spark), or set {PROVIDER}")
     rows = stream.filter(stream[key].isNotNull()).select(key, TRANSACTION_ID, US, value, TX_DATETIME)
     rows = rows.withWatermark(TX_DATETIME, f"{processor.lookback // D} days")
     with _by_value():

@@ -41,8 +41,9 @@ def test_cells_equal_batch_on_a_hot_key(spark, tmp_dir, kind):
     got = None
     for lo, hi in ((0, 250), (250, 600)):
         df.filter(F.col("TRANSACTION_ID").between(lo, hi - 1)).write.mode("append").parquet(src)
-        out = make(spark.readStream.schema(df.schema).parquet(src), width=D // 4)
-        _append(out, tmp_dir).awaitTermination()
+        with rolling_cells.rocksdb_state(spark):
+            out = make(spark.readStream.schema(df.schema).parquet(src), width=D // 4)
+            _append(out, tmp_dir).awaitTermination()
         got = spark.read.schema(out.schema).parquet(os.path.join(tmp_dir, "out"))
     want = customer_spending(df, ties="row") if kind == "customer" else terminal_risk(df).filter("TERMINAL_ID is not null")
     assert same_rows(got, want.select(*got.columns))
