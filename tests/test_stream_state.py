@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,59 @@ def test_a_group_holds_few_rows():
     assert out["CUSTOMER_ID_NB_TX_30DAY_WINDOW"].iloc[-1] == 30 * 24 * per_cell and out["CUSTOMER_ID_AVG_AMOUNT_7DAY_WINDOW"].iloc[-1] == 1.0
 
 
+class _Store(dict):
+    """Map and value state of one key, with its reads and writes counted."""
+
+    calls = 0
+
+    def getValue(self, k):
+        self.calls += 1
+        return self[k]
+
+    def updateValue(self, k, v):
+        self.calls += 1
+        self[k] = v
+
+    removeKey = dict.__delitem__
+    get = lambda self: dict.get(self, "sums")
+    update = lambda self, v: self.__setitem__("sums", v)
+
+
+def _processed(us, batches, most):
+    """Features of a key's rows in some batches, and its states."""
+    processor = rolling_cells.CustomerCells((1, 7, 30), 2, rolling_cells.CELL)
+    timers = type("T", (), {"registerTimer": lambda self, t: None, "deleteTimer": lambda self, t: None})()
+    processor.handle, processor.cell_rows, processor.sums = timers, _Store(), _Store()
+    mark = type("W", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+    out, before = [], rolling_cells.MOST
+    rolling_cells.MOST = most
+    try:
+        for part in np.array_split(np.arange(len(us)), batches):
+            rows = pd.DataFrame({US: us[part], "TRANSACTION_ID": part, "TX_AMOUNT": 1.0 + part % 7}).sample(frac=1, random_state=1)
+            out += list(processor.handleInputRows((1,), iter([rows[:5], rows[5:]]), mark))
+    finally:
+        rolling_cells.MOST = before
+    return pd.concat(out, ignore_index=True), processor
+
+
+@pytest.mark.parametrize("most", [512, 20, 1])
+def test_long_cells_of_few_rows_and_cut_ones(most):
+    """A key of a row an hour reads and writes a few cells; cells of many rows are cut down to the width; features stay."""
+    us = np.sort(np.random.default_rng(5).integers(0, 70 * 24, 400)) * 3600 * 10**6
+    us[200:260] = us[200]  # one hour has more than a cell takes
+    found, processor = _processed(us, 3, most)
+    assert sorted(found["TRANSACTION_ID"]) == list(range(400))
+    found, amount = found.sort_values("TRANSACTION_ID"), 1.0 + np.arange(400) % 7
+    for w in (1, 7, 30):
+        frames = [np.arange(np.searchsorted(us, us[i] - w * D, side="right"), i + 1) for i in range(400)]
+        assert found[f"CUSTOMER_ID_NB_TX_{w}DAY_WINDOW"].tolist() == [len(f) for f in frames]
+        assert np.allclose(found[f"CUSTOMER_ID_AVG_AMOUNT_{w}DAY_WINDOW"], [amount[f].mean() for f in frames], rtol=1e-15)
+    sizes = {k[0]: len(set(np.asarray(v[0]) // rolling_cells.CELL)) if len(v[0]) > most else 1 for k, v in processor.cell_rows.items()}
+    assert set(sizes.values()) == {1}  # a cell over the limit is one width
+    if most == 512:
+        assert len(sizes) <= 4 and processor.cell_rows.calls <= 24  # cells of an hour: some 340, with three loads each
+
+
 def test_expired_cells_go(spark):
     cells = rolling_cells.Cells(lambda c: rolling_cells._EMPTY, [0, 5, 90], [1, 1, 1], [7, 7, 7])
     processor = rolling_cells.CustomerCells((1,), 2, D)
