@@ -5,13 +5,16 @@ Distances are Euclidean over double columns, summed column by column, ties by id
 Equal vectors are one: of their rows only the k + 1 of the smallest ids can be anyone's neighbours, so a large group of
 equal rows costs no more than one vector, and its rows get their list back at the end.
 
-1. A bounded sample of vectors are pivots (broadcast); every vector belongs to its nearest pivot's cell.
-2. Cells are cut by distance from the pivot, and by hash where that isn't enough, into blocks of about ``block`` vectors.
+1. A bounded sample of vectors are pivots (broadcast); every vector belongs to its nearest pivot's cell.  Some of the
+   pivots stand for those around them, so a vector is compared with the pivots near its own alone.
+2. Cells are cut by distance from the pivot, and by hash where that isn't enough, into blocks of ``block`` vectors at most,
+   cut cells into blocks of about a ``RINGS_PER_BLOCK``-th.
    The list of blocks (pivot, least and greatest distance) has at most some ``MAX_BLOCKS`` entries and is broadcast.
 3. Each block is searched by itself, which gives its vectors an upper bound of their k-th distance; a block
    of enough vectors bounds it as well, by the distance to its pivot and its greatest distance.
 4. By the triangle inequality a vector needs another block only if the block's distances from its pivot overlap the
-   vector's distance from that pivot give or take the bound.  Vectors are joined with those blocks alone;
+   vector's distance from that pivot give or take the bound.  The ball around ``STEP`` vectors rules most blocks out for
+   all of them at once, and each of them looks at the rest.  Vectors are joined with the blocks left alone;
    blocks that many vectors need are copied for parts of them, so no task holds more than about ``block * PER_BLOCK`` of them.
 5. The best of every vector's blocks are merged.
 
@@ -32,6 +35,9 @@ from cardrisk.session import cut_lineage, scratch_path, ship_package
 BLOCK, PIVOTS, MAX_BLOCKS = 1024, 4096, 1 << 18
 #: Distance quantiles that a large cell is cut at, and vectors per block's copy as a multiple of the block size.
 RINGS, PER_BLOCK = 32, 16
+RINGS_PER_BLOCK = 4
+#: Blocks that some vectors take their first bound from, and blocks that a task searches by themselves.
+NEAR, PER_TASK = 16, 64
 #: Queries that one numpy step compares with a block.
 STEP = 256
 #: Bounds are widened by this share against rounding.
@@ -94,35 +100,60 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     return _stored(found.withColumn("vid", F.monotonically_increasing_id()), "knn-vectors")
 
 
+def _nearest_pivots(v: np.ndarray, p: np.ndarray, tops: np.ndarray, order: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector's nearest pivot (the first of equals) and its squared distance.
+
+    ``order`` and ``gaps``: for each of the ``tops``, which are pivots, all pivots by distance from it, and these distances.
+    A pivot nearer than the nearest top is at most twice as far from that top as the vector is.
+    """
+    cell, d2 = np.zeros(len(v), "int64"), np.zeros(len(v))
+    own, away = np.zeros(len(v), "int64"), np.zeros(len(v))
+    for lo in range(0, len(v), STEP):
+        d = squared(v[lo : lo + STEP], tops)
+        own[lo : lo + STEP], away[lo : lo + STEP] = d.argmin(1), np.sqrt(d.min(1))
+    by = np.lexsort((away, own))
+    edges = np.searchsorted(own[by], np.arange(len(tops) + 1))
+    for t in np.unique(own).tolist():
+        for lo in range(edges[t], edges[t + 1], STEP // 4):
+            rows = by[lo : min(lo + STEP // 4, edges[t + 1])]
+            reach = 2 * away[rows[-1]] * (1 + SLACK) + SLACK * gaps[t, -1]
+            near = np.sort(order[t, : np.searchsorted(gaps[t], reach, side="right")])
+            d = squared(v[rows], p[near])
+            cell[rows], d2[rows] = near[d.argmin(1)], d.min(1)
+    return cell, d2
+
+
 def cells(vectors: DataFrame, n: int, pivots: int, width: int) -> tuple[DataFrame, np.ndarray]:
     """Every vector's nearest pivot and its distance from it; the pivots."""
     chosen = vectors.filter(F.pmod(F.xxhash64("vid"), F.lit(n)) < pivots).select("v").collect() or vectors.select("v").limit(1).collect()
     points = np.array([r["v"] for r in chosen])
-    shared = vectors.sparkSession.sparkContext.broadcast(points)
+    tops = points[: -(-len(points) // max(1, round(len(points) ** 0.5)))]
+    gaps = np.sqrt(squared(tops, points))
+    order = np.argsort(gaps, axis=1, kind="stable")
+    shared = vectors.sparkSession.sparkContext.broadcast((points, tops, order, np.take_along_axis(gaps, order, 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = shared.value
+        p, tops, order, gaps = shared.value
         for b in batches:
-            v = _matrix(b.column(1), width)
-            for lo in range(0, len(v), STEP):
-                d = squared(v[lo : lo + STEP], p)
-                cell = d.argmin(1)
-                part = b.slice(lo, STEP)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell), pa.array(np.sqrt(d.min(1)))], names=["vid", "v", "first", "row", "cell", "d"])
+            cell, d2 = _nearest_pivots(_matrix(b.column(1), width), p, tops, order, gaps)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(np.sqrt(d2))], names=["vid", "v", "first", "row", "cell", "d"])
 
     source = vectors.select("vid", "v", F.col("members")[0]["first"].alias("first"), F.col("members")[0]["row"].alias("row"))
     found = source.mapInArrow(run, "vid bigint, v array<double>, first bigint, row bigint, cell bigint, d double")
     return _stored(found, "knn-cells"), points
 
 
-def blocks(members: DataFrame, block: int) -> DataFrame:
-    """``block, cell, lo, hi, members``: cells cut by distance and by hash."""
+def blocks(members: DataFrame, block: int, n: int = 0) -> DataFrame:
+    """``block, cell, lo, hi, members``: cells cut by distance and by hash.  ``n`` vectors in all make the number of tasks."""
     size = members.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("d", [i / RINGS for i in range(1, RINGS)], 1000).alias("_cuts"))
     m = members.join(F.broadcast(size), "cell")  # a row a pivot
     over = F.size(F.filter("_cuts", lambda c: c < F.col("d")))
-    m = m.withColumn("_ring", F.when(F.col("_n") > block, over).otherwise(0)).drop("_n", "_cuts")
+    rings = F.least(F.lit(RINGS), F.ceil(F.col("_n") * RINGS_PER_BLOCK / block))
+    m = m.withColumn("_ring", F.when(F.col("_n") > block, F.floor(over * rings / RINGS)).otherwise(0)).drop("_n", "_cuts")
     parts = m.groupBy("cell", "_ring").agg(F.ceil(F.count(F.lit(1)) / block).alias("_parts"))
     m = m.join(parts, ["cell", "_ring"]).withColumn("_part", F.pmod(F.xxhash64("vid"), F.col("_parts")))
+    if n:
+        m = m.repartition(-(-n // (block * PER_TASK)), "cell", "_ring", "_part")
     found = m.groupBy("cell", "_ring", "_part").agg(
         F.min("d").alias("lo"), F.max("d").alias("hi"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("vid", "v", "first", "row")).alias("members")
     )
@@ -134,6 +165,25 @@ def _unpacked(members: pa.Array, width: int):
     return x.field("vid").to_numpy(), _matrix(x.field("v"), width), x.field("first").to_numpy(), x.field("row").to_numpy()
 
 
+def _needed(q, kth, pivots, cell, lo, hi, full, others) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks among ``others`` that each of some vectors needs (``query, block``), and every vector's reach.
+
+    ``kth`` bounds the vectors' k-th distances by what is known, ``full`` a block's vectors' from its pivot.
+    """
+    centre = q.mean(0, keepdims=True)
+    radius = np.sqrt(squared(q, centre).max()) * (1 + SLACK)
+    apart = np.sqrt(squared(centre, pivots))[0, cell]
+    near = np.argpartition(apart + full, NEAR)[:NEAR] if len(full) > NEAR else np.arange(len(full))
+    bound = np.minimum(kth, (np.sqrt(squared(q, pivots[cell[near]])) + full[near]).min(1))
+    reach = bound * (1 + SLACK) + SLACK * (apart.max() + radius)
+    far = radius + reach.max()
+    some = np.flatnonzero(~(apart - hi > far) & ~(lo - apart > far) & others)
+    at_cells, at_cell = np.unique(cell[some], return_inverse=True)
+    away = np.sqrt(squared(q, pivots[at_cells]))[:, at_cell]
+    who, which = np.nonzero((away - hi[some] <= reach[:, None]) & (lo[some] - away <= reach[:, None]))
+    return who, some[which], reach
+
+
 def within_blocks(table: DataFrame, points: np.ndarray, k: int, width: int) -> DataFrame:
     """Each vector's best in its own block, and a row for every other block that it needs (``need``, with its bound and itself)."""
     meta = table.select("block", "cell", "lo", "hi", "n").toPandas()
@@ -157,13 +207,8 @@ def within_blocks(table: DataFrame, points: np.ndarray, k: int, width: int) -> D
                 for at, found in zip(range(0, len(v), STEP), _search(vid, v, vid, v, first, row, k)):
                     yield padded(found, [], len(found[0]))
                     q, q_vid = v[at : at + STEP], vid[at : at + STEP]
-                    away = np.sqrt(squared(q, pivots))[:, cell]
-                    bound = (away + full).min(1)
-                    if len(v) >= k:
-                        bound = np.minimum(bound, np.sqrt(found[2].reshape(len(q), k)[:, k - 1]))
-                    reach = bound * (1 + SLACK) + SLACK * away.max(1)
-                    need = (away - hi <= reach[:, None]) & (lo - away <= reach[:, None]) & (ids != own)
-                    who, which = np.nonzero(need)
+                    own_kth = np.sqrt(found[2].reshape(len(q), k)[:, k - 1]) if len(v) >= k else np.full(len(q), np.inf)
+                    who, which, reach = _needed(q, own_kth, pivots, cell, lo, hi, full, ids != own)
                     if len(who):
                         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(who) + 1) * width, pa.int32()), pa.array(q[who].reshape(-1)))
                         yield padded([q_vid[who]], [ids[which], (reach[who] * (1 + SLACK)) ** 2, flat], len(who))
@@ -209,7 +254,7 @@ def nearest(rows: DataFrame, features: Sequence[str], k: int, id_col: str, block
         return base.drop("_v", "_row").withColumn("neighbours", F.array().cast(f"array<struct<d2:double,{id_col}:bigint,v:array<double>>>"))
     block = max(block, -(-n // MAX_BLOCKS))
     placed, points = cells(vectors, n, min(pivots, -(-n // block)), width)
-    table = blocks(placed, block)
+    table = blocks(placed, block, n)
     own = within_blocks(table, points, keep, width)
     found = own.filter(F.col("need").isNull()).select("vid", "other", "d2", "first", "row")
     found = found.unionByName(across_blocks(table, own, keep, width, block))

@@ -66,6 +66,47 @@ def test_nearest_looks_at_few_blocks(spark):
     assert own.filter("need is not null").count() < 4000 * sizes[1] / 10
 
 
+def _count_distances(monkeypatch):
+    """Distances that are computed from now on, as a list of counts."""
+    plain, counts = nb.squared, []
+    monkeypatch.setattr(nb, "squared", lambda a, b: counts.append(len(a) * len(b)) or plain(a, b))
+    return counts
+
+
+def test_a_vector_is_compared_with_few_pivots(monkeypatch):
+    """Nearest pivots and needed blocks are those of all pivots, from a small part of the distances."""
+    rng = np.random.default_rng(2)
+    points, v = rng.integers(0, 60, (900, 2)).astype(float), np.round(rng.random((3000, 2)) * 60, 1)  # ties among them
+    tops = points[:30]
+    gaps = np.sqrt(nb.squared(tops, points))
+    order = np.argsort(gaps, axis=1, kind="stable")
+    all_d2 = nb.squared(v, points)
+    counts = _count_distances(monkeypatch)
+    cell, d2 = nb._nearest_pivots(v, points, tops, order, np.take_along_axis(gaps, order, 1))
+    assert (cell == all_d2.argmin(1)).all() and (d2 == all_d2.min(1)).all()
+    assert sum(counts) < all_d2.size / 3
+    # a block a pivot: every vector of one small part of the plane
+    lo, hi = np.zeros(900), np.full(900, 1.5)
+    q = v[(v < 8).all(1)]
+    counts.clear()
+    who, which, reach = nb._needed(q, np.full(len(q), 2.0), points, np.arange(900), lo, hi, hi, np.arange(900) != 5)
+    away = np.sqrt(((q[:, None] - points[None]) ** 2).sum(-1))
+    must = away - hi <= np.minimum(2.0, (away + hi).min(1))[:, None]
+    must[:, 5] = False
+    assert set(zip(*np.nonzero(must))) <= set(zip(who.tolist(), which.tolist())) and len(who) < 1.5 * must.sum()
+    assert sum(counts) < len(q) * 900 / 4
+
+
+def test_cut_cells_make_few_blocks(spark):
+    v = np.random.default_rng(3).random((3000, 3))
+    base = _table(spark, [(i, *map(float, x)) for i, x in enumerate(v)]).select(F.array(*COLS).alias("v"), F.col("TRANSACTION_ID").alias("first"), F.col("TRANSACTION_ID").alias("row"))
+    placed, _ = nb.cells(nb.distinct_vectors(base, 6), 3000, 1, 3)
+    cells = placed.groupBy("cell").count().collect()
+    found = nb.blocks(placed, 1024, 3000)
+    assert found.count() <= sum(-(-r["count"] * nb.RINGS_PER_BLOCK // 1024) + 1 for r in cells)
+    assert found.agg(F.sum("n")).first()[0] == 3000
+
+
 def test_nearest_edges(spark):
     few = [(1, 0.0, 0.0, 0.0), (2, 3.0, 4.0, 0.0), (2, 3.0, 4.0, 0.0), (None, 0.0, None, -0.0)]
     got = sorted((r["TRANSACTION_ID"] or 0, [(x["d2"], x["TRANSACTION_ID"]) for x in r["neighbours"]]) for r in nearest(_table(spark, few), COLS, 2, "TRANSACTION_ID").collect())
