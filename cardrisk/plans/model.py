@@ -270,7 +270,12 @@ def out_of_fold(
     """
     spark = train.sparkSession
     rows = cut_lineage(fold_column(train, folds, seed, label=label))
-    parts = [_balanced(rows.filter(F.col("fold") != k), features, class_weight, resample, label) for k in range(folds)]
+
+    def part(k: int) -> tuple[DataFrame, str | None]:
+        return _balanced(rows.filter(F.col("fold") != k), features, class_weight, resample, label)
+
+    with ThreadPool(min(folds, parallelism)) as pool:
+        parts = pool.map(inheritable_thread_target(spark)(part), range(folds))
     path = scratch_path(spark, "out-of-fold")
 
     def one(job: tuple[int, dict, int]) -> None:
@@ -286,12 +291,15 @@ def out_of_fold(
     return spark.read.schema(kind).parquet(path)
 
 
-def fold_aucs(scored: DataFrame, settings: int, folds: int, label: str = TX_FRAUD) -> list[tuple[int, int, float | None]]:
+def fold_aucs(scored: DataFrame, settings: int, folds: int, label: str = TX_FRAUD, parallelism: int = 4) -> list[tuple[int, int, float | None]]:
     """``(setting, fold, AUC)`` from an out-of-fold table; exact, ties counted half; None for a fold of one class."""
-    return [
-        (i, k, m.roc_auc(m.pr_curve(scored.filter((F.col("setting") == i) & (F.col("fold") == k)), SCORE, label)).first()[0])
-        for i in range(settings) for k in range(folds)
-    ]
+
+    def one(job: tuple[int, int]) -> tuple[int, int, float | None]:
+        i, k = job
+        return i, k, m.roc_auc(m.pr_curve(scored.filter((F.col("setting") == i) & (F.col("fold") == k)), SCORE, label)).first()[0]
+
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(scored.sparkSession)(one), list(itertools.product(range(settings), range(folds))))
 
 
 def grid_search(

@@ -161,3 +161,20 @@ def test_ranks_are_of_scores_not_rows(spark):
         assert abs(got[f] - sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))) < 1e-12
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan[plan.rindex("Window") :]
+
+
+def test_the_package_is_shipped_once_by_threads(monkeypatch, tmp_path):
+    """Folds are resampled at the same time: all threads ship one archive."""
+    import time
+    from multiprocessing.pool import ThreadPool
+    from types import SimpleNamespace
+
+    from cardrisk import session
+
+    added = []
+    context = SimpleNamespace(applicationId="app-of-threads", addPyFile=lambda path: (time.sleep(0.2), added.append(path)))
+    monkeypatch.setattr(session, "_SHIPPED", set())
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    with ThreadPool(4) as pool:
+        pool.map(lambda _: session.ship_package(SimpleNamespace(sparkContext=context)), range(4))
+    assert len(added) == 1
