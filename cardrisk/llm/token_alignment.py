@@ -4,8 +4,8 @@ Every text is tokenised whole by both tokenizers.  Byte offsets where a token of
 each ends are shared ends.  A shared end before a token of A that begins with a space
 and a token of B that begins with the space mark is an anchor: it cuts the document into
 windows, each a tuple of A ids and a tuple of B ids.  The windows of ordinary text repeat, so a
-window's alignment (its groups and its links) is worked out once for each pair of id tuples
-and kept in a table of bounded size; windows are told apart by hash and compared id by id.
+window's alignment (its groups and its links) is worked out once for each pair of id tuples of a
+slice of some documents, all of a slice at once; windows are told apart by hash and compared id by id.
 
 1. each document: its counts, its groups' digest and the id pairs that it links, written once;
 2. in how many documents each id pair is linked, and each A id's highest such number (at most
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +36,6 @@ from cardrisk.llm.pretokens import PieceCache, Split, load_tokenizer, tokenizer_
 
 #: Broadcast id pairs: 17 bytes each.
 COMMON = 1 << 17
-#: Window alignments that a worker holds before it starts anew.
-MEMO = 400_000
 MARK = "▁"
 ID_BASE = 0x9FB21C651E98DF25  # odd
 
@@ -60,6 +57,7 @@ class Vocabulary:
         self.at = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
         self.spaced = np.fromiter((t[:1] == b" " for t in tokens), bool, len(tokens))
+        self.decimals, self.digits = _decimals(len(tokens))
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         n = self.size[ids]
@@ -96,37 +94,54 @@ def pieces(path: str):
 def _tokenizers(a_path: str, b_path: str):
     at = (a_path, b_path)
     if at not in _LOADED:
-        _LOADED[at] = (*byte_level(a_path), *pieces(b_path), {})
+        _LOADED[at] = (*byte_level(a_path), *pieces(b_path))
     return _LOADED[at]
 
 
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[str, int, tuple[int, ...]]:
-    """Groups of a window as text, their number, and the id pair ``a << 32 | b`` of every link."""
-    if len(a) == 1 or len(b) == 1:  # one group, all linked
-        return f"{','.join(map(str, a))}|{','.join(map(str, b))}", 1, tuple([x << 32 | y for x in a for y in b])
-    text, groups, links = "", 1, []
-    i = j = 0
-    end_a, end_b = size_a[0], size_b[0]
-    part_a, part_b = str(a[0]), str(b[0])
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            text += f"{part_a}|{part_b}"
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return text, groups, tuple(links)
-            text += ";"
-            groups += 1
-            part_a, part_b = str(a[i]), str(b[j])
-            end_a, end_b = end_a + size_a[i], end_b + size_b[j]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[i]
-            part_a += f",{a[i]}"
-        else:
-            j += 1
-            end_b += size_b[j]
-            part_b += f",{b[j]}"
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each id below ``n`` in decimals, as the bytes of a little-endian integer (the first byte is free), and their number."""
+    rows = np.zeros((n, 8), np.uint8)
+    values, size = np.arange(n), np.ones(n, np.int64)
+    for k in range(1, 7):
+        size += values >= 10**k
+    for k in range(7):
+        own = np.flatnonzero(size > k)
+        rows[own, size[own] - k] = values[own] // 10**k % 10 + ord("0")
+    return rows.reshape(-1).view("<u8"), size
+
+
+def align(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, vocab_a: Vocabulary, vocab_b: Vocabulary):
+    """Alignments of windows that lie end to end, ``n_a`` and ``n_b`` ids each.
+
+    Each window's groups as text, their number, the number of its links, and the id pair ``a << 32 | b`` of every link.
+    Between two neighbouring ends (of either side) stand one A token and one B token: a link.
+    """
+    ends_a, ends_b = np.cumsum(vocab_a.size[a]), np.cumsum(vocab_b.size[b])
+    cut = np.zeros(int(ends_a[-1]) + 1, np.uint8)
+    cut[ends_a] = 1
+    cut[ends_b] += 2
+    ends = np.flatnonzero(cut)
+    kind = cut[ends]
+    in_a, in_b = (kind & 1).astype(np.int64), (kind >> 1).astype(np.int64)
+    links = a[np.cumsum(in_a) - in_a].astype(np.int64) << 32 | b[np.cumsum(in_b) - in_b].astype(np.int64)
+    top = np.searchsorted(ends, ends_a[np.cumsum(n_a) - 1])  # each window's last link
+    n = np.diff(top + 1, prepend=0)
+    groups = np.diff(np.cumsum(kind == 3)[top], prepend=0)
+
+    # a group's A ids, then its B ids, each after its separator
+    shared_a, shared_b = cut[ends_a] == 3, cut[ends_b] == 3
+    upto_a, upto_b = (np.concatenate([[0], np.flatnonzero(x) + 1]) for x in (shared_a, shared_b))
+    place_a = np.arange(len(a)) + upto_b[np.cumsum(shared_a) - shared_a]
+    place_b = np.arange(len(b)) + upto_a[np.cumsum(shared_b) - shared_b + 1]
+    first_a, first_b = (np.concatenate([[True], x[:-1]]) for x in (shared_a, shared_b))
+    ids_text, size = np.empty(len(a) + len(b), "<u8"), np.empty(len(a) + len(b), np.int64)
+    for place, ids, vocab, first, mark in ((place_a, a, vocab_a, first_a, ";"), (place_b, b, vocab_b, first_b, "|")):
+        ids_text[place] = vocab.decimals[ids] | np.where(first, ord(mark), ord(",")).astype("<u8")
+        size[place] = vocab.digits[ids] + 1
+    raw = ids_text.view(np.uint8)
+    text = raw[raw != 0].tobytes().decode("ascii")
+    stop = np.cumsum(size)[np.cumsum(n_a + n_b) - 1]
+    return [text[x + 1 : y] for x, y in zip([0, *stop[:-1].tolist()], stop.tolist())], groups, n, links
 
 
 def _alike(ids: np.ndarray, lo: np.ndarray, n: np.ndarray, like: np.ndarray) -> np.ndarray:
@@ -143,7 +158,7 @@ class Aligner:
     """Aligns many texts at once."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.cache, self.a, self.model, self.b, self.memo = _tokenizers(a_path, b_path)
+        self.cache, self.a, self.model, self.b = _tokenizers(a_path, b_path)
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Whole tokenisations of each text by A (with a space before it) and by B (which puts one there)."""
@@ -180,20 +195,12 @@ class Aligner:
         other = np.flatnonzero(~(_alike(ids_a, wa[:-1], np.diff(wa), like) & _alike(ids_b, wb[:-1], np.diff(wb), like)))
         which[other] = len(first) + np.arange(len(other))
         first = np.concatenate([first, other])
-        found, memo = [], self.memo
-        raw_a, raw_b = ids_a.astype("<u4").tobytes(), ids_b.astype("<u4").tobytes()
-        list_a, list_b = ids_a.tolist(), ids_b.tolist()
-        size_a, size_b = self.a.size[ids_a].tolist(), self.b.size[ids_b].tolist()
-        for a0, a1, b0, b1 in zip(wa[first].tolist(), wa[first + 1].tolist(), wb[first].tolist(), wb[first + 1].tolist()):
-            at = (raw_a[4 * a0 : 4 * a1], raw_b[4 * b0 : 4 * b1])  # the tuples of ids
-            known = memo.get(at)
-            if known is None:
-                known = align(list_a[a0:a1], list_b[b0:b1], size_a[a0:a1], size_b[b0:b1])
-                if len(memo) >= MEMO:
-                    memo.clear()
-                memo[at] = known
-            found.append(known)
-        return which, found
+        own = []
+        for ids, w in ((ids_a, wa), (ids_b, wb)):
+            n = np.diff(w)[first]
+            own.append((ids[np.repeat(w[first] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n))
+        (a, n_a), (b, n_b) = own
+        return which, align(a, b, n_a, n_b, self.a, self.b)
 
     def documents(self, texts: list[str]) -> list[tuple]:
         """``n_a, n_b, n_groups, n_links, digest, pairs, links of each pair`` of every text."""
@@ -212,11 +219,7 @@ class Aligner:
             return out
         ids_a, ids_b = np.concatenate([g[1] for g in good]), np.concatenate([g[2] for g in good])
         wa, wb = self.windows(ids_a, ids_b, np.cumsum([g[3] for g in good]))
-        which, found = self.alignments(ids_a, ids_b, wa, wb)
-        strings = [f[0] for f in found]
-        groups = np.fromiter((f[1] for f in found), np.int64, len(found))
-        n = np.fromiter((len(f[2]) for f in found), np.int64, len(found))
-        pool = np.fromiter(chain.from_iterable(f[2] for f in found), np.int64, int(n.sum()))
+        which, (strings, groups, n, pool) = self.alignments(ids_a, ids_b, wa, wb)
         begin = np.cumsum(n) - n
         tops = np.searchsorted(wa, np.cumsum([len(g[1]) for g in good]))
         lo = 0

@@ -117,6 +117,31 @@ def test_windows_told_apart_by_ids(monkeypatch):
     assert [d[:5] for d in aligner.documents(texts)] == plain
 
 
+def test_alignment_work_is_not_by_window():
+    """Windows that differ are aligned together, not one by one in Python."""
+    import sys
+
+    from cardrisk.llm.pretokens import tokenizer_path
+    from cardrisk.llm.token_alignment import Aligner
+
+    aligner = Aligner(tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+    def calls(n):
+        text = " ".join(f"w{k * 7919}q" for k in range(n))
+        ids = [x[0] for x in aligner.encode([text])]
+        cuts = aligner.windows(*ids, np.array([len(text) + 1]))
+        aligner.alignments(*ids, *cuts)  # tables are made at first use
+        seen = []
+        sys.setprofile(lambda *a: seen.append(1))
+        try:
+            aligner.alignments(*ids, *cuts)
+        finally:
+            sys.setprofile(None)
+        return len(seen)
+
+    assert calls(4000) < 2 * calls(400)
+
+
 # 12 ----------------------------------------------------------------------------------------------
 
 
