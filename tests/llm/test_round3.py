@@ -199,6 +199,21 @@ def test_named_parts_go_and_repeats_in_articles_stay(spark):
     assert _text(main_text(_page(spark, rows))) == expected
 
 
+def test_the_host_s_slot_chooses_among_marked_articles(spark):
+    """Two marked articles a page: the slot that holds most article text over the host's pages has the article, on every page."""
+    from cardrisk.llm.html_extraction import main_text
+
+    teaser = "The teaser of another story is longer on this page than the story of its own, and that many times over, but on no other page"
+    shape = "<body><div class=t><article><p>TEASER</p></article></div><hr><div class=s><article><h1>Story NUMBER</h1><p>BODY</p></article></div></body>"
+    rows = [(k, u, h.replace("TEASER", teaser if k == 3 else f"More {k}")) for k, u, h in _site("slots.example.com", shape)]
+    assert _text(main_text(_page(spark, rows))) == {k: f"Story {k}\n{BODIES[k]}" for k in range(10)}
+    # a page that marks nothing has its article in the slot of the others; weight on the page alone would take the teaser
+    plain = [(k, u, h.replace("article>", "section>")) for k, u, h in rows]
+    assert _text(main_text(_page(spark, plain)))[3] == f"Story 3\n{BODIES[3]}"
+    # without a template (two pages) markup alone tells
+    assert _text(main_text(_page(spark, rows[:2])))[1] == f"More 1\nStory 1\n{BODIES[1]}"
+
+
 def test_extraction_edges(spark):
     from cardrisk.llm.html_extraction import main_text
 
