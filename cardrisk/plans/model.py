@@ -34,7 +34,7 @@ from cardrisk.operators.resample import smote
 from cardrisk.operators.rolling import with_us
 from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
-from cardrisk.session import cut_lineage, scratch_path
+from cardrisk.session import cut_lineage, scratch_path, written
 from cardrisk.schema import (
     CUSTOMER_ID,
     NON_FEATURE_COLS,
@@ -105,12 +105,13 @@ def choose_threshold(scored: DataFrame, label: str = TX_FRAUD, factor: float = m
 def prepare(tx: DataFrame, seed: int = 42, test: float = 0.2, valid: float = 0.1, parity: bool = False) -> tuple[DataFrame, DataFrame]:
     """Features (both stages) with their split, and the terminal statistics of the train rows.
 
-    With ``parity`` the features keep the statistics over all rows.
+    With ``parity`` the features keep the statistics over all rows.  The split goes by id and label alone, so it is made
+    on the rows as they come and written: the rank moves no features, and the statistics need no windows.
     """
-    feats = build_features(tx, stage2=True)
-    d = stratified_split(feats, test=test, valid=valid, seed=seed)
+    d = written(stratified_split(tx, test=test, valid=valid, seed=seed), "split")
     stats = fit_terminal_stats(d.filter(F.col("split") == "train"))
-    return (d if parity else fitted_stats_lookup(d, stats)), stats
+    feats = build_features(d, stage2=True)
+    return (feats if parity else fitted_stats_lookup(feats, stats)), stats
 
 
 def matrix(tx: DataFrame, seed: int = 42, parity: bool = False) -> tuple[DataFrame, list[str], DataFrame]:
@@ -120,7 +121,7 @@ def matrix(tx: DataFrame, seed: int = 42, parity: bool = False) -> tuple[DataFra
     """
     d, stats = prepare(tx, seed=seed, parity=parity)
     mat = feature_matrix(d, exclude=EXCLUDE, keep=[TRANSACTION_ID, "split", TX_DATETIME, "TX_FRAUD_SCENARIO"])
-    mat = cut_lineage(mat.withColumn("is_valid", F.col("split") == "valid"))
+    mat = written(mat.withColumn("is_valid", F.col("split") == "valid"), "matrix")
     return mat, feature_columns(d, EXCLUDE), cut_lineage(stats)
 
 
@@ -216,9 +217,10 @@ def score_new(
     customer's ``max_lag`` last rows (``plans.scoring``); without it they are taken from the whole ``history``.
     Terminal statistics come from training.  A
     row without customer, terminal or time has no window features; they are 0.
+    New rows and history are joined once and written; the features and their probe of hot keys read that.
     """
     new = new_tx if TX_FRAUD in new_tx.columns else new_tx.withColumn(TX_FRAUD, F.lit(None).cast("int"))
-    new = cut_lineage(new.withColumn("_row", F.monotonically_increasing_id()))
+    new = written(new.withColumn("_row", F.monotonically_increasing_id()), "new")
     history = history.join(new.select(TRANSACTION_ID), TRANSACTION_ID, "left_anti")
     first = new.select(F.min(F.col(TX_DATETIME).cast("timestamp"))).scalar()
     hist = history.filter(F.col(TX_DATETIME).cast("timestamp") >= first - F.expr(f"INTERVAL {lookback_days} DAYS"))
@@ -229,13 +231,15 @@ def score_new(
     else:
         last_rows = last_rows.join(new.select(TRANSACTION_ID), TRANSACTION_ID, "left_anti").join(customers, CUSTOMER_ID, "left_semi")
         last_rows = last_rows.select(*hist.columns)
-    hist = (
-        hist.join(customers, CUSTOMER_ID, "left_semi")
-        .unionByName(hist.join(new.select(TERMINAL_ID).distinct(), TERMINAL_ID, "left_semi"))
-        .unionByName(last_rows)
-        .dropDuplicates([TRANSACTION_ID])
+    terminals = new.select(TERMINAL_ID).distinct()
+    near = (
+        hist.join(customers.withColumn("_customer", F.lit(True)), CUSTOMER_ID, "left")
+        .join(terminals.withColumn("_terminal", F.lit(True)), TERMINAL_ID, "left")
+        .filter(F.col("_customer").isNotNull() | F.col("_terminal").isNotNull())
+        .select(*hist.columns)
     )
-    both = hist.withColumn("_row", F.lit(None).cast("bigint")).unionByName(new, allowMissingColumns=True)
+    hist = near.unionByName(last_rows).dropDuplicates([TRANSACTION_ID])
+    both = written(hist.withColumn("_row", F.lit(None).cast("bigint")).unionByName(new, allowMissingColumns=True), "scored-with")
     feats = build_features(both, stage2=True).filter(F.col("_row").isNotNull())
     plain = fitted_stats_lookup(add_calendar_flags(with_us(new)), terminal_stats)
     window_cols = [c for c in features if c not in plain.columns]

@@ -14,6 +14,7 @@ from cardrisk.plans.features import build_features, feature_matrix
 from cardrisk.queries.q_metrics import SPLIT_SQL
 from cardrisk.queries.registry import register
 from cardrisk.schema import TX_TIME_DAYS
+from cardrisk.session import written
 
 PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1}
 
@@ -33,7 +34,7 @@ def model_fit_scores(spark, sf):
 def score_batch(spark, sf, cut_day: int = 23):
     """Fit on days before ``cut_day``, then score the later days as new data with their history; whether each score is that of
     the whole history at once, without a look-back."""
-    tx = fx.tx(spark, sf)
+    tx = written(fx.tx(spark, sf), "tx")
     past = tx.filter(F.col(TX_TIME_DAYS) < cut_day)
     new = tx.filter(F.col(TX_TIME_DAYS) >= cut_day).drop("TX_FRAUD", "TX_FRAUD_SCENARIO")
     model, thr, _, feats, stats = mdl.train_eval(past, **PARAMS)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cardrisk import fixtures as fx
+from cardrisk.operators.group_stats import fit_terminal_stats
 from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans import model as mdl
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
@@ -55,6 +56,34 @@ def test_every_new_row_is_scored_alike_in_any_batch(spark):
     assert got and all(whole[i] == v for i, v in got.items())
 
 
+def _counted(spark, rows):
+    """The rows again, and how many were computed so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(row):
+        seen.add(1)
+        return row
+
+    return spark.createDataFrame(rows.rdd.map(look), rows.schema, verifySchema=False), seen
+
+
+def test_matrix_and_scores_compute_their_rows_once_or_twice(spark):
+    """The split reads its rows twice (counts, ranks), scoring its history (look-back, last rows); features, probe and statistics read what is written."""
+    tx = fx.tx(spark, SF_SMALL)
+    n = tx.count()
+    counted, seen = _counted(spark, tx)
+    mat, feats, stats = mdl.matrix(counted)
+    assert mat.count() == n and stats.count() > 0 and seen.value <= 2 * n
+    train = tx.join(mat.filter("split = 'train'").select("TRANSACTION_ID"), "TRANSACTION_ID")
+    assert sorted(map(tuple, stats.collect())) == sorted(map(tuple, fit_terminal_stats(train).collect()))
+    model = mdl.fit(mat.filter("split = 'train'"), feats, maxIter=2, maxDepth=2, seed=1)
+    past, new = tx.filter("TX_TIME_DAYS < 20"), tx.filter("TX_TIME_DAYS >= 20").drop("TX_FRAUD", "TX_FRAUD_SCENARIO")
+    history, seen = _counted(spark, past)
+    fresh, again = _counted(spark, new)
+    assert mdl.score_new(model, 0.5, fresh, history, feats, stats).count() == new.count()
+    assert seen.value <= 2 * past.count() and again.value == new.count()
+
+
 def test_grid_search_small(spark):
     d = build_features(fx.tx(spark, SF_SMALL))
     mat = feature_matrix(d, exclude=mdl.EXCLUDE, keep=["TRANSACTION_ID"])
