@@ -125,6 +125,21 @@ def matrix(tx: DataFrame, seed: int = 42, parity: bool = False) -> tuple[DataFra
     return mat, feature_columns(d, EXCLUDE), cut_lineage(stats)
 
 
+# Rows of a part: fewer than the least are not worth a task, more than the most are a long one.
+PART_ROWS, MOST_PART_ROWS, PARTS_PER_CORE = 10_000, 500_000, 3
+
+
+def in_even_parts(rows: DataFrame) -> DataFrame:
+    """The rows dealt out evenly, to a few parts for each core.
+
+    Every level of every tree is a stage over all rows, so a part more than there are cores, as the files of a
+    written table leave it, is a second wave of tasks in each of them.
+    """
+    n = rows.count()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(PARTS_PER_CORE * cores, n // PART_ROWS), -(-n // MOST_PART_ROWS)))
+
+
 def first_trees(model: PipelineModel, trees: int) -> PipelineModel:
     """The model with its first ``trees`` trees alone.
 
@@ -162,7 +177,7 @@ def final_fit(mat: DataFrame, features: Sequence[str], class_weight: bool = True
     rows = mat.filter(F.col("split") == "train")
     rows, weight = _balanced(rows, features, class_weight, resample)
     params = {k: v for k, v in params.items() if k != "validationTol"}
-    model = fit(rows, features, weight_col=weight, **params)
+    model = fit(in_even_parts(rows.select(*features, TX_FRAUD, *([weight] if weight else []))), features, weight_col=weight, **params)
     valid = mat.filter(F.col("split") == "valid")
     return model if valid.isEmpty() else first_trees(model, best_prefix(model, valid))
 

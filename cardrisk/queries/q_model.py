@@ -40,8 +40,11 @@ def score_batch(spark, sf, cut_day: int = 23):
     model, thr, _, feats, stats = mdl.train_eval(past, **PARAMS)
     threshold = thr.first()["threshold"]
     out = mdl.score_new(model, threshold, new, past, feats, stats)
-    # the features of all rows together, as the batch plan makes them
-    every = build_features(past.unionByName(new, allowMissingColumns=True), stage2=True)
+    # the features of all rows together, as the batch plan makes them; only rows with an id of the new ones are compared, so only they are scored
+    again = written(past.select("TRANSACTION_ID").join(new.select("TRANSACTION_ID"), "TRANSACTION_ID", "left_semi").distinct(), "again")
+    asked = F.lit(True).alias("_asked")
+    rows = past.join(again.select("TRANSACTION_ID", asked), "TRANSACTION_ID", "left").unionByName(new.select("*", asked), allowMissingColumns=True)
+    every = build_features(rows, stage2=True).filter("_asked")
     whole = feature_matrix(fitted_stats_lookup(every, stats), exclude=mdl.EXCLUDE, keep=["TRANSACTION_ID"])
     whole = mdl.score(model, whole.select("TRANSACTION_ID", *feats)).select("TRANSACTION_ID", F.col("SCORE").alias("_whole"))
     same = (F.col("SCORE") == F.col("_whole")).alias("same_with_whole_history")

@@ -7,6 +7,7 @@ from cardrisk.operators.group_stats import fit_terminal_stats
 from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans import model as mdl
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
+from cardrisk.queries import q_model
 from conftest import SF_SMALL
 
 PARAMS = {"maxIter": 5, "maxDepth": 3}
@@ -139,3 +140,42 @@ def test_out_of_fold_rows_and_no_leak(spark, monkeypatch):
     assert len(rows) == 2 * len(ids) and {(s, i) for s, i, _ in rows} == {(s, i) for s in (0, 1) for i in ids}
     fold = {i: k for _, i, k in rows}
     assert len(seen) == 2 and all({fold[i] for i in part} == {1 - k} for k, part in enumerate(seen))
+
+
+def test_final_fit_reads_even_parts(spark, monkeypatch):
+    """However the matrix is cut into files, each core has as many rows of the fit as another."""
+    mat, feats, _ = mdl.matrix(fx.tx(spark, SF_SMALL))
+    sizes = []
+    own = mdl.fit
+
+    def fit(rows, *a, **k):
+        sizes.extend(r[0] for r in rows.groupBy(F.spark_partition_id()).count().select("count").collect())
+        return own(rows, *a, **k)
+
+    monkeypatch.setattr(mdl, "fit", fit)
+    monkeypatch.setattr(mdl, "PART_ROWS", 50, raising=False)
+    cores, train = spark.sparkContext.defaultParallelism, mat.filter("split = 'train'").count()
+    mdl.final_fit(mat, feats, class_weight=False, maxIter=2, maxDepth=2, seed=1)
+    assert sum(sizes) == train and len(sizes) == min(3 * cores, train // 50) > cores and max(sizes) - min(sizes) <= 4
+    monkeypatch.undo()
+    assert mdl.in_even_parts(mat).rdd.getNumPartitions() == 1  # few rows: one part
+    assert mdl.in_even_parts(mat.limit(0)).count() == 0
+
+
+def test_score_batch_scores_compared_rows_alone(spark, tmp_dir, monkeypatch):
+    """Of the whole history's rows those with an id of the new ones; a new id that is in the past too has a row for each, as the join gives."""
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    tx = fx.tx_from_events(ev)
+    past, new = tx.filter("TX_TIME_DAYS < 23"), tx.filter("TX_TIME_DAYS >= 23")
+    old, late = past.agg(F.min("TRANSACTION_ID")).first()[0], new.agg(F.max("TRANSACTION_ID")).first()[0]
+    ev = ev.withColumn("event_id", F.when(F.col("event_id") != old, F.col("event_id")).otherwise(F.lit(late)))
+    ev.coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    scored = []
+    own = mdl.score
+    monkeypatch.setattr(mdl, "score", lambda model, df: scored.append(df) or own(model, df))
+    monkeypatch.setattr(q_model, "PARAMS", {"maxIter": 2, "maxDepth": 2})
+    got = q_model.score_batch(spark, tmp_dir)
+    ids = [r[0] for r in got.collect()]
+    assert len(ids) == new.count() + 1 and sum(i == late for i in ids) == 2
+    assert scored[-1].count() == len(ids)
+    assert got.filter("TRANSACTION_ID <> " + str(late)).filter("not same_with_whole_history").count() == 0
