@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardrisk.session import cut_lineage, scratch_path, ship_package
+from cardrisk.session import cut_lineage, passing_scratch, scratch_path, ship_package, shuffles_dropped, written
 
 BLOCK, PIVOTS, MAX_BLOCKS = 1024, 4096, 1 << 18
 #: Distance quantiles that a large cell is cut at, and vectors per block's copy as a multiple of the block size.
@@ -47,12 +47,6 @@ HOT = 1024
 NO_ID = np.iinfo(np.int64).max
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances of every row of ``a`` to every row of ``b``, summed column by column from the first."""
     out = np.zeros((len(a), len(b)))
@@ -97,7 +91,7 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     w = Window.partitionBy("v").orderBy("first", "row")
     few = rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= keep)
     found = few.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("first", "row"))).alias("members"))
-    return _stored(found.withColumn("vid", F.monotonically_increasing_id()), "knn-vectors")
+    return written(found.withColumn("vid", F.monotonically_increasing_id()), "knn-vectors")
 
 
 def _nearest_pivots(v: np.ndarray, p: np.ndarray, tops: np.ndarray, order: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +134,7 @@ def cells(vectors: DataFrame, n: int, pivots: int, width: int) -> tuple[DataFram
 
     source = vectors.select("vid", "v", F.col("members")[0]["first"].alias("first"), F.col("members")[0]["row"].alias("row"))
     found = source.mapInArrow(run, "vid bigint, v array<double>, first bigint, row bigint, cell bigint, d double")
-    return _stored(found, "knn-cells"), points
+    return written(found, "knn-cells"), points
 
 
 def blocks(members: DataFrame, block: int, n: int = 0) -> DataFrame:
@@ -157,7 +151,7 @@ def blocks(members: DataFrame, block: int, n: int = 0) -> DataFrame:
     found = m.groupBy("cell", "_ring", "_part").agg(
         F.min("d").alias("lo"), F.max("d").alias("hi"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("vid", "v", "first", "row")).alias("members")
     )
-    return _stored(found.withColumn("block", F.monotonically_increasing_id()).drop("_ring", "_part"), "knn-blocks")
+    return written(found.withColumn("block", F.monotonically_increasing_id()).drop("_ring", "_part"), "knn-blocks")
 
 
 def _unpacked(members: pa.Array, width: int):
@@ -214,7 +208,7 @@ def within_blocks(table: DataFrame, points: np.ndarray, k: int, width: int) -> D
                         yield padded([q_vid[who]], [ids[which], (reach[who] * (1 + SLACK)) ** 2, flat], len(who))
 
     found = table.select("block", "members").mapInArrow(run, f"{_FOUND}, need bigint, bound double, v array<double>")
-    return _stored(found, "knn-own")
+    return written(found, "knn-own")
 
 
 def across_blocks(table: DataFrame, own: DataFrame, k: int, width: int, block: int) -> DataFrame:
@@ -236,38 +230,52 @@ def across_blocks(table: DataFrame, own: DataFrame, k: int, width: int, block: i
     return needs.groupBy("block", "_copy").cogroup(rest.groupBy("block", "_copy")).applyInArrow(run, _FOUND)
 
 
+def best_of(vectors: DataFrame, n: int, keep: int, width: int, block: int, pivots: int) -> DataFrame:
+    """``vid, other, d2``: the ``keep`` nearest vectors of each of the ``n``, itself among them; cells and blocks go when it is written."""
+    spark = vectors.sparkSession
+    path = scratch_path(spark, "knn-found")
+    block = max(block, -(-n // MAX_BLOCKS))
+    with passing_scratch(spark):
+        placed, points = cells(vectors, n, min(pivots, -(-n // block)), width)
+        table = blocks(placed, block, n)
+        own = within_blocks(table, points, keep, width)
+        # written, so that the copies of vectors are gone before the lists are made
+        across = written(across_blocks(table, own, keep, width, block), "knn-across")
+        found = own.filter(F.col("need").isNull()).select("vid", "other", "d2", "first", "row").unionByName(across)
+        w = Window.partitionBy("vid").orderBy("d2", "first", "row")
+        return written(found.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= keep).select("vid", "other", "d2"), "knn-found", path)
+
+
 def nearest(rows: DataFrame, features: Sequence[str], k: int, id_col: str, block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """``rows`` with ``neighbours``: its ``k`` nearest other rows as ``(d2, id, v)`` by squared distance, then id.
 
     Fewer than ``k`` other rows make a shorter list.  Null features count as 0, null ids come last among equals;
     rows that share an id are rows of their own.
     """
-    ship_package(rows.sparkSession)
+    spark = rows.sparkSession
+    ship_package(spark)
     width, keep = len(features), k + 1
     v = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) + F.lit(0.0) for c in features])
-    base = _stored(rows.withColumn("_v", v).withColumn("_row", F.monotonically_increasing_id()), "knn-rows")
-    keyed = base.select(F.col("_v").alias("v"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(NO_ID))).alias("first"), F.col("_row").alias("row"))
-    vectors = distinct_vectors(keyed, keep)
-    n = vectors.count()
-    kind = "array<struct<d2:double,first:bigint,row:bigint,v:array<double>>>"
-    if not n:
-        return base.drop("_v", "_row").withColumn("neighbours", F.array().cast(f"array<struct<d2:double,{id_col}:bigint,v:array<double>>>"))
-    block = max(block, -(-n // MAX_BLOCKS))
-    placed, points = cells(vectors, n, min(pivots, -(-n // block)), width)
-    table = blocks(placed, block, n)
-    own = within_blocks(table, points, keep, width)
-    found = own.filter(F.col("need").isNull()).select("vid", "other", "d2", "first", "row")
-    found = found.unionByName(across_blocks(table, own, keep, width, block))
-    w = Window.partitionBy("vid").orderBy("d2", "first", "row")
-    found = found.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= keep).select("vid", "other", "d2")
-    members = vectors.select(F.col("vid").alias("other"), "members", F.col("v").alias("_v2"))
-    each = found.join(members, "other").select("vid", F.transform("members", lambda m: F.struct(F.col("d2").alias("d2"), m["first"].alias("first"), m["row"].alias("row"), F.col("_v2").alias("v"))).alias("near"))
-    lists = each.groupBy("vid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, keep).cast(kind).alias("near"))  # keep * keep at most
-    lists = _stored(lists.join(vectors.select("vid", F.col("v").alias("_v1")), "vid").select("_v1", "near"), "knn-lists")
-    # a vector of very many rows is broadcast, the others join by vector
-    total = base.count()
-    hot = keyed.groupBy(F.col("v").alias("_v1")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * HOT > total).select("_v1")
-    most = cut_lineage(lists.join(F.broadcast(hot), "_v1"))
+    path = scratch_path(spark, "knn-lists")
+    with shuffles_dropped(spark):
+        base = written(rows.withColumn("_row", F.monotonically_increasing_id()), "knn-rows")
+        keyed = base.select(v.alias("v"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(NO_ID))).alias("first"), F.col("_row").alias("row"))
+        with passing_scratch(spark):  # only rows and lists stay
+            vectors = distinct_vectors(keyed, keep)
+            n = vectors.count()
+            if not n:
+                return base.drop("_row").withColumn("neighbours", F.array().cast(f"array<struct<d2:double,{id_col}:bigint,v:array<double>>>"))
+            found = best_of(vectors, n, keep, width, block, pivots)
+            members = vectors.select(F.col("vid").alias("other"), "members", F.col("v").alias("_v2"))
+            each = found.join(members, "other").select("vid", F.transform("members", lambda m: F.struct(F.col("d2").alias("d2"), m["first"].alias("first"), m["row"].alias("row"), F.col("_v2").alias("v"))).alias("near"))
+            kind = "array<struct<d2:double,first:bigint,row:bigint,v:array<double>>>"
+            lists = each.groupBy("vid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, keep).cast(kind).alias("near"))  # keep * keep at most
+            lists = written(lists.join(vectors.select("vid", F.col("v").alias("_v1")), "vid").select("_v1", "near"), "knn-lists", path)
+        # a vector of very many rows is broadcast, the others join by vector
+        total = base.count()
+        hot = keyed.groupBy(F.col("v").alias("_v1")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * HOT > total).select("_v1")
+        most = cut_lineage(lists.join(F.broadcast(hot), "_v1"))
+    base = base.withColumn("_v", v)
     wide = base.join(F.broadcast(most), F.col("_v") == F.col("_v1"), "left")
     rest = wide.filter(F.col("near").isNull()).select(*base.columns).join(lists, F.col("_v") == F.col("_v1"))
     out = wide.filter(F.col("near").isNotNull()).unionByName(rest)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cardrisk.operators.neighbours import nearest
 from cardrisk.operators.sampling import with_rank
 from cardrisk.schema import TRANSACTION_ID, TX_FRAUD
-from cardrisk.session import cut_lineage
+from cardrisk.session import passing_scratch, scratch_path, shuffles_dropped, written
 
 NEIGHBOURS = 5
 SOURCE, COPY, OTHER, GAP = "SMOTE_SOURCE", "SMOTE_COPY", "SMOTE_NEIGHBOUR", "SMOTE_GAP"
@@ -57,5 +57,7 @@ def smote(df: DataFrame, features: Sequence[str], label: str = TX_FRAUD, id_col:
           k: int = NEIGHBOURS, seed: int = 42, minority: int = 1) -> DataFrame:
     """``features`` (doubles) and the label of all given rows and of the synthetic ones."""
     given = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features], F.col(label).cast("int").alias(label))
-    made = synthetic_rows(df, features, label, id_col, k, seed, minority).select(*features, label)
-    return given.unionByName(cut_lineage(made))
+    path = scratch_path(df.sparkSession, "smote")
+    with passing_scratch(df.sparkSession), shuffles_dropped(df.sparkSession):
+        made = written(synthetic_rows(df, features, label, id_col, k, seed, minority).select(*features, label), "smote", path)
+    return given.unionByName(made)

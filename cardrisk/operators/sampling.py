@@ -27,7 +27,7 @@ def with_rank(df: DataFrame, label: str, seed: int, id_col: str = TRANSACTION_ID
     before = Window.partitionBy("_l").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # 16**PREFIX_DIGITS rows at most
     offsets = counts.select("_l", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"), F.sum("_n").over(Window.partitionBy("_l")).alias("_size"))
     w = Window.partitionBy(label, "_b").orderBy("_h", id_col)
-    d = d.withColumn("_r", F.row_number().over(w)).join(offsets, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_p")))
+    d = d.withColumn("_r", F.row_number().over(w)).join(F.broadcast(offsets), F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_p")))
     return d.withColumn("_rank", F.col("_o") + F.col("_r")).drop("_h", "_b", "_l", "_p", "_o", "_r")
 
 

@@ -34,7 +34,7 @@ from cardrisk.operators.resample import smote
 from cardrisk.operators.rolling import with_us
 from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
-from cardrisk.session import cut_lineage, scratch_path, written
+from cardrisk.session import cut_lineage, passing_scratch, scratch_path, shuffles_dropped, written
 from cardrisk.schema import (
     CUSTOMER_ID,
     NON_FEATURE_COLS,
@@ -119,10 +119,13 @@ def matrix(tx: DataFrame, seed: int = 42, parity: bool = False) -> tuple[DataFra
 
     The window pipeline runs once: search, fitting and scoring read the written matrix.
     """
-    d, stats = prepare(tx, seed=seed, parity=parity)
-    mat = feature_matrix(d, exclude=EXCLUDE, keep=[TRANSACTION_ID, "split", TX_DATETIME, "TX_FRAUD_SCENARIO"])
-    mat = written(mat.withColumn("is_valid", F.col("split") == "valid"), "matrix")
-    return mat, feature_columns(d, EXCLUDE), cut_lineage(stats)
+    spark = tx.sparkSession
+    path = scratch_path(spark, "matrix")
+    with passing_scratch(spark), shuffles_dropped(spark):
+        d, stats = prepare(tx, seed=seed, parity=parity)
+        mat = feature_matrix(d, exclude=EXCLUDE, keep=[TRANSACTION_ID, "split", TX_DATETIME, "TX_FRAUD_SCENARIO"])
+        mat = written(mat.withColumn("is_valid", F.col("split") == "valid"), "matrix", path)
+        return mat, feature_columns(d, EXCLUDE), cut_lineage(stats)
 
 
 # Rows of a part: fewer than the least are not worth a task, more than the most are a long one.
@@ -175,9 +178,10 @@ def final_fit(mat: DataFrame, features: Sequence[str], class_weight: bool = True
     The classes are weighted, or with ``resample`` evened out by synthetic rows; both never.
     """
     rows = mat.filter(F.col("split") == "train")
-    rows, weight = _balanced(rows, features, class_weight, resample)
     params = {k: v for k, v in params.items() if k != "validationTol"}
-    model = fit(in_even_parts(rows.select(*features, TX_FRAUD, *([weight] if weight else []))), features, weight_col=weight, **params)
+    with passing_scratch(mat.sparkSession):
+        rows, weight = _balanced(rows, features, class_weight, resample)
+        model = fit(in_even_parts(rows.select(*features, TX_FRAUD, *([weight] if weight else []))), features, weight_col=weight, **params)
     valid = mat.filter(F.col("split") == "valid")
     return model if valid.isEmpty() else first_trees(model, best_prefix(model, valid))
 
@@ -185,8 +189,8 @@ def final_fit(mat: DataFrame, features: Sequence[str], class_weight: bool = True
 def _balanced(rows: DataFrame, features: Sequence[str], class_weight: bool, resample: bool, label: str = TX_FRAUD) -> tuple[DataFrame, str | None]:
     """Written rows for a fit and the name of their weight, if any."""
     if resample:
-        return cut_lineage(smote(rows, features, label)), None
-    return (cut_lineage(with_class_weight(rows, label)), "weight") if class_weight else (rows, None)
+        return smote(rows, features, label), None
+    return (written(with_class_weight(rows, label), "weighted"), "weight") if class_weight else (rows, None)
 
 
 def train_eval(tx: DataFrame, seed: int = 42, class_weight: bool = False, parity: bool = False,
@@ -270,6 +274,10 @@ def settings_of(grid: Mapping[str, Sequence] | None = None) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
+# Rows of a search that are fitted at the same time: each fit keeps its own rows' bins, those beyond memory on disk.
+AT_ONCE_ROWS = 10_000_000
+
+
 def out_of_fold(
     train: DataFrame,
     features: Sequence[str],
@@ -284,28 +292,31 @@ def out_of_fold(
     """``setting, fold, TRANSACTION_ID, label, SCORE``: every train row scored once a setting, by a model that has not seen it.
 
     Rows are balanced within each fold's own train part, so no synthetic row has a held-out row as its end; a
-    part is balanced and written once and serves all settings.  ``setting`` counts ``settings_of(grid)``.
+    part is balanced and written once, serves all settings, and goes with what it was made from when its fits are done,
+    so one fold's neighbours and synthetic rows are on disk at a time.
+    ``setting`` counts ``settings_of(grid)``.
     The table is written, a folder a fold and setting, so a lost fit is repeated alone.
     """
     spark = train.sparkSession
-    rows = cut_lineage(fold_column(train, folds, seed, label=label))
-
-    def part(k: int) -> tuple[DataFrame, str | None]:
-        return _balanced(rows.filter(F.col("fold") != k), features, class_weight, resample, label)
-
-    with ThreadPool(min(folds, parallelism)) as pool:
-        parts = pool.map(inheritable_thread_target(spark)(part), range(folds))
+    settings = list(enumerate(settings_of(grid)))
     path = scratch_path(spark, "out-of-fold")
-
-    def one(job: tuple[int, dict, int]) -> None:
-        i, setting, k = job
-        model = fit(parts[k][0], features, label, weight_col=parts[k][1], **{"seed": seed, **setting})
-        held = score(model, rows.filter(F.col("fold") == k))
-        held.select(TRANSACTION_ID, F.col(label).cast("int").alias(label), SCORE).write.parquet(f"{path}/setting={i}/fold={k}")
-
-    jobs = [(i, setting, k) for i, setting in enumerate(settings_of(grid)) for k in range(folds)]
-    with ThreadPool(parallelism) as pool:
-        pool.map(inheritable_thread_target(spark)(one), jobs)
+    with passing_scratch(spark), shuffles_dropped(spark):
+        keep = dict.fromkeys((TRANSACTION_ID, label, *features))
+        rows = written(fold_column(train.select(*keep), folds, seed, label=label), "folds")
+        at_once = max(1, min(parallelism, AT_ONCE_ROWS // max(1, rows.count())))
+
+        for k in range(folds):
+            with passing_scratch(spark):
+                part, weight = _balanced(rows.filter(F.col("fold") != k), features, class_weight, resample, label)
+
+                def one(job: tuple[int, dict]) -> None:
+                    i, setting = job
+                    model = fit(part, features, label, weight_col=weight, **{"seed": seed, **setting})
+                    held = score(model, rows.filter(F.col("fold") == k))
+                    held.select(TRANSACTION_ID, F.col(label).cast("int").alias(label), SCORE).write.parquet(f"{path}/setting={i}/fold={k}")
+
+                with ThreadPool(min(at_once, len(settings))) as pool:
+                    pool.map(inheritable_thread_target(spark)(one), settings)
     kind = f"{TRANSACTION_ID} {train.schema[TRANSACTION_ID].dataType.simpleString()}, {label} int, {SCORE} double, setting int, fold int"
     return spark.read.schema(kind).parquet(path)
 

@@ -1,4 +1,6 @@
+import glob
 import math
+import os
 
 
 def norm(v):
@@ -23,3 +25,11 @@ def rows_of(df, cols=None):
 def same_rows(a, b, cols=None):
     cols = cols or sorted(a.columns)
     return rows_of(a, cols) == rows_of(b, cols)
+
+
+def scratch_folders(spark):
+    """Names of the scratch folders that there are, those within others included."""
+    from cardrisk.session import checkpoint_base
+
+    base = checkpoint_base(spark).removeprefix("file:")
+    return {os.path.basename(p) for p in glob.glob(f"{base}/cardrisk/**/*-" + "[0-9a-f]" * 32, recursive=True) if os.path.isdir(p)}

@@ -8,7 +8,9 @@ from cardrisk.operators.sampling import fold_column, stratified_split
 from cardrisk.plans import model as mdl
 from cardrisk.plans.features import build_features, feature_columns, feature_matrix
 from cardrisk.queries import q_model
+from cardrisk.session import SHUFFLE_CLEANUP
 from conftest import SF_SMALL
+from helpers import scratch_folders
 
 PARAMS = {"maxIter": 5, "maxDepth": 3}
 
@@ -142,6 +144,44 @@ def test_out_of_fold_rows_and_no_leak(spark, monkeypatch):
     assert len(seen) == 2 and all({fold[i] for i in part} == {1 - k} for k, part in enumerate(seen))
 
 
+def test_out_of_fold_keeps_little_on_disk(spark, monkeypatch):
+    """Only the table of scores stays of a search; a fold is balanced and fitted after the other, many rows one setting at a time."""
+    import threading
+
+    mat, feats, _ = mdl.matrix(fx.tx(spark, SF_SMALL))
+    train = mat.filter("split = 'train'")
+    before, running, most, rows_of, lock = scratch_folders(spark), [], [], [], threading.Lock()
+    own = mdl.fit
+
+    def fit(rows, *a, **k):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        new = [x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before]
+        rows_of.append(sorted(x for x in new if x not in ("passing", "out-of-fold")))
+        try:
+            return own(rows, *a, **k)
+        finally:
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(mdl, "fit", fit)
+    monkeypatch.setattr(mdl, "AT_ONCE_ROWS", 1, raising=False)
+    clean_up = spark.conf.get(SHUFFLE_CLEANUP)
+    scored = mdl.out_of_fold(train, feats, {"maxDepth": (2, 3), "maxIter": (2,)}, 2, resample=True)
+    assert max(most) == 1 and len(most) == 4
+    assert rows_of == [["folds", "smote"]] * 4  # nothing of the neighbours, nor of the fold before
+    assert {x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before} == {"out-of-fold"}
+    assert scored.count() == 2 * train.count() and spark.conf.get(SHUFFLE_CLEANUP) == clean_up
+
+
+def test_matrix_keeps_itself_alone(spark):
+    before = scratch_folders(spark)
+    mat, _, stats = mdl.matrix(fx.tx(spark, SF_SMALL))
+    assert [x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before] == ["matrix"]
+    assert mat.count() == fx.tx(spark, SF_SMALL).count() and stats.count() > 0
+
+
 def test_final_fit_reads_even_parts(spark, monkeypatch):
     """However the matrix is cut into files, each core has as many rows of the fit as another."""
     mat, feats, _ = mdl.matrix(fx.tx(spark, SF_SMALL))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from cardrisk.operators import neighbours as nb
 from cardrisk.operators.neighbours import nearest
 from cardrisk.operators.resample import COPY, GAP, OTHER, SOURCE, smote, synthetic_rows
+from cardrisk.operators.sampling import with_rank
+from helpers import scratch_folders
 
 COLS = ["a", "b", "c"]
 
@@ -116,6 +118,25 @@ def test_nearest_edges(spark):
     assert empty.collect() == [] and empty.columns == ["TRANSACTION_ID", *COLS, "neighbours"]
 
 
+def test_nearest_keeps_rows_and_lists_alone(spark):
+    before = scratch_folders(spark)
+    near = nearest(_table(spark, _rows(300, 5)), COLS, 5, "TRANSACTION_ID", 16, 40)
+    assert sorted(x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before) == ["knn-lists", "knn-rows"]
+    assert near.count() == 300
+
+
+def test_rank_moves_rows_once(spark):
+    """The buckets' offsets are broadcast: the rows are shuffled for the window alone."""
+    df, _ = _labelled(spark, 40, 150)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = with_rank(df, "TX_FRAUD", 42)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def _labelled(spark, n_few, n_many):
     rng = np.random.default_rng(n_few)
     rows = [(i, int(i < n_few), *map(float, np.round(rng.normal(size=3), 3))) for i in range(n_few + n_many)]
