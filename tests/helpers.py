@@ -1,6 +1,7 @@
 import glob
 import math
 import os
+import tempfile
 
 
 def norm(v):
@@ -27,9 +28,16 @@ def same_rows(a, b, cols=None):
     return rows_of(a, cols) == rows_of(b, cols)
 
 
-def scratch_folders(spark):
-    """Names of the scratch folders that there are, those within others included."""
-    from cardrisk.session import checkpoint_base
+def scratch_of_its_own(spark, monkeypatch):
+    """From now on scratch goes to a new folder; a function that gives the names of the scratch folders in it, those within others included."""
+    from cardrisk import session
 
-    base = checkpoint_base(spark).removeprefix("file:")
-    return {os.path.basename(p) for p in glob.glob(f"{base}/cardrisk/**/*-" + "[0-9a-f]" * 32, recursive=True) if os.path.isdir(p)}
+    session.checkpoint_base(spark)
+    base = tempfile.mkdtemp(prefix="cardrisk-test-scratch-")
+    monkeypatch.setattr(session, "checkpoint_base", lambda spark: base)
+
+    def left():
+        found = glob.glob(f"{base}/cardrisk/**/*-" + "[0-9a-f]" * 32, recursive=True)
+        return sorted(os.path.basename(p).rsplit("-", 1)[0] for p in found if os.path.isdir(p))
+
+    return left

@@ -155,17 +155,14 @@ def test_far_future_row_does_not_wipe_a_state():
         next(fn((1,), iter([pd.DataFrame({"TRANSACTION_ID": [9], "us": [day], "TX_AMOUNT": [0.004]})]), state))
 
 
-def test_passing_scratch_and_dropped_shuffles(spark):
+def test_passing_scratch_and_dropped_shuffles(spark, monkeypatch):
     """What a thread names within goes at the end, an error or not, and nothing else; the setting stands again after the last use."""
     from multiprocessing.pool import ThreadPool
 
     from cardrisk.session import SHUFFLE_CLEANUP, passing_scratch, scratch_path, shuffles_dropped, written
-    from helpers import scratch_folders
+    from helpers import scratch_of_its_own
 
-    def left():
-        return {x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before}
-
-    before, d, clean_up = scratch_folders(spark), spark.range(5), spark.conf.get(SHUFFLE_CLEANUP)
+    left, d, clean_up = scratch_of_its_own(spark, monkeypatch), spark.range(5), spark.conf.get(SHUFFLE_CLEANUP)
     kept = scratch_path(spark, "kept-one")
     with pytest.raises(ValueError):
         with shuffles_dropped(spark), passing_scratch(spark):
@@ -174,10 +171,10 @@ def test_passing_scratch_and_dropped_shuffles(spark):
                 pool.apply(lambda: written(d, "other-thread"))
             with shuffles_dropped(spark), passing_scratch(spark):
                 written(written(d, "inner"), "kept", kept)
-                assert left() == {"passing", "outer", "inner", "other-thread", "kept-one"}
-            assert spark.conf.get(SHUFFLE_CLEANUP) == "true" and left() == {"passing", "outer", "other-thread", "kept-one"}
+                assert left() == ["inner", "kept-one", "other-thread", "outer", "passing", "passing"]
+            assert spark.conf.get(SHUFFLE_CLEANUP) == "true" and left() == ["kept-one", "other-thread", "outer", "passing"]
             raise ValueError
-    assert left() == {"other-thread", "kept-one"} and spark.read.parquet(kept).count() == 5
+    assert left() == ["kept-one", "other-thread"] and spark.read.parquet(kept).count() == 5
     assert spark.conf.get(SHUFFLE_CLEANUP) == clean_up
 
 

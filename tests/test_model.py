@@ -10,7 +10,7 @@ from cardrisk.plans.features import build_features, feature_columns, feature_mat
 from cardrisk.queries import q_model
 from cardrisk.session import SHUFFLE_CLEANUP
 from conftest import SF_SMALL
-from helpers import scratch_folders
+from helpers import scratch_of_its_own
 
 PARAMS = {"maxIter": 5, "maxDepth": 3}
 
@@ -150,15 +150,14 @@ def test_out_of_fold_keeps_little_on_disk(spark, monkeypatch):
 
     mat, feats, _ = mdl.matrix(fx.tx(spark, SF_SMALL))
     train = mat.filter("split = 'train'")
-    before, running, most, rows_of, lock = scratch_folders(spark), [], [], [], threading.Lock()
+    left, running, most, rows_of, lock = scratch_of_its_own(spark, monkeypatch), [], [], [], threading.Lock()
     own = mdl.fit
 
     def fit(rows, *a, **k):
         with lock:
             running.append(1)
             most.append(len(running))
-        new = [x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before]
-        rows_of.append(sorted(x for x in new if x not in ("passing", "out-of-fold")))
+        rows_of.append([x for x in left() if x not in ("passing", "out-of-fold")])
         try:
             return own(rows, *a, **k)
         finally:
@@ -171,14 +170,14 @@ def test_out_of_fold_keeps_little_on_disk(spark, monkeypatch):
     scored = mdl.out_of_fold(train, feats, {"maxDepth": (2, 3), "maxIter": (2,)}, 2, resample=True)
     assert max(most) == 1 and len(most) == 4
     assert rows_of == [["folds", "smote"]] * 4  # nothing of the neighbours, nor of the fold before
-    assert {x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before} == {"out-of-fold"}
+    assert left() == ["out-of-fold"]
     assert scored.count() == 2 * train.count() and spark.conf.get(SHUFFLE_CLEANUP) == clean_up
 
 
-def test_matrix_keeps_itself_alone(spark):
-    before = scratch_folders(spark)
+def test_matrix_keeps_itself_alone(spark, monkeypatch):
+    left = scratch_of_its_own(spark, monkeypatch)
     mat, _, stats = mdl.matrix(fx.tx(spark, SF_SMALL))
-    assert [x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before] == ["matrix"]
+    assert left() == ["matrix"]
     assert mat.count() == fx.tx(spark, SF_SMALL).count() and stats.count() > 0
 
 

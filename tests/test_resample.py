@@ -8,7 +8,7 @@ from cardrisk.operators import neighbours as nb
 from cardrisk.operators.neighbours import nearest
 from cardrisk.operators.resample import COPY, GAP, OTHER, SOURCE, smote, synthetic_rows
 from cardrisk.operators.sampling import with_rank
-from helpers import scratch_folders
+from helpers import scratch_of_its_own
 
 COLS = ["a", "b", "c"]
 
@@ -118,10 +118,10 @@ def test_nearest_edges(spark):
     assert empty.collect() == [] and empty.columns == ["TRANSACTION_ID", *COLS, "neighbours"]
 
 
-def test_nearest_keeps_rows_and_lists_alone(spark):
-    before = scratch_folders(spark)
+def test_nearest_keeps_rows_and_lists_alone(spark, monkeypatch):
+    left = scratch_of_its_own(spark, monkeypatch)
     near = nearest(_table(spark, _rows(300, 5)), COLS, 5, "TRANSACTION_ID", 16, 40)
-    assert sorted(x.rsplit("-", 1)[0] for x in scratch_folders(spark) - before) == ["knn-lists", "knn-rows"]
+    assert left() == ["knn-lists", "knn-rows"]
     assert near.count() == 300
 
 
